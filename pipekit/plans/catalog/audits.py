@@ -39,49 +39,49 @@ def measured_targets(spark, sf):
 
 
 _CHECKS = """
-    grid AS (SELECT e.event_type, TIMESTAMP '2024-01-01' + INTERVAL (h) HOUR AS at FROM (SELECT DISTINCT event_type FROM events) e,
+    grid AS (SELECT e.event_type, TIMESTAMP '2024-01-01' + INTERVAL (h) HOUR AS check_time FROM (SELECT DISTINCT event_type FROM events) e,
              (SELECT range AS h FROM range(0, 720)) g),
-    checks AS (SELECT g.event_type, g.at, count(v.event_id) AS record_count FROM grid g
-               LEFT JOIN events v ON v.event_type = g.event_type AND v.ts >= g.at AND v.ts < g.at + INTERVAL 1 HOUR GROUP BY 1, 2)"""
+    checks AS (SELECT g.event_type, g.check_time, count(v.event_id) AS record_count FROM grid g
+               LEFT JOIN events v ON v.event_type = g.event_type AND v.ts >= g.check_time AND v.ts < g.check_time + INTERVAL 1 HOUR GROUP BY 1, 2)"""
 
 
 def _checks(spark, sf):
     """Rows waiting at the end of each hour, per event type, as a sequence of checks."""
     events = table(spark, sf, "events")
     grid = events.select("event_type").distinct().withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(719)))).select(
-        "event_type", add_time(F.lit("2024-01-01").cast("timestamp_ntz"), minutes=F.col("step") * 60).alias("at"))
-    counts = events.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("at")).agg(
+        "event_type", add_time(F.lit("2024-01-01").cast("timestamp_ntz"), minutes=F.col("step") * 60).alias("check_time"))
+    counts = events.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("check_time")).agg(
         F.count(F.lit(1)).alias("n"))
-    return grid.join(counts, ["event_type", "at"], "left").select(
-        "event_type", "at", F.coalesce("n", F.lit(0)).alias("record_count"))
+    return grid.join(counts, ["event_type", "check_time"], "left").select(
+        "event_type", "check_time", F.coalesce("n", F.lit(0)).alias("record_count"))
 
 
 @query("quiet_period", "AU8", f"""
     WITH {_CHECKS},
-    lagged AS (SELECT *, lag(record_count) OVER w AS prev, row_number() OVER w AS pos FROM checks WINDOW w AS (PARTITION BY event_type ORDER BY at)),
+    lagged AS (SELECT *, lag(record_count) OVER w AS prev, row_number() OVER w AS pos FROM checks WINDOW w AS (PARTITION BY event_type ORDER BY check_time)),
     marked AS (SELECT *, max(CASE WHEN record_count = 0 OR prev IS NULL OR record_count <> prev THEN pos END)
-               OVER (PARTITION BY event_type ORDER BY at ROWS UNBOUNDED PRECEDING) AS start FROM lagged),
+               OVER (PARTITION BY event_type ORDER BY check_time ROWS UNBOUNDED PRECEDING) AS start FROM lagged),
     folded AS (SELECT *, CASE WHEN record_count = 0 THEN 0 WHEN start = 1 THEN pos ELSE pos - start END AS quiet FROM marked)
-    SELECT event_type, strftime(at, '%Y-%m-%d %H') AS at, record_count, CAST(quiet AS BIGINT) AS quiet_checks,
+    SELECT event_type, strftime(check_time, '%Y-%m-%d %H') AS check_time, record_count, CAST(quiet AS BIGINT) AS quiet_checks,
            CASE WHEN record_count <> 0 AND prev IS NOT NULL AND record_count <> prev THEN 'Y' ELSE 'N' END AS new_record_found,
            CASE WHEN record_count = 0 THEN 'IDLE' WHEN prev IS NOT NULL AND record_count = prev AND quiet >= 3 THEN 'CALL SP'
                 ELSE 'WAIT' END AS action FROM folded""")
 def quiet_period(spark, sf):
-    out = audit.quiet_period(_checks(spark, sf), "at", "record_count", ["event_type"])
-    return out.withColumn("at", F.date_format("at", "yyyy-MM-dd HH"))
+    out = audit.quiet_period(_checks(spark, sf), "check_time", "record_count", ["event_type"])
+    return out.withColumn("check_time", F.date_format("check_time", "yyyy-MM-dd HH"))
 
 
 @query("quiet_period_single", "AU8", """
-    WITH checks AS (SELECT date_trunc('hour', ts) AS at, count(*) AS record_count FROM events GROUP BY 1),
-    lagged AS (SELECT *, lag(record_count) OVER w AS prev, row_number() OVER w AS pos FROM checks WINDOW w AS (ORDER BY at)),
+    WITH checks AS (SELECT date_trunc('hour', ts) AS check_time, count(*) AS record_count FROM events GROUP BY 1),
+    lagged AS (SELECT *, lag(record_count) OVER w AS prev, row_number() OVER w AS pos FROM checks WINDOW w AS (ORDER BY check_time)),
     marked AS (SELECT *, max(CASE WHEN prev IS NULL OR record_count <> prev THEN pos END)
-               OVER (ORDER BY at ROWS UNBOUNDED PRECEDING) AS start FROM lagged)
-    SELECT strftime(at, '%Y-%m-%d %H') AS at, record_count, CAST(CASE WHEN start = 1 THEN pos ELSE pos - start END AS BIGINT) AS quiet_checks FROM marked""")
+               OVER (ORDER BY check_time ROWS UNBOUNDED PRECEDING) AS start FROM lagged)
+    SELECT strftime(check_time, '%Y-%m-%d %H') AS check_time, record_count, CAST(CASE WHEN start = 1 THEN pos ELSE pos - start END AS BIGINT) AS quiet_checks FROM marked""")
 def quiet_period_single(spark, sf):
-    checks = table(spark, sf, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("at")).agg(
+    checks = table(spark, sf, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("check_time")).agg(
         F.count(F.lit(1)).alias("record_count"))
-    return audit.quiet_period(checks, "at", "record_count").select(
-        F.date_format("at", "yyyy-MM-dd HH").alias("at"), "record_count", "quiet_checks")
+    return audit.quiet_period(checks, "check_time", "record_count").select(
+        F.date_format("check_time", "yyyy-MM-dd HH").alias("check_time"), "record_count", "quiet_checks")
 
 
 def _runs(spark, sf):
@@ -96,12 +96,12 @@ def _runs(spark, sf):
 
 
 @query("run_history", "AU11 F13 F15 F17 F18 P8 O6 W3", """
-    SELECT task_name, execution_status, strftime(at + INTERVAL 330 MINUTE, '%Y-%m-%d') AS execution_date,
-           strftime(at + INTERVAL 330 MINUTE, '%I:%M:%S %p') || ' IST' AS scheduled_clock,
+    SELECT task_name, execution_status, strftime(check_time + INTERVAL 330 MINUTE, '%Y-%m-%d') AS execution_date,
+           strftime(check_time + INTERVAL 330 MINUTE, '%I:%M:%S %p') || ' IST' AS scheduled_clock,
            coalesce(strftime(start_at + INTERVAL 330 MINUTE, '%I:%M:%S %p') || ' IST', '-') AS start_clock, seconds AS execution_seconds
     FROM (SELECT 'task_' || event_type AS task_name, CASE event_type WHEN 'view' THEN 'SUCCESS' WHEN 'click' THEN 'RUNNING'
             WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'SCHEDULED' ELSE 'SKIPPED' END AS execution_status,
-            ts AS at, ts + INTERVAL 2 SECOND AS start_at, user_id * 60 AS seconds FROM events
+            ts AS check_time, ts + INTERVAL 2 SECOND AS start_at, user_id * 60 AS seconds FROM events
           UNION ALL SELECT 'task_' || event_type, 'UPCOMING', max(ts) + (step) * INTERVAL 1 MINUTE, NULL, -1
             FROM events, (SELECT CAST(range AS INTEGER) AS step FROM range(1, 6)) GROUP BY event_type, step)""")
 def run_history(spark, sf):

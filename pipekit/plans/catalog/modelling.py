@@ -118,7 +118,7 @@ def fact_one_key(spark, sf):
 
 
 _DIMS = {"customers": ("customer_key", ["customer_name", "nation"]), "priorities": ("priority_key", ["priority"])}
-_MEASURES = {"amount": F.col("amount")}
+_MEASURES = {"amount": "amount"}
 
 
 def _sales(spark, sf):

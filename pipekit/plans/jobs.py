@@ -33,13 +33,14 @@ class Star:
     """Where a star schema lives and how its dimensions and fact are built.
 
     ``dims`` maps a dimension to (key, columns); the fact looks its keys up by the same columns.
+    ``measures`` maps a fact column to a SQL expression over the staged columns.
     """
 
     root: str
     dims: Mapping[str, tuple[str, Sequence[str]]]
     fact: str
     fact_id: Sequence[str]
-    measures: Mapping[str, Column]
+    measures: Mapping[str, str]
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -49,8 +50,16 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+def _fact_columns(dims: Mapping[str, tuple[str, Sequence[str]]], fact_id: Sequence[str],
+                  measures: Mapping[str, str]) -> dict[str, Column]:
+    columns = {c: F.col(c) for c in fact_id}
+    columns.update({key: F.col(key) for key, _ in dims.values()})
+    columns.update({name: F.expr(text) for name, text in measures.items()})
+    return columns
+
+
 def load_star(staged: DataFrame, dims: Mapping[str, tuple[str, Sequence[str]]], fact_id: Sequence[str],
-              measures: Mapping[str, Column], existing: Mapping[str, DataFrame] | None = None,
+              measures: Mapping[str, str], existing: Mapping[str, DataFrame] | None = None,
               fact: str = "fact", skewed: bool = False) -> dict[str, DataFrame]:
     """Star tables after adding the staged rows to what exists: dimensions get their new members, the
     fact its new ids. Pure: nothing is saved. Running it again on its own result adds nothing."""
@@ -60,9 +69,7 @@ def load_star(staged: DataFrame, dims: Mapping[str, tuple[str, Sequence[str]]],
         old = existing.get(name)
         added = load_dimension(staged, columns, key, old)
         out[name] = added if old is None else old.unionByName(added)
-    columns = {c: F.col(c) for c in fact_id}
-    columns.update({key: F.col(key) for key, _ in dims.values()})
-    columns.update(measures)
+    columns = _fact_columns(dims, fact_id, measures)
     old = existing.get(fact)
     rows = load_fact(staged, [(out[n], c) for n, (_, c) in dims.items()], columns, old, fact_id,
                      skewed=skewed, check=False)
@@ -80,9 +87,7 @@ def run_star_once(spark: SparkSession, staged: DataFrame, star: Star, log: Audit
             if name != star.fact:
                 reload(df, star.path(name))
         saved = {n: spark.read.parquet(star.path(n)) for n in star.dims}
-        columns = {c: F.col(c) for c in star.fact_id}
-        columns.update({key: F.col(key) for key, _ in star.dims.values()})
-        columns.update(star.measures)
+        columns = _fact_columns(star.dims, star.fact_id, star.measures)
         reload(load_fact(staged, [(saved[n], c) for n, (_, c) in star.dims.items()], columns),
                star.path(star.fact))
         result.source_count = staged.count()
@@ -123,9 +128,7 @@ def run_star_new(spark: SparkSession, staging: str, star: Star, log: AuditLog, r
         for name, (key, columns) in star.dims.items():
             old = _read_or_none(spark, star.path(name))
             append_rows(load_dimension(staged, columns, key, old), star.path(name))
-        columns = {c: F.col(c) for c in star.fact_id}
-        columns.update({key: F.col(key) for key, _ in star.dims.values()})
-        columns.update(star.measures)
+        columns = _fact_columns(star.dims, star.fact_id, star.measures)
         lookups = [(spark.read.parquet(star.path(n)), c) for n, (_, c) in star.dims.items()]
         old = _read_or_none(spark, star.path(star.fact))
         append_rows(load_fact(staged, lookups, columns, old, star.fact_id), star.path(star.fact))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pipekit.functions.text import is_safe_name
 from pipekit.operators.joins import at_most
@@ -71,17 +72,29 @@ def accumulate(df: DataFrame, path: str, kind: str = "csv", fmt: FileFormat = Fi
     spark = df.sparkSession
     recover(spark, path)
     if path_exists(spark, path) and list_files(spark, path):
-        reader = spark.read.options(**fmt.reader_options()) if kind == "csv" else spark.read
-        old = reader.schema(df.schema).format(kind).load(path)
+        old = _read_back(spark, path, kind, fmt, df.schema)
         df = old.unionByName(df)
     if single_file and at_most(df, SINGLE_FILE_ROWS):
         df = df.coalesce(1)
     replace(df, path, kind, fmt)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
+def _read_back(spark: SparkSession, path: str, kind: str, fmt: FileFormat, schema: T.StructType) -> DataFrame:
+    """Earlier output with the types of the new rows; columns are found by name."""
+    if kind != "csv":
+        return spark.read.format(kind).load(path)
+    reader = spark.read.options(**fmt.reader_options())
+    if not fmt.header:
+        return reader.schema(schema).csv(path)
+    text = reader.csv(path)
+    types = {f.name: f.dataType for f in schema.fields}
+    return text.select(*[F.col(f"`{c}`").cast(types.get(c, T.StringType())).alias(c) for c in text.columns])
+
+
+def save_table(df: DataFrame, name: str, mode: str = "errorifexists", path: str | None = None) -> None:
     """CREATE TABLE AS SELECT; fails when the table exists unless told otherwise."""
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    writer = df.write.mode(mode).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
