@@ -268,10 +268,10 @@ def layer_run(spark: SparkSession, raw: DataFrame, refined: str, dated: str, as_
 
 
 def marked_duplicate_report(spark: SparkSession, folder: str, marker: str, schema: T.StructType,
-                            measure: str) -> DuplicateReport | None:
+                            measure: str, glob: str = "*.txt") -> DuplicateReport | None:
     """Duplicate report over the text files of a folder, once its marker is there."""
     from pipekit.sources.provenance import with_row_position
-    rows = read_when_marked(spark, folder, marker, schema=schema)
+    rows = read_when_marked(spark, folder, marker, glob, schema=schema)
     if rows is None:
         return None
     return duplicate_report(with_row_position(rows), schema.names, ["source_file", "row_in_file"], measure)

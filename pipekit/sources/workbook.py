@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The task-side functions travel with the plan, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 
 

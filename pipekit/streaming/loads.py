@@ -110,7 +110,7 @@ class FileLoad:
         make_dirs(self.spark, self.stage.path)
         reader = (self.spark.readStream.schema(self._read_schema())
                   .options(**self.stage.format.reader_options()).option("mode", self._mode())
-                  .option("pathGlobFilter", self.glob))
+                  .option("pathGlobFilter", self.glob).option("recursiveFileLookup", True))
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         if self.purge_to:
