@@ -210,14 +210,16 @@ class AuditLog:
         (self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.path}/{result.job}/{result.run_id}"))
 
-    def read(self) -> DataFrame:
+    def read(self, job: str | None = None) -> DataFrame:
+        """All rows, or those of one job, read from its folder only."""
         from pipekit.sinks.files import path_exists
-        if not path_exists(self.spark, self.path):
+        path = self.path if job is None else f"{self.path}/{job}"
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
-        return self.spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", True).parquet(self.path)
+        return self.spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", True).parquet(path)
 
     def latest(self, job: str) -> DataFrame:
-        return latest_row(self.read().where(F.col("job") == job), ["started", "run_id"])
+        return latest_row(self.read(job), ["started", "run_id"])
 
     @contextmanager
     def run(self, job: str, run_id: str) -> Iterator[RunResult]:

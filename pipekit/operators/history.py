@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,48 +37,54 @@ def scd2_add(history: DataFrame, rows: DataFrame, as_of: dt.datetime | Column) -
     return history.unionByName(scd2_initial(rows, as_of).select(*history.columns))
 
 
-def scd2_apply(history: DataFrame, source: DataFrame, keys: Sequence[str],
-               as_of: dt.datetime | Column, check: bool = True) -> DataFrame:
-    """Close changed keys and add the new versions of changed and new keys, with one ``as_of``.
+def scd2_changes(open_rows: DataFrame, source: DataFrame, keys: Sequence[str],
+                 as_of: dt.datetime | Column) -> DataFrame:
+    """Open versions after meeting the source: unchanged ones, closed ones and their successors.
 
-    Closed versions never enter the join. The open ones hold one row per key, so the join has no hot
-    key and the history table may be much longer than the key set.
+    Both sides hold one row per key, so the join has no hot key.
     """
     keys = list(keys)
-    if check:
-        assert_unique(source, keys)
     tracked = [c for c in source.columns if c not in keys]
     now = as_of_column(as_of)
-    open_rows = history.where(F.col("is_current"))
-    names = history.columns
-
-    old = open_rows.select(*keys, F.struct(*names).alias("__old"))
+    old = open_rows.select(*keys, F.struct(*open_rows.columns).alias("__old"))
     new = source.select(*keys, F.struct(*tracked).alias("__new"))
     both = old.join(new, keys, "full_outer")
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(f"__old.{c}").eqNullSafe(F.col(f"__new.{c}"))
 
-    def version(kind: str) -> Column:
-        fields = []
-        for f in history.schema.fields:
-            if kind == "new":
-                value = {"valid_from": now, "valid_to": _open_end(), "is_current": F.lit(True)}.get(f.name)
-                if value is None:
-                    value = (F.col(f.name) if f.name in keys else F.col(f"__new.{f.name}")
-                             if f.name in tracked else F.lit(None))
-            elif kind == "closed":
-                value = {"valid_to": now, "is_current": F.lit(False)}.get(f.name, F.col(f"__old.{f.name}"))
-            else:
-                value = F.col(f"__old.{f.name}")
-            fields.append(value.cast(f.dataType).alias(f.name))
-        return F.struct(*fields)
-
-    rows = (F.when(F.col("__old").isNull(), F.array(version("new")))
-            .when(F.col("__new").isNull() | same, F.array(version("old")))
-            .otherwise(F.array(version("closed"), version("new"))))
-    applied = both.select(F.explode(rows).alias("__row")).select("__row.*")
-    return history.where(~F.coalesce(F.col("is_current"), F.lit(False))).unionByName(applied)
+    opened = {"valid_from": now, "valid_to": _open_end(), "is_current": F.lit(True)}
+    closed = {"valid_to": now, "is_current": F.lit(False)}
+
+    def new_version(name: str) -> Column:
+        if name in opened:
+            return opened[name]
+        if name in keys:
+            return F.col(name)
+        return F.col(f"__new.{name}") if name in tracked else F.lit(None)
+
+    def version(pick: Callable[[str], Column]) -> Column:
+        return F.struct(*[pick(f.name).cast(f.dataType).alias(f.name) for f in open_rows.schema.fields])
+
+    fresh = version(new_version)
+    kept = version(lambda name: F.col(f"__old.{name}"))
+    ended = version(lambda name: closed.get(name, F.col(f"__old.{name}")))
+    rows = (F.when(F.col("__old").isNull(), F.array(fresh))
+            .when(F.col("__new").isNull() | same, F.array(kept))
+            .otherwise(F.array(ended, fresh)))
+    return both.select(F.explode(rows).alias("__row")).select("__row.*")
+
+
+def scd2_apply(history: DataFrame, source: DataFrame, keys: Sequence[str],
+               as_of: dt.datetime | Column, check: bool = True) -> DataFrame:
+    """Close changed keys and add the new versions of changed and new keys, with one ``as_of``.
+
+    Closed versions never enter the join, however long the history is.
+    """
+    if check:
+        assert_unique(source, keys)
+    closed = history.where(~F.coalesce(F.col("is_current"), F.lit(False)))
+    return closed.unionByName(scd2_changes(history.where(F.col("is_current")), source, keys, as_of))
 
 
 def scd1_apply(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

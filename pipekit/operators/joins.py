@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 HEAVY_SHARE = 1000
 SMALL_ROWS = 200_000
+SMALL_BYTES = 64 * 1024 * 1024
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -21,9 +22,17 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def is_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
+    """True when ``df`` is within both bounds, rows and bytes of its values; reads at most one row more
+    than the bound."""
+    bounded = df.limit(rows + 1).select(F.octet_length(F.to_json(F.struct(*df.columns))).alias("b"))
+    found = bounded.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return found["n"] <= rows and found["b"] <= size
+
+
 def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint behind a row count; a larger side is left to Spark's shuffle joins."""
-    return F.broadcast(df) if at_most(df, rows) else df
+    """Broadcast hint behind a size check; a larger side is left to Spark's shuffle joins."""
+    return F.broadcast(df) if is_small(df, rows) else df
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pipekit.operators.joins import SMALL_ROWS
+from pipekit.operators.joins import SMALL_ROWS, is_small
 
 
 class DuplicateKeyError(ValueError):
@@ -28,8 +28,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """MERGE: matched rows take the source values, new keys are added, the rest stays.
 
     ``stamp`` sets columns on every touched row (for example an update date). A source of at most
-    ``small_rows`` rows is broadcast and the target is not shuffled; a larger one meets the target in
-    one full outer join.
+    ``small_rows`` rows and 64 MB is broadcast and the target is not shuffled; a larger one meets the
+    target in one full outer join.
     """
     keys, stamp = list(keys), dict(stamp or {})
     if check:
@@ -47,7 +47,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         return F.col(name)
 
     columns = [new_value(c) if c in values else F.col(c) for c in target.columns]
-    if side.limit(small_rows + 1).count() > small_rows:
+    if not small_rows or not is_small(side, small_rows):
         return target.join(side, keys, "full_outer").select(*columns)
 
     updated = target.join(F.broadcast(side), keys, "left").select(*columns)

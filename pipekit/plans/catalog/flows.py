@@ -13,7 +13,7 @@ from pipekit.operators.audit import AuditLog, RunResult, require_rows
 from pipekit.operators.dims import DimensionSpec
 from pipekit.operators.quality import drop_duplicates
 from pipekit.plans import jobs
-from pipekit.plans.catalog.history import _DELTA, _after, _base, _delta
+from pipekit.plans.catalog.history import (_DELTA, _HISTORY, FIRST, SECOND, _after, _base, _delta, _shown)
 from pipekit.plans.catalog.modelling import _sales
 from pipekit.plans.catalog.registry import dbl, money, query, table
 from pipekit.session import scratch
@@ -194,6 +194,27 @@ def upsert_folder(spark, sf):
     return spark.read.parquet(path).select("c_custkey", "c_mktsegment", "updated")
 
 
+@query("upsert_partitions", "UP1 SK24", f"""
+    WITH s AS (SELECT * FROM ({_DELTA}) WHERE c_nationkey < 6)
+    SELECT c_custkey, c_mktsegment, '2024-06-01' AS updated FROM s
+    UNION ALL SELECT c_custkey, c_mktsegment, '2024-01-01' FROM customer WHERE c_nationkey <> 3 AND c_custkey NOT IN (SELECT c_custkey FROM s)""")
+def upsert_partitions(spark, sf):
+    """A merge that rewrites only the nations its source touches."""
+    path = scratch(spark, "upsert-parts")
+    _base(spark, sf).withColumn("updated", F.lit("2024-01-01")).write.partitionBy("c_nationkey").parquet(path)
+    source = _delta(spark, sf).where("c_nationkey < 6")
+    jobs.upsert_partitions(spark, path, source, ["c_custkey"], ["c_nationkey"], {"updated": F.lit("2024-06-01")})
+    return spark.read.parquet(path).select("c_custkey", "c_mktsegment", "updated")
+
+
+@query("scd2_folder", "PL6 H4 H1", _HISTORY + " SELECT * FROM h")
+def scd2_folder(spark, sf):
+    """History kept in folders: a run touches the current versions only."""
+    root = scratch(spark, "scd2")
+    jobs.run_scd2(spark, root, _base(spark, sf), ["c_custkey"], FIRST)
+    return _shown(jobs.run_scd2(spark, root, _delta(spark, sf), ["c_custkey"], SECOND))
+
+
 _CHANGED = f"""
     WITH b AS (SELECT * FROM customer WHERE c_nationkey <> 3), s AS ({_DELTA}),
     a AS (SELECT c_custkey, c_mktsegment FROM s WHERE c_nationkey <> 8 UNION ALL

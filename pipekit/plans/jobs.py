@@ -17,12 +17,14 @@ from pipekit.operators.audit import (CALL, AuditLog, JobFailure, RunResult, load
 from pipekit.operators.dims import (DimensionSpec, dimensions_from_flat, fact_from_flat, load_dimension,
                                     load_fact)
 from pipekit.operators.joins import missing_from
-from pipekit.operators.merge import upsert
+from pipekit.operators.history import scd2_changes, scd2_initial
+from pipekit.operators.merge import assert_unique, upsert
 from pipekit.operators.quality import DuplicateReport, drop_duplicates, drop_nulls, duplicate_report
 from pipekit.sinks.files import path_exists
 from pipekit.sinks.layers import mark_complete, to_dated, to_refined
+from pipekit.session import durable
 from pipekit.sinks.writers import (append_rows, export_many, export_named, export_under, load_targets,
-                                   reload, replace)
+                                   recover, reload, replace, rewrite_partitions)
 from pipekit.sources.formats import FileFormat, Stage
 from pipekit.sources.scans import read_stage_file, read_when_marked
 from pipekit.streaming.loads import FileLoad
@@ -259,6 +261,38 @@ def upsert_folder(spark: SparkSession, target: str, source: DataFrame, keys: Seq
     replace(upsert(spark.read.parquet(target), source, keys, stamp), target)
 
 
+def upsert_partitions(spark: SparkSession, target: str, source: DataFrame, keys: Sequence[str],
+                      partition_by: Sequence[str], stamp: Mapping[str, Column] | None = None) -> None:
+    """MERGE into a partitioned folder, rewriting only the partitions that the source touches. A key
+    must stay in its partition."""
+    rewrite_partitions(spark, target, partition_by, source,
+                       lambda rows: upsert(rows, source, keys, stamp))
+
+
+def run_scd2(spark: SparkSession, root: str, source: DataFrame, keys: Sequence[str],
+             as_of: dt.datetime) -> DataFrame:
+    """SCD2 over a history kept as ``root/current`` and ``root/closed/closed_at=…``; gives the history.
+
+    A run reads and rewrites the current versions only and adds one folder of closed ones, so its cost
+    does not grow with the history. A run that is cut short can be repeated with the same ``as_of``.
+    """
+    root = root.rstrip("/")
+    current, closed = f"{root}/current", f"{root}/closed"
+    recover(spark, current)
+    assert_unique(source, keys)
+    if not path_exists(spark, current):
+        reload(scd2_initial(source, as_of), current)
+    else:
+        rows = durable(scd2_changes(spark.read.parquet(current), source, keys, as_of), "scd2")
+        ended = rows.where(~F.col("is_current"))
+        ended.write.mode("overwrite").parquet(f"{closed}/closed_at={as_of:%Y%m%d%H%M%S}")
+        replace(rows.where(F.col("is_current")), current)
+    open_rows = spark.read.parquet(current)
+    if not path_exists(spark, closed):
+        return open_rows
+    return open_rows.unionByName(spark.read.schema(open_rows.schema).parquet(f"{closed}/closed_at=*"))
+
+
 def layer_run(spark: SparkSession, raw: DataFrame, refined: str, dated: str, as_of: dt.datetime,
               name: str, zone: str = "UTC") -> str:
     """Raw scan to the stamped refined layer, on to the dated layer, then the completion marker."""
@@ -281,5 +315,6 @@ __all__ = [
     "Star", "batch_load", "check_and_load", "copy_table", "export_each", "export_many", "export_one",
     "export_partitions", "export_under", "layer_run", "load_flagged", "load_star",
     "marked_duplicate_report", "normalise_flat", "raw_to_final", "refine_then_star", "run_star_new",
-    "run_star_once", "stage_file", "stage_then_star", "transformation_set", "upsert_folder",
+    "run_scd2", "run_star_once", "stage_file", "stage_then_star", "transformation_set", "upsert_folder",
+    "upsert_partitions",
 ]

@@ -54,11 +54,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/pipekit-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage, so later reads see the very same rows and order."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        root = shared_root(spark)
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+def durable(df: DataFrame, name: str = "durable") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so later uses see the very same rows and do
+    not depend on executors that may be lost. Columns that a later step does not need are not read."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pipekit.functions.text import is_safe_name
-from pipekit.operators.joins import at_most
+from pipekit.operators.joins import at_most, broadcast_if_small
+from pipekit.session import durable
 from pipekit.sinks.files import delete_path, list_files, make_dirs, path_exists, rename
 from pipekit.sources.formats import FileFormat
 
@@ -63,6 +65,35 @@ def recover(spark: SparkSession, path: str) -> None:
             rename(spark, f"{path}__old", path)
 
 
+def rewrite_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], touched: DataFrame,
+                       change: Callable[[DataFrame], DataFrame]) -> None:
+    """Apply ``change`` to the partitions listed in ``touched`` and leave all others alone.
+
+    Only those partitions are read (pruned by the values) and overwritten. The result is written to the
+    shared folder first, so the table is never read and replaced by one job. ``change`` must keep rows
+    inside the touched partitions; a partition that ends up empty is removed.
+    """
+    values = durable(touched.select(*partition_by).distinct(), "touched")
+    if not values.where(" or ".join(f"`{c}` is null" for c in partition_by)).isEmpty():
+        raise ValueError("a partition column is NULL in the touched rows")
+    if path_exists(spark, path):
+        table = spark.read.parquet(path)
+        rows = table.join(broadcast_if_small(values), list(partition_by), "left_semi")
+    else:
+        rows = spark.createDataFrame([], touched.schema)
+    result = durable(change(rows), "rewritten")
+    (result.hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    emptied = values.join(result.select(*partition_by).distinct(), list(partition_by), "left_anti")
+    for row in emptied.toLocalIterator():
+        delete_path(spark, "/".join([path.rstrip("/"), *[f"{c}={_folder_value(row[c])}" for c in partition_by]]))
+
+
+def _folder_value(value) -> str:
+    """A partition value as its folder name shows it."""
+    return re.sub(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m.group()):02X}", str(value))
+
+
 def accumulate(df: DataFrame, path: str, kind: str = "csv", fmt: FileFormat = FileFormat(),
                single_file: bool = True) -> None:
     """Old output plus new rows by column name, rewritten as one file set.
@@ -116,15 +147,19 @@ def reload(df: DataFrame, path: str) -> None:
 
 
 def load_targets(df: DataFrame, targets: Mapping[str, tuple[str, Sequence[str]]], mode: str = "append",
-                 ) -> None:
-    """One row set into several targets: ``{name: (path, columns)}``. The source is read once and kept
-    by the executors while the targets are written."""
-    df = df.persist()
+                 keep: bool = False) -> None:
+    """One row set into several targets: ``{name: (path, columns)}``.
+
+    Each target scans only its own columns of a columnar staging table. ``keep`` holds the rows on the
+    executors instead, for a row set that is costly to compute.
+    """
+    df = df.persist() if keep else df
     try:
         for path, columns in targets.values():
             df.select(*columns).write.mode(mode).parquet(path)
     finally:
-        df.unpersist()
+        if keep:
+            df.unpersist()
 
 
 @dataclass(frozen=True)

@@ -55,13 +55,12 @@ def bad_rows(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
              fmt: FileFormat = FileFormat()) -> DataFrame:
     """Parse the files and return only the rows that do not fit; saves nothing.
 
-    All columns stay in the plan, since Spark refuses a raw scan of the bad-record column alone.
+    Spark refuses a raw scan of the bad-record column alone, so the filter also looks at the others.
     """
     df = read_csv(spark, path, fmt, schema=with_bad_record(schema), on_error="report")
-    flagged = df.select("*", F.col("_metadata.file_name").alias("source_file"),
-                        F.struct(*schema.names).alias("__parsed"))
-    return flagged.where(F.col(BAD_RECORD).isNotNull()).select(
-        "source_file", F.col(BAD_RECORD).alias("bad_record"), F.to_json("__parsed").alias("parsed"))
+    shown = df.select(F.col("_metadata.file_name").alias("source_file"), F.col(BAD_RECORD).alias("bad_record"),
+                      F.to_json(F.struct(*schema.names)).alias("parsed"))
+    return shown.where(F.col("bad_record").isNotNull() & F.col("parsed").isNotNull())
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], *,

@@ -120,11 +120,12 @@ class FileLoad:
         def save(batch: DataFrame, number: int) -> None:
             load_id = f"{name}-{number:09d}"
             self._save(batch, load_id, utc_now(), None)
-            if after is not None:
-                after(self.loaded().where(F.col("load_id") == load_id), load_id)
+            fresh = self.loaded().where(F.col("load_id") == load_id)
+            if after is not None and not fresh.isEmpty():
+                after(fresh, load_id)
 
         return (rows.writeStream.queryName(name).option("checkpointLocation", checkpoint)
-                .trigger(**(trigger or {"availableNow": True})).foreachBatch(skip_empty(save)).start())
+                .trigger(**(trigger or {"availableNow": True})).foreachBatch(save).start())
 
     def _read_schema(self) -> T.StructType:
         return self.schema if self.on_error == "abort" else with_bad_record(self.schema)
