@@ -71,46 +71,47 @@ def quiet_period(checks: DataFrame, ts: str, count: str, series: Sequence[str] =
     again at 0. ``also`` names further columns that must be unchanged, so that a swap of equal size is
     seen.
 
-    The check sequence is cut into time blocks. Windows run inside a block or over one summary row per
+    The check sequence is cut into time blocks. Windows run inside a block, or over one summary row per
     block, so a long sequence is spread over tasks and the result equals a step-by-step fold.
     """
-    series = list(series) or ["__series"]
+    keys = [*(series or ["__series"]), "__block"]
     watch = [count, *also]
-    base = checks if series != ["__series"] else checks.withColumn("__series", F.lit(0))
-    base = base.withColumn("__block", F.date_trunc(block, F.col(ts)).cast("timestamp_ntz"))
-    inside = Window.partitionBy(*series, "__block").orderBy(ts)
-    over_blocks = Window.partitionBy(*series).orderBy("__block")
+    base = (checks if series else checks.withColumn("__series", F.lit(0))).withColumn(
+        "__block", F.date_trunc(block, F.col(ts)).cast("timestamp_ntz"))
+    inside = Window.partitionBy(*keys).orderBy(ts)
+    over_blocks = Window.partitionBy(*keys[:-1]).orderBy("__block")
     earlier = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
-
-    seen = F.struct(*watch)
-    ends = (base.groupBy(*series, "__block")
-            .agg(F.count(F.lit(1)).alias("__rows"), F.max_by(seen, F.col(ts)).alias("__last"))
-            .select(*series, "__block",
-                    F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"),
-                    F.lag("__last").over(over_blocks).alias("__carry")))
-    rows = (base.withColumn("__row", F.row_number().over(inside)).withColumn("__lag", F.lag(seen).over(inside))
-            .join(ends, [*series, "__block"])
-            .withColumn("__at", F.col("__before") + F.col("__row"))
-            .withColumn("__prev", F.when(F.col("__row") == 1, F.col("__carry")).otherwise(F.col("__lag"))))
-    empty, first = F.col(count) == 0, F.col("__at") == 1
-    changed = F.lit(False)
-    for c in watch:
-        changed = changed | ~F.col(c).eqNullSafe(F.col(f"__prev.{c}"))
-    rows = rows.withColumn("__restart", F.when(empty | first | changed, F.col("__at")))
-
-    starts = (rows.groupBy(*series, "__block").agg(F.max("__restart").alias("__last_restart"))
-              .select(*series, "__block", F.max("__last_restart").over(earlier).alias("__open")))
-    running = F.max("__restart").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("__run", running).join(starts, [*series, "__block"])
-    start = F.coalesce("__run", "__open")
-    quiet = (F.when(empty, F.lit(0))
-             .when(start == 1, F.col("__at")).otherwise(F.col("__at") - start).cast("bigint"))
-    out = rows.withColumn("quiet_checks", quiet)
-    out = out.withColumn("new_record_found", F.when(
-        ~empty & ~first & changed, F.lit("Y")).otherwise(F.lit("N")))
-    out = out.withColumn("action", F.when(empty, F.lit(IDLE)).when(
-        ~first & ~changed & (F.col("quiet_checks") >= threshold), F.lit(CALL)).otherwise(F.lit(WAIT)))
-    return out.select(*checks.columns, "new_record_found", "quiet_checks", "action")
+    seen, empty, row = F.struct(*watch), F.col(count) == 0, F.col("__row")
+
+    # Inside a block: position, previous check, last restart so far (the block's first row is open).
+    rows = base.withColumn("__row", F.row_number().over(inside)).withColumn("__lag", F.lag(seen).over(inside))
+    rows = rows.withColumn("__restart", F.when((row > 1) & (empty | (seen != F.col("__lag"))), row))
+    rows = rows.withColumn("__run", F.max("__restart").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+
+    # Per block: what the block before ended with, and where the last restart before it was.
+    ends = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min_by(seen, F.col(ts)).alias("__head"),
+        F.max_by(seen, F.col(ts)).alias("__tail"), F.max("__restart").alias("__last"))
+    ends = ends.withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0))).withColumn(
+        "__carry", F.lag("__tail").over(over_blocks))
+    opens = (F.col("__carry").isNull() | (F.col("__head") != F.col("__carry")) | (F.col(f"__head.{count}") == 0))
+    ends = ends.withColumn("__opens", opens).withColumn("__last_at", F.col("__before") + F.coalesce(
+        "__last", F.when(F.col("__opens"), F.lit(1))))
+    ends = ends.withColumn("__open_at", F.max("__last_at").over(earlier)).select(
+        *keys, "__before", "__carry", "__opens", "__open_at")
+
+    rows = rows.join(ends, keys)
+    at, first = F.col("__before") + row, F.col("__carry").isNull() & (row == 1)
+    previous = F.when(row == 1, F.col("__carry")).otherwise(F.col("__lag"))
+    changed = ~first & (seen != previous)
+    start = F.coalesce(F.col("__before") + F.col("__run"),
+                       F.when(F.col("__opens"), F.col("__before") + 1).otherwise(F.col("__open_at")))
+    quiet = F.when(empty, F.lit(0)).when(start == 1, at).otherwise(at - start).cast("bigint")
+    found = F.when(~empty & changed, F.lit("Y")).otherwise(F.lit("N"))
+    action = (F.when(empty, F.lit(IDLE)).when(~first & ~changed & (quiet >= threshold), F.lit(CALL))
+              .otherwise(F.lit(WAIT)))
+    return rows.select(*checks.columns, found.alias("new_record_found"), quiet.alias("quiet_checks"),
+                       action.alias("action"))
 
 
 def next_check(previous: tuple[int, int] | None, count: int, threshold: int = 3) -> tuple[str, int, str]:

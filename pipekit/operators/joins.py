@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pipekit.session import durable
+
 HEAVY_SHARE = 1000
 SMALL_ROWS = 200_000
 SMALL_BYTES = 64 * 1024 * 1024
@@ -36,27 +38,35 @@ def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:
-    """Keys that hold more than 1/``share`` of all rows: fewer than ``share`` rows by counting."""
+    """Keys that hold more than 1/``share`` of all rows: fewer than ``share`` rows by counting.
+
+    Found in one narrow pass with map-side counts, and kept, so that its users do not count again.
+    """
+    total = df.count()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n").alias("total")).scalar()
-    return counts.where((F.col("__n") * F.lit(share) > total) & ~_any_null(keys)).select(*keys)
+    heavy = counts.where((F.col("__n") * F.lit(share) > F.lit(total)) & ~_any_null(keys))
+    return durable(heavy.select(*keys), "heavy")
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "inner",
-                skewed: bool = False, share: int = HEAVY_SHARE) -> DataFrame:
+                skewed: bool = False, heavy: DataFrame | None = None, share: int = HEAVY_SHARE,
+                small_rows: int = SMALL_ROWS) -> DataFrame:
     """Equi-join of many rows to a side that is unique on the key.
 
-    Without ``skewed`` this is a plain join: Spark broadcasts the right side when its measured size
-    allows, else shuffles and splits skewed partitions at run time. With ``skewed`` the rows of heavy
-    keys meet the few right rows they need by broadcast and are never shuffled; the rest is joined by
-    shuffle. Both give the same rows.
+    Without ``skewed`` this is a plain join: Spark broadcasts the right side when its size allows, else
+    shuffles and splits skewed partitions at run time. With ``skewed``, a right side that proves small
+    is broadcast. Beyond that, rows of heavy keys (``heavy`` if already known) meet the few right rows
+    they need by broadcast and are never shuffled, and the rest is joined by shuffle. All ways give the
+    same rows.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left"):
         raise ValueError("lookup_join supports inner and left")
     if not skewed:
         return left.join(right, on, how)
-    heavy = heavy_keys(left, on, share)
+    if small_rows and is_small(right, small_rows):
+        return left.join(F.broadcast(right), on, how)
+    heavy = heavy_keys(left, on, share) if heavy is None else heavy
     hot_right = right.join(F.broadcast(heavy), on, "left_semi")
     tagged = left.join(F.broadcast(heavy.withColumn("__hot", F.lit(True))), on, "left")
     aside = F.coalesce(F.col("__hot"), F.lit(False)) | _any_null(on)
@@ -80,12 +90,11 @@ def missing_from(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe
 
     As in SQL, a NULL key has no partner; with ``null_safe`` NULL equals NULL.
     """
-    keys = right.select(*on).distinct()
     if not null_safe:
-        return left.join(keys, list(on), "left_anti")
-    keys = keys.select(*[F.col(c).alias(f"__{c}") for c in on])
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on])
-    return left.join(keys, match, "left_anti")
+        return left.join(right.select(*on).distinct(), list(on), "left_anti")
+    # Structs compare NULL fields as equal, so one struct key does what several null-safe ones would.
+    keys = right.select(F.struct(*on).alias("__key")).distinct()
+    return left.withColumn("__key", F.struct(*on)).join(keys, "__key", "left_anti").drop("__key")
 
 
 def cross_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pipekit.functions.text import row_digest
 from pipekit.operators.aggregates import row_count, tolerant_sum
-from pipekit.operators.joins import lookup_join
+from pipekit.operators.joins import HEAVY_SHARE, SMALL_ROWS, lookup_join
+from pipekit.session import durable
 
 
 def error_reason(rules: Sequence[tuple[Column, str]]) -> Column:
@@ -64,40 +65,65 @@ def max_length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame
     return validate(df, [max_length(c, n) for c, n in limits.items()]).where("error_reason is not null")
 
 
-@dataclass(frozen=True)
 class DuplicateReport:
-    clean: DataFrame
-    duplicates: DataFrame
-    summary: DataFrame
+    """First row of each set of identical rows, the later ones, and totals.
+
+    Rows are identical when their ``columns`` are (NULL equals NULL); ``order_by`` must be unique and
+    gives the input order. Sets are counted by a 256-bit digest, combined map-side, so a set that holds
+    a third of all rows moves as one small row per task. Only sets with copies are kept; rows meet them
+    by broadcast when they prove small, else by a join that never shuffles the heavy sets.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
+                 measure: str | None = None, small_rows: int = SMALL_ROWS):
+        self._rows = df.withColumn("__set", row_digest(columns))
+        self._order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
+        self._measure, self._small_rows = measure, small_rows
+
+    @cached_property
+    def _copied_sets(self) -> DataFrame:
+        sets = self._rows.groupBy("__set").agg(
+            F.min(self._order).alias("__first"), F.count(F.lit(1)).alias("occurrences"))
+        return durable(sets.where(F.col("occurrences") > 1), "copied-sets")
+
+    @cached_property
+    def _heavy_sets(self) -> DataFrame:
+        """Sets with more than a thousandth of all copies: fewer than a thousand."""
+        total = self._copied_sets.agg(F.sum("occurrences")).first()[0] or 0
+        return self._copied_sets.where(F.col("occurrences") * HEAVY_SHARE > total).select("__set")
+
+    def _marked(self, how: str) -> DataFrame:
+        return lookup_join(self._rows, self._copied_sets, "__set", how, skewed=True,
+                           heavy=self._heavy_sets, small_rows=self._small_rows)
+
+    @property
+    def clean(self) -> DataFrame:
+        """First occurrence of every row, with ``occurrences``."""
+        first = F.col("__first").isNull() | (self._order == F.col("__first"))
+        return (self._marked("left").where(first)
+                .withColumn("occurrences", F.coalesce("occurrences", F.lit(1).cast("bigint")))
+                .drop("__set", "__first"))
+
+    @property
+    def duplicates(self) -> DataFrame:
+        """Later occurrences, with ``occurrences`` of their set."""
+        return self._marked("inner").where(self._order != F.col("__first")).drop("__set", "__first")
+
+    @property
+    def summary(self) -> DataFrame:
+        """One row: clean rows, duplicate rows, and the tolerant total of ``measure`` (one of the
+        identity columns) over the clean rows."""
+        value = ([F.first(F.col(self._measure).try_cast("double")).alias("__value")] if self._measure else [])
+        sets = self._rows.groupBy("__set").agg(F.count(F.lit(1)).alias("n"), *value)
+        total = ([F.coalesce(F.sum("__value"), F.lit(0.0)).alias("measure_total")] if self._measure else [])
+        return sets.agg(F.count(F.lit(1)).alias("clean_rows"),
+                        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"), *total)
 
 
 def duplicate_report(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
                      measure: str | None = None) -> DuplicateReport:
-    """First row of each set of identical rows, the later ones, and totals.
-
-    ``columns`` decide identity (NULL equals NULL); ``order_by`` must be unique and gives the input
-    order. Copies are combined before the shuffle, so a set that holds a third of all rows moves as
-    one row per task. The later copies meet their set's count by a join that keeps heavy sets local.
-    """
-    order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
-    firsts = df.groupBy(*columns).agg(F.min(order).alias("__first"), F.count(F.lit(1)).alias("occurrences"))
-    keep = ([F.col("__first").alias(order_by[0])] if len(order_by) == 1
-            else [F.col(f"__first.{c}").alias(c) for c in order_by])
-    clean = firsts.select(*columns, *keep, "occurrences")
-
-    marked = df.withColumn("__set", row_digest(columns))
-    sets = (marked.groupBy("__set")
-            .agg(F.min(order).alias("__first"), F.count(F.lit(1)).alias("occurrences"))
-            .where(F.col("occurrences") > 1))
-    later = lookup_join(marked, sets, "__set", skewed=True)
-    duplicates = later.where(order != F.col("__first")).drop("__set", "__first")
-
-    totals = firsts.agg(
-        F.count(F.lit(1)).alias("clean_rows"),
-        F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("duplicate_rows"),
-        *([F.coalesce(F.sum(F.col(measure).try_cast("double")), F.lit(0.0)).alias("measure_total")]
-          if measure else []))
-    return DuplicateReport(clean, duplicates, totals)
+    """Clean rows, duplicate rows and totals of a table; see :class:`DuplicateReport`."""
+    return DuplicateReport(df, columns, order_by, measure)
 
 
 __all__ = [

@@ -205,6 +205,11 @@ def _docs_report(spark, sf):
     return quality.duplicate_report(docs, ["text", "lang", "source", "n_chars"], ["doc_id"], "n_chars")
 
 
+def _docs_report_split(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return quality.DuplicateReport(docs, ["text", "lang", "source", "n_chars"], ["doc_id"], small_rows=0)
+
+
 @query("dup_report_clean", "AU10 W4 G10", """
     SELECT min(doc_id) AS doc_id, lang, source, count(*) AS occurrences, md5(text) AS text_key
     FROM documents GROUP BY text, lang, source, n_chars""")
@@ -227,6 +232,13 @@ def dup_report_totals(spark, sf):
     return _docs_report(spark, sf).summary
 
 
+@query("dup_report_clean_split", "AU10 W4", """
+    SELECT min(doc_id) AS doc_id, count(*) AS occurrences FROM documents GROUP BY text, lang, source, n_chars""")
+def dup_report_clean_split(spark, sf):
+    """The way taken when the sets with copies are too many to broadcast."""
+    return _docs_report_split(spark, sf).clean.select("doc_id", "occurrences")
+
+
 @query("dup_report_hot", "AU10 W4", """
     SELECT event_id, occurrences FROM (
       SELECT event_id, count(*) OVER (PARTITION BY event_type, user_id) AS occurrences,
@@ -234,5 +246,5 @@ def dup_report_totals(spark, sf):
 def dup_report_hot(spark, sf):
     """Few large sets of copies: the heavy ones are met by broadcast, not shuffled."""
     events = table(spark, sf, "events").select("event_id", "event_type", "user_id")
-    return quality.duplicate_report(events, ["event_type", "user_id"], ["event_id"]).duplicates.select(
-        "event_id", "occurrences")
+    report = quality.DuplicateReport(events, ["event_type", "user_id"], ["event_id"], small_rows=0)
+    return report.duplicates.select("event_id", "occurrences")

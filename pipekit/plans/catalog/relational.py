@@ -34,7 +34,7 @@ def fact_one_dimension(spark, sf):
 def skewed_lookup(spark, sf):
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     line = table(spark, sf, "lineitem").select("l_partkey", "l_returnflag", "l_linenumber")
-    joined = joins.lookup_join(line, part, "l_partkey", "left", skewed=True)
+    joined = joins.lookup_join(line, part, "l_partkey", "left", skewed=True, small_rows=0)
     return joined.groupBy("l_returnflag", "p_brand").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("l_linenumber").alias("lines"))
 
@@ -243,15 +243,16 @@ def top_n(spark, sf):
 @query("latest_row", "O5 P15", """
     SELECT event_id, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1""")
 def latest_row(spark, sf):
-    return ag.latest_row(table(spark, sf, "events"), ["ts", "event_id"]).select("event_id", "user_id", "event_type")
+    events = table(spark, sf, "events").select("ts", "event_id", "user_id", "event_type")
+    return ag.latest_row(events, ["ts", "event_id"]).select("event_id", "user_id", "event_type")
 
 
 @query("latest_per_key", "O5", """
     SELECT user_id, event_id, event_type FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def latest_per_key(spark, sf):
-    return ag.latest_row(table(spark, sf, "events"), ["ts", "event_id"], ["user_id"]).select(
-        "user_id", "event_id", "event_type")
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    return ag.latest_row(events, ["ts", "event_id"], ["user_id"]).select("user_id", "event_id", "event_type")
 
 
 @query("union_blocks", "O6 O8", """
