@@ -381,7 +381,7 @@ def _staging(spark, sf, name):
         F.date_format("o_orderdate", "yyyy-MM").alias("load_id"), F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("amount"),
         F.when(F.col("o_orderstatus") == "F", F.lit("Y")).otherwise(F.lit("N")).alias("processed_flag"))
-    wr.reload(rows, path)
+    jobs.add_to_staging(rows, path)
     return path
 
 

@@ -20,7 +20,7 @@ from pipekit.operators.joins import missing_from
 from pipekit.operators.history import scd2_changes, scd2_initial
 from pipekit.operators.merge import assert_unique, upsert
 from pipekit.operators.quality import DuplicateReport, drop_duplicates, drop_nulls, duplicate_report
-from pipekit.sinks.files import path_exists
+from pipekit.sinks.files import delete_path, list_files, make_dirs, path_exists, rename, write_text
 from pipekit.sinks.layers import mark_complete, to_dated, to_refined
 from pipekit.session import durable
 from pipekit.sinks.writers import (append_rows, export_many, export_named, export_under, load_targets,
@@ -174,24 +174,58 @@ def copy_table(spark: SparkSession, source: DataFrame, target: str, on: Sequence
     return spark.read.parquet(target).count()
 
 
+def add_to_staging(df: DataFrame, staging: str, flag: str = "processed_flag") -> None:
+    """Append rows to a queue table kept in one folder per flag; new rows are flagged ``N``."""
+    rows = df if flag in df.columns else df.withColumn(flag, F.lit("N"))
+    rows.write.mode("append").partitionBy(flag).parquet(staging)
+
+
+def waiting_rows(spark: SparkSession, staging: str, flag: str = "processed_flag") -> DataFrame | None:
+    """Rows flagged ``N``; None when there are none."""
+    folder = f"{staging}/{flag}=N"
+    return spark.read.parquet(folder) if list_files(spark, folder) else None
+
+
+def _settle(spark: SparkSession, staging: str, targets: Mapping[str, Sequence[str]], root: str,
+            log_path: str, flag: str) -> None:
+    """Finish or undo a flagged load that was cut short: with its audit row it is done and the files are
+    turned; without, its rows are removed."""
+    note = f"{staging}/_pending/note"
+    if not path_exists(spark, note):
+        return
+    run, *names = [r["value"] for r in spark.read.text(note).collect()]
+    if path_exists(spark, f"{log_path}/run_id={run}"):
+        make_dirs(spark, f"{staging}/{flag}=Y")
+        for name in names:
+            if path_exists(spark, f"{staging}/{flag}=N/{name}"):
+                rename(spark, f"{staging}/{flag}=N/{name}", f"{staging}/{flag}=Y/run-{run}-{name}")
+    else:
+        for target in targets:
+            delete_path(spark, f"{root}/{target}/run_id={run}")
+    delete_path(spark, note)
+
+
 def load_flagged(spark: SparkSession, staging: str, targets: Mapping[str, Sequence[str]], root: str,
                  log_path: str, run_id: int, flag: str = "processed_flag", load_id: str = "load_id") -> str:
     """Rows flagged ``N`` into several targets, one audit row per load and target, then flag ``Y``.
 
-    Each run writes its own ``run_id`` folder in every target, so a repeated run replaces its rows; the
-    flag is turned last.
+    The flag is the folder, so turning it moves the files that were read and rewrites nothing; rows that
+    arrive meanwhile stay ``N``. A note of these files and the audit rows make a run that was cut short
+    either count once or not at all.
     """
-    rows = spark.read.parquet(staging)
-    waiting = rows.where(F.col(flag) == "N")
-    if waiting.isEmpty():
+    _settle(spark, staging, targets, root, log_path, flag)
+    waiting = waiting_rows(spark, staging, flag)
+    if waiting is None or waiting.isEmpty():
         return "NO NEW RECORDS TO LOAD"
+    names = [f.rsplit("/", 1)[-1] for f in waiting.inputFiles()]
+    write_text(spark, f"{staging}/_pending/note", "\n".join([str(run_id), *names]))
     places = {name: (f"{root}/{name}/run_id={run_id}", list(dict.fromkeys([load_id, *columns])))
               for name, columns in targets.items()}
     load_targets(waiting, places, "overwrite")
     measured = {name: spark.read.parquet(path) for name, (path, _) in places.items()}
     (load_target_audit(waiting, load_id, measured).withColumn("status", F.lit("SUCCESS"))
      .write.mode("overwrite").parquet(f"{log_path}/run_id={run_id}"))
-    replace(rows.withColumn(flag, F.when(F.col(flag) == "N", F.lit("Y")).otherwise(F.col(flag))), staging)
+    _settle(spark, staging, targets, root, log_path, flag)
     return "DATA LOADED SUCCESSFULLY"
 
 
@@ -202,7 +236,8 @@ CHECK_SCHEMA = ("check_id int, check_time timestamp_ntz, record_count bigint, ne
 def check_and_load(spark: SparkSession, staging: str, checks: str, targets: Mapping[str, Sequence[str]],
                    root: str, log_path: str, as_of: dt.datetime, threshold: int = 3) -> str:
     """One quiet-period check over the flagged rows; loads once they have been quiet long enough."""
-    count = spark.read.parquet(staging).where("processed_flag = 'N'").count()
+    waiting = waiting_rows(spark, staging)
+    count = 0 if waiting is None else waiting.count()
     log = _read_or_none(spark, checks)
     last = None if log is None else log.orderBy(F.col("check_id").desc()).limit(1).first()
     check_id = 1 if last is None else last["check_id"] + 1
@@ -312,9 +347,9 @@ def marked_duplicate_report(spark: SparkSession, folder: str, marker: str, schem
 
 
 __all__ = [
-    "Star", "batch_load", "check_and_load", "copy_table", "export_each", "export_many", "export_one",
+    "Star", "add_to_staging", "batch_load", "check_and_load", "copy_table", "export_each", "export_many", "export_one",
     "export_partitions", "export_under", "layer_run", "load_flagged", "load_star",
     "marked_duplicate_report", "normalise_flat", "raw_to_final", "refine_then_star", "run_star_new",
     "run_scd2", "run_star_once", "stage_file", "stage_then_star", "transformation_set", "upsert_folder",
-    "upsert_partitions",
+    "upsert_partitions", "waiting_rows",
 ]

@@ -51,10 +51,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small marker or pointer file."""
+    """A small marker or pointer file; readers see the old content or the new, never a part."""
     fs, where = _fs(spark, path)
-    out = fs.create(where, True)
+    folder, name = path.rsplit("/", 1)
+    part = f"{folder}/_{name}.part"
+    out = fs.create(_fs(spark, part)[1], True)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
+    fs.delete(where, False)
+    rename(spark, part, path)

@@ -81,7 +81,7 @@ class FileLoad:
         keys = files.select("file_name", "content_key") if self.key == "content" else None
         self._save(self._stamped(rows), load_id, as_of, keys)
         if self.purge_to:
-            self._archive(paths)
+            self._archive(paths, load_id)
         return self.load_history().where(F.col("load_id") == load_id)
 
     def loaded(self) -> DataFrame:
@@ -163,10 +163,12 @@ class FileLoad:
                        "first_error", as_of_column(as_of).alias("loaded_at"))
          .write.mode("overwrite").parquet(f"{self.history}/load_id={load_id}"))
 
-    def _archive(self, paths: list[str]) -> None:
-        make_dirs(self.spark, self.purge_to)
-        for path in paths:
-            rename(self.spark, path, f"{self.purge_to}/{path.rsplit('/', 1)[-1]}")
+    def _archive(self, paths: list[str], load_id: str) -> None:
+        """Move loaded files away; those of one load share a folder."""
+        folder = f"{self.purge_to}/{load_id}"
+        make_dirs(self.spark, folder)
+        for i, path in enumerate(paths):
+            rename(self.spark, path, f"{folder}/{i:06d}-{path.rsplit('/', 1)[-1]}")
 
 
 def skip_empty(action: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:

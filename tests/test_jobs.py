@@ -160,9 +160,9 @@ def test_debounced_loads(spark, tmp_path):
     targets = {"customer": ["customer_id"], "claim": ["claim_id", "customer_id"]}
 
     def arrive(load):
-        new = spark.createDataFrame([(load, 10 * load + i, 100 * load + i, "N") for i in range(5)],
-                                    "load_id int, customer_id int, claim_id int, processed_flag string")
-        new.write.mode("append").parquet(staging)
+        new = spark.createDataFrame([(load, 10 * load + i, 100 * load + i) for i in range(5)],
+                                    "load_id int, customer_id int, claim_id int")
+        jobs.add_to_staging(new, staging)
 
     def check(minute):
         return jobs.check_and_load(spark, staging, f"{root}/checks", targets, root, f"{root}/audit", T1 + dt.timedelta(minutes=minute))
@@ -176,6 +176,44 @@ def test_debounced_loads(spark, tmp_path):
     assert counts == [(1, "claim", 5, 5), (1, "customer", 5, 5), (2, "claim", 5, 5), (2, "customer", 5, 5)]
 
 
+def staged_queue(spark, tmp_path):
+    staging, root = str(tmp_path / "staging"), str(tmp_path / "t")
+    jobs.add_to_staging(spark.createDataFrame([(1, i) for i in range(5)], "load_id int, claim_id int"), staging)
+    return staging, root, {"claim": ["claim_id"]}
+
+
+def test_flagged_load_cut_before_its_audit_row(spark, tmp_path, monkeypatch):
+    staging, root, targets = staged_queue(spark, tmp_path)
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+    monkeypatch.setattr(jobs, "load_target_audit", lost)
+    with pytest.raises(RuntimeError):
+        jobs.load_flagged(spark, staging, targets, root, f"{root}/audit", 1)
+    monkeypatch.undo()
+    jobs.load_flagged(spark, staging, targets, root, f"{root}/audit", 2)
+    assert rows(spark.read.parquet(f"{root}/claim").select("claim_id", "run_id")) == [(i, 2) for i in range(5)]
+
+
+def test_flagged_load_cut_while_turning_flags(spark, tmp_path, monkeypatch):
+    staging, root, targets = staged_queue(spark, tmp_path)
+    real, calls = jobs._settle, []
+
+    def lost(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        real(*args)
+    monkeypatch.setattr(jobs, "_settle", lost)
+    with pytest.raises(RuntimeError):
+        jobs.load_flagged(spark, staging, targets, root, f"{root}/audit", 1)
+    monkeypatch.undo()
+    jobs.add_to_staging(spark.createDataFrame([(2, 77)], "load_id int, claim_id int"), staging)
+    jobs.load_flagged(spark, staging, targets, root, f"{root}/audit", 2)
+    assert rows(spark.read.parquet(f"{root}/claim").select("claim_id", "run_id")) == [(i, 1) for i in range(5)] + [(77, 2)]
+    assert jobs.waiting_rows(spark, staging) is None
+
+
 def test_change_log_consumers(spark, tmp_path):
     schema = "id int, v string"
     one = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], schema)
