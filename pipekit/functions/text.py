@@ -46,6 +46,17 @@ def decode_key(key: Column | str) -> Column:
     return F.url_decode(_col(key))
 
 
+def plain_path(path: Column | str) -> Column:
+    """A file path or name as it is on the store; Spark's file metadata shows it URL-encoded."""
+    return F.url_decode(F.replace(_col(path), F.lit("+"), F.lit("%2B")))
+
+
+def relative_path(path: Column | str, root: str) -> Column:
+    """The part of a path below a root folder."""
+    marker = re.sub(r"^file:/+", "/", root).rstrip("/") + "/"
+    return F.element_at(F.split(_col(path), f"\\Q{marker}\\E", 2), -1)
+
+
 def size_kb(size: Column | str) -> Column:
     """Bytes as kilobytes with two decimals."""
     return F.round(_col(size) / F.lit(1024), 2)

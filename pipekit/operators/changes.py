@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pipekit.functions.text import row_digest
+from pipekit.operators.joins import SMALL_ROWS, is_small
 
 META = ("change_action", "is_update", "row_id")
 
@@ -53,9 +54,19 @@ def net_changes(changes: DataFrame, keys: Sequence[str], seq: str | None = None)
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str | None = None,
-                  ) -> DataFrame:
-    """Target after a change feed: deleted keys go, changed and new keys take their last image."""
+                  small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Target after a change feed: deleted keys go, changed and new keys take their last image.
+
+    A feed that proves small is broadcast and the target is not shuffled; a larger one meets the target
+    in one full outer join.
+    """
     keys = list(keys)
     net = net_changes(changes, keys, seq)
-    kept = target.join(net.select(*keys), keys, "left_anti")
-    return kept.unionByName(net.where(F.col("change_action") == "INSERT").select(*target.columns))
+    if small_rows and is_small(net, small_rows):
+        kept = target.join(F.broadcast(net.select(*keys)), keys, "left_anti")
+        return kept.unionByName(net.where(F.col("change_action") == "INSERT").select(*target.columns))
+    old = target.select(*keys, F.struct(*target.columns).alias("__old"))
+    new = net.select(*keys, "change_action", F.struct(*target.columns).alias("__new"))
+    both = old.join(new, keys, "full_outer").where(F.coalesce("change_action", F.lit("KEEP")) != "DELETE")
+    image = F.when(F.col("change_action").isNull(), F.col("__old")).otherwise(F.col("__new"))
+    return both.select(image.alias("__row")).select("__row.*")

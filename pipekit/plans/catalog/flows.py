@@ -98,7 +98,7 @@ def resent_file(spark, sf):
 
 @query("load_with_bad_rows", "IN6 P21 SC37", """
     SELECT CASE WHEN bad > 0 THEN 'PARTIALLY_LOADED' ELSE 'LOADED' END AS status, n AS rows_parsed, n - bad AS rows_loaded, bad AS errors_seen
-    FROM (SELECT count(*) AS n, count_if(o_orderstatus = 'P') AS bad FROM orders)""")
+    FROM (SELECT count(*) AS n, CAST(count_if(o_orderstatus = 'P') AS BIGINT) AS bad FROM orders)""")
 def load_with_bad_rows(spark, sf):
     load = _load(spark, "bad-rows", on_error="continue")
     amount = F.when(F.col("status") == "P", F.lit("unknown")).otherwise(F.col("amount").cast("string"))
@@ -250,6 +250,15 @@ def feed_consume(spark, sf):
         "first_run", F.lit(first)).withColumn("second_run", F.lit(second))
 
 
+@query("feed_partitions", "CD6 CD7 PL5", _CHANGED + " SELECT c_custkey, c_mktsegment FROM a")
+def feed_partitions(spark, sf):
+    """The changes applied to a target laid out by nation; only touched nations are rewritten."""
+    log, target = _captured(spark, sf, "feed-parts"), scratch(spark, "feed-parts-target")
+    _base(spark, sf).write.partitionBy("c_nationkey").parquet(target)
+    log.consume("applier", apply_to_folder(spark, target, ["c_custkey"], partition_by=["c_nationkey"]))
+    return spark.read.parquet(target).select("c_custkey", "c_mktsegment")
+
+
 @query("feed_stream", "CD6 CD7 PL5 ST1", _CHANGED + " SELECT c_custkey, c_mktsegment FROM a")
 def feed_stream(spark, sf):
     """The same, as a stream."""

@@ -172,6 +172,14 @@ def apply_changes(spark, sf):
     return ch.apply_changes(base, diff, ["c_custkey"]).select("c_custkey", "c_mktsegment", "c_acctbal")
 
 
+@query("apply_large_feed", "CD7 UP3", _DIFF + " SELECT c_custkey, c_mktsegment, c_acctbal FROM a")
+def apply_large_feed(spark, sf):
+    """The way taken when the feed is too large to broadcast."""
+    base = _base(spark, sf)
+    diff = ch.diff_snapshots(base, _after(spark, sf), ["c_custkey"])
+    return ch.apply_changes(base, diff, ["c_custkey"], small_rows=0).select("c_custkey", "c_mktsegment", "c_acctbal")
+
+
 @query("net_changes", "CD7", _DIFF + """
     SELECT c_custkey, max(CASE WHEN change_action = 'INSERT' THEN 'INSERT' ELSE 'DELETE' END) AS change_action FROM d GROUP BY 1""")
 def net_changes(spark, sf):

@@ -22,7 +22,7 @@ from pipekit.operators.merge import assert_unique, upsert
 from pipekit.operators.quality import DuplicateReport, drop_duplicates, drop_nulls, duplicate_report
 from pipekit.sinks.files import delete_path, list_files, make_dirs, path_exists, rename, write_text
 from pipekit.sinks.layers import mark_complete, to_dated, to_refined
-from pipekit.session import durable
+from pipekit.session import durable, working_tables
 from pipekit.sinks.writers import (append_rows, export_many, export_named, export_under, load_targets,
                                    recover, reload, replace, rewrite_partitions)
 from pipekit.sources.formats import FileFormat, Stage
@@ -82,7 +82,7 @@ def load_star(staged: DataFrame, dims: Mapping[str, tuple[str, Sequence[str]]],
 def run_star_once(spark: SparkSession, staged: DataFrame, star: Star, log: AuditLog, run_id: str,
                   strict: bool = False) -> RunResult:
     """Star load with reconciliation: dimensions first, then the fact, then staging against fact."""
-    with log.run("star_load", run_id) as result:
+    with log.run("star_load", run_id) as result, working_tables(spark):
         require_rows(staged, "staging")
         tables = load_star(staged, star.dims, star.fact_id, star.measures, fact=star.fact)
         for name, df in tables.items():
@@ -124,7 +124,7 @@ def stage_file(spark: SparkSession, stage: Stage, name: str, schema: T.StructTyp
 
 def run_star_new(spark: SparkSession, staging: str, star: Star, log: AuditLog, run_id: str) -> RunResult:
     """Add only new members and new fact ids, then check that every staged id has arrived."""
-    with log.run("star_new", run_id) as result:
+    with log.run("star_new", run_id) as result, working_tables(spark):
         staged = require_rows(spark.read.parquet(staging), "staging")
         result.source_count = staged.count()
         for name, (key, columns) in star.dims.items():
@@ -159,8 +159,9 @@ def normalise_flat(spark: SparkSession, flat: DataFrame, specs: Sequence[Dimensi
     for name in [s.name for s in specs] + [fact]:
         if path_exists(spark, f"{root}/{name}"):
             raise FileExistsError(f"{root}/{name} is not empty")
-    for name, df in dimensions_from_flat(flat, specs).items():
-        df.write.parquet(f"{root}/{name}")
+    with working_tables(spark):
+        for name, df in dimensions_from_flat(flat, specs).items():
+            df.write.parquet(f"{root}/{name}")
     dims = {s.name: spark.read.parquet(f"{root}/{s.name}") for s in specs}
     fact_from_flat(flat, dims, specs, columns).write.parquet(f"{root}/{fact}")
     return {**dims, fact: spark.read.parquet(f"{root}/{fact}")}
@@ -318,10 +319,11 @@ def run_scd2(spark: SparkSession, root: str, source: DataFrame, keys: Sequence[s
     if not path_exists(spark, current):
         reload(scd2_initial(source, as_of), current)
     else:
-        rows = durable(scd2_changes(spark.read.parquet(current), source, keys, as_of), "scd2")
-        ended = rows.where(~F.col("is_current"))
-        ended.write.mode("overwrite").parquet(f"{closed}/closed_at={as_of:%Y%m%d%H%M%S}")
-        replace(rows.where(F.col("is_current")), current)
+        with working_tables(spark):
+            rows = durable(scd2_changes(spark.read.parquet(current), source, keys, as_of), "scd2")
+            ended = rows.where(~F.col("is_current"))
+            ended.write.mode("overwrite").parquet(f"{closed}/closed_at={as_of:%Y%m%d%H%M%S}")
+            replace(rows.where(F.col("is_current")), current)
     open_rows = spark.read.parquet(current)
     if not path_exists(spark, closed):
         return open_rows

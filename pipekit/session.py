@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +56,36 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/pipekit-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_MADE: list[str] = []
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the :func:`durable` tables made inside the block; for jobs that save their result."""
+    start = len(_MADE)
+    try:
+        yield
+    finally:
+        _drop(spark, _MADE[start:])
+        del _MADE[start:]
+
+
+def clear_working_tables(spark: SparkSession) -> None:
+    """Delete all :func:`durable` tables of this driver. DataFrames built on them stop working."""
+    _drop(spark, _MADE)
+    _MADE.clear()
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> None:
+    from pipekit.sinks.files import delete_path
+    for path in paths:
+        delete_path(spark, path)
+
+
 def durable(df: DataFrame, name: str = "durable") -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so later uses see the very same rows and do
     not depend on executors that may be lost. Columns that a later step does not need are not read."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    _MADE.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

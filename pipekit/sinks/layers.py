@@ -9,7 +9,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.functions.text import base_name, first_segment
+from pipekit.functions.text import base_name, first_segment, plain_path
 from pipekit.functions.times import as_of_column
 from pipekit.sinks.files import make_dirs, path_exists, write_text
 
@@ -23,7 +23,7 @@ def run_folder(root: str, as_of: dt.datetime, zone: str = "UTC") -> str:
 def stamp_rows(df: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Add ``ingest_ts`` and ``source_file`` to scanned rows."""
     return df.select("*", as_of_column(as_of).alias("ingest_ts"),
-                     F.col("_metadata.file_name").alias("source_file"))
+                     plain_path("_metadata.file_name").alias("source_file"))
 
 
 def to_refined(df: DataFrame, root: str, as_of: dt.datetime, zone: str = "UTC") -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from pipekit.functions.text import is_safe_name
 from pipekit.operators.joins import at_most, broadcast_if_small
-from pipekit.session import durable
+from pipekit.session import durable, working_tables
 from pipekit.sinks.files import delete_path, list_files, make_dirs, path_exists, rename
 from pipekit.sources.formats import FileFormat
 
@@ -73,18 +73,28 @@ def rewrite_partitions(spark: SparkSession, path: str, partition_by: Sequence[st
     shared folder first, so the table is never read and replaced by one job. ``change`` must keep rows
     inside the touched partitions; a partition that ends up empty is removed.
     """
+    with working_tables(spark):
+        _rewrite(spark, path, list(partition_by), touched, change)
+
+
+def _rewrite(spark: SparkSession, path: str, partition_by: list[str], touched: DataFrame,
+             change: Callable[[DataFrame], DataFrame]) -> None:
     values = durable(touched.select(*partition_by).distinct(), "touched")
     if not values.where(" or ".join(f"`{c}` is null" for c in partition_by)).isEmpty():
         raise ValueError("a partition column is NULL in the touched rows")
     if path_exists(spark, path):
-        table = spark.read.parquet(path)
-        rows = table.join(broadcast_if_small(values), list(partition_by), "left_semi")
+        # Folder names alone do not tell '01' from 1, so the touched rows give the partition types.
+        types = {c: touched.schema[c].dataType for c in partition_by}
+        have = spark.read.parquet(path).schema
+        schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in have.fields])
+        table = spark.read.schema(schema).parquet(path)
+        rows = table.join(broadcast_if_small(values), partition_by, "left_semi")
     else:
         rows = spark.createDataFrame([], touched.schema)
     result = durable(change(rows), "rewritten")
     (result.hint("rebalance", *partition_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
-    emptied = values.join(result.select(*partition_by).distinct(), list(partition_by), "left_anti")
+    emptied = values.join(result.select(*partition_by).distinct(), partition_by, "left_anti")
     for row in emptied.toLocalIterator():
         delete_path(spark, "/".join([path.rstrip("/"), *[f"{c}={_folder_value(row[c])}" for c in partition_by]]))
 
@@ -228,13 +238,11 @@ def stamped_name(prefix: str, as_of, ext: str = ".csv") -> str:
 
 def export_check(spark: SparkSession, path: str, fmt: FileFormat = FileFormat()) -> DataFrame:
     """Exported files with size and row count; a file without rows is flagged."""
-    from pipekit.sources.provenance import inventory
+    from pipekit.sources.provenance import inventory, source_path
     files = inventory(spark, path)
     rows = (spark.read.options(**fmt.reader_options()).option("recursiveFileLookup", True).csv(path)
-            .select(F.col("_metadata.file_path").alias("path")).groupBy("path")
+            .select(source_path().alias("path")).groupBy("path")
             .agg(F.count(F.lit(1)).alias("row_count")))
-    same = F.regexp_replace("path", "^file:/+", "/")
-    joined = files.withColumn("path", same).join(rows.withColumn("path", same), "path", "left")
-    return joined.select("file_name", "length", F.coalesce("row_count", F.lit(0)).alias("row_count"),
+    return files.join(rows, "path", "left").select("file_name", "length", F.coalesce("row_count", F.lit(0)).alias("row_count"),
                          F.when(F.coalesce("row_count", F.lit(0)) == 0, F.lit("EMPTY"))
                          .otherwise(F.lit("OK")).alias("status"))

@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pipekit.functions.text import plain_path
+
 # Larger files are fingerprinted line by line instead of being held whole by one task.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 
+def source_file() -> Column:
+    """Name of the file a scanned row comes from."""
+    return plain_path("_metadata.file_name")
+
+
+def source_path() -> Column:
+    """Full path of the file a scanned row comes from."""
+    return plain_path("_metadata.file_path")
+
+
 def with_source_file(df: DataFrame) -> DataFrame:
     """File name and change time of each scanned row."""
-    return df.select("*", F.col("_metadata.file_name").alias("source_file"),
+    return df.select("*", source_file().alias("source_file"),
                      F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("file_modified"))
 
 
@@ -25,7 +37,7 @@ def with_row_position(df: DataFrame, header: bool = True) -> DataFrame:
     size is numbered in place: the rows are not shuffled and only one summary row per split moves.
     """
     rows = df.select("*", F.col("_metadata.file_path").alias("__file"),
-                     F.col("_metadata.file_name").alias("source_file"),
+                     source_file().alias("source_file"),
                      F.col("_metadata.file_block_start").alias("__block"),
                      F.monotonically_increasing_id().alias("__id"))
     earlier = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,7 +58,7 @@ def inventory(spark: SparkSession, path: str | Sequence[str], glob: str | None =
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path if isinstance(path, str) else list(path))
-    return files.select("path", F.substring_index("path", "/", -1).alias("file_name"), "length",
+    return files.select(source_path().alias("path"), F.substring_index("path", "/", -1).alias("file_name"), "length",
                         F.col("modificationTime").cast("timestamp_ntz").alias("modified"))
 
 
@@ -58,9 +70,9 @@ def content_keys(spark: SparkSession, path: str) -> DataFrame:
     """
     small = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
              .where(F.col("length") <= WHOLE_FILE_BYTES)
-             .select("path", F.md5("content").alias("content_key")))
+             .select(source_path().alias("path"), F.md5("content").alias("content_key")))
     lines = (spark.read.option("recursiveFileLookup", True).text(path)
-             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+             .select(source_path().alias("path"), F.col("_metadata.file_size").alias("size"),
                      F.xxhash64("value").alias("h"), F.crc32("value").alias("c"))
              .where(F.col("size") > WHOLE_FILE_BYTES))
     large = lines.groupBy("path").agg(F.md5(F.concat_ws(
@@ -70,5 +82,5 @@ def content_keys(spark: SparkSession, path: str) -> DataFrame:
 
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Record count per input file."""
-    return (df.select(F.col("_metadata.file_name").alias("source_file"))
+    return (df.select(source_file().alias("source_file"))
             .groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count")))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pipekit.functions.text import is_safe_name, split_fields
 from pipekit.sinks.files import list_files, path_exists
 from pipekit.sources.formats import ON_ERROR, FileFormat, Stage
+from pipekit.sources.provenance import source_file
 
 BAD_RECORD = "_corrupt_record"
 
@@ -58,7 +59,7 @@ def bad_rows(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     Spark refuses a raw scan of the bad-record column alone, so the filter also looks at the others.
     """
     df = read_csv(spark, path, fmt, schema=with_bad_record(schema), on_error="report")
-    shown = df.select(F.col("_metadata.file_name").alias("source_file"), F.col(BAD_RECORD).alias("bad_record"),
+    shown = df.select(source_file().alias("source_file"), F.col(BAD_RECORD).alias("bad_record"),
                       F.to_json(F.struct(*schema.names)).alias("parsed"))
     return shown.where(F.col("bad_record").isNotNull() & F.col("parsed").isNotNull())
 
@@ -174,7 +175,7 @@ def merge_text_files(spark: SparkSession, folder: str, sep: str = "|", glob: str
         raise FileNotFoundError("no valid data in text files")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     df = read_csv(spark, folder, FileFormat(sep=sep), schema=schema, check_header=True, glob=glob)
-    return df.select("*", F.col("_metadata.file_name").alias("source_file"))
+    return df.select("*", source_file().alias("source_file"))
 
 
 def complete_batches(inventory: DataFrame, batch_of: str = r"batch_([0-9-]+)", marker: str = ".ctl",

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from pipekit.operators.changes import apply_changes, diff_snapshots
 from pipekit.sinks.files import list_dirs, path_exists, write_text
-from pipekit.sinks.writers import replace
+from pipekit.sinks.writers import replace, rewrite_partitions
 from pipekit.streaming.loads import skip_empty
 
 
@@ -69,9 +69,17 @@ class ChangeLog:
 
 
 def apply_to_folder(spark: SparkSession, target: str, keys: Sequence[str], seq: str | None = "version",
-                    ) -> Callable[..., None]:
-    """An action that applies a change batch to a Parquet folder and swaps the result in."""
+                    partition_by: Sequence[str] = ()) -> Callable[..., None]:
+    """An action that applies a change batch to a Parquet folder.
+
+    With ``partition_by`` (columns that never change for a key) only the partitions the changes touch
+    are read and rewritten; without, the folder is rewritten and swapped.
+    """
     def action(changes: DataFrame, _batch: int | None = None) -> None:
         order = seq if seq in changes.columns else None
-        replace(apply_changes(spark.read.parquet(target), changes, keys, order), target)
+        if partition_by:
+            rewrite_partitions(spark, target, partition_by, changes,
+                               lambda rows: apply_changes(rows, changes, keys, order))
+        else:
+            replace(apply_changes(spark.read.parquet(target), changes, keys, order), target)
     return action

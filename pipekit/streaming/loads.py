@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from pipekit.functions.text import relative_path
 from pipekit.functions.times import as_of_column
 from pipekit.operators.audit import utc_now
 from pipekit.operators.joins import missing_from
 from pipekit.sinks.files import make_dirs, path_exists, rename
 from pipekit.sources.formats import ON_ERROR, Stage
-from pipekit.sources.provenance import content_keys, inventory
+from pipekit.sources.provenance import content_keys, inventory, source_path
 from pipekit.sources.scans import BAD_RECORD, with_bad_record
 
 HISTORY_SCHEMA = (
@@ -54,7 +55,8 @@ class FileLoad:
 
     def pending(self, as_of: dt.datetime | None = None, force: bool = False) -> DataFrame:
         """Files in the stage that are not in the history of the last 64 days."""
-        files = inventory(self.spark, self.stage.path, self.glob)
+        files = inventory(self.spark, self.stage.path, self.glob).withColumn(
+            "file_name", relative_path("path", self.stage.path))
         if self.key == "content":
             files = files.join(content_keys(self.spark, self.stage.path), "path")
         else:
@@ -140,7 +142,7 @@ class FileLoad:
     def _stamped(self, rows: DataFrame) -> DataFrame:
         bad = F.col(BAD_RECORD) if self.on_error != "abort" else F.lit(None).cast("string")
         return rows.select(*self.schema.names, bad.alias(BAD_RECORD),
-                           F.col("_metadata.file_name").alias("source_file"))
+                           relative_path(source_path(), self.stage.path).alias("source_file"))
 
     def _save(self, rows: DataFrame, load_id: str, as_of: dt.datetime, keys: DataFrame | None) -> None:
         folder = f"{self.target}/load_id={load_id}"

@@ -39,6 +39,15 @@ def test_incremental_counts(spark, tmp_path):
     assert rows(load.load_history().select("file_name", "status", "rows_loaded")) == [(f"sales_{i}.csv", "LOADED", 3) for i in range(3)]
 
 
+def test_same_name_in_two_folders(spark, tmp_path):
+    load = load_of(spark, tmp_path)
+    for day, first in (("d1", 1), ("d2", 50)):
+        deliver(tmp_path / "stage" / day, "sales.csv", first)
+        load.run(day, T1)
+    assert load.loaded().count() == 6
+    assert rows(load.load_history().select("file_name")) == [("d1/sales.csv",), ("d2/sales.csv",)]
+
+
 def test_history_is_kept_64_days(spark, tmp_path):
     load = load_of(spark, tmp_path)
     deliver(tmp_path / "stage", "a.csv", 1)

@@ -136,6 +136,14 @@ def test_large_files_get_a_line_digest(spark, tmp_path, monkeypatch):
     assert len(set(keys)) == 2
 
 
+def test_file_names_with_special_characters(spark, tmp_path):
+    text_file(tmp_path / "a b+c%1.csv", ["id", "1"])
+    read = scans.read_csv(spark, str(tmp_path), schema="id int")
+    assert rows(provenance.rows_per_file(read)) == [("a b+c%1.csv", 1)]
+    files = provenance.inventory(spark, str(tmp_path)).join(provenance.content_keys(spark, str(tmp_path)), "path")
+    assert [r["file_name"] for r in files.collect()] == ["a b+c%1.csv"]
+
+
 def test_marker_states(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         text_file(tmp_path / "go.ctl", [""])
