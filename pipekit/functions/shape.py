@@ -20,19 +20,19 @@ def band(value: Column | str, limits: Sequence[tuple[float, str]], default: str)
     if lows != sorted(lows, reverse=True):
         raise ValueError("band limits must run from high to low")
     value = _col(value)
-    out = F
-    for low, label in limits:
-        out = out.when(value >= F.lit(low), F.lit(label))
-    return out.otherwise(F.lit(default))
+    out = F.lit(default)
+    for low, label in reversed(limits):
+        out = F.when(value >= F.lit(low), F.lit(label)).otherwise(out)
+    return out
 
 
 def map_values(value: Column | str, mapping: Mapping[str, str]) -> Column:
     """Replace listed values, pass others through."""
     value = _col(value)
-    out = F
+    out = value
     for old, new in mapping.items():
-        out = out.when(value == F.lit(old), F.lit(new))
-    return out.otherwise(value)
+        out = F.when(value == F.lit(old), F.lit(new)).otherwise(out)
+    return out
 
 
 def classify(value: Column | str, cut: float, above: str = "PASS", below: str = "FAIL", *,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pipekit.session import durable
 
 HEAVY_SHARE = 1000
-SMALL_ROWS = 200_000
+SMALL_ROWS = 100_000
 SMALL_BYTES = 64 * 1024 * 1024
 
 
@@ -20,16 +20,19 @@ def _any_null(columns: Sequence[str]) -> Column:
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has no more than ``rows`` rows; reads no further than needed."""
-    return df.limit(rows + 1).count() <= rows
+    """True when ``df`` has no more than ``rows`` rows.
+
+    Takes one constant per row, partition by partition, and stops at the bound; a counted ``limit``
+    would start every partition and bring the rows of all of them to one task.
+    """
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
 
 
 def is_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
-    """True when ``df`` is within both bounds, rows and bytes of its values; reads at most one row more
-    than the bound."""
-    bounded = df.limit(rows + 1).select(F.octet_length(F.to_json(F.struct(*df.columns))).alias("b"))
-    found = bounded.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
-    return found["n"] <= rows and found["b"] <= size
+    """True when ``df`` is within both bounds, rows and bytes of its values. Stops early, as
+    :func:`at_most` does; only the sizes come to the driver."""
+    sizes = df.select(F.octet_length(F.to_json(F.struct(*df.columns))).alias("b")).take(rows + 1)
+    return len(sizes) <= rows and sum(r["b"] for r in sizes) <= size
 
 
 def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:

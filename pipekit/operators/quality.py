@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pipekit.functions.text import row_digest
-from pipekit.operators.aggregates import row_count, tolerant_sum
 from pipekit.operators.joins import HEAVY_SHARE, SMALL_ROWS, lookup_join
 from pipekit.session import durable
 
@@ -124,10 +123,3 @@ def duplicate_report(df: DataFrame, columns: Sequence[str], order_by: Sequence[s
                      measure: str | None = None) -> DuplicateReport:
     """Clean rows, duplicate rows and totals of a table; see :class:`DuplicateReport`."""
     return DuplicateReport(df, columns, order_by, measure)
-
-
-__all__ = [
-    "DuplicateReport", "drop_duplicates", "drop_nulls", "duplicate_report", "error_reason", "in_range",
-    "max_length", "max_length_violations", "required", "row_count", "split_valid", "tolerant_sum",
-    "validate",
-]

@@ -35,7 +35,8 @@ class Star:
     """Where a star schema lives and how its dimensions and fact are built.
 
     ``dims`` maps a dimension to (key, columns); the fact looks its keys up by the same columns.
-    ``measures`` maps a fact column to a SQL expression over the staged columns.
+    ``measures`` maps a fact column to a SQL expression over the staged columns. ``skewed`` says that few
+    members hold much of the fact.
     """
 
     root: str
@@ -43,6 +44,7 @@ class Star:
     fact: str
     fact_id: Sequence[str]
     measures: Mapping[str, str]
+    skewed: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -90,8 +92,8 @@ def run_star_once(spark: SparkSession, staged: DataFrame, star: Star, log: Audit
                 reload(df, star.path(name))
         saved = {n: spark.read.parquet(star.path(n)) for n in star.dims}
         columns = _fact_columns(star.dims, star.fact_id, star.measures)
-        reload(load_fact(staged, [(saved[n], c) for n, (_, c) in star.dims.items()], columns),
-               star.path(star.fact))
+        reload(load_fact(staged, [(saved[n], c) for n, (_, c) in star.dims.items()], columns,
+                         skewed=star.skewed), star.path(star.fact))
         result.source_count = staged.count()
         result.target_count = spark.read.parquet(star.path(star.fact)).count()
         result.match_status = "MATCH" if result.source_count == result.target_count else "MISMATCH"
@@ -133,7 +135,8 @@ def run_star_new(spark: SparkSession, staging: str, star: Star, log: AuditLog, r
         columns = _fact_columns(star.dims, star.fact_id, star.measures)
         lookups = [(spark.read.parquet(star.path(n)), c) for n, (_, c) in star.dims.items()]
         old = _read_or_none(spark, star.path(star.fact))
-        append_rows(load_fact(staged, lookups, columns, old, star.fact_id), star.path(star.fact))
+        append_rows(load_fact(staged, lookups, columns, old, star.fact_id, skewed=star.skewed),
+                    star.path(star.fact))
         fact = spark.read.parquet(star.path(star.fact))
         result.target_count = fact.count()
         lost = missing_from(staged, fact, star.fact_id).count()

@@ -9,20 +9,32 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings every job here is written for. Partition counts are a start value only: adaptive
-# execution merges small partitions and splits skewed ones, so a high count costs little.
+# Runtime settings every job here is written for.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where the step after it then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def get_session(app: str = "pipekit", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with :data:`SETTINGS`; keyword names use ``__`` for dots."""
+def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
+    """Partitions for a shuffle of this size. Adaptive execution merges small partitions but never adds
+    any, so the start value has to fit the largest shuffle: 100 TB needs about 400,000."""
+    return max(cores, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def get_session(app: str = "pipekit", master: str | None = None, shuffled_bytes: int | None = None,
+                **conf: str) -> SparkSession:
+    """A session with :data:`SETTINGS`; keyword names use ``__`` for dots.
+
+    ``shuffled_bytes`` is the size of the largest shuffle to expect.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -30,7 +42,11 @@ def get_session(app: str = "pipekit", master: str | None = None, **conf: str) ->
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if shuffled_bytes:
+        count = shuffle_partitions(shuffled_bytes, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return spark
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -18,7 +18,7 @@ from pipekit.sinks.files import delete_path, list_files, make_dirs, path_exists,
 from pipekit.sources.formats import FileFormat
 
 MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
-SINGLE_FILE_ROWS = 1_000_000
+SINGLE_FILE_ROWS = 250_000
 
 
 def write(df: DataFrame, path: str, mode: str = "error", kind: str = "parquet",
