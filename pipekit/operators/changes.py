@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pipekit.functions.text import row_digest
 from pipekit.operators.joins import SMALL_ROWS, is_small
+from pipekit.session import durable
 
 META = ("change_action", "is_update", "row_id")
 
@@ -57,11 +58,11 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
                   small_rows: int = SMALL_ROWS) -> DataFrame:
     """Target after a change feed: deleted keys go, changed and new keys take their last image.
 
-    A feed that proves small is broadcast and the target is not shuffled; a larger one meets the target
-    in one full outer join.
+    The net changes are computed once and kept. If they prove small they are broadcast and the target is
+    not shuffled; else both meet in one full outer join.
     """
     keys = list(keys)
-    net = net_changes(changes, keys, seq)
+    net = durable(net_changes(changes, keys, seq), "net-changes")
     if small_rows and is_small(net, small_rows):
         kept = target.join(F.broadcast(net.select(*keys)), keys, "left_anti")
         return kept.unionByName(net.where(F.col("change_action") == "INSERT").select(*target.columns))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,12 @@ from pipekit.operators.keys import append_keys, coded_keys
 from pipekit.operators.merge import assert_unique
 
 
+def side_by_side(builds: Mapping[str, Callable[[], DataFrame]], parallel: int = 4) -> dict[str, DataFrame]:
+    """Run independent builds a few at a time, so that one fills the executors the other leaves idle."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(zip(builds, pool.map(lambda build: build(), builds.values())))
+
+
 def distinct_members(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct attribute rows."""
     return df.select(*columns).distinct()
@@ -55,8 +63,8 @@ class DimensionSpec:
 
 def dimensions_from_flat(flat: DataFrame, specs: Sequence[DimensionSpec],
                          ) -> dict[str, DataFrame]:
-    """One coded dimension per spec."""
-    return {s.name: coded_keys(flat, s.column, s.prefix, s.code, s.width) for s in specs}
+    """One coded dimension per spec, built side by side."""
+    return side_by_side({s.name: partial(coded_keys, flat, s.column, s.prefix, s.code, s.width) for s in specs})
 
 
 def fact_from_flat(flat: DataFrame, dims: Mapping[str, DataFrame], specs: Sequence[DimensionSpec],

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pipekit.operators.aggregates import group_summary
 from pipekit.operators.audit import (CALL, AuditLog, JobFailure, RunResult, load_target_audit, next_check,
                                      require_rows)
 from pipekit.operators.dims import (DimensionSpec, dimensions_from_flat, fact_from_flat, load_dimension,
-                                    load_fact)
+                                    load_fact, side_by_side)
 from pipekit.operators.joins import missing_from
 from pipekit.operators.history import scd2_changes, scd2_initial
 from pipekit.operators.merge import assert_unique, upsert
@@ -68,11 +69,10 @@ def load_star(staged: DataFrame, dims: Mapping[str, tuple[str, Sequence[str]]],
     """Star tables after adding the staged rows to what exists: dimensions get their new members, the
     fact its new ids. Pure: nothing is saved. Running it again on its own result adds nothing."""
     existing = existing or {}
-    out: dict[str, DataFrame] = {}
-    for name, (key, columns) in dims.items():
-        old = existing.get(name)
-        added = load_dimension(staged, columns, key, old)
-        out[name] = added if old is None else old.unionByName(added)
+    added = side_by_side({name: partial(load_dimension, staged, columns, key, existing.get(name))
+                          for name, (key, columns) in dims.items()})
+    out = {name: rows if name not in existing else existing[name].unionByName(rows)
+           for name, rows in added.items()}
     columns = _fact_columns(dims, fact_id, measures)
     old = existing.get(fact)
     rows = load_fact(staged, [(out[n], c) for n, (_, c) in dims.items()], columns, old, fact_id,
@@ -129,11 +129,16 @@ def run_star_new(spark: SparkSession, staging: str, star: Star, log: AuditLog, r
     with log.run("star_new", run_id) as result, working_tables(spark):
         staged = require_rows(spark.read.parquet(staging), "staging")
         result.source_count = staged.count()
-        for name, (key, columns) in star.dims.items():
+
+        def add_members(name: str) -> DataFrame:
+            key, columns = star.dims[name]
             old = _read_or_none(spark, star.path(name))
             append_rows(load_dimension(staged, columns, key, old), star.path(name))
+            return spark.read.parquet(star.path(name))
+
+        saved = side_by_side({name: partial(add_members, name) for name in star.dims})
         columns = _fact_columns(star.dims, star.fact_id, star.measures)
-        lookups = [(spark.read.parquet(star.path(n)), c) for n, (_, c) in star.dims.items()]
+        lookups = [(saved[n], c) for n, (_, c) in star.dims.items()]
         old = _read_or_none(spark, star.path(star.fact))
         append_rows(load_fact(staged, lookups, columns, old, star.fact_id, skewed=star.skewed),
                     star.path(star.fact))

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from pipekit.operators.changes import apply_changes, diff_snapshots
 from pipekit.sinks.files import list_dirs, path_exists, write_text
+from pipekit.session import working_tables
 from pipekit.sinks.writers import replace, rewrite_partitions
 from pipekit.streaming.loads import skip_empty
 
@@ -77,9 +78,10 @@ def apply_to_folder(spark: SparkSession, target: str, keys: Sequence[str], seq:
     """
     def action(changes: DataFrame, _batch: int | None = None) -> None:
         order = seq if seq in changes.columns else None
-        if partition_by:
-            rewrite_partitions(spark, target, partition_by, changes,
-                               lambda rows: apply_changes(rows, changes, keys, order))
-        else:
-            replace(apply_changes(spark.read.parquet(target), changes, keys, order), target)
+        with working_tables(spark):
+            if partition_by:
+                rewrite_partitions(spark, target, partition_by, changes,
+                                   lambda rows: apply_changes(rows, changes, keys, order))
+            else:
+                replace(apply_changes(spark.read.parquet(target), changes, keys, order), target)
     return action
