@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.llm import language_id, near_dedup
+from pipekit.llm import language_id, near_dedup, packing, token_files
 from pipekit.llm.common import fold, read_table
+from pipekit.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +20,28 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+VOCABULARY = 49_408
+
+
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written in coded blocks and read back from them."""
+    path = scratch(spark, "token-files")
+    token_files.write(read_table(spark, sf_dir, "documents"), path, tokenizer_path(), VOCABULARY, end=2)
+    return token_files.read_documents(spark, path)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut to 4096 tokens at most and packed into as few sequences of 4096 as can be."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned from the folds other than 2 of 4."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.llm import language_id, near_dedup
+from pipekit.llm import language_id, near_dedup, packing
 from pipekit.llm.common import fold, read_table
 
 
@@ -35,5 +35,5 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in the training sequences."""
-    from pipekit.llm import packing
-    return packing.pack_documents(docs)
+    import public_tokenizers
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
