@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.llm import language_id, near_dedup, packing, token_files
+from pipekit.llm import language_id, near_dedup, packing, source_mixing, token_files, vp_search
 from pipekit.llm.common import fold, read_table
 from pipekit.session import scratch
 
@@ -36,6 +36,13 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+@query
+def op2_vp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return vp_search.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cut to 4096 tokens at most and packed into as few sequences of 4096 as can be."""
@@ -55,3 +62,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose five-word shingle sets are at least three quarters alike."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every draw of a document in the flattest mixture that runs no source more than twice and each at least once."""
+    drawn = source_mixing.mixture(read_table(spark, sf_dir, "documents"))
+    return drawn.select("row.doc_id", "source", "n_tokens", "weight", "epoch", "slot", "within")

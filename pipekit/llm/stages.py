@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.llm import language_id, near_dedup, packing
-from pipekit.llm.common import fold, read_table
+from pipekit.llm import language_id, near_dedup, packing, source_mixing
+from pipekit.llm.common import fold, read_table, ship
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,22 +18,24 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    ship(spark)
     return near_dedup.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 400 bytes or more that also start elsewhere in the corpus."""
+    ship(spark)
     from pipekit.llm import suffix_dedup
     return suffix_dedup.without_repeats(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that sources reach their tempered weights; every document appears at least once."""
-    from pipekit.llm import source_mixing
     return source_mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in the training sequences."""
+    ship(spark)
     import public_tokenizers
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
