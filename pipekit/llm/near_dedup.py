@@ -5,7 +5,7 @@ value, so later rounds only fill bins that are still empty. After t hashed round
 bin j, which guarantees a full sketch. Bands of the sketch give candidates, whole shingle sets confirm them.
 
 Equal shingle sets form one class before banding, so thousands of copies are one node. In a bucket every member is
-first compared with one member drawn for that bucket. Buckets whose members then still lie in several components are
+first compared with the bucket's pivot. Buckets whose members then still lie in several components are
 compared further, across components only: no pair inside a known component is ever formed.
 """
 
@@ -130,8 +130,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
     # Equal sets have equal bands; which row delivers them makes no difference.
     banded = durable(signed.where("n_shingles > 0").select("node", "bands").dropDuplicates(["node"]).select(
         "node", F.explode(F.array_distinct("bands")).alias("band")), "near-bands")
-    drawn = banded.groupBy("band").agg(F.min_by("node", F.xxhash64("band", "node")).alias("pivot"),
-                                       F.count("*").alias("members")).where("members > 1")
+    # One order for all bands: a group of near copies meets few pivots, whichever bands its members share.
+    drawn = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1")
     members = durable(banded.join(drawn, "band").select("band", "node", "pivot"), "near-members")
     candidates = members.select("node").distinct()
     # One row of each candidate set delivers its shingles; rows with a null id are joined null-safely.
@@ -140,46 +140,61 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
         _shingle_sets(width), "node binary, shingles array<long>").dropDuplicates(["node"])
     sets = durable(sets.join(candidates, "node", "left_semi"), "near-sets")
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def measured(pairs: DataFrame) -> DataFrame:
+        """a, b, dist (Jaccard distance) and linked of each pair whose sizes do not rule a link out."""
         left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
         both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         sizes = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}")) for c in "ab"]
-        # Sizes alone rule out most pairs before any set is moved; the rule loses nothing.
         both = both.join(sizes[0], "a").join(sizes[1], "b").where(
-            F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        union = F.size("sa") + F.size("sb") - common
-        return both.join(left, "a").join(right, "b").where(common * 100 >= union * percent).select("a", "b")
-
-    links = durable(linked(members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))),
-                    "near-links")
+            F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+        both = both.select("a", "b", "na", "nb").join(left, "a").join(right, "b").withColumn(
+            "common", F.size(F.array_intersect("sa", "sb"))).withColumn("union", F.col("na") + F.col("nb") - F.col("common"))
+        return durable(both.select("a", "b", (1 - F.col("common") / F.col("union")).alias("dist"), (
+            F.col("common") * 100 >= F.col("union") * percent).alias("linked")), "near-measured")
+
+    met = measured(members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+    links = met.where("linked").select("a", "b")
     comps = durable(components(links, "near-comps"), "near-comp")
+    members = members.withColumn("dist", F.lit(None).cast("double"))
+    # Jaccard distance is a metric: rows whose distances to the first pivot differ by more than a link cannot link.
+    reach = 1 - percent / 100 + 1e-9
     for turn in range(STAR_ROUNDS + 1):
         labelled = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         split = labelled.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-        open_ = durable(labelled.join(split.select("band"), "band"), "near-open")
         # The pivot has met every member of its bucket; what is left are the others, across components.
-        rest = open_.where("node != pivot")
-        per = rest.groupBy("band", "comp").agg(F.count("*").alias("n")).groupBy("band").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2"))
-        pairs, rows = per.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("n2")) / 2), F.lit(0.0)),
-                              F.coalesce(F.sum("n"), F.lit(0))).first()
+        rest = labelled.where("node != pivot").join(split.select("band"), "band", "left_semi")
+        if turn == 0:
+            known = met.select("a", "b", F.col("dist").alias("first"))
+            rest = rest.join(known, (F.least("node", "pivot") == F.col("a")) & (F.greatest("node", "pivot") == F.col("b")),
+                             "left").withColumn("dist", F.col("first")).drop("a", "b", "first")
+        rest = durable(rest.select("band", "node", "dist", "comp"), "near-rest")
+        per = durable(rest.groupBy("band", "comp").agg(F.count("*").alias("n"), F.min("node").alias("head")), "near-per")
+        pairs, rows = per.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2")).agg(
+            F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("n2")) / 2), F.lit(0.0)),
+            F.coalesce(F.sum("n"), F.lit(0))).first()
         if not pairs:
             break
-        if turn < STAR_ROUNDS and pairs > 4 * rows:
-            # Too many to form at once: another pivot for each bucket, which then leaves the bucket.
-            again = rest.groupBy("band").agg(F.min_by("node", F.xxhash64("band", "node", F.lit(turn))).alias("next"))
-            turned = rest.drop("pivot").join(again, "band")
-            new = linked(turned.where("node != next").select(F.col("node").alias("a"), F.col("next").alias("b")))
-            members = durable(turned.select("band", "node", F.col("next").alias("pivot")), "near-members")
+        last = turn == STAR_ROUNDS or pairs <= 4 * rows
+        if last:
+            x = rest.select("band", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("dist").alias("da"))
+            y = rest.select("band", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("dist").alias("db"))
+            new = x.join(y, "band").where("ca < cb")
         else:
-            x = rest.select("band", F.col("node").alias("a"), F.col("comp").alias("ca"))
-            y = rest.select("band", F.col("node").alias("b"), F.col("comp").alias("cb"))
-            new = linked(x.join(y, "band").where("ca < cb").select("a", "b"))
-            turn = STAR_ROUNDS
-        links = durable(links.union(new), "near-links")
+            # Too many to form at once: one more pivot for each bucket, from outside its largest component, meets the
+            # other components of the bucket and leaves it.
+            big = per.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("comp"))
+            head = per.join(big, ["band", "comp"], "left_anti").groupBy("band").agg(
+                F.min_by("comp", F.struct("head")).alias("cb"), F.min("head").alias("b"))
+            head = head.join(rest.select(F.col("band").alias("hb"), F.col("node").alias("hn"), F.col("dist").alias("db")),
+                             (F.col("band") == F.col("hb")) & (F.col("b") == F.col("hn"))).select("band", "b", "cb", "db")
+            turned = rest.join(head, "band")
+            members = turned.select("band", "node", F.col("b").alias("pivot"), "dist")
+            new = turned.select(F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("dist").alias("da"), "b", "cb",
+                                "db").where("ca != cb")
+        near = F.col("da").isNull() | F.col("db").isNull() | (F.abs(F.col("da") - F.col("db")) <= reach)
+        links = links.union(measured(new.where(near).select("a", "b")).where("linked").select("a", "b"))
         comps = durable(components(links, "near-comps"), "near-comp")
-        if turn == STAR_ROUNDS:
+        if last:
             break
     named = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))

@@ -89,12 +89,17 @@ class Tree:
         return at, best
 
 
+def is_valid(x: F.Column) -> F.Column:
+    """Not null, every component finite, not all zero; never null itself."""
+    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(math.inf)))
+    return F.coalesce(x.isNotNull() & finite & F.exists(x, lambda v: v != 0), F.lit(False))
+
+
 def valid_vectors(vectors: DataFrame) -> DataFrame:
-    """Rows whose embedding is not null, holds only finite components and is not zero; vec_id, x (array<double>)."""
+    """vec_id and x (array<double>) of the rows with a valid embedding and an id."""
     x = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"))
-    finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(math.inf)))
-    return rows.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & finite & F.exists("x", lambda v: v != 0))
+    return rows.where(F.col("vec_id").isNotNull() & is_valid(F.col("x")))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
