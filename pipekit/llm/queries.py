@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.llm import language_id, near_dedup, packing, source_mixing, token_files, vector_dedup, vp_search
+from pipekit.llm import language_id, near_dedup, ngram_lm, packing, source_mixing, token_files, vector_dedup, vp_search
 from pipekit.llm.common import fold, read_table
 from pipekit.session import scratch
 
@@ -43,6 +43,12 @@ def op2_vp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vp_search.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+@query
+def op3_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a bigram model by deleted interpolation."""
+    return ngram_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of one label with a cosine of 0.93 or more, and their components."""
