@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.llm import language_id, near_dedup, ngram_lm, packing, source_mixing, token_files, vector_dedup, vp_search
+from pipekit.llm import language_id, near_dedup, ngram_lm, packing, source_mixing, suffix_dedup, token_files, toxicity
+from pipekit.llm import vector_dedup, vp_search
 from pipekit.llm.common import fold, read_table
 from pipekit.session import scratch
 
@@ -49,6 +50,21 @@ def op3_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the labelled folds other than 1 of 3."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs.where(fold(F.col("doc_id"), 3) != 1), read_table(spark, sf_dir, "labels"))
+    marked = toxicity.score(docs.select("doc_id", "text"), model)
+    return marked.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text once all strings of 400 bytes that also start elsewhere are cut."""
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of one label with a cosine of 0.93 or more, and their components."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.llm import language_id, near_dedup, packing, source_mixing
+from pipekit.llm import language_id, near_dedup, packing, source_mixing, suffix_dedup
 from pipekit.llm.common import fold, read_table, ship
 
 
@@ -25,7 +26,6 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 400 bytes or more that also start elsewhere in the corpus."""
     ship(spark)
-    from pipekit.llm import suffix_dedup
     return suffix_dedup.without_repeats(docs)
 
 
@@ -37,5 +37,4 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in the training sequences."""
     ship(spark)
-    import public_tokenizers
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
