@@ -6,7 +6,8 @@ bin j, which guarantees a full sketch. Bands of the sketch give candidates, whol
 
 Equal shingle sets form one class before banding, so thousands of copies are one node. In a bucket every member is
 first compared with the bucket's pivot. Buckets whose members then still lie in several components are
-compared further, across components only: no pair inside a known component is ever formed.
+compared further, across components only, and only where sizes, distances to the pivot and shingles that nobody else
+holds leave room for a link: these bounds are exact, and no pair inside a known component is ever formed.
 """
 
 from __future__ import annotations
@@ -15,17 +16,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pipekit.llm.common import U64, components, hash_words, mix, spans, split_words, text_slices
+from pipekit.llm.common import U64, components, filled, hash_words, mix, spans, split_words, text_slices
+from pipekit.llm.tally import REQUEST, bucket_bits, packed, requests, tally, totals_of, unpacked
 from pipekit.session import durable
 
 SHINGLE = 5
 BINS = 128
 BAND_ROWS = 4
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
-STAR_ROUNDS = 4
 
 
 def _odd(seed: int, n: int) -> np.ndarray:
@@ -83,35 +85,81 @@ def set_prints(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return [both[k].tobytes() if n else b"" for k, n in enumerate(sizes)]
 
 
-def _sets(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
-    words, codes, counts = split_words(batch.column("text"))
+def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    words, codes, counts = split_words(texts)
     return shingle_hashes(hash_words(words)[codes], counts, width)
 
 
 def _signatures(width: int):
+    """Each slice of documents as one row: ids, set sizes, set prints, band keys, and the texts for a second look."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
         for batch in text_slices(batches):
-            values, sizes = _sets(batch, width)
+            values, sizes = _sets(batch.column("text"), width)
             table = sketch(values, sizes)
             bands = table.reshape(len(sizes), -1, BAND_ROWS)
             with np.errstate(over="ignore"):
                 keys = mix((bands * _odd(23, BAND_ROWS)).sum(axis=2, dtype=U64)
-                           + np.arange(bands.shape[1], dtype=U64) * U64(0x9E3779B97F4A7C15)).view(np.int64)
-            lists = pa.ListArray.from_arrays(np.arange(len(sizes) + 1, dtype=np.int32) * keys.shape[1],
-                                             pa.array(keys.reshape(-1)))
+                           + np.arange(bands.shape[1], dtype=U64) * U64(0x9E3779B97F4A7C15))
+            texts = filled(batch.column("text")).cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(set_prints(values, sizes), pa.binary()), lists],
-                names=["doc_id", "n_shingles", "node", "bands"])
+                [pa.array([chunk], pa.int64()), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                 pa.array([sizes.tolist()], pa.list_(pa.int64())),
+                 pa.array([set_prints(values, sizes)], pa.list_(pa.binary())), pa.array([packed(keys)], pa.binary()),
+                 pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+                 pa.array([packed(np.frombuffer(b"".join(texts), dtype=np.uint8))], pa.binary())],
+                names=["chunk", "doc_ids", "sizes", "nodes", "bands", "lengths", "texts"])
+            chunk += 1
     return run
 
 
+SIGNED = ("chunk long, doc_ids array<long>, sizes array<long>, nodes array<binary>, bands binary, lengths array<long>, "
+          "texts binary")
+
+
+def _band_keys(row: dict) -> np.ndarray:
+    """Band keys of the chunk's documents with words, a row each."""
+    return unpacked(row["bands"], U64).reshape(len(row["sizes"]), -1)[np.array(row["sizes"], dtype=np.int64) > 0]
+
+
+def _ask_bands(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, counts = np.unique(_band_keys(row), return_counts=True)
+                if len(keys):
+                    yield requests(row["chunk"], 0, keys, counts.astype(np.uint32)[:, None], bits)
+    return run
+
+
+def _shared_bands(_, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Bands that documents of a chunk share with any other row."""
+    out = []
+    for row in left.to_pylist():
+        bands = _band_keys(row)
+        keys = np.unique(bands)
+        some = np.flatnonzero(np.array(row["sizes"]) > 0)
+        if len(keys):
+            doc, band = np.nonzero(totals_of(right, 0, 1)[:, 0][np.searchsorted(keys, bands)] > 1)
+            out.append(pa.table({"chunk": np.full(len(doc), row["chunk"]), "place": some[doc],
+                                 "node": pa.array([row["nodes"][k] for k in some[doc]], pa.binary()),
+                                 "band": bands[doc, band].view(np.int64)}))
+    return pa.concat_tables(out) if out else pa.table({
+        "chunk": pa.array([], pa.int64()), "place": pa.array([], pa.int64()), "node": pa.array([], pa.binary()),
+        "band": pa.array([], pa.int64())})
+
+
 def _shingle_sets(width: int):
+    """Sets of the documents at ``places`` of each chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            values, sizes = _sets(batch, width)
-            lists = pa.ListArray.from_arrays(spans(sizes).astype(np.int32), pa.array(values.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(set_prints(values, sizes), pa.binary()), lists],
-                                             names=["node", "shingles"])
+        for batch in batches:
+            for row in batch.to_pylist():
+                at, data = spans(np.array(row["lengths"])), unpacked(row["texts"], np.uint8).tobytes()
+                texts = pa.array([data[at[k]:at[k + 1]] for k in row["places"]], pa.binary()).cast(pa.string())
+                values, sizes = _sets(texts, width)
+                lists = pa.ListArray.from_arrays(spans(sizes).astype(np.int32), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([row["nodes"][k] for k in row["places"]], pa.binary()), lists],
+                                                 names=["node", "shingles"])
     return run
 
 
@@ -123,24 +171,29 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
     rows that share a doc_id are rows of their own. An empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = durable(texts.mapInArrow(_signatures(width),
-                                      "doc_id long, n_shingles long, node binary, bands array<long>"), "near-signed")
+    chunks = durable(texts.mapInArrow(_signatures(width), SIGNED), "near-chunks")
+    rows = F.arrays_zip(F.col("doc_ids").alias("doc_id"), F.col("sizes").alias("n"), F.col("nodes").alias("node"))
+    signed = chunks.select(F.explode(rows).alias("d")).select("d.doc_id", F.col("d.n").alias("n_shingles"), "d.node")
     nodes = durable(signed.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n")), "near-nodes")
-    # Equal sets have equal bands; which row delivers them makes no difference.
-    banded = durable(signed.where("n_shingles > 0").select("node", "bands").dropDuplicates(["node"]).select(
-        "node", F.explode(F.array_distinct("bands")).alias("band")), "near-bands")
+    # Which bands occur twice at all: keys alone move for that.
+    count = chunks.select(F.sum(F.size("sizes"))).first()[0] or 0
+    asked = chunks.select("chunk", "sizes", "bands").mapInArrow(_ask_bands(bucket_bits(count * BINS // BAND_ROWS)), REQUEST)
+    shared = durable(chunks.select("chunk", "sizes", "nodes", "bands").groupBy("chunk").cogroup(
+        tally(asked).groupBy("chunk")).applyInArrow(_shared_bands, "chunk long, place long, node binary, band long"),
+        "near-shared")
+    banded = durable(shared.select("node", "band").distinct(), "near-bands")
     # One order for all bands: a group of near copies meets few pivots, whichever bands its members share.
     drawn = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1")
     members = durable(banded.join(drawn, "band").select("band", "node", "pivot"), "near-members")
-    candidates = members.select("node").distinct()
-    # One row of each candidate set delivers its shingles; rows with a null id are joined null-safely.
-    wanted = nodes.join(candidates, "node", "left_semi").select("rep").distinct()
-    sets = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep), "left_semi").mapInArrow(
-        _shingle_sets(width), "node binary, shingles array<long>").dropDuplicates(["node"])
-    sets = durable(sets.join(candidates, "node", "left_semi"), "near-sets")
-
-    def measured(pairs: DataFrame) -> DataFrame:
+    # One document delivers the set of each candidate.
+    chosen = shared.groupBy("node").agg(F.min(F.struct("chunk", "place")).alias("at")).join(
+        members.select("node").distinct(), "node", "left_semi")
+    places = chosen.groupBy("at.chunk").agg(F.collect_set("at.place").alias("places"))  # as many as a chunk has documents
+    sets = durable(chunks.select("chunk", "nodes", "lengths", "texts").join(places, "chunk").mapInArrow(
+        _shingle_sets(width), "node binary, shingles array<long>"), "near-sets")
+
+    def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """a, b, dist (Jaccard distance) and linked of each pair whose sizes do not rule a link out."""
         left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
         both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -152,50 +205,34 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
         return durable(both.select("a", "b", (1 - F.col("common") / F.col("union")).alias("dist"), (
             F.col("common") * 100 >= F.col("union") * percent).alias("linked")), "near-measured")
 
-    met = measured(members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+    met = measured(members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")), sets)
     links = met.where("linked").select("a", "b")
     comps = durable(components(links, "near-comps"), "near-comp")
-    members = members.withColumn("dist", F.lit(None).cast("double"))
-    # Jaccard distance is a metric: rows whose distances to the first pivot differ by more than a link cannot link.
+    # The pivot has met every member of its bucket. What is left are the others, across components.
+    labelled = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    split = labelled.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+    known = met.select("a", "b", "dist")
+    rest = labelled.where("node != pivot").join(split.select("band"), "band", "left_semi").join(
+        known, (F.least("node", "pivot") == F.col("a")) & (F.greatest("node", "pivot") == F.col("b")), "left")
+    rest = durable(rest.select("band", "node", "dist", "comp"), "near-rest")
+    open_sets = durable(sets.join(rest.select("node").distinct(), "node", "left_semi"), "near-open-sets")
+    # A shingle that no other open set holds is in no intersection: few pairs can still reach the similarity.
+    held = open_sets.select(F.xxhash64("node").alias("id"), F.explode("shingles").alias("s"))
+    own = held.groupBy("s").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(
+        F.count("*").alias("own"))
+    sized = rest.join(nodes.select("node", "n"), "node").join(own, F.xxhash64("node") == F.col("id"), "left").withColumn(
+        "most", F.col("n") - F.coalesce("own", F.lit(0))).where(F.col("most") * 100 >= F.col("n") * percent)
+    sized = durable(sized.select("band", "node", "dist", "comp", "n", "most"), "near-sized")
+    x, y = (sized.select("band", *[F.col(c).alias(c + k) for c in ("node", "dist", "comp", "n", "most")]) for k in "xy")
+    # Jaccard distance is a metric: rows whose distances to the pivot differ by more than a link cannot link.
     reach = 1 - percent / 100 + 1e-9
-    for turn in range(STAR_ROUNDS + 1):
-        labelled = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        split = labelled.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-        # The pivot has met every member of its bucket; what is left are the others, across components.
-        rest = labelled.where("node != pivot").join(split.select("band"), "band", "left_semi")
-        if turn == 0:
-            known = met.select("a", "b", F.col("dist").alias("first"))
-            rest = rest.join(known, (F.least("node", "pivot") == F.col("a")) & (F.greatest("node", "pivot") == F.col("b")),
-                             "left").withColumn("dist", F.col("first")).drop("a", "b", "first")
-        rest = durable(rest.select("band", "node", "dist", "comp"), "near-rest")
-        per = durable(rest.groupBy("band", "comp").agg(F.count("*").alias("n"), F.min("node").alias("head")), "near-per")
-        pairs, rows = per.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2")).agg(
-            F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("n2")) / 2), F.lit(0.0)),
-            F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not pairs:
-            break
-        last = turn == STAR_ROUNDS or pairs <= 4 * rows
-        if last:
-            x = rest.select("band", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("dist").alias("da"))
-            y = rest.select("band", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("dist").alias("db"))
-            new = x.join(y, "band").where("ca < cb")
-        else:
-            # Too many to form at once: one more pivot for each bucket, from outside its largest component, meets the
-            # other components of the bucket and leaves it.
-            big = per.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("comp"))
-            head = per.join(big, ["band", "comp"], "left_anti").groupBy("band").agg(
-                F.min_by("comp", F.struct("head")).alias("cb"), F.min("head").alias("b"))
-            head = head.join(rest.select(F.col("band").alias("hb"), F.col("node").alias("hn"), F.col("dist").alias("db")),
-                             (F.col("band") == F.col("hb")) & (F.col("b") == F.col("hn"))).select("band", "b", "cb", "db")
-            turned = rest.join(head, "band")
-            members = turned.select("band", "node", F.col("b").alias("pivot"), "dist")
-            new = turned.select(F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("dist").alias("da"), "b", "cb",
-                                "db").where("ca != cb")
-        near = F.col("da").isNull() | F.col("db").isNull() | (F.abs(F.col("da") - F.col("db")) <= reach)
-        links = links.union(measured(new.where(near).select("a", "b")).where("linked").select("a", "b"))
-        comps = durable(components(links, "near-comps"), "near-comp")
-        if last:
-            break
+    common = F.least("mostx", "mosty")
+    near = (F.col("distx").isNull() | F.col("disty").isNull() | (F.abs(F.col("distx") - F.col("disty")) <= reach)) & (
+        common * 100 >= (F.col("nx") + F.col("ny") - common) * percent)
+    met = measured(x.join(y, "band").where((F.col("compx") < F.col("compy")) & near).select(
+        F.col("nodex").alias("a"), F.col("nodey").alias("b")), open_sets)
+    links = links.union(met.where("linked").select("a", "b"))
+    comps = durable(components(links, "near-comps"), "near-comp")
     named = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     classes = named.join(least, "comp").select("node", "component_id")
