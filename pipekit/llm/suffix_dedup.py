@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 from pipekit.llm import tally
 from pipekit.llm.common import U64, filled, mix, spans, text_slices
 from pipekit.llm.suffix_array import suffix_ranks
-from pipekit.session import durable
+from pipekit.session import durable, scratch, working_tables
 
 LENGTH = 400
 GRAM = 128
@@ -117,7 +117,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 CHUNK_NAMES = ["chunk", "rest", "lengths", "data"]
-ANCHORS = "chunk long, at binary, next binary, gram binary, name binary, after binary"
+ANCHORS = "chunk long, at binary, next binary, low binary, high binary, gram binary, name binary, after binary"
+PLACES = ("at", "next", "low", "high")
+HASHES = ("gram", "name", "after")
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,32 +128,58 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             data, ends = tally.unpacked(row["data"], np.uint8), np.cumsum(row["lengths"], dtype=np.int64)
-            found = [np.unique(a) for _, a, _, _ in window_anchors(data, ends)]
+            # The windows of an anchor follow each other: their first and their number.
+            found = [(a, s) for s, a, _, _ in window_anchors(data, ends)]
+            none = np.zeros(0, dtype=np.int64)
+            window, anchor = (np.concatenate([none, *[f[k] for f in found]]) for k in (1, 0))
+            inner, first, many = np.unique(anchor, return_index=True, return_counts=True)
             begins = (ends - row["lengths"])[np.array(row["lengths"]) >= LENGTH]
-            inner = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
             at = np.union1d(inner, begins)
             end = ends[np.searchsorted(ends, at, "right")] if len(at) else at
             following = np.append(at[1:], at[-1:] + MARGIN)
             last = following >= end
             following = np.where(last, end, following)
             gram = range_hashes(data, at, np.full(len(at), GRAM))
-            # A start that is no anchor by content has no string of its own.
-            gram[~np.isin(at, inner)] = 0
+            # A start that is no anchor by content has no string and no windows of its own.
+            by_content = np.isin(at, inner)
+            gram[~by_content] = 0
+            low, high = np.zeros(len(at), dtype=np.int64), np.full(len(at), -1, dtype=np.int64)
+            low[by_content], high[by_content] = window[first], window[first] + many - 1
             phrase = range_hashes(data, at, following - at)
             after = range_hashes(data, at, np.minimum(following + LENGTH - 1, end) - at)
             with np.errstate(over="ignore"):
                 phrase = np.where(last, mix(phrase + U64(97)), phrase)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row["chunk"]], pa.int64()),
-                 *[pa.array([tally.packed(x)], pa.binary()) for x in (at, following, gram, phrase, after)]],
-                names=["chunk", "at", "next", "gram", "name", "after"])
+                 *[pa.array([tally.packed(x.astype(np.int32))], pa.binary()) for x in (at, following, low, high)],
+                 *[pa.array([tally.packed(x)], pa.binary()) for x in (gram, phrase, after)]],
+                names=["chunk", *PLACES, *HASHES])
+
+
+def unrolled(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, ends included."""
+    n = high - low + 1
+    return np.repeat(low - spans(n)[:-1], n) + np.arange(int(n.sum()))
+
+
+def rolled(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as packed ranges."""
+    if not len(numbers):
+        return tally.packed(np.zeros((2, 0), dtype=np.int32))
+    cut = np.flatnonzero(np.diff(numbers) != 1)
+    return tally.packed(np.stack([numbers[np.append(0, cut + 1)], numbers[np.append(cut, len(numbers) - 1)]]).astype(np.int32))
+
+
+def numbers_of(ranges: bytes) -> np.ndarray:
+    low, high = tally.unpacked(ranges, np.int32).astype(np.int64).reshape(2, -1)
+    return unrolled(low, high)
 
 
 class Anchors:
     def __init__(self, row: dict):
         self.chunk = row["chunk"]
-        self.at, self.next = (tally.unpacked(row[c], np.int64) for c in ("at", "next"))
-        self.gram, self.name, self.after = (tally.unpacked(row[c], U64) for c in ("gram", "name", "after"))
+        self.at, self.next, self.low, self.high = (tally.unpacked(row[c], np.int32).astype(np.int64) for c in PLACES)
+        self.gram, self.name, self.after = (tally.unpacked(row[c], U64) for c in HASHES)
         self.grams = np.unique(self.gram[self.gram > 0])
 
     def spread(self, per_gram: np.ndarray) -> np.ndarray:
@@ -161,6 +189,17 @@ class Anchors:
         place = np.minimum(np.searchsorted(self.grams, self.gram), len(self.grams) - 1)
         return np.where(self.gram > 0, per_gram[place], 0)
 
+    def windows(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the windows of the marked anchors, in order, and the anchor of each."""
+        number = np.flatnonzero(some & (self.high >= self.low))
+        return unrolled(self.low[number], self.high[number]), np.repeat(number, self.high[number] - self.low[number] + 1)
+
+    def settled(self, starts: np.ndarray, phrases: np.ndarray) -> np.ndarray:
+        """Which windows start in a settled phrase."""
+        done = np.zeros(len(self.at), dtype=bool)
+        done[phrases] = True
+        return done[np.searchsorted(self.at, starts, "right") - 1]
+
     def repeated(self, replies: pa.Table) -> np.ndarray:
         """Anchors whose string occurs twice or more; a text's start goes with the anchor after it."""
         yes = self.spread(tally.totals_of(replies, ANCHOR, 1)[:, 0]) > 1
@@ -225,23 +264,19 @@ def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
 
 
-def _unsettled(row: dict, a: Anchors, replies: pa.Table, settled: np.ndarray):
-    """Windows of a chunk as (starts, anchor number, settled?, hash), only those whose anchor string is repeated."""
-    data, ends = tally.unpacked(row["data"], np.uint8), np.cumsum(row["lengths"], dtype=np.int64)
-    repeated = a.repeated(replies)
-    done = np.zeros(len(a.at), dtype=bool)
-    done[settled] = True
-    for start, anchor, rolling, base in window_anchors(data, ends):
-        number = np.searchsorted(a.at, anchor)
-        some = repeated[number]
-        start, number = start[some], number[some]
-        phrase = np.searchsorted(a.at, start, "right") - 1
-        yield start, number, done[phrase], rolling, base
-
-
-def _settled_list(table: pa.Table) -> np.ndarray:
-    return np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *[
-        np.array(x, dtype=np.int64) for x in table.column("settled").to_pylist() if x]]))
+def _settled(strings: DataFrame) -> DataFrame:
+    """Numbers of the anchors of each chunk whose phrases are settled by a neighbour in suffix order."""
+    with working_tables(strings.sparkSession):  # the recursion's tables go with it
+        ranks = suffix_ranks(strings.select("chunk", "i", "name", "cover"), LENGTH)
+        path = scratch(strings.sparkSession, "sx-ordered")
+        strings.where("anchor >= 0").join(ranks, ["chunk", "i"]).select(
+            "rank", "chunk", "i", "anchor", "name", "after").write.parquet(path)
+    parts = int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = strings.sparkSession.read.parquet(path).repartitionByRange(
+        parts, "rank", "chunk", "i").sortWithinPartitions("rank", "chunk", "i")
+    pairs = ordered.select("chunk", "anchor", "name", "after").mapInArrow(_adjacent, "chunk long, anchor long")
+    # Numbers of one chunk's anchors: of bounded size, as the chunk is.
+    return durable(pairs.groupBy("chunk").agg(F.collect_set("anchor").alias("settled")), "sx-settled")
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -254,77 +289,77 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bits = tally.bucket_bits(size // 64)
     grams = durable(tally.tally(anchors.mapInArrow(_ask_grams(bits), tally.REQUEST)), "sx-grams")
     strings = durable(anchors.groupBy("chunk").cogroup(grams.groupBy("chunk")).applyInArrow(_strings, STRINGS), "sx-strings")
-    ranks = suffix_ranks(strings.select("chunk", "i", "name", "cover"), LENGTH)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = durable(strings.where("anchor >= 0").join(ranks, ["chunk", "i"]), "sx-ordered").repartitionByRange(
-        parts, "rank", "chunk", "i").sortWithinPartitions("rank", "chunk", "i")
-    settled = ordered.select("chunk", "anchor", "name", "after").mapInArrow(_adjacent, "chunk long, anchor long")
-    # Numbers of one chunk's anchors: of bounded size, as the chunk is.
-    settled = durable(settled.groupBy("chunk").agg(F.collect_set("anchor").alias("settled")), "sx-settled")
-    facts = durable(anchors.join(settled, "chunk", "left").join(
-        chunks.select("chunk", "lengths", "data"), "chunk"), "sx-facts")
+    facts = durable(anchors.join(_settled(strings), "chunk", "left"), "sx-facts")
 
     def ask_open(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        """Anchor strings with a window that is not settled, here or elsewhere."""
         out = []
         for row in left.to_pylist():
-            a, list_ = Anchors(row), np.array(row["settled"] or [], dtype=np.int64)
-            open_ = np.zeros(len(a.at), dtype=bool)
-            for _start, number, done, _rolling, _base in _unsettled(row, a, right, list_):
-                open_[number[~done]] = True
-            grams_, place = np.unique(a.gram[open_], return_inverse=True)
-            if len(grams_):
-                asked = np.zeros(len(a.grams), dtype=np.uint32)
-                asked[np.searchsorted(a.grams, grams_)] = 1
-            else:
-                asked = np.zeros(len(a.grams), dtype=np.uint32)
+            a = Anchors(row)
+            starts, number = a.windows(a.repeated(right))
+            rest = ~a.settled(starts, np.array(row["settled"] or [], dtype=np.int64))
+            asked = np.isin(a.grams, a.gram[number[rest]]).astype(np.uint32)
             if len(a.grams):
                 out.append(pa.Table.from_batches([tally.requests(row["chunk"], OPEN, a.grams, asked[:, None], bits)]))
         return pa.concat_tables(out) if out else _no_request()
 
     opened = durable(tally.tally(facts.groupBy("chunk").cogroup(grams.groupBy("chunk")).applyInArrow(
         ask_open, tally.REQUEST)), "sx-open")
-    known = grams.union(opened)
-    many = tally.bucket_bits(size)
-
-    def window_keys(row: dict, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Repeated windows so far; starts and hashes of those to count."""
-        a, list_ = Anchors(row), np.array(row["settled"] or [], dtype=np.int64)
-        open_ = a.spread(tally.totals_of(replies, OPEN, 1)[:, 0]) > 0 if len(a.grams) else np.zeros(len(a.at), dtype=bool)
-        yes, starts, hashes = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=U64)]
-        for start, number, done, rolling, base in _unsettled(row, a, replies, list_):
-            yes.append(start[done])
-            some = start[open_[number]]
-            starts.append(some)
-            hashes.append(rolling.of(some - base, LENGTH))
-        return np.concatenate(yes), np.concatenate(starts), np.concatenate(hashes)
-
-    def ask_windows(_, left: pa.Table, right: pa.Table) -> pa.Table:
+
+    def plan(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        """Starts of windows known to be repeated, and of those to be counted."""
         out = []
         for row in left.to_pylist():
-            _, _, hashes = window_keys(row, right)
-            keys, counts = np.unique(hashes, return_counts=True)
-            if len(keys):
-                out.append(pa.Table.from_batches([tally.requests(row["chunk"], WINDOW, keys,
-                                                                 counts.astype(np.uint32)[:, None], many)]))
-        return pa.concat_tables(out) if out else _no_request()
+            a = Anchors(row)
+            repeated = a.repeated(right)
+            starts, _ = a.windows(repeated)
+            yes = starts[a.settled(starts, np.array(row["settled"] or [], dtype=np.int64))]
+            open_ = a.spread(tally.totals_of(right, OPEN, 1)[:, 0]) > 0 if len(a.grams) else repeated
+            count, _ = a.windows(repeated & open_)
+            out.append((row["chunk"], rolled(yes), rolled(count)))
+        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "yes": pa.array([x[1] for x in out], pa.binary()),
+                         "counted": pa.array([x[2] for x in out], pa.binary())})
+
+    plans = durable(facts.groupBy("chunk").cogroup(grams.union(opened).groupBy("chunk")).applyInArrow(
+        plan, "chunk long, yes binary, counted binary"), "sx-plans")
+    hashed = durable(chunks.select("chunk", "data").join(plans, "chunk").mapInArrow(
+        _window_hashes, "chunk long, yes binary, counted binary, hashes binary"), "sx-hashes")
+    many = tally.bucket_bits(size // 4)
+    counts = durable(tally.tally(hashed.select("chunk", "hashes").mapInArrow(_ask_windows(many), tally.REQUEST)), "sx-counts")
+    at = hashed.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(_starts, "chunk long, starts binary")
+    return chunks, durable(at, "sx-starts")
 
-    counted = durable(tally.tally(facts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
-        ask_windows, tally.REQUEST)), "sx-windows")
 
-    def starts(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        for row in left.to_pylist():
-            yes, places, hashes = window_keys(row, right)
-            keys = np.unique(hashes)
-            twice = tally.totals_of(right, WINDOW, 1)[:, 0] > 1
-            more = places[twice[np.searchsorted(keys, hashes)]] if len(keys) else places
-            found.append((row["chunk"], tally.packed(np.union1d(yes, more))))
-        return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()),
-                         "starts": pa.array([s for _, s in found], pa.binary())})
-
-    at = facts.groupBy("chunk").cogroup(known.union(counted).groupBy("chunk")).applyInArrow(
-        starts, "chunk long, starts binary")
-    return chunks, durable(at, "sx-starts")
+def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            data, starts = tally.unpacked(row["data"], np.uint8), numbers_of(row["counted"])
+            hashes = range_hashes(data, starts, np.full(len(starts), LENGTH))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["chunk"]], pa.int64()), *[pa.array([x], pa.binary()) for x in (
+                    row["yes"], row["counted"], hashes.tobytes())]], names=["chunk", "yes", "counted", "hashes"])
+
+
+def _ask_windows(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, counts = np.unique(np.frombuffer(row["hashes"], dtype=U64), return_counts=True)
+                if len(keys):
+                    yield tally.requests(row["chunk"], WINDOW, keys, counts.astype(np.uint32)[:, None], bits)
+    return run
+
+
+def _starts(_, left: pa.Table, right: pa.Table) -> pa.Table:
+    found = []
+    for row in left.to_pylist():
+        places, hashes = numbers_of(row["counted"]), np.frombuffer(row["hashes"], dtype=U64)
+        keys = np.unique(hashes)
+        twice = tally.totals_of(right, WINDOW, 1)[:, 0] > 1
+        more = places[twice[np.searchsorted(keys, hashes)]] if len(keys) else places
+        found.append((row["chunk"], rolled(np.union1d(numbers_of(row["yes"]), more))))
+    return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()),
+                     "starts": pa.array([s for _, s in found], pa.binary())})
 
 
 def _no_request() -> pa.Table:
@@ -349,7 +384,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
                 data, lengths = tally.unpacked(row["data"], np.uint8), np.array(row["lengths"], dtype=np.int64)
                 at = spans(lengths)
                 edge = np.zeros(len(data) + 1, dtype=np.int64)
-                begins = tally.unpacked(row["starts"], np.int64) if row["starts"] else np.zeros(0, dtype=np.int64)
+                begins = numbers_of(row["starts"]) if row["starts"] else np.zeros(0, dtype=np.int64)
                 edge[begins] += 1
                 np.add.at(edge, begins + LENGTH, -1)
                 gone = np.cumsum(edge[:-1]) > 0
