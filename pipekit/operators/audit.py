@@ -232,7 +232,7 @@ class AuditLog:
         except JobFailure as error:
             result.status, result.message = "FAILURE", str(error)
         except Exception as error:  # noqa: BLE001 - the audit row must hold whatever went wrong
-            result.status, result.message = "FAILURE", f"{type(error).__name__}: {str(error)[:500]}"
+            result.status, result.message = "FAILURE", f"{type(error).__name__}: {error}"
         result.ended = self.clock()
         self.append(result)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from functools import partial
 
@@ -18,7 +19,9 @@ from pipekit.operators.merge import assert_unique
 def side_by_side(builds: Mapping[str, Callable[[], DataFrame]], parallel: int = 4) -> dict[str, DataFrame]:
     """Run independent builds a few at a time, so that one fills the executors the other leaves idle."""
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        return dict(zip(builds, pool.map(lambda build: build(), builds.values())))
+        # Each build runs in a copy of this thread's context, so its working tables belong to the caller's block.
+        futures = {name: pool.submit(copy_context().run, build) for name, build in builds.items()}
+        return {name: future.result() for name, future in futures.items()}
 
 
 def distinct_members(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -19,18 +19,9 @@ def _any_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has no more than ``rows`` rows.
-
-    Takes one constant per row, partition by partition, and stops at the bound; a counted ``limit``
-    would start every partition and bring the rows of all of them to one task.
-    """
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
-
-
 def is_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
-    """True when ``df`` is within both bounds, rows and bytes of its values. Stops early, as
-    :func:`at_most` does; only the sizes come to the driver."""
+    """True when ``df`` is within both bounds, rows and bytes of its values. Takes sizes partition by
+    partition and stops at the bound; only the sizes come to the driver."""
     sizes = df.select(F.octet_length(F.to_json(F.struct(*df.columns))).alias("b")).take(rows + 1)
     return len(sizes) <= rows and sum(r["b"] for r in sizes) <= size
 

@@ -39,8 +39,9 @@ def measured_targets(spark, sf):
 
 
 _CHECKS = """
-    grid AS (SELECT e.event_type, TIMESTAMP '2024-01-01' + INTERVAL (h) HOUR AS check_time FROM (SELECT DISTINCT event_type FROM events) e,
-             (SELECT range AS h FROM range(0, 720)) g),
+    span AS (SELECT date_trunc('hour', min(ts)) AS first, date_trunc('hour', max(ts)) AS last FROM events),
+    grid AS (SELECT e.event_type, CAST(unnest(generate_series(first, last, INTERVAL 1 HOUR)) AS TIMESTAMP) AS check_time
+             FROM (SELECT DISTINCT event_type FROM events) e, span),
     checks AS (SELECT g.event_type, g.check_time, count(v.event_id) AS record_count FROM grid g
                LEFT JOIN events v ON v.event_type = g.event_type AND v.ts >= g.check_time AND v.ts < g.check_time + INTERVAL 1 HOUR GROUP BY 1, 2)"""
 
@@ -48,8 +49,11 @@ _CHECKS = """
 def _checks(spark, sf):
     """Rows waiting at the end of each hour, per event type, as a sequence of checks."""
     events = table(spark, sf, "events")
-    grid = events.select("event_type").distinct().withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(719)))).select(
-        "event_type", add_time(F.lit("2024-01-01").cast("timestamp_ntz"), minutes=F.col("step") * 60).alias("check_time"))
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    first, last = events.agg(F.min(hour), F.max(hour)).first()
+    hours = 0 if first is None else int((last - first).total_seconds() // 3600) + 1
+    grid = events.select("event_type").distinct().withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(max(1, hours))))).select(
+        "event_type", add_time(F.lit(first).cast("timestamp_ntz"), minutes=(F.col("step") - 1) * 60).alias("check_time"))
     counts = events.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("check_time")).agg(
         F.count(F.lit(1)).alias("n"))
     return grid.join(counts, ["event_type", "check_time"], "left").select(

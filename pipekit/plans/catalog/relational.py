@@ -136,12 +136,17 @@ def next_points(spark, sf):
 
 
 @query("generated_months", "SC29 J6", """
-    SELECT m AS month_no, count(o_orderkey) AS row_count FROM (SELECT range AS m FROM range(0, 84)) g
-    LEFT JOIN orders ON (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 = m GROUP BY 1""")
+    WITH months AS (SELECT CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS BIGINT) AS m FROM orders),
+    span AS (SELECT min(m) AS low, max(m) AS high FROM months)
+    SELECT month_no, count(m) AS row_count FROM (SELECT unnest(range(0, high - low + 1)) AS month_no, low FROM span)
+    LEFT JOIN months ON m - low = month_no GROUP BY 1""")
 def generated_months(spark, sf):
-    month = (F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate") - 1
-    counts = ag.count_by(table(spark, sf, "orders"), month.cast("bigint").alias("month_no"))
-    return lit_rows.generate(spark, 84, "month_no").join(counts, "month_no", "left").select(
+    """Months from the first order to the last, those without orders included."""
+    orders = table(spark, sf, "orders").select((F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).alias("m"))
+    low, high = orders.agg(F.min("m"), F.max("m")).first()
+    count = 0 if low is None else high - low + 1
+    counts = ag.count_by(orders, (F.col("m") - F.lit(low)).cast("bigint").alias("month_no"))
+    return lit_rows.generate(spark, count, "month_no").join(counts, "month_no", "left").select(
         "month_no", F.coalesce("row_count", F.lit(0)).alias("row_count"))
 
 

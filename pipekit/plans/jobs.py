@@ -302,15 +302,24 @@ def transformation_set(df: DataFrame, by: str, measure: str, rate: float,
 def upsert_folder(spark: SparkSession, target: str, source: DataFrame, keys: Sequence[str],
                   stamp: Mapping[str, Column] | None = None) -> None:
     """MERGE into a Parquet folder, by a staged swap."""
+    recover(spark, target)
     replace(upsert(spark.read.parquet(target), source, keys, stamp), target)
 
 
 def upsert_partitions(spark: SparkSession, target: str, source: DataFrame, keys: Sequence[str],
                       partition_by: Sequence[str], stamp: Mapping[str, Column] | None = None) -> None:
-    """MERGE into a partitioned folder, rewriting only the partitions that the source touches. A key
-    must stay in its partition."""
-    rewrite_partitions(spark, target, partition_by, source,
-                       lambda rows: upsert(rows, source, keys, stamp))
+    """MERGE into a partitioned folder, rewriting only the partitions that the source touches.
+
+    These are the source's own and those that hold its keys now, found by a scan of keys and partition
+    columns alone, so a key that moves leaves no old row behind."""
+    touched = source.select(*partition_by)
+    if path_exists(spark, target):
+        types = {c: source.schema[c].dataType for c in partition_by}
+        held = spark.read.parquet(target).select(*keys, *[c for c in partition_by if c not in keys])
+        moved = held.join(source.select(*keys).distinct(), list(keys), "left_semi")
+        touched = touched.union(moved.select(*[F.col(c).cast(types[c]).alias(c) for c in partition_by]))
+    rewrite_partitions(spark, target, partition_by, touched,
+                       lambda rows: upsert(rows, source, keys, stamp), source.schema)
 
 
 def run_scd2(spark: SparkSession, root: str, source: DataFrame, keys: Sequence[str],
@@ -318,7 +327,8 @@ def run_scd2(spark: SparkSession, root: str, source: DataFrame, keys: Sequence[s
     """SCD2 over a history kept as ``root/current`` and ``root/closed/closed_at=…``; gives the history.
 
     A run reads and rewrites the current versions only and adds one folder of closed ones, so its cost
-    does not grow with the history. A run that is cut short can be repeated with the same ``as_of``.
+    does not grow with the history. A run can be repeated with the same ``as_of``, whether it was cut short
+    or not: closed versions are only ever added.
     """
     root = root.rstrip("/")
     current, closed = f"{root}/current", f"{root}/closed"
@@ -330,7 +340,12 @@ def run_scd2(spark: SparkSession, root: str, source: DataFrame, keys: Sequence[s
         with working_tables(spark):
             rows = durable(scd2_changes(spark.read.parquet(current), source, keys, as_of), "scd2")
             ended = rows.where(~F.col("is_current"))
-            ended.write.mode("overwrite").parquet(f"{closed}/closed_at={as_of:%Y%m%d%H%M%S}")
+            folder = f"{closed}/closed_at={as_of:%Y%m%d%H%M%S%f}"
+            if path_exists(spark, folder):
+                # A repeat, or another run of the same moment: only what the folder lacks is added.
+                held = spark.read.schema(rows.schema).parquet(folder)
+                ended = missing_from(ended, held, [*keys, "valid_from"], null_safe=True)
+            ended.write.mode("append").parquet(folder)
             replace(rows.where(F.col("is_current")), current)
     open_rows = spark.read.parquet(current)
     if not path_exists(spark, closed):

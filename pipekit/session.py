@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,21 +74,27 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 _MADE: list[str] = []
+# Tables of the block that is running here; a thread has its own, so no job deletes another one's tables.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("pipekit_scope", default=None)
 
 
 @contextmanager
 def working_tables(spark: SparkSession) -> Iterator[None]:
-    """Delete the :func:`durable` tables made inside the block; for jobs that save their result."""
-    start = len(_MADE)
+    """Delete the :func:`durable` tables made inside the block; for jobs that save their result.
+
+    Only tables of this thread's block count, and those of worker threads that run in a copy of its context.
+    """
+    made: list[str] = []
+    token = _SCOPE.set(made)
     try:
         yield
     finally:
-        _drop(spark, _MADE[start:])
-        del _MADE[start:]
+        _SCOPE.reset(token)
+        _drop(spark, made)
 
 
 def clear_working_tables(spark: SparkSession) -> None:
-    """Delete all :func:`durable` tables of this driver. DataFrames built on them stop working."""
+    """Delete all :func:`durable` tables of this driver made outside a block. DataFrames built on them stop working."""
     _drop(spark, _MADE)
     _MADE.clear()
 
@@ -103,5 +110,6 @@ def durable(df: DataFrame, name: str = "durable") -> DataFrame:
     not depend on executors that may be lost. Columns that a later step does not need are not read."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    _MADE.append(path)
+    scope = _SCOPE.get()
+    (_MADE if scope is None else scope).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -60,5 +60,10 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    fs.delete(where, False)
-    rename(spark, part, path)
+    jvm = spark.sparkContext._jvm
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        where.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(_fs(spark, part)[1], where, options)  # one step: there is no moment without the file

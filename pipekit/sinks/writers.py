@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pipekit.functions.text import is_safe_name
-from pipekit.operators.joins import at_most, broadcast_if_small
+from pipekit.operators.joins import broadcast_if_small
 from pipekit.session import durable, working_tables
 from pipekit.sinks.files import delete_path, list_files, make_dirs, path_exists, rename
 from pipekit.sources.formats import FileFormat
 
 MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
-SINGLE_FILE_ROWS = 250_000
+LAYOUTS = ("file", "parts")
 
 
 def write(df: DataFrame, path: str, mode: str = "error", kind: str = "parquet",
@@ -66,19 +66,20 @@ def recover(spark: SparkSession, path: str) -> None:
 
 
 def rewrite_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], touched: DataFrame,
-                       change: Callable[[DataFrame], DataFrame]) -> None:
+                       change: Callable[[DataFrame], DataFrame], schema: T.StructType | None = None) -> None:
     """Apply ``change`` to the partitions listed in ``touched`` and leave all others alone.
 
     Only those partitions are read (pruned by the values) and overwritten. The result is written to the
     shared folder first, so the table is never read and replaced by one job. ``change`` must keep rows
-    inside the touched partitions; a partition that ends up empty is removed.
+    inside the touched partitions; a partition that ends up empty is removed. ``schema`` is the table's
+    where it does not exist yet and ``touched`` does not have all its columns.
     """
     with working_tables(spark):
-        _rewrite(spark, path, list(partition_by), touched, change)
+        _rewrite(spark, path, list(partition_by), touched, change, schema)
 
 
 def _rewrite(spark: SparkSession, path: str, partition_by: list[str], touched: DataFrame,
-             change: Callable[[DataFrame], DataFrame]) -> None:
+             change: Callable[[DataFrame], DataFrame], schema: T.StructType | None) -> None:
     values = durable(touched.select(*partition_by).distinct(), "touched")
     if not values.where(" or ".join(f"`{c}` is null" for c in partition_by)).isEmpty():
         raise ValueError("a partition column is NULL in the touched rows")
@@ -86,16 +87,17 @@ def _rewrite(spark: SparkSession, path: str, partition_by: list[str], touched: D
         # Folder names alone do not tell '01' from 1, so the touched rows give the partition types.
         types = {c: touched.schema[c].dataType for c in partition_by}
         have = spark.read.parquet(path).schema
-        schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in have.fields])
-        table = spark.read.schema(schema).parquet(path)
+        typed = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in have.fields])
+        table = spark.read.schema(typed).parquet(path)
         rows = table.join(broadcast_if_small(values), partition_by, "left_semi")
     else:
-        rows = spark.createDataFrame([], touched.schema)
+        rows = spark.createDataFrame([], schema or touched.schema)
     result = durable(change(rows), "rewritten")
     (result.hint("rebalance", *partition_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     emptied = values.join(result.select(*partition_by).distinct(), partition_by, "left_anti")
-    for row in emptied.toLocalIterator():
+    # As text in Spark's own form, which the folder names have too.
+    for row in emptied.select([F.col(c).cast("string").alias(c) for c in partition_by]).toLocalIterator():
         delete_path(spark, "/".join([path.rstrip("/"), *[f"{c}={_folder_value(row[c])}" for c in partition_by]]))
 
 
@@ -108,14 +110,15 @@ def accumulate(df: DataFrame, path: str, kind: str = "csv", fmt: FileFormat = Fi
                single_file: bool = True) -> None:
     """Old output plus new rows by column name, rewritten as one file set.
 
-    Rewrites everything on each call; ``write(mode="append")`` is the cheap way to add rows.
+    Rewrites everything on each call; ``write(mode="append")`` is the cheap way to add rows. With
+    ``single_file`` one task writes all rows, so large outputs should be called without.
     """
     spark = df.sparkSession
     recover(spark, path)
     if path_exists(spark, path) and list_files(spark, path):
         old = _read_back(spark, path, kind, fmt, df.schema)
         df = old.unionByName(df)
-    if single_file and at_most(df, SINGLE_FILE_ROWS):
+    if single_file:
         df = df.coalesce(1)
     replace(df, path, kind, fmt)
 
@@ -207,22 +210,24 @@ def export_under(tables: Mapping[str, DataFrame], root: str, fmt: FileFormat = F
 
 
 def export_named(df: DataFrame, folder: str, name: str, fmt: FileFormat = FileFormat(),
-                 max_rows: int = SINGLE_FILE_ROWS) -> str:
+                 layout: str = "file") -> str:
     """A file with a given name, replacing an earlier one.
 
-    Up to ``max_rows`` rows make one file. A larger result keeps all its rows in a folder of that name
-    with part files, since one file would be one task.
+    The caller names the layout: ``file`` is one file, written by one task; ``parts`` is a folder of that
+    name with part files, for results too large for a task.
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
     if not is_safe_name(name):
         raise ValueError(f"unsafe file name: {name!r}")
     spark, target = df.sparkSession, f"{folder.rstrip('/')}/{name}"
     fresh = f"{folder.rstrip('/')}/_{name}.parts"
-    small = at_most(df, max_rows)
-    write(df.coalesce(1) if small else df, fresh, "overwrite", "csv", fmt)
+    single = layout == "file"
+    write(df.coalesce(1) if single else df, fresh, "overwrite", "csv", fmt)
     make_dirs(spark, folder)
     if path_exists(spark, target):
         delete_path(spark, target)
-    if small:
+    if single:
         parts = [f for f in list_files(spark, fresh) if "/part-" in f]
         rename(spark, parts[0], target)
         delete_path(spark, fresh)

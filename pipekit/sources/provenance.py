@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from pipekit.functions.text import plain_path
 
-# Larger files are fingerprinted line by line instead of being held whole by one task.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-
 
 def source_file() -> Column:
     """Name of the file a scanned row comes from."""
@@ -38,14 +35,18 @@ def with_row_position(df: DataFrame, header: bool = True) -> DataFrame:
     """
     rows = df.select("*", F.col("_metadata.file_path").alias("__file"),
                      source_file().alias("source_file"),
-                     F.col("_metadata.file_block_start").alias("__block"),
-                     F.monotonically_increasing_id().alias("__id"))
+                     F.col("_metadata.file_block_start").alias("__block"))
+    return _numbered(rows, 2 if header else 1)
+
+
+def _numbered(scan: DataFrame, first: int) -> DataFrame:
+    """``row_in_file`` for a scan with ``__file`` and ``__block``."""
+    rows = scan.withColumn("__id", F.monotonically_increasing_id())
     earlier = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     splits = (rows.groupBy("__file", "__block")
               .agg(F.min("__id").alias("__start"), F.count(F.lit(1)).alias("__rows"))
               .withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
               .drop("__rows"))
-    first = 2 if header else 1
     return (rows.join(splits, ["__file", "__block"])
             .withColumn("row_in_file", F.col("__before") + F.col("__id") - F.col("__start") + F.lit(first))
             .drop("__file", "__block", "__id", "__start", "__before"))
@@ -63,21 +64,20 @@ def inventory(spark: SparkSession, path: str | Sequence[str], glob: str | None =
 
 
 def content_keys(spark: SparkSession, path: str) -> DataFrame:
-    """A key per file that changes with its content.
+    """A key per file that changes with its content, the same way for files of every size.
 
-    Small files get the MD5 of their bytes. A larger one gets a digest over its lines, built from
-    per-line hashes that the splits add up, so no task holds the whole file.
+    Each line is hashed with its position, and the splits of a file add their hashes up, so no task holds
+    a whole file and the order of lines counts. Empty files are not listed, as in any Spark scan.
     """
-    small = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-             .where(F.col("length") <= WHOLE_FILE_BYTES)
-             .select(source_path().alias("path"), F.md5("content").alias("content_key")))
-    lines = (spark.read.option("recursiveFileLookup", True).text(path)
-             .select(source_path().alias("path"), F.col("_metadata.file_size").alias("size"),
-                     F.xxhash64("value").alias("h"), F.crc32("value").alias("c"))
-             .where(F.col("size") > WHOLE_FILE_BYTES))
-    large = lines.groupBy("path").agg(F.md5(F.concat_ws(
-        ":", F.max("size"), F.count(F.lit(1)), F.bit_xor("h"), F.sum("c")).cast("binary")).alias("content_key"))
-    return small.unionByName(large)
+    files = inventory(spark, path).select("path", "length")
+    scan = spark.read.option("recursiveFileLookup", True).text(path).select(
+        "*", source_path().alias("path"), F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"))
+    lines = _numbered(scan, 1).select(
+        "path", *[F.xxhash64("row_in_file", "value", F.lit(seed)).cast("decimal(38,0)").alias(f"h{seed}") for seed in (1, 2)])
+    sums = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+    return files.join(sums, "path", "left").select("path", F.md5(F.concat_ws(
+        ":", "length", "n", "h1", "h2").cast("binary")).alias("content_key"))
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:

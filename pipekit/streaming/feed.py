@@ -12,7 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pipekit.operators.changes import apply_changes, diff_snapshots
 from pipekit.sinks.files import list_dirs, path_exists, write_text
 from pipekit.session import working_tables
-from pipekit.sinks.writers import replace, rewrite_partitions
+from pipekit.sinks.writers import recover, replace, rewrite_partitions
 from pipekit.streaming.loads import skip_empty
 
 
@@ -30,13 +30,21 @@ class ChangeLog:
     def capture(self, before: DataFrame, after: DataFrame, keys: Sequence[str]) -> int:
         """Append the difference of two snapshots as the next version."""
         version = self.last_version() + 1
-        diff_snapshots(before, after, keys).write.mode("overwrite").parquet(
-            f"{self.path}/version={version:09d}")
+        diff_snapshots(before, after, keys).write.mode("overwrite").parquet(self._folder(version))
         return version
 
     def last_version(self) -> int:
-        names = [d.rsplit("version=", 1)[-1] for d in list_dirs(self.spark, self.path)]
-        return max((int(n) for n in names), default=0)
+        """The last version before the first one whose write has not been committed."""
+        found = sorted(int(d.rsplit("version=", 1)[-1]) for d in list_dirs(self.spark, self.path))
+        last = 0
+        for version in found:
+            if version != last + 1 or not path_exists(self.spark, f"{self._folder(version)}/_SUCCESS"):
+                break
+            last = version
+        return last
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/version={version:09d}"
 
     def offset(self, consumer: str) -> int:
         where = f"{self.path}/_offsets/{consumer}"
@@ -45,9 +53,12 @@ class ChangeLog:
         return int(self.spark.read.text(where).first()["value"])
 
     def pending(self, consumer: str) -> DataFrame:
-        """Changes after the offset, with their ``version``; consumes nothing."""
-        return self.spark.read.option("basePath", self.path).parquet(f"{self.path}/version=*").where(
-            F.col("version") > self.offset(consumer))
+        """Committed changes after the offset, with their ``version``; consumes nothing."""
+        after, upto = self.offset(consumer), self.last_version()
+        folders = [self._folder(v) for v in range(after + 1, upto + 1)]
+        nothing = not folders
+        rows = self.spark.read.option("basePath", self.path).parquet(*(folders or [self._folder(upto)]))
+        return rows.where(F.lit(False)) if nothing else rows
 
     def has_data(self, consumer: str) -> bool:
         return self.last_version() > 0 and not self.pending(consumer).isEmpty()
@@ -83,5 +94,6 @@ def apply_to_folder(spark: SparkSession, target: str, keys: Sequence[str], seq:
                 rewrite_partitions(spark, target, partition_by, changes,
                                    lambda rows: apply_changes(rows, changes, keys, order))
             else:
+                recover(spark, target)
                 replace(apply_changes(spark.read.parquet(target), changes, keys, order), target)
     return action

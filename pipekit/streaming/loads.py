@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,9 +26,6 @@ HISTORY_SCHEMA = (
     "file_name string, content_key string, status string, rows_parsed bigint, rows_loaded bigint, "
     "errors_seen bigint, first_error string, loaded_at timestamp_ntz, load_id string")
 
-# Fixed value: how long a loaded file is remembered.
-HISTORY_DAYS = 64
-
 
 @dataclass(frozen=True)
 class FileLoad:
@@ -46,6 +45,8 @@ class FileLoad:
     key: str = "name"
     on_error: str = "abort"
     purge_to: str | None = None
+    #: Days after which a loaded file is forgotten and may be loaded again; None: never.
+    remember_days: int | None = None
 
     def load_history(self) -> DataFrame:
         """One row per loaded file."""
@@ -54,7 +55,7 @@ class FileLoad:
         return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history)
 
     def pending(self, as_of: dt.datetime | None = None, force: bool = False) -> DataFrame:
-        """Files in the stage that are not in the history of the last 64 days."""
+        """Files in the stage that are not in the history, or not in that of the last ``remember_days``."""
         files = inventory(self.spark, self.stage.path, self.glob).withColumn(
             "file_name", relative_path("path", self.stage.path))
         if self.key == "content":
@@ -63,24 +64,30 @@ class FileLoad:
             files = files.withColumn("content_key", F.lit(None).cast("string"))
         if force or not path_exists(self.spark, self.history):
             return files
-        since = as_of_column(as_of or utc_now()) - F.make_dt_interval(F.lit(HISTORY_DAYS))
-        known = self.load_history().where(F.col("loaded_at") >= since)
+        known = self.load_history()
+        if self.remember_days is not None:
+            since = as_of_column(as_of or utc_now()) - F.make_dt_interval(F.lit(self.remember_days))
+            known = known.where(F.col("loaded_at") >= since)
         on = ["file_name", "content_key"] if self.key == "content" else ["file_name"]
         return missing_from(files, known, on)
 
     def run(self, load_id: str, as_of: dt.datetime | None = None, force: bool = False) -> DataFrame:
         """Load the pending files; gives the history rows of this load (none when nothing is new).
 
-        The list of new paths passes the driver, as every file listing of a Spark read does.
+        A ``load_id`` counts once: after a cut-short run it may be used again and replaces what that run left,
+        but a completed one is refused, since its folder holds rows that would be lost. The list of new paths
+        passes the driver, as every file listing of a Spark read does.
         """
         as_of = as_of or utc_now()
         files = self.pending(as_of, force)
         paths = [r["path"] for r in files.select("path").collect()]
         if not paths:
             return self.load_history().where(F.lit(False))
+        if path_exists(self.spark, f"{self.history}/load_id={load_id}/_SUCCESS"):
+            raise ValueError(f"load {load_id} is complete; new files need a load_id of their own")
         rows = (self.spark.read.schema(self._read_schema()).options(**self.stage.format.reader_options())
-                .option("mode", self._mode()).csv(paths))
-        keys = files.select("file_name", "content_key") if self.key == "content" else None
+                .option("mode", self._mode()).csv([re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]))
+        keys = files.select("file_name", "content_key")
         self._save(self._stamped(rows), load_id, as_of, keys)
         if self.purge_to:
             self._archive(paths, load_id)
@@ -105,7 +112,8 @@ class FileLoad:
                ) -> StreamingQuery:
         """The same load as a stream: new files are picked up, loaded ones skipped by the checkpoint.
 
-        The micro-batch number is the load id, so a batch that is run again replaces its own rows.
+        The load id is made of the checkpoint's own id and the micro-batch number, so a batch that is run again
+        replaces its own rows, and a new checkpoint replaces none.
         ``trigger`` is ``{"availableNow": True}`` (default) or ``{"processingTime": "1 minute"}``;
         ``after`` gets the rows and load id of each non-empty batch.
         """
@@ -120,7 +128,8 @@ class FileLoad:
         rows = self._stamped(reader.csv(self.stage.path))
 
         def save(batch: DataFrame, number: int) -> None:
-            load_id = f"{name}-{number:09d}"
+            run = json.loads(self.spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+            load_id = f"{name}-{run[:13]}-{number:09d}"
             self._save(batch, load_id, utc_now(), None)
             fresh = self.loaded().where(F.col("load_id") == load_id)
             if after is not None and not fresh.isEmpty():

@@ -1,5 +1,6 @@
 """Jobs and streams on small files: golden counts, repeat runs, one batch against several."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -48,11 +49,13 @@ def test_same_name_in_two_folders(spark, tmp_path):
     assert rows(load.load_history().select("file_name")) == [("d1/sales.csv",), ("d2/sales.csv",)]
 
 
-def test_history_is_kept_64_days(spark, tmp_path):
+def test_history_is_kept_as_long_as_asked(spark, tmp_path):
     load = load_of(spark, tmp_path)
     deliver(tmp_path / "stage", "a.csv", 1)
     load.run("l1", T1)
     assert load.pending(T1 + dt.timedelta(days=63)).isEmpty()
+    assert load.pending(T1 + dt.timedelta(days=4000)).isEmpty()
+    load = dataclasses.replace(load, remember_days=64)
     assert load.pending(T1 + dt.timedelta(days=65)).count() == 1
 
 

@@ -128,12 +128,13 @@ def test_inventory_and_content_keys(spark, tmp_path):
     assert keys["a.csv"] == keys["b.csv"] != keys["c.csv"]
 
 
-def test_large_files_get_a_line_digest(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(provenance, "WHOLE_FILE_BYTES", 3)
+def test_content_key_sees_line_order_and_repeats(spark, tmp_path):
     text_file(tmp_path / "a.csv", ["11", "22"])
-    text_file(tmp_path / "b.csv", ["11", "23"])
+    text_file(tmp_path / "b.csv", ["22", "11"])
+    text_file(tmp_path / "c.csv", ["11", "11"])
+    text_file(tmp_path / "d.csv", ["22", "22"])
     keys = [r["content_key"] for r in provenance.content_keys(spark, str(tmp_path)).collect()]
-    assert len(set(keys)) == 2
+    assert len(keys) == len(set(keys)) == 4
 
 
 def test_file_names_with_special_characters(spark, tmp_path):

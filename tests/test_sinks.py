@@ -82,7 +82,7 @@ def test_named_export_and_large_result(spark, tmp_path):
     wr.export_named(batch(spark, 50), folder, "staff.csv")
     assert [f.rsplit("/", 1)[-1] for f in list_files(spark, folder)] == ["staff.csv"]
     assert rows(scans.read_csv(spark, path, schema=SCHEMA).select(F.min("employee_id"))) == [(50,)]
-    big = wr.export_named(batch(spark, 0).repartition(3), folder, "big.csv", max_rows=2)
+    big = wr.export_named(batch(spark, 0).repartition(3), folder, "big.csv", layout="parts")
     assert count(spark, big) == 5 and len(list_files(spark, big)) > 1
     assert wr.stamped_name("emp", dt.datetime(2024, 1, 31, 23, 59, 58)) == "emp_20240131_235958.csv"
 
