@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,12 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, held]))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of finished queries stay until the driver collects its garbage; large ones should not wait."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(doc_id, folds: int) -> F.Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

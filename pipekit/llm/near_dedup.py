@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pipekit.llm.common import U64, components, filled, hash_words, mix, spans, split_words, text_slices
+from pipekit.llm.common import U64, components, filled, free_shuffles, hash_words, mix, spans, split_words, text_slices
 from pipekit.llm.tally import REQUEST, bucket_bits, packed, requests, tally, totals_of, unpacked
 from pipekit.session import durable
 
@@ -183,6 +183,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
         tally(asked).groupBy("chunk")).applyInArrow(_shared_bands, "chunk long, place long, node binary, band long"),
         "near-shared")
     banded = durable(shared.select("node", "band").distinct(), "near-bands")
+    free_shuffles(docs.sparkSession)
     # One order for all bands: a group of near copies meets few pivots, whichever bands its members share.
     drawn = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1")
     members = durable(banded.join(drawn, "band").select("band", "node", "pivot"), "near-members")
@@ -206,6 +207,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
             F.col("common") * 100 >= F.col("union") * percent).alias("linked")), "near-measured")
 
     met = measured(members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")), sets)
+    free_shuffles(docs.sparkSession)
     links = met.where("linked").select("a", "b")
     comps = durable(components(links, "near-comps"), "near-comp")
     # The pivot has met every member of its bucket. What is left are the others, across components.

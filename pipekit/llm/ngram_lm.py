@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pipekit.llm import tally
-from pipekit.llm.common import U64, fold_of, hash_words, mix, split_words, spans, text_slices
+from pipekit.llm.common import U64, fold_of, free_shuffles, hash_words, mix, split_words, spans, text_slices
 from pipekit.session import durable
 
 FOLDS = 5
@@ -152,6 +152,7 @@ def score(docs: DataFrame) -> DataFrame:
     tokens = chunks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, v: a + v))).first()[0] or 0
     bits = tally.bucket_bits(2 * tokens)
     replies = durable(tally.tally(chunks.mapInArrow(_asking(bits), tally.REQUEST)), "lm-replies")
+    free_shuffles(docs.sparkSession)
     vocabulary = replies.where(F.col("kind") == UNI).groupBy("bucket").agg(F.max("distinct").alias("n")).agg(
         F.sum("n")).first()[0] or 0
     vocabulary = max(0, vocabulary - 1)  # the start is no token
@@ -184,6 +185,8 @@ def score(docs: DataFrame) -> DataFrame:
         F.sum("n").alias("n"), F.sum("two").alias("two"), F.sum("one").alias("one"))
     grid = summed.select(F.shiftright("cell", 40).cast("int").alias("bucket"), "n", "two", "one").orderBy("bucket", "n", "two")
     weights = learn_weights(grid.toArrow(), uniform)
+    del summed, grid
+    free_shuffles(docs.sparkSession)
 
     def scored(_, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []

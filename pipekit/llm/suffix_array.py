@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pipekit.session import durable
+from pipekit.llm.common import free_shuffles
+from pipekit.session import durable, scratch, working_tables
 
 
 def _running(columns: list[str]):
@@ -65,6 +66,15 @@ def rank_keys(rows: DataFrame, keys: list[str], counts: dict[str, F.Column]) ->
 def suffix_ranks(strings: DataFrame, enough: int) -> DataFrame:
     """chunk, i, rank of every suffix of ``strings`` (chunk, i, name, cover; all long). The rank lies between the
     number of smaller suffixes and that plus the number of equal ones."""
+    spark = strings.sparkSession
+    path = scratch(spark, "sa-ranks")
+    with working_tables(spark):  # a level's tables go with it
+        _level(strings, enough).write.parquet(path)
+    free_shuffles(spark)
+    return spark.read.schema("chunk long, i long, rank long").parquet(path)
+
+
+def _level(strings: DataFrame, enough: int) -> DataFrame:
     order = Window.partitionBy("chunk").orderBy("i")
     rows = durable(strings.select(
         "chunk", "i", "name", F.lead("name", 1, 0).over(order).alias("n1"), F.lead("name", 2, 0).over(order).alias("n2"),
@@ -94,4 +104,4 @@ def suffix_ranks(strings: DataFrame, enough: int) -> DataFrame:
         F.col("r") + F.col("zeros")).alias("part"))
     second = with_two.select("chunk", "i", F.when(kind == 0, F.col("twos")).otherwise(
         F.col("r") + F.col("zeros")).alias("part"))
-    return durable(first.union(second).groupBy("chunk", "i").agg(F.sum("part").alias("rank")), "sa-ranks")
+    return first.union(second).groupBy("chunk", "i").agg(F.sum("part").alias("rank")).select("chunk", "i", "rank")

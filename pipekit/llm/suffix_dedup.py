@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from pipekit.llm import tally
-from pipekit.llm.common import U64, filled, mix, spans, text_slices
+from pipekit.llm.common import U64, filled, free_shuffles, mix, spans, text_slices
 from pipekit.llm.suffix_array import suffix_ranks
 from pipekit.session import durable, scratch, working_tables
 
@@ -179,7 +179,7 @@ class Anchors:
     def __init__(self, row: dict):
         self.chunk = row["chunk"]
         self.at, self.next, self.low, self.high = (tally.unpacked(row[c], np.int32).astype(np.int64) for c in PLACES)
-        self.gram, self.name, self.after = (tally.unpacked(row[c], U64) for c in HASHES)
+        self.gram, self.name, self.after = (tally.unpacked(row[c], U64) if row.get(c) else None for c in HASHES)
         self.grams = np.unique(self.gram[self.gram > 0])
 
     def spread(self, per_gram: np.ndarray) -> np.ndarray:
@@ -279,8 +279,9 @@ def _settled(strings: DataFrame) -> DataFrame:
     return durable(pairs.groupBy("chunk").agg(F.collect_set("anchor").alias("settled")), "sx-settled")
 
 
-def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(chunks of ``docs`` (text, and the struct rest that goes along), starts of the repeated windows of each chunk)."""
+def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(chunks of ``docs`` (text, and the struct rest that goes along), windows of each chunk that are settled or
+    counted, answers to the counted ones)."""
     schema = StructType([StructField("chunk", LongType()), StructField("rest", ArrayType(docs.schema["rest"].dataType)),
                          StructField("lengths", ArrayType(LongType())), StructField("data", BinaryType())])
     chunks = durable(docs.select("text", "rest").mapInArrow(_chunks, schema), "sx-chunks")
@@ -289,7 +290,9 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bits = tally.bucket_bits(size // 64)
     grams = durable(tally.tally(anchors.mapInArrow(_ask_grams(bits), tally.REQUEST)), "sx-grams")
     strings = durable(anchors.groupBy("chunk").cogroup(grams.groupBy("chunk")).applyInArrow(_strings, STRINGS), "sx-strings")
-    facts = durable(anchors.join(_settled(strings), "chunk", "left"), "sx-facts")
+    free_shuffles(docs.sparkSession)
+    facts = durable(anchors.select("chunk", *PLACES, "gram").join(_settled(strings), "chunk", "left"), "sx-facts")
+    free_shuffles(docs.sparkSession)
 
     def ask_open(_, left: pa.Table, right: pa.Table) -> pa.Table:
         """Anchor strings with a window that is not settled, here or elsewhere."""
@@ -322,44 +325,38 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     plans = durable(facts.groupBy("chunk").cogroup(grams.union(opened).groupBy("chunk")).applyInArrow(
         plan, "chunk long, yes binary, counted binary"), "sx-plans")
-    hashed = durable(chunks.select("chunk", "data").join(plans, "chunk").mapInArrow(
-        _window_hashes, "chunk long, yes binary, counted binary, hashes binary"), "sx-hashes")
     many = tally.bucket_bits(size // 4)
-    counts = durable(tally.tally(hashed.select("chunk", "hashes").mapInArrow(_ask_windows(many), tally.REQUEST)), "sx-counts")
-    at = hashed.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(_starts, "chunk long, starts binary")
-    return chunks, durable(at, "sx-starts")
+    asked = chunks.select("chunk", "data").join(plans, "chunk").mapInArrow(_ask_windows(many), tally.REQUEST)
+    counts = durable(tally.tally(asked), "sx-counts")
+    del asked
+    free_shuffles(docs.sparkSession)
+    return chunks, plans, counts
 
 
-def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            data, starts = tally.unpacked(row["data"], np.uint8), numbers_of(row["counted"])
-            hashes = range_hashes(data, starts, np.full(len(starts), LENGTH))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["chunk"]], pa.int64()), *[pa.array([x], pa.binary()) for x in (
-                    row["yes"], row["counted"], hashes.tobytes())]], names=["chunk", "yes", "counted", "hashes"])
+def _window_hashes(row: dict, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows to be counted."""
+    starts = numbers_of(row["counted"])
+    return starts, range_hashes(data, starts, np.full(len(starts), LENGTH))
 
 
 def _ask_windows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys, counts = np.unique(np.frombuffer(row["hashes"], dtype=U64), return_counts=True)
+                _, hashes = _window_hashes(row, tally.unpacked(row["data"], np.uint8))
+                keys, counts = np.unique(hashes, return_counts=True)
                 if len(keys):
                     yield tally.requests(row["chunk"], WINDOW, keys, counts.astype(np.uint32)[:, None], bits)
     return run
 
 
-def _starts(_, left: pa.Table, right: pa.Table) -> pa.Table:
-    found = []
-    for row in left.to_pylist():
-        places, hashes = numbers_of(row["counted"]), np.frombuffer(row["hashes"], dtype=U64)
-        keys = np.unique(hashes)
-        twice = tally.totals_of(right, WINDOW, 1)[:, 0] > 1
-        more = places[twice[np.searchsorted(keys, hashes)]] if len(keys) else places
-        found.append((row["chunk"], rolled(np.union1d(numbers_of(row["yes"]), more))))
-    return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()),
-                     "starts": pa.array([s for _, s in found], pa.binary())})
+def _starts(row: dict, data: np.ndarray, counts: pa.Table) -> np.ndarray:
+    """Starts of all repeated windows of a chunk."""
+    places, hashes = _window_hashes(row, data)
+    keys = np.unique(hashes)
+    twice = tally.totals_of(counts, WINDOW, 1)[:, 0] > 1
+    more = places[twice[np.searchsorted(keys, hashes)]] if len(keys) else places
+    return np.union1d(numbers_of(row["yes"]), more)
 
 
 def _no_request() -> pa.Table:
@@ -376,33 +373,35 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     """
     given = docs.select(F.col("text").cast("string").alias("text"), F.struct(*[docs[c] for c in docs.columns
                                                                                if c != "text"]).alias("rest"))
-    chunks, found = repeats(given)
+    chunks, plans, counts = repeats(given)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, row in enumerate(batch.select(["lengths", "data", "starts"]).to_pylist()):
-                data, lengths = tally.unpacked(row["data"], np.uint8), np.array(row["lengths"], dtype=np.int64)
-                at = spans(lengths)
-                edge = np.zeros(len(data) + 1, dtype=np.int64)
-                begins = numbers_of(row["starts"]) if row["starts"] else np.zeros(0, dtype=np.int64)
-                edge[begins] += 1
-                np.add.at(edge, begins + LENGTH, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                first = gone.copy()
-                first[1:] &= ~gone[:-1]
-                inner = at[:-1][lengths > 0]
-                first[inner] = gone[inner]  # runs end with their text
-                removed, runs = (np.concatenate([[0], np.cumsum(x)])[at] for x in (gone, first))
-                kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("rest").slice(number, 1).flatten(), pa.array(lengths), pa.array(np.diff(removed)),
-                     pa.array(np.diff(runs)), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-                     pa.array([k.decode(errors="ignore") for k in kept], pa.string())], names=names)
+    def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for number, row in enumerate(left.select(["lengths", "data", "yes", "counted"]).to_pylist()):
+            data, lengths = tally.unpacked(row["data"], np.uint8), np.array(row["lengths"], dtype=np.int64)
+            at = spans(lengths)
+            edge = np.zeros(len(data) + 1, dtype=np.int64)
+            begins = _starts(row, data, right)
+            edge[begins] += 1
+            edge[begins + LENGTH] -= 1
+            gone = np.cumsum(edge[:-1]) > 0
+            first = gone.copy()
+            first[1:] &= ~gone[:-1]
+            inner = at[:-1][lengths > 0]
+            first[inner] = gone[inner]  # runs end with their text
+            removed, runs = (np.concatenate([[0], np.cumsum(x)])[at] for x in (gone, first))
+            kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+            rest = left.column("rest").slice(number, 1).combine_chunks().flatten()
+            out.append(pa.Table.from_arrays(
+                [rest, pa.array(lengths), pa.array(np.diff(removed)), pa.array(np.diff(runs)),
+                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
+                 pa.array([k.decode(errors="ignore") for k in kept], pa.string())], names=names))
+        return pa.concat_tables(out)
 
     names = ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
     schema = StructType([given.schema["rest"], *[StructField(n, LongType()) for n in names[1:4]],
                          *[StructField(n, StringType()) for n in names[4:]]])
-    return chunks.join(found, "chunk", "left").select("rest", "lengths", "data", "starts").mapInArrow(cut, schema)
+    return chunks.join(plans, "chunk").groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(cut, schema)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
