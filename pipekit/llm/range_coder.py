@@ -89,7 +89,8 @@ class _Decoder:
         if len(out):
             lane = rows[out]
             gap[out] = (gap[out] << _WORD) | self.words[lane, self.at[lane]]
-            self.at[lane] += 1
+            # A damaged block may ask for more words than there are; its checksum will tell.
+            self.at[lane] = np.minimum(self.at[lane] + 1, self.words.shape[1] - 1)
             size[out] <<= _WORD
         self.gap[rows], self.range[rows] = gap, size
 
