@@ -55,13 +55,14 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
+                most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to some megabytes of text; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        cut = np.cumsum(lengths, dtype=np.int64) // SLICE_BYTES
+        cut = np.cumsum(lengths, dtype=np.int64) // most
         edges = np.flatnonzero(np.diff(cut)) + 1
         for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
             yield batch.slice(a, b - a)

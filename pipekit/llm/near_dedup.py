@@ -13,6 +13,7 @@ holds leave room for a link: these bounds are exact, and no pair inside a known
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pipekit.session import durable
 SHINGLE = 5
 BINS = 128
 BAND_ROWS = 4
+MAP_WORDS = 16
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -163,6 +165,20 @@ def _shingle_sets(width: int):
     return run
 
 
+def _bit_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each set: the places its shingles hash to, 64 to a column, and how many shingles it has beyond its places."""
+    for batch in batches:
+        lists = batch.column("shingles")
+        values = mix(lists.flatten().to_numpy().view(U64) + U64(41))
+        row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+        filled_ = np.zeros((batch.num_rows, MAP_WORDS * 64), dtype=bool)
+        filled_[row, (values % U64(MAP_WORDS * 64)).astype(np.int64)] = True
+        maps = np.packbits(filled_, axis=1, bitorder="little").view("<i8")
+        more = np.diff(lists.offsets.to_numpy()) - filled_.sum(axis=1)
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(more), *[pa.array(m) for m in maps.T.copy()]],
+                                         names=["node", "more", *[f"m{k}" for k in range(MAP_WORDS)]])
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -224,13 +240,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
         F.count("*").alias("own"))
     sized = rest.join(nodes.select("node", "n"), "node").join(own, F.xxhash64("node") == F.col("id"), "left").withColumn(
         "most", F.col("n") - F.coalesce("own", F.lit(0))).where(F.col("most") * 100 >= F.col("n") * percent)
-    sized = durable(sized.select("band", "node", "dist", "comp", "n", "most"), "near-sized")
-    x, y = (sized.select("band", *[F.col(c).alias(c + k) for c in ("node", "dist", "comp", "n", "most")]) for k in "xy")
+    maps = open_sets.mapInArrow(_bit_maps, "node binary, more long, " + ", ".join(f"m{k} long" for k in range(MAP_WORDS)))
+    bits = [f"m{k}" for k in range(MAP_WORDS)]
+    held = ["node", "dist", "comp", "n", "most", "more", *bits]
+    sized = durable(sized.join(maps, "node").select("band", *held), "near-sized")
+    x, y = (sized.select("band", *[F.col(c).alias(c + k) for c in held]) for k in "xy")
     # Jaccard distance is a metric: rows whose distances to the pivot differ by more than a link cannot link.
     reach = 1 - percent / 100 + 1e-9
     common = F.least("mostx", "mosty")
+    # Places of a bit map that both fill, and what either has beyond one for each place, bound the intersection too.
+    places = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{c}x").bitwiseAND(F.col(f"{c}y"))) for c in bits])
+    tight = places + F.least("morex", "morey")
     near = (F.col("distx").isNull() | F.col("disty").isNull() | (F.abs(F.col("distx") - F.col("disty")) <= reach)) & (
-        common * 100 >= (F.col("nx") + F.col("ny") - common) * percent)
+        common * 100 >= (F.col("nx") + F.col("ny") - common) * percent) & (
+        tight * 100 >= (F.col("nx") + F.col("ny") - tight) * percent)
     met = measured(x.join(y, "band").where((F.col("compx") < F.col("compy")) & near).select(
         F.col("nodex").alias("a"), F.col("nodey").alias("b")), open_sets)
     links = links.union(met.where("linked").select("a", "b"))

@@ -39,6 +39,7 @@ MARGIN = 2048
 FACTOR = 0x9E3779B97F4A7C15 | 1
 ANCHOR, OPEN, WINDOW = 0, 1, 2
 STRIDE_BITS = 26
+CHUNK_BYTES = 3 << 20
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,6 +96,19 @@ def window_anchors(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndar
         yield at + start, (key[at] & U64(0xFFFFF)).astype(np.int64) + start, rolling, start
 
 
+def anchor_windows(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchors, first window of each, number of its windows, which follow each other)."""
+    found = [np.zeros((3, 0), dtype=np.int64)]
+    for start, anchor, _, _ in window_anchors(data, ends):
+        if len(anchor):
+            cut = np.append(0, np.flatnonzero(np.diff(anchor)) + 1)
+            found.append(np.stack([anchor[cut], start[cut], np.diff(np.append(cut, len(anchor)))]))
+    anchor, start, many = np.concatenate(found, axis=1)
+    # An anchor at the edge of a segment has windows in both.
+    inner, first, of = np.unique(anchor, return_index=True, return_inverse=True)
+    return inner, start[first], np.bincount(of, weights=many, minlength=len(inner)).astype(np.int64)
+
+
 def range_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     out = np.zeros(len(starts), dtype=U64)
     for start, piece in pieces(data):
@@ -106,7 +120,7 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk = TaskContext.get().partitionId() << 20
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, most=CHUNK_BYTES):
         texts = [x.encode() for x in filled(batch.column("text")).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk], pa.int64()),
@@ -128,11 +142,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             data, ends = tally.unpacked(row["data"], np.uint8), np.cumsum(row["lengths"], dtype=np.int64)
-            # The windows of an anchor follow each other: their first and their number.
-            found = [(a, s) for s, a, _, _ in window_anchors(data, ends)]
-            none = np.zeros(0, dtype=np.int64)
-            window, anchor = (np.concatenate([none, *[f[k] for f in found]]) for k in (1, 0))
-            inner, first, many = np.unique(anchor, return_index=True, return_counts=True)
+            inner, first, many = anchor_windows(data, ends)
             begins = (ends - row["lengths"])[np.array(row["lengths"]) >= LENGTH]
             at = np.union1d(inner, begins)
             end = ends[np.searchsorted(ends, at, "right")] if len(at) else at
@@ -144,7 +154,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             by_content = np.isin(at, inner)
             gram[~by_content] = 0
             low, high = np.zeros(len(at), dtype=np.int64), np.full(len(at), -1, dtype=np.int64)
-            low[by_content], high[by_content] = window[first], window[first] + many - 1
+            low[by_content], high[by_content] = first, first + many - 1
             phrase = range_hashes(data, at, following - at)
             after = range_hashes(data, at, np.minimum(following + LENGTH - 1, end) - at)
             with np.errstate(over="ignore"):

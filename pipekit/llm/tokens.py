@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pipekit.llm.common import filled, spans
 
 WORDS_AT_ONCE = 128
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 
 
 @lru_cache(maxsize=2)
@@ -23,22 +23,21 @@ def load(path: str) -> tuple:
     return Tokenizer.from_file(path), {}
 
 
-def _word_ids(words: list[str], tokenizer, cache: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """Ids of each word. Unknown words are encoded many at a time, as one text of words with a blank between."""
+def _word_ids(words: list[str], tokenizer, cache: dict[str, bytes]) -> list[bytes]:
+    """Ids of each word, as little-endian 32-bit numbers. Unknown words are encoded many at a time, as one text with
+    a blank between; the first CACHED_WORDS short ones of a worker are remembered."""
     out = [cache.get(w) for w in words]
     unknown = [k for k, ids in enumerate(out) if ids is None]
-    if len(cache) + len(unknown) > CACHED_WORDS:
-        cache.clear()
     for first in range(0, len(unknown), WORDS_AT_ONCE):
         some = unknown[first:first + WORDS_AT_ONCE]
         got = tokenizer.encode(" ".join([words[k] for k in some]), add_special_tokens=False)
-        ids = np.array(got.ids, dtype=np.uint32)
+        ids = np.array(got.ids, dtype="<u4").tobytes()
         starts = spans(np.array([len(words[k]) + 1 for k in some]))
-        cuts = np.searchsorted([x[0] for x in got.offsets], starts)
+        cuts = (4 * np.searchsorted(np.fromiter((x[0] for x in got.offsets), dtype=np.int64), starts)).tolist()
         for k, a, b in zip(some, cuts[:-1], cuts[1:], strict=True):
             out[k] = ids[a:b]
             if len(words[k]) < 24 and len(cache) < CACHED_WORDS:
-                cache[words[k]] = out[k].copy()
+                cache[words[k]] = out[k]
     return out
 
 
@@ -53,8 +52,8 @@ def encode(texts: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarray
     offsets = parts.offsets.to_numpy().astype(np.int64)
     coded = parts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     words = _word_ids(coded.dictionary.to_pylist(), tokenizer, cache)
-    lengths = np.array([*map(len, words), 1], dtype=np.int64)
-    flat = np.concatenate([*words, np.array([end], dtype=np.uint32)])
+    lengths = np.array([*map(len, words), 4], dtype=np.int64) // 4
+    flat = np.append(np.frombuffer(b"".join(words), dtype="<u4"), np.uint32(end))
     starts = spans(lengths)[:-1]
     ends = offsets[1:] - offsets[0]
     codes = np.insert(coded.indices.to_numpy().astype(np.int64), ends, len(words))
