@@ -37,26 +37,35 @@ CHUNK = "chunk long, doc_ids array<long>, lengths array<int>, words binary, code
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of a slice as one row: word keys, and for each document the codes of start, words, end."""
+    """Documents of a slice as two rows, those of the deleted fold by themselves under an odd number: word keys, and
+    for each document the codes of start, words, end."""
     chunk = TaskContext.get().partitionId() << 32
-    for batch in text_slices(batches):
-        words, codes, counts = split_words(batch.column("text"))
-        keys, place = np.unique(np.concatenate([mix(hash_words(words)), mix(np.array([START, END]))]), return_inverse=True)
-        ends = np.cumsum(counts)
-        codes = place[codes] if len(codes) else codes
-        framed = np.insert(codes, np.repeat(np.concatenate([[0], ends]), [1, *[2] * (len(ends) - 1), 1]),
-                           [place[-2], *[place[-1], place[-2]] * (len(ends) - 1), place[-1]])
-        # Frequent words get small numbers, which pack well.
-        often = np.argsort(-np.bincount(framed, minlength=len(keys)), kind="stable")
-        rank = np.empty_like(often)
-        rank[often] = np.arange(len(often))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([chunk], pa.int64()), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-             pa.array([(counts + 2).tolist()], pa.list_(pa.int32())),
-             pa.array([tally.packed(keys[often])], pa.binary()),
-             pa.array([tally.packed(rank[framed].astype(np.uint32))], pa.binary())],
-            names=["chunk", "doc_ids", "lengths", "words", "codes"])
-        chunk += 1
+    for whole in text_slices(batches):
+        deleted = np.array([fold_of(d, FOLDS) == DELETED for d in whole.column("doc_id").to_pylist()])
+        for odd in (0, 1):
+            part = whole.filter(pa.array(deleted == bool(odd)))
+            if part.num_rows:
+                yield _chunk(part, chunk + odd)
+        chunk += 2
+
+
+def _chunk(batch: pa.RecordBatch, chunk: int) -> pa.RecordBatch:
+    words, codes, counts = split_words(batch.column("text"))
+    keys, place = np.unique(np.concatenate([mix(hash_words(words)), mix(np.array([START, END]))]), return_inverse=True)
+    ends = np.cumsum(counts)
+    codes = place[codes] if len(codes) else codes
+    framed = np.insert(codes, np.repeat(np.concatenate([[0], ends]), [1, *[2] * (len(ends) - 1), 1]),
+                       [place[-2], *[place[-1], place[-2]] * (len(ends) - 1), place[-1]])
+    # Frequent words get small numbers, which pack well.
+    often = np.argsort(-np.bincount(framed, minlength=len(keys)), kind="stable")
+    rank = np.empty_like(often)
+    rank[often] = np.arange(len(often))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([chunk], pa.int64()), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+         pa.array([(counts + 2).tolist()], pa.list_(pa.int32())),
+         pa.array([tally.packed(keys[often])], pa.binary()),
+         pa.array([tally.packed(rank[framed].astype(np.uint32))], pa.binary())],
+        names=["chunk", "doc_ids", "lengths", "words", "codes"])
 
 
 class Chunk:
@@ -180,12 +189,12 @@ def score(docs: DataFrame) -> DataFrame:
         return pa.table({"cell": cell.astype(np.int64), "n": n.astype(np.int64), "two": two.astype(float),
                          "one": one.astype(float)})
 
-    both = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk"))
-    summed = both.applyInArrow(cells, "cell long, n long, two double, one double").groupBy("cell").agg(
+    odd = [x.where("chunk % 2 = 1").groupBy("chunk") for x in (chunks, replies)]
+    summed = odd[0].cogroup(odd[1]).applyInArrow(cells, "cell long, n long, two double, one double").groupBy("cell").agg(
         F.sum("n").alias("n"), F.sum("two").alias("two"), F.sum("one").alias("one"))
     grid = summed.select(F.shiftright("cell", 40).cast("int").alias("bucket"), "n", "two", "one").orderBy("bucket", "n", "two")
     weights = learn_weights(grid.toArrow(), uniform)
-    del summed, grid
+    del summed, grid, odd
     free_shuffles(docs.sparkSession)
 
     def scored(_, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -205,5 +214,6 @@ def score(docs: DataFrame) -> DataFrame:
                 "score": pa.array(np.bincount(doc, weights=p, minlength=n))}))
         return pa.concat_tables(out) if out else None
 
+    both = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk"))
     return both.applyInArrow(scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                      "base_score double, score double")

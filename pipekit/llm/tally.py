@@ -31,6 +31,17 @@ def unpacked(data: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=dtype)
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, byte by byte, so that the high bytes, mostly 0, take no room."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return packed(steps.view(np.uint8).reshape(-1, 8).T)
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    planes = unpacked(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64)[:, 0], dtype=np.uint64)
+
+
 def requests(chunk: int, kind: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     """Rows of :data:`REQUEST` for sorted distinct ``keys`` (uint64) and their ``counts`` (rows of uint32 columns)."""
     bounds = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
@@ -38,13 +49,13 @@ def requests(chunk: int, kind: int, keys: np.ndarray, counts: np.ndarray, bits:
     n = len(some)
     return pa.RecordBatch.from_arrays(
         [pa.array([chunk] * n, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array(some, pa.int32()),
-         pa.array([keys[bounds[k]:bounds[k + 1]].tobytes() for k in some], pa.binary()),
+         pa.array([packed_keys(keys[bounds[k]:bounds[k + 1]]) for k in some], pa.binary()),
          pa.array([packed(counts[bounds[k]:bounds[k + 1]]) for k in some], pa.binary())],
         names=["chunk", "kind", "bucket", "keys", "counts"])
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    keys = [np.frombuffer(x, dtype=np.uint64) for x in table.column("keys").to_pylist()]
+    keys = [unpacked_keys(x) for x in table.column("keys").to_pylist()]
     sizes = np.array([len(k) for k in keys])
     counts = np.concatenate([unpacked(c, np.uint32).reshape(n, -1) for c, n in zip(
         table.column("counts").to_pylist(), sizes, strict=True)])
