@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the characters a file or object name may hold.
 SAFE_NAME = r"^[A-Za-z0-9._/-]+$"
 
 

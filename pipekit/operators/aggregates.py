@@ -34,7 +34,8 @@ def tolerant_sum(df: DataFrame, column: str | Column, name: str = "total") -> Da
 
 
 def latest_row(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """The row with the highest ``order`` values, overall or per group; no sort, no window."""
+    """The row with the highest ``order`` values, overall or per group. No window: each side
+    of the shuffle sorts by the group and keeps one row of it."""
     key = F.struct(*order) if len(order) > 1 else F.col(order[0])
     rest = [c for c in df.columns if c not in by]
     best = df.groupBy(*by).agg(F.max_by(F.struct(*rest), key).alias("__row"))

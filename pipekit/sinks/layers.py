@@ -53,7 +53,7 @@ def to_dated(df: DataFrame, root: str, ts: str | Column, spread: Sequence[str] =
 
 
 def mark_complete(spark: SparkSession, folder: str, name: str, content: str = "") -> str:
-    """Leave ``_status/<name>_SUCCESS``; readers skip folders that start with an underscore."""
+    """Leave ``_status/<name>_SUCCESS`` (fixed value); readers skip folders that start with an underscore."""
     make_dirs(spark, f"{folder}/_status")
     marker = f"{folder}/_status/{name}_SUCCESS"
     write_text(spark, marker, content)

@@ -65,10 +65,11 @@ def bad_rows(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], *,
-              schema: T.StructType | str | None = None, multi_line: bool = False) -> DataFrame:
+              schema: T.StructType | str | None = None, multi_line: bool = False, on_error: str = "abort") -> DataFrame:
     """JSON lines, a one-line array (one row per element), or pretty-printed files with
-    ``multi_line`` (each such file is read by one task)."""
-    reader = spark.read.option("multiLine", multi_line)
+    ``multi_line`` (each such file is read by one task). A malformed record ends the scan, or is left out
+    (``continue``), or becomes a row of NULLs (``report``)."""
+    reader = spark.read.option("multiLine", multi_line).option("mode", ON_ERROR[on_error])
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path if isinstance(path, str) else list(path))
@@ -112,7 +113,7 @@ def read_directory(spark: SparkSession, path: str, schemas: Mapping[str, T.Struc
                    ) -> dict[str, DataFrame]:
     """All known formats of a mixed folder: one DataFrame per format, for its files of any case.
 
-    Unknown extensions are skipped. Keys are csv, json, txt, parquet, xlsx.
+    Unknown extensions are skipped. Keys are csv, json, txt, parquet, xlsx. JSON may be pretty-printed.
     """
     from pipekit.sources.workbook import read_workbooks
     schemas = schemas or {}
@@ -126,11 +127,11 @@ def read_directory(spark: SparkSession, path: str, schemas: Mapping[str, T.Struc
         if kind in ("csv", "txt"):
             out[kind] = read_csv(spark, files, schema=schema, infer=schema is None)
         elif kind == "json":
-            out[kind] = read_json(spark, files, schema=schema, multi_line=schema is None)
+            out[kind] = read_json(spark, files, schema=schema, multi_line=True)
         elif kind == "parquet":
             out[kind] = read_parquet(spark, files)
-        elif kind in ("xlsx", "xls"):
-            out["xlsx"] = read_workbooks(spark, files, schema)
+        elif kind == "xlsx":
+            out[kind] = read_workbooks(spark, files, schema)
     return out
 
 

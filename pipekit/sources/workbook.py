@@ -89,7 +89,7 @@ def read_workbooks(spark: SparkSession, path: str | Sequence[str], schema: T.Str
                    ) -> DataFrame:
     """All workbooks of a folder or list. Without a schema the header of the first one is used and all
     columns are strings."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]").load(
         path if isinstance(path, str) else list(path))
     if schema is None:
         first = files.orderBy("path").limit(1).mapInPandas(
