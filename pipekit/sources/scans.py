@@ -110,10 +110,12 @@ def read_tables(spark: SparkSession, paths: Mapping[str, str], fmt: FileFormat =
 
 
 def read_directory(spark: SparkSession, path: str, schemas: Mapping[str, T.StructType | str] | None = None,
-                   ) -> dict[str, DataFrame]:
+                   pretty_json: bool | None = None) -> dict[str, DataFrame]:
     """All known formats of a mixed folder: one DataFrame per format, for its files of any case.
 
-    Unknown extensions are skipped. Keys are csv, json, txt, parquet, xlsx. JSON may be pretty-printed.
+    Unknown extensions are skipped. Keys are csv, json, txt, parquet, xlsx. JSON files hold one document each with
+    ``pretty_json``, else a record on each line; without a word, they do where no schema is given. A file of the
+    other kind ends the scan.
     """
     from pipekit.sources.workbook import read_workbooks
     schemas = schemas or {}
@@ -127,7 +129,8 @@ def read_directory(spark: SparkSession, path: str, schemas: Mapping[str, T.Struc
         if kind in ("csv", "txt"):
             out[kind] = read_csv(spark, files, schema=schema, infer=schema is None)
         elif kind == "json":
-            out[kind] = read_json(spark, files, schema=schema, multi_line=True)
+            out[kind] = read_json(spark, files, schema=schema, multi_line=(
+                schema is None) if pretty_json is None else pretty_json)
         elif kind == "parquet":
             out[kind] = read_parquet(spark, files)
         elif kind == "xlsx":
