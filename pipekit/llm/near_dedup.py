@@ -268,6 +268,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group; documents without words stay."""
-    marks = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(marks, docs.doc_id.eqNullSafe(marks["_kept_id"]), "left_semi")
+    """``docs`` with one row of each group: that of the smallest doc_id (a null one last), then the first in order;
+    rows without words stay. Rows count one by one, also where they share a doc_id or have none."""
+    # Groups are made over row numbers: each row is a node of its own, and one without words a group of its own.
+    numbered = durable(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    groups = near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), **options).select(
+        F.col("doc_id").alias("__row"), "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    chosen = numbered.select("__row", "doc_id").join(groups, "__row").groupBy("component_id").agg(
+        F.min(rank).alias("first")).select("first.__row")
+    return numbered.join(chosen, "__row", "left_semi").select(*docs.columns)

@@ -188,6 +188,21 @@ def test_near_duplicates(spark, docs, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    rng = random.Random(8)
+    a, b, c, d = (prose(rng, 120) for _ in range(4))
+    # A repeated row, an id whose other row is a near copy of a smaller id, copies without an id, rows without words.
+    data = [(5, a, "s"), (5, a, "s"), (6, b, "s"), (7, b + " tail", "s"), (7, c, "s"), (None, d, "s"), (None, d, "t"),
+            (None, d, "s"), (8, "", "s"), (8, None, "s"), (None, " ", "s"), (None, None, "s")]
+    kept = near_dedup.keep_one(spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3))
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    wordless = [(8, ""), (8, None), (None, " "), (None, None)]
+    assert got == Counter([(5, a), (6, b), (7, c), (None, d), *wordless])
+    left = suffix_dedup.without_repeats(kept)
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect() if (r["text"] or "").strip()) == Counter(
+        [(5, a), (6, b), (7, c), (None, d)])
+
+
 def test_sketches_fill_and_estimate():
     rng = np.random.default_rng(1)
     a = rng.integers(1, 1 << 62, 300).astype(np.uint64)
