@@ -83,12 +83,15 @@ def fact_from_flat(flat: DataFrame, dims: Mapping[str, DataFrame], specs: Sequen
 def load_fact(staged: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str]]],
               columns: Mapping[str, Column], existing: DataFrame | None = None,
               on: Sequence[str] = (), how: str = "inner", skewed: bool = False,
-              check: bool = True) -> DataFrame:
+              check: bool = True, null_safe: bool = False) -> DataFrame:
     """Fact rows by key lookups. With ``existing``, rows whose ``on`` columns are already there are
-    left out before the lookups, so a second run adds nothing."""
+    left out before the lookups, so a second run adds nothing. ``null_safe`` finds members with NULL
+    columns too, as :func:`load_dimension` adds them."""
     rows = staged if existing is None else missing_from(staged, existing, on)
     for dim, keys in lookups:
         if check:
-            assert_unique(dim, keys, "lookup side")
-        rows = lookup_join(rows, dim, keys, how, skewed)
+            # A struct is never NULL itself, so members with NULL columns are checked too where they can be found.
+            assert_unique(dim.select(F.struct(*keys).alias("key")) if null_safe else dim,
+                          ["key"] if null_safe else keys, "lookup side")
+        rows = lookup_join(rows, dim, keys, how, skewed, null_safe=null_safe)
     return rows.select(*[c.alias(name) for name, c in columns.items()])

@@ -44,18 +44,26 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], share: int = HEAVY_SHARE) ->
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "inner",
                 skewed: bool = False, heavy: DataFrame | None = None, share: int = HEAVY_SHARE,
-                small_rows: int = SMALL_ROWS) -> DataFrame:
+                small_rows: int = SMALL_ROWS, null_safe: bool = False) -> DataFrame:
     """Equi-join of many rows to a side that is unique on the key.
 
     Without ``skewed`` this is a plain join: Spark broadcasts the right side when its size allows, else
     shuffles and splits skewed partitions at run time. With ``skewed``, a right side that proves small
     is broadcast. Beyond that, rows of heavy keys (``heavy`` if already known) meet the few right rows
     they need by broadcast and are never shuffled, and the rest is joined by shuffle. All ways give the
-    same rows.
+    same rows. With ``null_safe`` NULL equals NULL, and a NULL key can be a heavy one as any other.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left"):
         raise ValueError("lookup_join supports inner and left")
+    if null_safe:
+        # As in missing_from: one struct key, never NULL itself.
+        key = F.struct(*on)
+        if heavy is not None:
+            heavy = heavy.select(key.alias("__key"))
+        out = lookup_join(left.withColumn("__key", key), right.withColumn("__key", key).drop(*on), "__key", how,
+                          skewed, heavy, share, small_rows)
+        return out.select(*on, *[c for c in out.columns if c not in ("__key", *on)])
     if not skewed:
         return left.join(right, on, how)
     if small_rows and is_small(right, small_rows):

@@ -286,7 +286,8 @@ def insert_change_images(spark, sf):
 
 def _star(spark, name):
     dims = {"customers": ("customer_key", ["customer_name", "nation"]), "priorities": ("priority_key", ["priority"])}
-    return jobs.Star(scratch(spark, name), dims, "fact", ["order_id"], {"amount": "amount"})
+    return jobs.Star(scratch(spark, name), dims, "fact", ["order_id"], {"amount": "amount"},
+                     null_safe=True)
 
 
 _SALES_TYPE = T.StructType().add("order_id", T.LongType()).add("customer_name", T.StringType()).add(

@@ -176,6 +176,30 @@ def star_load(spark, sf):
     return jobs.load_star(_sales(spark, sf), _DIMS, ["order_id"], _MEASURES)["fact"]
 
 
+@query("fact_null_member", "FT2 DM2 J2 SP4 PL8", """
+    WITH s AS (SELECT o_orderkey AS order_id, c_name AS customer_name, CASE WHEN c_nationkey % 4 > 0 THEN n_name END AS nation,
+               CASE WHEN o_custkey % 3 > 0 THEN o_orderpriority END AS priority, o_totalprice AS amount
+               FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+    c AS (SELECT customer_name, nation, row_number() OVER (ORDER BY customer_name, nation NULLS FIRST) AS customer_key
+          FROM (SELECT DISTINCT customer_name, nation FROM s)),
+    p AS (SELECT priority, row_number() OVER (ORDER BY priority NULLS FIRST) AS priority_key FROM (SELECT DISTINCT priority FROM s))
+    SELECT 'safe' AS mode, order_id, customer_key, priority_key, amount FROM s
+    JOIN c ON s.customer_name = c.customer_name AND s.nation IS NOT DISTINCT FROM c.nation
+    JOIN p ON s.priority IS NOT DISTINCT FROM p.priority
+    UNION ALL SELECT 'plain', order_id, customer_key, priority_key, amount FROM s
+    JOIN c ON s.customer_name = c.customer_name AND s.nation = c.nation JOIN p ON s.priority = p.priority""")
+def fact_null_member(spark, sf):
+    """Orders with NULL dimension values: looked up NULL-safely, all arrive; by plain equality, these find no member."""
+    hidden = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("order_id"), (F.col("c_nationkey") % 4 > 0).alias("has_nation"),
+        (F.col("o_custkey") % 3 > 0).alias("has_priority"))
+    sales = _sales(spark, sf).join(hidden, "order_id").withColumn("nation", F.expr("if(has_nation, nation, NULL)")).withColumn(
+        "priority", F.expr("if(has_priority, priority, NULL)"))
+    facts = [jobs.load_star(sales, _DIMS, ["order_id"], _MEASURES, null_safe=safe)["fact"].withColumn("mode", F.lit(mode))
+             for mode, safe in (("safe", True), ("plain", False))]
+    return facts[0].unionByName(facts[1]).select("mode", "order_id", "customer_key", "priority_key", "amount")
+
+
 @query("null_safe_members", "DM2 J7", """
     WITH m AS (SELECT DISTINCT p_type, CASE WHEN p_size > 25 THEN p_brand END AS brand FROM part),
          old AS (SELECT DISTINCT p_type, CASE WHEN p_size > 25 THEN p_brand END AS brand FROM part WHERE p_retailprice < 950)

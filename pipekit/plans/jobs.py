@@ -37,7 +37,8 @@ class Star:
 
     ``dims`` maps a dimension to (key, columns); the fact looks its keys up by the same columns.
     ``measures`` maps a fact column to a SQL expression over the staged columns. ``skewed`` says that few
-    members hold much of the fact.
+    members hold much of the fact. ``null_safe`` gives rows with a NULL dimension value the member with that NULL;
+    without it they find none, as in SQL.
     """
 
     root: str
@@ -46,6 +47,7 @@ class Star:
     fact_id: Sequence[str]
     measures: Mapping[str, str]
     skewed: bool = False
+    null_safe: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -65,9 +67,10 @@ def _fact_columns(dims: Mapping[str, tuple[str, Sequence[str]]], fact_id: Sequen
 
 def load_star(staged: DataFrame, dims: Mapping[str, tuple[str, Sequence[str]]], fact_id: Sequence[str],
               measures: Mapping[str, str], existing: Mapping[str, DataFrame] | None = None,
-              fact: str = "fact", skewed: bool = False) -> dict[str, DataFrame]:
+              fact: str = "fact", skewed: bool = False, null_safe: bool = True) -> dict[str, DataFrame]:
     """Star tables after adding the staged rows to what exists: dimensions get their new members, the
-    fact its new ids. Pure: nothing is saved. Running it again on its own result adds nothing."""
+    fact its new ids. Pure: nothing is saved. Running it again on its own result adds nothing. Dimensions
+    load NULL-safely, so the fact looks up NULL-safely too unless told otherwise."""
     existing = existing or {}
     added = side_by_side({name: partial(load_dimension, staged, columns, key, existing.get(name))
                           for name, (key, columns) in dims.items()})
@@ -76,7 +79,7 @@ def load_star(staged: DataFrame, dims: Mapping[str, tuple[str, Sequence[str]]],
     columns = _fact_columns(dims, fact_id, measures)
     old = existing.get(fact)
     rows = load_fact(staged, [(out[n], c) for n, (_, c) in dims.items()], columns, old, fact_id,
-                     skewed=skewed, check=False)
+                     skewed=skewed, check=False, null_safe=null_safe)
     out[fact] = rows if old is None else old.unionByName(rows)
     return out
 
@@ -93,7 +96,7 @@ def run_star_once(spark: SparkSession, staged: DataFrame, star: Star, log: Audit
         saved = {n: spark.read.parquet(star.path(n)) for n in star.dims}
         columns = _fact_columns(star.dims, star.fact_id, star.measures)
         reload(load_fact(staged, [(saved[n], c) for n, (_, c) in star.dims.items()], columns,
-                         skewed=star.skewed), star.path(star.fact))
+                         skewed=star.skewed, null_safe=star.null_safe), star.path(star.fact))
         result.source_count = staged.count()
         result.target_count = spark.read.parquet(star.path(star.fact)).count()
         result.match_status = "MATCH" if result.source_count == result.target_count else "MISMATCH"
@@ -140,8 +143,8 @@ def run_star_new(spark: SparkSession, staging: str, star: Star, log: AuditLog, r
         columns = _fact_columns(star.dims, star.fact_id, star.measures)
         lookups = [(saved[n], c) for n, (_, c) in star.dims.items()]
         old = _read_or_none(spark, star.path(star.fact))
-        append_rows(load_fact(staged, lookups, columns, old, star.fact_id, skewed=star.skewed),
-                    star.path(star.fact))
+        append_rows(load_fact(staged, lookups, columns, old, star.fact_id, skewed=star.skewed,
+                              null_safe=star.null_safe), star.path(star.fact))
         fact = spark.read.parquet(star.path(star.fact))
         result.target_count = fact.count()
         lost = missing_from(staged, fact, star.fact_id).count()

@@ -8,7 +8,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pipekit.operators import dims, joins
 from pipekit.operators.audit import AuditLog
+from pipekit.operators.merge import DuplicateKeyError
 from pipekit.plans import jobs
 from pipekit.sinks import writers as wr
 from pipekit.sources.formats import Stage
@@ -153,6 +155,30 @@ def test_idempotent_star_and_failures(spark, tmp_path):
     assert rows(log.read().select("run_id", "status")) == [("r1", "SUCCESS"), ("r2", "SUCCESS"), ("r3", "FAILURE"), ("r4", "FAILURE")]
 
 
+def test_null_members_keep_their_facts(spark, tmp_path):
+    staged = spark.createDataFrame([(1, "a", "x", 5), (2, None, "y", 6), (3, None, None, 7), (4, "a", None, 8), (5, None, "y", 9)],
+                                   "order_id int, name string, city string, price int")
+    dim = {"customers": ("customer_key", ["name", "city"])}
+    for skewed in (False, True):
+        star = jobs.load_star(staged, dim, ["order_id"], {"price": "price"}, skewed=skewed)
+        assert rows(star["fact"].join(star["customers"], "customer_key").select("order_id", "name", "city").na.fill("-")) == [
+            (1, "a", "x"), (2, "-", "y"), (3, "-", "-"), (4, "a", "-"), (5, "-", "y")]
+        assert rows(jobs.load_star(staged, dim, ["order_id"], {"price": "price"}, star, skewed=skewed)["fact"]) == rows(star["fact"])
+    plain = jobs.load_star(staged, dim, ["order_id"], {"price": "price"}, null_safe=False)
+    assert rows(plain["fact"].select("order_id")) == [(1,)]
+    wide = joins.lookup_join(staged, star["customers"], ["name", "city"], skewed=True, small_rows=0, share=3, null_safe=True)
+    assert rows(wide.select("order_id")) == [(1,), (2,), (3,), (4,), (5,)]
+    safe, log = dataclasses.replace(orders_star(tmp_path), null_safe=True), AuditLog(spark, str(tmp_path / "audit"))
+    once = jobs.run_star_once(spark, staged, safe, log, "r1", strict=True)
+    assert (once.status, once.target_count, once.match_status) == ("SUCCESS", 5, "MATCH")
+    more = staged.unionByName(spark.createDataFrame([(6, "b", None, 1)], staged.schema))
+    wr.reload(more, str(tmp_path / "staging"))
+    assert [jobs.run_star_new(spark, str(tmp_path / "staging"), safe, log, r).target_count for r in ("r2", "r3")] == [6, 6]
+    twice = star["customers"].union(star["customers"].where("name is null and city is null"))
+    with pytest.raises(DuplicateKeyError):
+        dims.load_fact(staged, [(twice, ["name", "city"])], {"order_id": F.col("order_id")}, null_safe=True)
+
+
 def test_missing_file_is_an_audited_failure(spark, tmp_path):
     log = AuditLog(spark, str(tmp_path / "audit"))
     result = jobs.stage_file(spark, Stage(str(tmp_path)), "none.csv", SALES, str(tmp_path / "staging"), log, "r1")
