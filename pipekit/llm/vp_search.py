@@ -95,6 +95,11 @@ def is_valid(x: F.Column) -> F.Column:
     return F.coalesce(x.isNotNull() & finite & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` kept, with a number of its own for each."""
+    return durable(rows.withColumn("row", F.monotonically_increasing_id()), name)
+
+
 def valid_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id and x (array<double>) of the rows with a valid embedding and an id."""
     x = F.col("embedding").cast("array<double>")
@@ -112,40 +117,40 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     (both vec_id, embedding), its own vec_id left out; ties go to the smaller vec_id.
 
     Invalid rows (see :func:`valid_vectors`) take no part, nor do rows with a null vec_id. Vectors only meet vectors
-    of the same length. A repeated vec_id counts each time as a row of its own.
+    of the same length. A repeated vec_id counts each time as a row of its own, on both sides: a query row has its k
+    hits whatever its id, and a repeated row among ``vectors`` is a hit each time.
     """
-    points, asked = durable(valid_vectors(vectors), "vp-points"), valid_vectors(queries)
+    points, asked = numbered(valid_vectors(vectors), "vp-points"), numbered(valid_vectors(queries), "vp-queries")
     n, most = points.agg(F.count("*"), F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)))).first()
     if not n:
         return asked.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id",
                             F.lit(0.0).alias("score")).where("false")
-    shards, blocks = -(-n // SHARD_ROWS), -(-asked.count() // QUERY_ROWS)
-    side = points.select(F.size("x").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"),
-                         "vec_id", "x")
-    packed = asked.select(F.size("x").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(max(1, blocks))).alias("block"),
-                          "vec_id", "x")
-    spread = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    shards = -(-n // SHARD_ROWS)
+    # By row number, not by id, which may repeat.
+    side = points.select(F.size("x").alias("dim"), F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"), "vec_id", "x")
+    spread = asked.select(F.size("x").alias("dim"), "row", "vec_id", "x").withColumn(
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
             x, q = (matrix(t.column("x").combine_chunks()) for t in (left, right))
             ids, query_ids = (t.column("vec_id").to_numpy() for t in (left, right))
+            query_rows = right.column("row").to_numpy()
             tree = Tree(ids, x, most)
             of, at, score = [], [], []
             for first in range(0, len(q), QUERY_ROWS):
                 places, scores = tree.search(query_ids[first:first + QUERY_ROWS], q[first:first + QUERY_ROWS], k, factor)
                 rows, columns = np.nonzero(places >= 0)
-                of.append(query_ids[first:first + QUERY_ROWS][rows])
+                of.append(first + rows)
                 at.append(places[rows, columns])
                 # Each score anew, pair by pair: a matrix product may round equal vectors differently.
-                score.append((q[first:first + QUERY_ROWS][rows] * tree.x[at[-1]]).sum(axis=1))
+                score.append((q[of[-1]] * tree.x[at[-1]]).sum(axis=1))
             of, at, score = np.concatenate(of), np.concatenate(at), np.concatenate(score)
-            return pa.table({"query_id": of, "vec_id": tree.ids[at], "score": score})
-        return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-                         "score": pa.array([], pa.float64())})
+            return pa.table({"row": query_rows[of], "query_id": query_ids[of], "vec_id": tree.ids[at], "score": score})
+        return pa.table({"row": pa.array([], pa.int64()), "query_id": pa.array([], pa.int64()),
+                         "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
-    found = side.groupBy("dim", "shard").cogroup(spread.groupBy("dim", "shard")).applyInArrow(
-        search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = side.groupBy("dim", "shard").cogroup(spread.groupBy("dim", "shard")).applyInArrow(search, "row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -142,6 +142,22 @@ def test_vp_search(spark, monkeypatch, factor):
     assert vp_search.nearest(table.where("false"), table, 5).count() == 0
 
 
+def test_rows_with_one_vec_id_search_on_their_own(spark, monkeypatch):
+    monkeypatch.setattr(vp_search, "LEAF", 8)
+    x = np.random.default_rng(6).standard_normal((120, 8))
+    ids = [*range(100), *[0] * 10, *[20] * 10]  # 0: equal rows, 20: different ones
+    x[100:110] = x[0]
+    schema = "vec_id long, embedding array<double>"
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], schema)
+    got = Counter(tuple(r) for r in vp_search.nearest(table, table.where("vec_id % 20 = 0"), 5, 1.0).collect())
+    want = Counter()
+    for i, q in zip(ids, x, strict=True):
+        if i % 20 == 0:
+            near = sorted((-float((q * v).sum()), j) for j, v in zip(ids, x, strict=True) if j != i)[:5]
+            want.update((i, k, j, -s) for k, (s, j) in enumerate(near, 1))
+    assert got == want
+
+
 def test_near_vectors(spark):
     table, x = vectors(spark)
     got = {r["vec_id"]: r for r in vector_dedup.near_vectors(table).where("vec_id is not null").collect()}
