@@ -6,7 +6,8 @@ splits its rows at the median distance to it. By the triangle inequality a query
 farther than its current k-th best; ``factor`` scales that bound: above 1 more is skipped and something may be missed,
 at 1 the search is exact, ties included. Scores are inner products of the original vectors in double precision.
 
-Queries are met with all shards in blocks; a shard's k best for a query go on, never more.
+Queries are met with all shards in blocks: a task holds one shard and one block. A shard's k best for a query go on,
+never more.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pipekit.session import durable
 
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
+BLOCK_ROWS = 8 * QUERY_ROWS
 LEAF = 192
 FACTOR = 1.15
 
@@ -125,11 +127,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     if not n:
         return asked.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id",
                             F.lit(0.0).alias("score")).where("false")
-    shards = -(-n // SHARD_ROWS)
-    # By row number, not by id, which may repeat.
-    side = points.select(F.size("x").alias("dim"), F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"), "vec_id", "x")
-    spread = asked.select(F.size("x").alias("dim"), "row", "vec_id", "x").withColumn(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    shards, blocks = -(-n // SHARD_ROWS), max(1, -(-asked.count() // BLOCK_ROWS))
+
+    def dealt(rows: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
+        """Rows in ``parts`` by their number, not their id, which may repeat; each once for each part of the other side."""
+        every = F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))
+        return rows.select(F.size("x").alias("dim"), F.pmod(F.xxhash64("row"), F.lit(parts)).alias(own), "row", "vec_id", "x",
+                           F.explode(every).alias(other)).groupBy("dim", "shard", "block")
+
+    side, spread = dealt(points, "shard", shards, "block", blocks), dealt(asked, "block", blocks, "shard", shards)
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
@@ -150,7 +156,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
         return pa.table({"row": pa.array([], pa.int64()), "query_id": pa.array([], pa.int64()),
                          "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
-    found = side.groupBy("dim", "shard").cogroup(spread.groupBy("dim", "shard")).applyInArrow(search, "row long, query_id long, vec_id long, score double")
+    found = side.cogroup(spread).applyInArrow(search, "row long, query_id long, vec_id long, score double")
     order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

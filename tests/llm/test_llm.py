@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tempfile
 import zlib
 from collections import Counter
 
@@ -158,6 +159,23 @@ def test_rows_with_one_vec_id_search_on_their_own(spark, monkeypatch):
     assert got == want
 
 
+def test_a_task_holds_one_shard_and_one_block(spark, monkeypatch, tmp_path):
+    for name, n in (("SHARD_ROWS", 100), ("BLOCK_ROWS", 32), ("QUERY_ROWS", 8)):
+        monkeypatch.setattr(vp_search, name, n, raising=False)
+    table, _ = vectors(spark)
+    matrix, seen = vp_search.matrix, str(tmp_path)
+
+    def noted(column):
+        tempfile.mkstemp(f"-{len(column)}", dir=seen)
+        return matrix(column)
+
+    monkeypatch.setattr(vp_search, "matrix", noted)
+    got = vp_search.nearest(table, table, 5, 1.0).collect()
+    sizes = sorted(int(p.name.rsplit("-")[-1]) for p in tmp_path.iterdir())
+    # 5 shards of about 80 rows, each with each of 13 blocks of about 31.
+    assert len(got) == 400 * 5 and sizes[-1] < 130 and sizes[len(sizes) // 2 - 1] < 60
+
+
 def test_near_vectors(spark):
     table, x = vectors(spark)
     got = {r["vec_id"]: r for r in vector_dedup.near_vectors(table).where("vec_id is not null").collect()}
