@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ from pipekit.sources.scans import BAD_RECORD, with_bad_record
 HISTORY_SCHEMA = (
     "file_name string, content_key string, status string, rows_parsed bigint, rows_loaded bigint, "
     "errors_seen bigint, first_error string, loaded_at timestamp_ntz, load_id string")
+STATUS_SCHEMA = "load_id string, batch_id bigint, at string, input_rows bigint, duration_ms bigint"
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,11 @@ class FileLoad:
     #: Days after which a loaded file is forgotten and may be loaded again; None: never.
     remember_days: int | None = None
 
+    @property
+    def status(self) -> str:
+        """Where a stream writes one row for each micro-batch."""
+        return f"{self.history.rstrip('/')}-status"
+
     def load_history(self) -> DataFrame:
         """One row per loaded file."""
         if not path_exists(self.spark, self.history):
@@ -113,7 +120,7 @@ class FileLoad:
         """The same load as a stream: new files are picked up, loaded ones skipped by the checkpoint.
 
         The load id is made of the checkpoint's own id and the micro-batch number, so a batch that is run again
-        replaces its own rows, and a new checkpoint replaces none.
+        replaces its own rows, and a new checkpoint replaces none. Each batch leaves a row for :func:`ingest_status`.
         ``trigger`` is ``{"availableNow": True}`` (default) or ``{"processingTime": "1 minute"}``;
         ``after`` gets the rows and load id of each non-empty batch.
         """
@@ -128,12 +135,18 @@ class FileLoad:
         rows = self._stamped(reader.csv(self.stage.path))
 
         def save(batch: DataFrame, number: int) -> None:
+            started, clock = utc_now(), time.monotonic()
             run = json.loads(self.spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
             load_id = f"{name}-{run[:13]}-{number:09d}"
             self._save(batch, load_id, utc_now(), None)
             fresh = self.loaded().where(F.col("load_id") == load_id)
             if after is not None and not fresh.isEmpty():
                 after(fresh, load_id)
+            saved = self.spark.read.schema(self._saved_schema()).parquet(f"{self.target}/load_id={load_id}")
+            status = [(load_id, number, started.isoformat(timespec="milliseconds"), saved.count(),
+                       int(1000 * (time.monotonic() - clock)))]
+            (self.spark.createDataFrame(status, STATUS_SCHEMA).coalesce(1)
+             .write.mode("overwrite").parquet(f"{self.status}/load_id={load_id}"))
 
         return (rows.writeStream.queryName(name).option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"availableNow": True})).foreachBatch(save).start())
@@ -190,8 +203,11 @@ def skip_empty(action: Callable[[DataFrame, int], None]) -> Callable[[DataFrame,
     return guarded
 
 
-def ingest_status(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Progress of a stream as rows: batch, time, input rows, duration."""
-    rows = [(p["batchId"], p["timestamp"], p["numInputRows"], p["durationMs"].get("triggerExecution", 0))
-            for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch_id bigint, at string, input_rows bigint, duration_ms bigint")
+def ingest_status(spark: SparkSession, load: FileLoad) -> DataFrame:
+    """Every micro-batch of the load's streams as a row: load id, batch, time, input rows, duration.
+
+    The batches write them as they end, so the rows outlive the query and are not cut to its recent progress.
+    """
+    if not path_exists(spark, load.status):
+        return spark.createDataFrame([], STATUS_SCHEMA)
+    return spark.read.schema(STATUS_SCHEMA).parquet(load.status)

@@ -15,7 +15,7 @@ from pipekit.plans import jobs
 from pipekit.sinks import writers as wr
 from pipekit.sources.formats import Stage
 from pipekit.streaming.feed import ChangeLog, apply_to_folder
-from pipekit.streaming.loads import FileLoad
+from pipekit.streaming.loads import FileLoad, ingest_status
 
 T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 SALES = T.StructType().add("order_id", T.LongType()).add("city", T.StringType()).add("amount", T.LongType())
@@ -107,6 +107,23 @@ def test_stream_in_one_or_several_batches(spark, tmp_path):
     assert results[0] == results[1] and len(results[0]) == 12
 
 
+def test_status_keeps_every_batch(spark, tmp_path):
+    for i in range(5):
+        deliver(tmp_path / "in", f"f{i}.csv", 10 * i)
+    load = FileLoad(spark, Stage(str(tmp_path / "in")), SALES, str(tmp_path / "t"), str(tmp_path / "h"))
+    assert ingest_status(spark, load).isEmpty()
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = load.stream("status", str(tmp_path / "cp"), max_files=1)
+        assert query.awaitTermination(120) and len(query.recentProgress) <= 2
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert rows(ingest_status(spark, load), "batch_id", "input_rows") == [(i, 3) for i in range(5)]
+    deliver(tmp_path / "in", "late.csv", 90)
+    assert load.stream("status", str(tmp_path / "cp")).awaitTermination(120)
+    assert rows(ingest_status(spark, load), "batch_id", "input_rows") == [(i, 3) for i in range(6)]
+
+
 def test_fixed_rate_stream(spark, tmp_path):
     load = load_of(spark, tmp_path)
     deliver(tmp_path / "stage", "a.csv", 1)
