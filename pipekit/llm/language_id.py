@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pipekit.llm.common import filled, spans, text_slices
+from pipekit.operators.joins import broadcast_if_small
+from pipekit.session import durable
 
 DIM = 1 << 14
 PER_LANGUAGE = 400
-MOST_LANGUAGES = 256
 UNDETERMINED = "und"
 LETTER = r"\p{L}"
 
@@ -155,20 +156,18 @@ class LanguageModel:
 
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """Fit on ``labelled`` (doc_id, text, lang): ``per_language`` rows of each of the ``MOST_LANGUAGES`` most frequent
-    languages. Rows with a null language or without a letter are left out; no rows give a model that answers ``und``.
+    """Fit on ``labelled`` (doc_id, text, lang): ``per_language`` rows of each language. Rows with a null language or without a letter are left out; no rows give a model that answers ``und``.
     """
     rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
-    # The heaviest languages by count, then for each of them the ids with the smallest hash: keys only, no text sorted.
-    names = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    salted = rows.select("doc_id", "lang").where(F.col("lang").isin(names)).withColumn(
+    # For each language the ids with the smallest hash: keys only, no text sorted.
+    salted = rows.select("doc_id", "lang").withColumn(
         "h", F.xxhash64("doc_id", F.lit(17))).withColumn("salt", F.pmod("h", F.lit(64)))
     first = Window.partitionBy("lang", "salt").orderBy("h", "doc_id")
     last = Window.partitionBy("lang").orderBy("h", "doc_id")
     picked = salted.withColumn("r", F.row_number().over(first)).where(f"r <= {per_language}").withColumn(
         "r", F.row_number().over(last)).where(f"r <= {per_language}").select("doc_id", "lang").distinct()
-    sample = rows.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
+    sample = rows.join(broadcast_if_small(durable(picked, "language-sample")), ["doc_id", "lang"], "left_semi")
     got = sample.select("lang", "text").mapInArrow(_featurise, "lang string, codes array<int>, weights array<float>")
     table = got.toArrow()
     languages = sorted(set(table.column("lang").to_pylist()))
@@ -212,7 +211,7 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with lang_pred and score; both columns are replaced if present. Null texts and texts without a letter
     get ``und`` and 0. Only the text is read for the prediction."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights for at most MOST_LANGUAGES
+    held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights for each pair of languages
     others = [c for c in docs.columns if c not in ("lang_pred", "score")]
     schema = docs.select(others).schema.add("lang_pred", "string").add("score", "double")
     text = others.index("text")

@@ -307,6 +307,16 @@ def test_language_id(spark, empty):
     assert language_id.predict(empty, model).count() == 0
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2, raising=False)
+    words = {"aa": "kama", "bb": "torve", "cc": "ulmi", "dd": "sexto"}
+    data = [(i, " ".join([words[lang]] * (i % 5 + 3)), lang) for i, lang in enumerate([*words] * 6)]
+    table = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = language_id.train(table)
+    assert model.languages == [*words]
+    assert all(r["lang_pred"] == r["lang"] for r in language_id.predict(table, model).collect())
+
+
 def test_toxicity(spark, empty):
     rng = random.Random(6)
     data, labels = [], []
