@@ -85,13 +85,15 @@ def forced_reload(spark, sf):
     SELECT 'name' AS history_key, count(*) AS row_count FROM orders WHERE o_orderstatus = 'F'
     UNION ALL SELECT 'content', count(*) FROM orders""")
 def resent_file(spark, sf):
-    """A file sent again under its name with other content: skipped by name, loaded by content."""
+    """Files sent again under their names with other content: skipped by name, loaded by content."""
     counts = {}
     for key in ("name", "content"):
         load = _load(spark, f"resent-{key}", key=key)
         for number, of in enumerate(("status = 'F'", "status <> 'F'"), 1):
             rows = _orders(spark, sf).where(of).drop("o_orderdate")
-            wr.export_named(rows, load.stage.path, "orders.csv")
+            for part in range(4):
+                of_part = rows.where(F.pmod(F.xxhash64("order_id"), F.lit(4)) == part).repartition(1)  # read in parallel
+                wr.export_named(of_part, load.stage.path, f"orders_{part}.csv")
             load.run(f"load-{number}", AS_OF)
         counts[key] = load.loaded()
     return table_counts(counts).withColumnRenamed("table_name", "history_key")
@@ -323,7 +325,7 @@ def star_new_with_audit(spark, sf):
     finished = sales.join(status.where("o_orderstatus = 'F'"), "order_id", "left_semi")
     log = AuditLog(spark, scratch(spark, "new-audit"))
     for number, rows in enumerate((finished, sales), 1):
-        wr.export_named(rows, stage.path, f"sales_{number}.csv")
+        wr.export_named(rows, stage.path, f"sales_{number}.csv", layout="parts")
         jobs.stage_file(spark, stage, f"sales_{number}.csv", _SALES_TYPE, staging, log, f"run-{number}")
         jobs.run_star_new(spark, staging, star, log, f"run-{number}")
     jobs.run_star_new(spark, staging, star, log, "run-3")

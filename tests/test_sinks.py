@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from pipekit.plans.catalog import QUERIES as CATALOGUE
 from pipekit.sinks import layers
 from pipekit.sinks import writers as wr
 from pipekit.sinks.files import list_files, path_exists, rename
@@ -16,6 +17,19 @@ from pipekit.sources.formats import FileFormat
 SCHEMA = "employee_id int, name string, salary int"
 
 
+@pytest.mark.parametrize("name", ["star_new_with_audit", "resent_file"])
+def test_no_whole_table_goes_through_one_file(spark, monkeypatch, name):
+    calls, export = [], wr.export_named
+
+    def noted(df, folder, file, *args, **options):
+        calls.append((file, options.get("layout", "file")))
+        return export(df, folder, file, *args, **options)
+
+    monkeypatch.setattr(wr, "export_named", noted)
+    CATALOGUE[name](spark, "/root/testdata/sf0.001")
+    assert calls and all(layout == "parts" for _, layout in calls) or len({file for file, _ in calls}) == 4
+
+
 def batch(spark, start):
     return spark.createDataFrame([(start + i, f"n{start + i}", 100 * i) for i in range(5)], SCHEMA)
 
