@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pipekit.functions import add_time
 from pipekit.operators import audit
 from pipekit.plans.catalog.registry import query, table
+from pipekit.session import scratch
+from pipekit.sinks import writers as wr
 
 
 @query("reconcile", "AU1 G1", """
@@ -126,5 +128,9 @@ def final_status(spark, sf):
 @query("arrival_audit", "AU7 G5", """
     SELECT strftime(ts, '%Y-%m-%d %H') AS load_id, count(*) AS arrived, min(event_id) AS first_id FROM events GROUP BY 1""")
 def arrival_audit(spark, sf):
-    return table(spark, sf, "events").groupBy(F.date_format("ts", "yyyy-MM-dd HH").alias("load_id")).agg(
-        F.count(F.lit(1)).alias("arrived"), F.min("event_id").alias("first_id"))
+    """Two deliveries, morning and afternoon; each appends an audit row for each of its loads."""
+    path, events = scratch(spark, "arrival-audit"), table(spark, sf, "events")
+    for cond in (F.hour("ts") < 12, F.hour("ts") >= 12):
+        wr.append_rows(events.where(cond).groupBy(F.date_format("ts", "yyyy-MM-dd HH").alias("load_id")).agg(
+            F.count(F.lit(1)).alias("arrived"), F.min("event_id").alias("first_id")), path)
+    return spark.read.parquet(path)

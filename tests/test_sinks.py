@@ -30,6 +30,13 @@ def test_no_whole_table_goes_through_one_file(spark, monkeypatch, name):
     assert calls and all(layout == "parts" for _, layout in calls) or len({file for file, _ in calls}) == 4
 
 
+def test_arrivals_are_appended(spark, monkeypatch):
+    calls, append = [], wr.append_rows
+    monkeypatch.setattr(wr, "append_rows", lambda df, path: calls.append(path) or append(df, path))
+    CATALOGUE["arrival_audit"](spark, "/root/testdata/sf0.001")
+    assert len(calls) == 2 and len(set(calls)) == 1
+
+
 def batch(spark, start):
     return spark.createDataFrame([(start + i, f"n{start + i}", 100 * i) for i in range(5)], SCHEMA)
 
