@@ -72,9 +72,10 @@ def filled(column: pa.Array) -> pa.Array:
     return pc.fill_null(column, "")
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Words between ASCII white space, A-Z lower-cased: (distinct words, code of each word, words per text)."""
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(filled(texts)))
+def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words between ASCII white space, A-Z lower-cased if ``lower``: (distinct words, code of each word, words per
+    text)."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(filled(texts)) if lower else filled(texts))
     offsets = parts.offsets.to_numpy()
     flat = parts.values.slice(offsets[0], offsets[-1] - offsets[0])
     keep = pc.greater(pc.binary_length(flat), 0)

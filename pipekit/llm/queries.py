@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pipekit.llm import language_id, near_dedup, ngram_lm, packing, source_mixing, suffix_dedup, token_files, toxicity
-from pipekit.llm import vector_dedup, vp_search
+from pipekit.llm import language_id, line_dedup, near_dedup, ngram_lm, packing, periodic_runs, source_mixing, spelling
+from pipekit.llm import suffix_dedup, token_files, toxicity, vector_dedup, vp_search
 from pipekit.llm.common import fold, read_table
 from pipekit.session import scratch
 
@@ -97,3 +97,41 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every draw of a document in the flattest mixture that runs no source more than twice and each at least once."""
     drawn = source_mixing.mixture(read_table(spark, sf_dir, "documents"))
     return drawn.select("row.doc_id", "source", "n_tokens", "weight", "epoch", "slot", "within")
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text once lines that other documents hold too stay in the first of them only."""
+    done = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op11_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines),
+shared AS (
+  SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
+marked AS (
+  SELECT keyed.*, shared.first IS NOT NULL AND keyed.doc_id <> shared.first AS gone FROM keyed LEFT JOIN shared USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every text, with the contract's runs planted in every tenth one."""
+    return periodic_runs.run_report(read_table(spark, sf_dir, "documents"), plant=True)
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all texts with its commoner spelling, with the contract's deletions."""
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"), delete_every=spelling.DELETE_EVERY)

