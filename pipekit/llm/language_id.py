@@ -5,7 +5,7 @@ bottom-up until the gap between groups is wider than inside them. A linear suppo
 families decides the family; inside it, a linear support vector machine for each pair of languages votes.
 
 Features are relative frequencies of byte n-grams (1 to 4) of the lower-cased words, hashed and square-root scaled. Training uses a
-bounded sample: ``per_language`` labelled rows of each language, the ones with the smallest hash of doc_id.
+bounded sample: ``per_language`` labelled rows of each language, the ones with the smallest hash of id and text.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pipekit.llm.common import filled, spans, text_slices
+from pipekit.llm.common import filled, ship, spans, text_slices
 from pipekit.operators.joins import broadcast_if_small
 from pipekit.session import durable
 
 DIM = 1 << 14
 PER_LANGUAGE = 400
+PER_FAMILY = 1600
 UNDETERMINED = "und"
 LETTER = r"\p{L}"
 
@@ -78,23 +79,26 @@ def profiles(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, epochs: int = 30, ridge: float = 1e-4) -> np.ndarray:
-    """Linear SVM (hinge loss, stochastic subgradient with averaging); y in -1, 1. Last weight: the bias."""
+def fit_svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = 30, ridge: float = 1e-4) -> np.ndarray:
+    """Linear SVM (hinge loss, stochastic subgradient with averaging) over sparse rows (codes, values); y in -1, 1.
+    Last weight: the bias."""
     rng = np.random.default_rng(3)
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     weight = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
-    w, mean, t = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0
+    w, mean, t = np.zeros(DIM + 1), np.zeros(DIM + 1), 0
     batch = 16
     for epoch in range(epochs):
         order = rng.permutation(len(y))
         for first in range(0, len(y), batch):
-            rows = order[first:first + batch]
+            some = order[first:first + batch]
             t += 1
-            active = y[rows] * (x[rows] @ w) < 1
+            margins = [y[k] * (w[rows[k][0]] @ rows[k][1] + w[-1]) for k in some]
             step = 1 / (ridge * (t + 1000))
             w *= 1 - step * ridge
-            if active.any():
-                w += step * ridge * 100 * ((weight[rows] * y[rows])[active] @ x[rows][active]) / len(rows)
+            for k, margin in zip(some, margins, strict=True):
+                if margin < 1:
+                    move = step * ridge * 100 * weight[k] * y[k] / len(some)
+                    w[rows[k][0]] += move * rows[k][1]
+                    w[-1] += move
             if epoch >= epochs // 2:
                 mean += w
     return (mean / max(1, t - t * (epochs // 2) // epochs)).astype(np.float32)
@@ -155,57 +159,92 @@ class LanguageModel:
         return [self.languages[i] for i in pick], np.clip(family[rows, best] * share[rows, pick], 0, 1)
 
 
-def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """Fit on ``labelled`` (doc_id, text, lang): ``per_language`` rows of each language. Rows with a null language or without a letter are left out; no rows give a model that answers ``und``.
-    """
+FEATURES = "lang string, h long, codes array<int>, weights array<float>"
+MACHINE = "pair int, weights array<float>"
+
+
+def sample_rows(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """(lang, text, h): ``per_language`` rows of each language at most, those with the least hash of id and text. Rows
+    with a null language or without a letter are left out. Rows are picked by their own number, so rows of one id or
+    equal rows come no more often than that."""
     rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
-    # For each language the ids with the smallest hash: keys only, no text sorted.
-    salted = rows.select("doc_id", "lang").withColumn(
-        "h", F.xxhash64("doc_id", F.lit(17))).withColumn("salt", F.pmod("h", F.lit(64)))
-    first = Window.partitionBy("lang", "salt").orderBy("h", "doc_id")
-    last = Window.partitionBy("lang").orderBy("h", "doc_id")
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(LETTER)).withColumn("n", F.monotonically_increasing_id())
+    # Keys only, no text, go to the windows; the first spreads a language over 64 tasks.
+    salted = rows.select("lang", "n", F.xxhash64("doc_id", "text", F.lit(17)).alias("h")).withColumn(
+        "salt", F.pmod("n", F.lit(64)))
+    first = Window.partitionBy("lang", "salt").orderBy("h", "n")
+    last = Window.partitionBy("lang").orderBy("h", "n")
     picked = salted.withColumn("r", F.row_number().over(first)).where(f"r <= {per_language}").withColumn(
-        "r", F.row_number().over(last)).where(f"r <= {per_language}").select("doc_id", "lang").distinct()
-    sample = rows.join(broadcast_if_small(durable(picked, "language-sample")), ["doc_id", "lang"], "left_semi")
-    got = sample.select("lang", "text").mapInArrow(_featurise, "lang string, codes array<int>, weights array<float>")
-    table = got.toArrow()
-    languages = sorted(set(table.column("lang").to_pylist()))
+        "r", F.row_number().over(last)).where(f"r <= {per_language}").select("n", "h")
+    return rows.join(broadcast_if_small(durable(picked, "language-sample")), "n").select("lang", "text", "h")
+
+
+def _fit_pairs(features: DataFrame, side: dict[str, int], pairs: list[tuple[int, int]], share: dict[str, int]) -> np.ndarray:
+    """Weights of the machines that tell numbers ``a`` and ``b`` of ``side`` (number of each language) apart. Each pair
+    is a task of its own, with no more than ``share`` rows of a language."""
+    if not pairs:
+        return np.zeros((0, DIM + 1), dtype=np.float32)
+    spark = features.sparkSession
+    plan = [(lang, k, 1 if side[lang] == a else -1, share[lang]) for k, (a, b) in enumerate(pairs)
+            for lang in sorted(side) if side[lang] in (a, b)]
+    plan = spark.createDataFrame(plan, "lang string, pair int, y int, share int")
+    rows = features.join(F.broadcast(plan), "lang").where("r <= share").select("pair", "y", "lang", "r", "codes", "weights")
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("lang", "ascending"), ("r", "ascending")])
+        held = [(c.values.to_numpy(), w.values.to_numpy()) for c, w in
+                zip(table.column("codes"), table.column("weights"), strict=True)]
+        w = fit_svm(held, table.column("y").to_numpy())
+        return pa.table({"pair": pa.array([table.column("pair")[0].as_py()], pa.int32()),
+                         "weights": pa.array([w], pa.list_(pa.float32()))})
+
+    got = rows.groupBy("pair").applyInArrow(fit, MACHINE).toArrow().sort_by("pair")
+    return np.stack([w.values.to_numpy() for w in got.column("weights")])
+
+
+def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, per_family: int = PER_FAMILY) -> LanguageModel:
+    """Fit on ``labelled`` (doc_id, text, lang): ``per_language`` rows of each language, and ``per_family`` of each
+    family where families are told apart (shared out among its languages). No usable rows give a model that answers
+    ``und``. Machines are fitted in tasks from sparse rows; the driver gets one mean profile for each language and one
+    row of weights for each pair."""
+    ship(labelled.sparkSession)
+    got = sample_rows(labelled, per_language).mapInArrow(_featurise, FEATURES)
+    ranked = Window.partitionBy("lang").orderBy("h", F.xxhash64("codes", "weights"))
+    features = durable(got.withColumn("r", F.row_number().over(ranked)), "language-features")
+    cells = features.select("lang", F.explode(F.arrays_zip("codes", "weights")).alias("c"))
+    sums = (cells.groupBy("lang", F.col("c.codes").alias("code")).agg(F.sum(F.col("c.weights").cast("decimal(20,9)")).alias("w"))
+            .groupBy("lang").agg(F.collect_list(F.struct("code", F.col("w").cast("float").alias("w"))).alias("mean"))
+            .orderBy("lang").select("lang", "mean.code", "mean.w").toArrow())
+    languages = sums.column("lang").to_pylist()
     if not languages:
         return LanguageModel([], [], [], [], np.zeros((0, DIM + 1), dtype=np.float32))
-    x = np.zeros((table.num_rows, DIM), dtype=np.float32)
-    for k, (codes, weights) in enumerate(zip(table.column("codes"), table.column("weights"), strict=True)):
-        x[k, codes.values.to_numpy()] = weights.values.to_numpy()
-    y = np.array([languages.index(v) for v in table.column("lang").to_pylist()])
-    order = np.lexsort((x @ np.arange(DIM, dtype=np.float32), y))  # the same order whatever partition came first
-    x, y = x[order], y[order]
-    means = np.stack([x[y == k].mean(axis=0) for k in range(len(languages))])
+    means = np.zeros((len(languages), DIM))
+    for k, (codes, weights) in enumerate(zip(sums.column("code"), sums.column("w"), strict=True)):
+        means[k, codes.values.to_numpy()] = weights.values.to_numpy()
     means /= np.linalg.norm(means, axis=1, keepdims=True)
     families = merge_families(means)
-    of = np.zeros(len(languages), dtype=int)
-    for f, members in enumerate(families):
-        of[members] = f
+    of = {languages[i]: f for f, members in enumerate(families) for i in members}
+    own = {name: i for i, name in enumerate(languages)}
     family_pairs = list(itertools.combinations(range(len(families)), 2))
     language_pairs = [p for members in families for p in itertools.combinations(members, 2)]
-    weights = []
-    for group, pairs in ((of[y], family_pairs), (y, language_pairs)):
-        for a, b in pairs:
-            rows_ = (group == a) | (group == b)
-            weights.append(fit_svm(x[rows_], np.where(group[rows_] == a, 1, -1)))
-    return LanguageModel(languages, families, family_pairs, language_pairs,
-                         np.stack(weights) if weights else np.zeros((0, DIM + 1), dtype=np.float32))
+    shared = {name: max(1, per_family // len(families[of[name]])) for name in languages}
+    weights = np.concatenate([_fit_pairs(features, of, family_pairs, shared),
+                              _fit_pairs(features, own, language_pairs, dict.fromkeys(languages, per_language))])
+    return LanguageModel(languages, families, family_pairs, language_pairs, weights)
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
-        x = profiles(batch.column("text"))
-        held = [np.flatnonzero(row) for row in x]
-        at = spans([len(h) for h in held]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"),
-             pa.ListArray.from_arrays(at, pa.array(np.concatenate(held).astype(np.int32))),
-             pa.ListArray.from_arrays(at, pa.array(np.concatenate([r[h] for r, h in zip(x, held, strict=True)])))],
-            names=["lang", "codes", "weights"])
+        for first in range(0, batch.num_rows, 64):
+            part = batch.slice(first, 64)
+            x = profiles(part.column("text"))
+            held = [np.flatnonzero(row) for row in x]
+            at = spans([len(h) for h in held]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("lang"), part.column("h"),
+                 pa.ListArray.from_arrays(at, pa.array(np.concatenate(held).astype(np.int32))),
+                 pa.ListArray.from_arrays(at, pa.array(np.concatenate([r[h] for r, h in zip(x, held, strict=True)])))],
+                names=["lang", "h", "codes", "weights"])
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -317,6 +317,14 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert all(r["lang_pred"] == r["lang"] for r in language_id.predict(table, model).collect())
 
 
+def test_an_id_on_many_rows_sends_a_bounded_sample(spark):
+    table = spark.createDataFrame([(1, "same words again", "aa")] * 300 + [(1, f"other words {i}", "bb") for i in range(300)],
+                                  "doc_id long, text string, lang string").repartition(5)
+    got = language_id.sample_rows(table, 10)
+    assert sorted(r.lang for r in got.select("lang").collect()) == ["aa"] * 10 + ["bb"] * 10
+    assert len({r.text for r in got.where("lang = 'bb'").collect()}) == 10
+
+
 def test_toxicity(spark, empty):
     rng = random.Random(6)
     data, labels = [], []
