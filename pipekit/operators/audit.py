@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pipekit.functions.shape import map_values
 from pipekit.functions.times import add_time, local_clock, local_date, second_diff
 from pipekit.operators.aggregates import latest_row, union_blocks
+from pipekit.operators.changes import differing_buckets
 from pipekit.operators.joins import cross_values, missing_from
 
 AUDIT_SCHEMA = (
@@ -38,6 +39,20 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
         F.col("source_count") == F.col("target_count"), F.lit("MATCH")).otherwise(F.lit("MISMATCH")))
 
 
+def reconcile_content(source: DataFrame, target: DataFrame, keys: Sequence[str], buckets: int = 4096) -> DataFrame:
+    """Row counts, how many key buckets hold different rows, and MATCH or MISMATCH by content.
+
+    One pass over each side; a task sends a digest for each bucket, no rows. Rows may come in any order, repeated ones
+    count.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    names = source.columns
+    differ = differing_buckets(source, target.select(*names), bucket, names).agg(F.count(F.lit(1)).alias("buckets_differing"))
+    both = union_blocks(reconcile(source, target).drop("match_status"), differ).agg(
+        *[F.max(c).alias(c) for c in ("source_count", "target_count", "buckets_differing")])
+    return both.withColumn("match_status", F.when(F.col("buckets_differing") == 0, F.lit("MATCH")).otherwise(F.lit("MISMATCH")))
+
+
 def missing_rows(source: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
     """How many source rows did not arrive, with the resulting status."""
     lost = missing_from(source, target, on).agg(F.count(F.lit(1)).alias("missing"))

@@ -11,7 +11,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pipekit.operators.joins import lookup_join, missing_from
+from pipekit.operators.joins import lookup_join, missing_from, salted_star_join
 from pipekit.operators.keys import append_keys, coded_keys
 from pipekit.operators.merge import assert_unique
 
@@ -86,12 +86,16 @@ def load_fact(staged: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str
               check: bool = True, null_safe: bool = False) -> DataFrame:
     """Fact rows by key lookups. With ``existing``, rows whose ``on`` columns are already there are
     left out before the lookups, so a second run adds nothing. ``null_safe`` finds members with NULL
-    columns too, as :func:`load_dimension` adds them."""
+    columns too, as :func:`load_dimension` adds them. ``skewed`` reads the rows once for all lookups, whatever share
+    of them a member holds."""
     rows = staged if existing is None else missing_from(staged, existing, on)
     for dim, keys in lookups:
         if check:
             # A struct is never NULL itself, so members with NULL columns are checked too where they can be found.
             assert_unique(dim.select(F.struct(*keys).alias("key")) if null_safe else dim,
                           ["key"] if null_safe else keys, "lookup side")
-        rows = lookup_join(rows, dim, keys, how, skewed, null_safe=null_safe)
+        if not skewed:
+            rows = lookup_join(rows, dim, keys, how, null_safe=null_safe)
+    if skewed:
+        rows = salted_star_join(rows, lookups, how, null_safe=null_safe)
     return rows.select(*[c.alias(name) for name, c in columns.items()])

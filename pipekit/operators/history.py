@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pipekit.functions.times import as_of_column
+from pipekit.operators.joins import outer_join
 from pipekit.operators.merge import assert_unique, upsert
 
 OPEN_END = "9999-12-31 23:59:59"
@@ -48,7 +49,7 @@ def scd2_changes(open_rows: DataFrame, source: DataFrame, keys: Sequence[str],
     now = as_of_column(as_of)
     old = open_rows.select(*keys, F.struct(*open_rows.columns).alias("__old"))
     new = source.select(*keys, F.struct(*tracked).alias("__new"))
-    both = old.join(new, keys, "full_outer")
+    both = outer_join(old, new, keys)
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(f"__old.{c}").eqNullSafe(F.col(f"__new.{c}"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pipekit.operators.joins import SMALL_ROWS, is_small
+from pipekit.operators.joins import SMALL_ROWS, is_small, outer_join
 
 
 class DuplicateKeyError(ValueError):
@@ -24,12 +24,13 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> N
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            stamp: Mapping[str, Column] | None = None, check: bool = True,
-           small_rows: int = SMALL_ROWS) -> DataFrame:
+           small_rows: int = SMALL_ROWS, null_keys: bool = True) -> DataFrame:
     """MERGE: matched rows take the source values, new keys are added, the rest stays.
 
     ``stamp`` sets columns on every touched row (for example an update date). A source of at most
     ``small_rows`` rows and 64 MB is broadcast and the target is not shuffled; a larger one meets the
-    target in one full outer join.
+    target in one full outer join, which deals rows with a NULL key over all partitions. ``null_keys=False`` says that
+    there are none, so that sides laid out by the bare key meet as they lie.
     """
     keys, stamp = list(keys), dict(stamp or {})
     if check:
@@ -48,7 +49,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     columns = [new_value(c) if c in values else F.col(c) for c in target.columns]
     if not small_rows or not is_small(side, small_rows):
-        return target.join(side, keys, "full_outer").select(*columns)
+        joined = outer_join(target, side, keys) if null_keys else target.join(side, keys, "full_outer")
+        return joined.select(*columns)
 
     updated = target.join(F.broadcast(side), keys, "left").select(*columns)
     matched = target.select(*keys).join(F.broadcast(side.select(*keys)), keys, "left_semi").distinct()

@@ -18,6 +18,19 @@ def reconcile(spark, sf):
     return audit.reconcile(table(spark, sf, "orders"), table(spark, sf, "lineitem").select("l_orderkey").distinct())
 
 
+@query("reconcile_content", "AU1 G1", """
+    SELECT count(*) AS source_count, count(*) AS target_count, 'same' AS kind, 'MATCH' AS match_status FROM orders
+    UNION ALL SELECT count(*), count(*), 'changed', CASE WHEN count(*) FILTER (o_orderkey % 100 = 7) > 0 THEN 'MISMATCH' ELSE 'MATCH' END
+    FROM orders""")
+def reconcile_content(spark, sf):
+    """Counts agree in both cases; contents only where no row was changed."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    changed = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 100 == 7, F.lit("?")).otherwise(F.col("o_orderstatus")))
+    out = [audit.reconcile_content(orders, other, ["o_orderkey"]).withColumn("kind", F.lit(kind))
+           for kind, other in (("same", orders.repartition(7)), ("changed", changed))]
+    return out[0].unionByName(out[1]).select("source_count", "target_count", "kind", "match_status")
+
+
 @query("missing_rows", "AU2 J9", """
     SELECT missing, CASE WHEN missing > 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS status FROM (
       SELECT count(*) AS missing FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))""")

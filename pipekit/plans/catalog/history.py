@@ -10,6 +10,8 @@ from pipekit.operators import changes as ch
 from pipekit.operators import history as hs
 from pipekit.operators import merge
 from pipekit.plans.catalog.registry import query, table
+from pipekit.session import scratch
+from pipekit.sinks.bucketed import BucketedTable
 
 FIRST, SECOND = dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1)
 
@@ -57,6 +59,25 @@ def upsert_large_source(spark, sf):
     return _upserted(spark, sf, small_rows=0)
 
 
+@query("upsert_bucketed", "UP1 J12 CD7 PL4", f"""
+    SELECT * FROM ({_UPSERT}) UNION ALL
+    SELECT NULL, c_name, 'NO KEY', c_acctbal, '2024-01-01' FROM customer WHERE c_nationkey <> 3 AND c_custkey % 3 = 0 UNION ALL
+    SELECT NULL, c_name, 'NEW', c_acctbal, '2024-06-01' FROM customer WHERE c_nationkey = 3""")
+def upsert_bucketed(spark, sf):
+    """A target that lies bucketed by key, a third of its rows without one; the merge does not shuffle it."""
+    target = _base(spark, sf).withColumn("updated_date", F.lit("2024-01-01"))
+    keyless = target.where("c_custkey % 3 = 0").withColumns(
+        {"c_custkey": F.lit(None).cast(target.schema["c_custkey"].dataType), "c_mktsegment": F.lit("NO KEY")})
+    root = scratch(spark, "bucketed")
+    held = BucketedTable(spark, "merged_" + root.rsplit("-", 1)[-1], root, ["c_custkey"], buckets=8)
+    held.save(target.unionByName(keyless))
+    delta = _delta(spark, sf)
+    new = delta.where("c_nationkey = 3").withColumns(
+        {"c_custkey": F.lit(None).cast(target.schema["c_custkey"].dataType), "c_mktsegment": F.lit("NEW")})
+    held.upsert(delta.unionByName(new), {"updated_date": F.lit("2024-06-01")})
+    return held.read().select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "updated_date")
+
+
 @query("update_rows", "UP2", """
     SELECT s_suppkey, CASE WHEN s_nationkey = 5 THEN 90000.0 ELSE s_acctbal END AS s_acctbal FROM supplier""")
 def update_rows(spark, sf):
@@ -157,6 +178,13 @@ def diff_changes(spark, sf):
         "c_custkey", "c_mktsegment", "change_action", "is_update")
 
 
+@query("diff_by_digest", "CD1 CD2 CD3 CD4", _DIFF + " SELECT * FROM d")
+def diff_by_digest(spark, sf):
+    """The same changes, found by digests of key buckets."""
+    return ch.diff_by_digest(_base(spark, sf), _after(spark, sf), ["c_custkey"], leaf_rows=16).select(
+        "c_custkey", "c_mktsegment", "change_action", "is_update")
+
+
 @query("change_row_ids", "CD8", _DIFF + """
     SELECT count(*) AS changes, count(DISTINCT c_custkey) AS row_ids, 64 AS id_length FROM d""")
 def change_row_ids(spark, sf):

@@ -39,6 +39,21 @@ def skewed_lookup(spark, sf):
         F.count(F.lit(1)).alias("row_count"), F.sum("l_linenumber").alias("lines"))
 
 
+@query("star_skewed", "J1 J3 J4 J5 J6 FT1", """
+    SELECT l_orderkey, l_linenumber, p_brand, s_name, o_orderstatus, n_name FROM lineitem
+    JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
+    JOIN nation ON l_linenumber = n_nationkey""")
+def star_skewed(spark, sf):
+    """Four lookups, heavy keys of all of them salted at once; every line's number is a heavy key."""
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    kind = line.schema["l_linenumber"].dataType
+    dims = [(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey"),
+            (table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey"),
+            (table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus"), "l_orderkey"),
+            (table(spark, sf, "nation").select(F.col("n_nationkey").cast(kind).alias("l_linenumber"), "n_name"), "l_linenumber")]
+    return joins.salted_star_join(line, dims).select("l_orderkey", "l_linenumber", "p_brand", "s_name", "o_orderstatus", "n_name")
+
+
 @query("composite_key_join", "J2", """
     WITH dim AS (SELECT l_partkey, l_suppkey, min(l_linenumber) AS first_line FROM lineitem GROUP BY 1, 2)
     SELECT l.l_orderkey, l.l_linenumber, d.first_line FROM lineitem l

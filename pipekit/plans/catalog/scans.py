@@ -18,6 +18,7 @@ from pipekit.plans.catalog.registry import dbl, money, query, table
 from pipekit.session import scratch
 from pipekit.sinks.files import list_files, make_dirs, rename, write_text
 from pipekit.sinks.writers import export_named, write
+from pipekit.sources import numbered as nb
 from pipekit.sources import provenance as pv
 from pipekit.sources import scans as sc
 from pipekit.sources.formats import FileFormat, Stage
@@ -253,8 +254,8 @@ def tables_load(spark, sf):
 def provenance(spark, sf):
     """Every row has its own place in its file; places run without gaps from the line after the header."""
     rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    read = sc.read_csv(spark, _land(rows, "places"), schema="o_orderkey bigint, o_custkey bigint, o_orderstatus string")
-    files = pv.with_row_position(read).groupBy("source_file").agg(
+    read = nb.read_numbered_csv(spark, _land(rows, "places"), "o_orderkey bigint, o_custkey bigint, o_orderstatus string")
+    files = read.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("row_in_file").alias("d"),
         F.min("row_in_file").alias("first"), F.max("row_in_file").alias("last"))
     return files.agg(F.sum("n").alias("row_count"), F.sum(F.col("n") - F.col("d")).cast("int").alias("repeated_positions"),
@@ -262,6 +263,68 @@ def provenance(spark, sf):
                      F.max("first").alias("first_position"))
 
 
+def _placed(spark, sf, name):
+    """Orders written in key order with their own place in the file as text; every sixth place is no number."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").repartitionByRange(5, "o_orderkey").sortWithinPartitions(
+        "o_orderkey")
+    place = F.monotonically_increasing_id() % (1 << 33) + 2
+    line = F.concat_ws(",", F.when(place % 6 == 0, F.concat(F.lit("n/a-"), "o_orderkey")).otherwise(
+        F.col("o_orderkey").cast("string")), "o_orderstatus", place.cast("string"))
+    path = scratch(spark, name)
+    # Each part begins with a header of its own; the lines keep their order in the file.
+    head = F.lit("order_id,status,place")
+    lines = rows.select(F.when(place == 2, F.concat(head, F.lit("\n"), line)).otherwise(line).alias("value"))
+    lines.write.text(path)
+    return path
+
+
+_PLACED = "order_id bigint, status string, place bigint"
+
+
+@query("provenance_abort", "SC22 P21", "SELECT count(*) AS row_count, true AS line_is_position, true AS aborted FROM orders")
+def provenance_abort(spark, sf):
+    """Without bad rows all lines have their place; with them the job ends."""
+    path = _placed(spark, sf, "places-abort")
+    aborted = False
+    try:
+        nb.read_numbered_csv(spark, path, _PLACED).agg(F.sum("order_id")).collect()
+    except Exception as error:  # noqa: BLE001 - Spark wraps the error of a task
+        aborted = "MALFORMED" in str(error)
+    text = nb.read_numbered_csv(spark, path, _PLACED.replace("order_id bigint", "order_id string"))
+    return text.agg(F.count(F.lit(1)).alias("row_count"), F.bool_and(F.col("place") == F.col("row_in_file")).alias(
+        "line_is_position")).withColumn("aborted", F.lit(aborted))
+
+
+@query("provenance_with_bad_rows", "SC22 P21", """
+    SELECT 'continue' AS policy, CAST(count(*) AS BIGINT) AS missing_or_bad, true AS some_bad, true AS line_is_position
+    FROM orders WHERE false UNION ALL SELECT 'report', 0, true, true""")
+def provenance_with_bad_rows(spark, sf):
+    """Places stay right when bad lines are left out or reported; every order is there or told as bad, once."""
+    path = _placed(spark, sf, "places-bad")
+    keys = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"))
+    out = []
+    for policy in ("continue", "report"):
+        read = nb.read_numbered_csv(spark, path, _PLACED, on_error=policy)
+        told = F.regexp_extract(F.col("_corrupt_record"), "n/a-([0-9]+)", 1).cast("bigint") if policy == "report" else F.lit(None).cast("bigint")
+        marked = read.select(F.coalesce(F.col("order_id"), told).alias("key"), F.col("order_id").isNull().alias("bad"),
+                             (F.col("place") == F.col("row_in_file")).alias("right"))
+        if policy == "continue":
+            # What is left out are exactly the lines whose place is a multiple of six.
+            lost = marked.agg(F.count(F.lit(1)).alias("n"), F.bool_and("right").alias("right"))
+            every = nb.read_numbered_csv(spark, path, _PLACED.replace("order_id bigint", "order_id string"))
+            fits = every.agg(F.count_if(F.col("row_in_file") % 6 != 0).alias("fits"), (F.count_if(
+                F.col("row_in_file") % 6 == 0) > 0).alias("some_bad"))
+            both = union_blocks(lost, fits).agg(*[F.max(c).alias(c) for c in ("n", "right", "fits", "some_bad")])
+            out.append(both.select(F.lit(policy).alias("policy"), (F.col("fits") - F.col("n")).alias("missing_or_bad"),
+                                   "some_bad", F.col("right").alias("line_is_position")))
+        else:
+            both = keys.join(marked, "key", "full_outer").agg(
+                F.count_if(F.col("right").isNull() | F.col("key").isNull()).alias("missing_or_bad"),
+                F.bool_or("bad").alias("some_bad"), F.bool_and("right").alias("line_is_position"))
+            out.append(both.select(F.lit(policy).alias("policy"), "missing_or_bad", "some_bad", "line_is_position"))
+    return out[0].unionByName(out[1])
+
+
 @query("provenance_stored", "SC22 G12", """
     SELECT o_orderstatus, count(*) AS row_count FROM orders GROUP BY 1""")
 def provenance_stored(spark, sf):
@@ -318,6 +381,21 @@ def merge_text(spark, sf):
         "has_file", F.col("source_file").endswith(".csv")).drop("source_file")
 
 
+@query("merge_text_any_header", "SC34 G12", """
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS label, c_mktsegment AS part FROM customer""")
+def merge_text_any_header(spark, sf):
+    """Headers that differ from the first file's, blank first lines and blank files do not stop the merge."""
+    path = scratch(spark, "merge-any")
+    rows = _staff(spark, sf).repartition(5, "employee_id").select(
+        F.concat_ws("|", "employee_id", "name", "department").alias("value"), (F.monotonically_increasing_id() % (1 << 33)).alias("n"),
+        F.spark_partition_id().alias("p"))
+    head = F.when(F.col("p") == 0, F.lit("id|label|part\n")).otherwise(F.concat(F.lit(" \n\nnumber "), F.col("p"), F.lit("|what|where\n")))
+    rows.select(F.when(F.col("n") == 0, F.concat(head, "value")).otherwise(F.col("value")).alias("value")).write.text(path)
+    write_text(spark, f"{path}/a-blank.txt", "\n \n")
+    write_text(spark, f"{path}/b-empty.txt", "")
+    return sc.merge_text_files(spark, path).drop("source_file")
+
+
 @query("stage_file_by_name", "SC35 SC36 SK16", _STAFF)
 def stage_file_by_name(spark, sf):
     stage = Stage(scratch(spark, "named"))

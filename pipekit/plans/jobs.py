@@ -25,7 +25,7 @@ from pipekit.sinks.files import delete_path, list_files, make_dirs, path_exists,
 from pipekit.sinks.layers import mark_complete, to_dated, to_refined
 from pipekit.session import durable, working_tables
 from pipekit.sinks.writers import (append_rows, export_many, export_named, export_under, load_targets,
-                                   recover, reload, replace, rewrite_partitions)
+                                   recover, reload, replace, rewrite_partitions, write_counted)
 from pipekit.sources.formats import FileFormat, Stage
 from pipekit.sources.scans import read_stage_file, read_when_marked
 from pipekit.streaming.loads import FileLoad
@@ -95,10 +95,10 @@ def run_star_once(spark: SparkSession, staged: DataFrame, star: Star, log: Audit
                 reload(df, star.path(name))
         saved = {n: spark.read.parquet(star.path(n)) for n in star.dims}
         columns = _fact_columns(star.dims, star.fact_id, star.measures)
-        reload(load_fact(staged, [(saved[n], c) for n, (_, c) in star.dims.items()], columns,
-                         skewed=star.skewed, null_safe=star.null_safe), star.path(star.fact))
+        result.target_count = write_counted(load_fact(
+            staged, [(saved[n], c) for n, (_, c) in star.dims.items()], columns, skewed=star.skewed,
+            null_safe=star.null_safe), star.path(star.fact))
         result.source_count = staged.count()
-        result.target_count = spark.read.parquet(star.path(star.fact)).count()
         result.match_status = "MATCH" if result.source_count == result.target_count else "MISMATCH"
         if strict and result.match_status == "MISMATCH":
             raise JobFailure("staging and fact counts differ")
@@ -111,8 +111,7 @@ def stage_then_star(spark: SparkSession, stage: Stage, schema: T.StructType, sta
     with log.run("stage_load", run_id) as result:
         rows = spark.read.schema(schema).options(**stage.format.reader_options()).option(
             "mode", "FAILFAST").csv(stage.path)
-        reload(rows, staging)
-        result.target_count = spark.read.parquet(staging).count()
+        result.target_count = write_counted(rows, staging)
     if not result.ok:
         return result
     return run_star_once(spark, spark.read.parquet(staging), star, log, run_id)
@@ -122,8 +121,7 @@ def stage_file(spark: SparkSession, stage: Stage, name: str, schema: T.StructTyp
                log: AuditLog, run_id: str) -> RunResult:
     """Reload staging from one named file, even if it was loaded before."""
     with log.run("stage_file", run_id) as result:
-        reload(read_stage_file(spark, stage, name, schema), staging)
-        result.target_count = spark.read.parquet(staging).count()
+        result.target_count = write_counted(read_stage_file(spark, stage, name, schema), staging)
     return result
 
 
@@ -157,8 +155,7 @@ def refine_then_star(spark: SparkSession, raw: DataFrame, keys: Sequence[str], r
                      refined: str, star: Star, log: AuditLog, run_id: str) -> RunResult:
     """Raw rows without NULLs and duplicates to the refined layer, then the idempotent star load."""
     with log.run("refine", run_id) as result:
-        reload(drop_duplicates(drop_nulls(raw, required), keys), refined)
-        result.target_count = spark.read.parquet(refined).count()
+        result.target_count = write_counted(drop_duplicates(drop_nulls(raw, required), keys), refined)
     return run_star_new(spark, refined, star, log, run_id) if result.ok else result
 
 
@@ -367,11 +364,10 @@ def layer_run(spark: SparkSession, raw: DataFrame, refined: str, dated: str, as_
 def marked_duplicate_report(spark: SparkSession, folder: str, marker: str, schema: T.StructType,
                             measure: str, glob: str = "*.txt") -> DuplicateReport | None:
     """Duplicate report over the text files of a folder, once its marker is there."""
-    from pipekit.sources.provenance import with_row_position
-    rows = read_when_marked(spark, folder, marker, glob, schema=schema)
+    rows = read_when_marked(spark, folder, marker, glob, schema=schema, numbered=True)
     if rows is None:
         return None
-    return duplicate_report(with_row_position(rows), schema.names, ["source_file", "row_in_file"], measure)
+    return duplicate_report(rows, schema.names, ["source_file", "row_in_file"], measure)
 
 
 __all__ = [

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,6 +159,17 @@ def reload(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> int:
+    """Write Parquet and give the number of rows, observed by the tasks that wrote them; nothing is read back.
+
+    The count is taken in the last stage, where a task counts once however often it runs.
+    """
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return seen.get["rows"]
+
+
 def load_targets(df: DataFrame, targets: Mapping[str, tuple[str, Sequence[str]]], mode: str = "append",
                  keep: bool = False) -> None:
     """One row set into several targets: ``{name: (path, columns)}``.

@@ -26,30 +26,30 @@ def with_source_file(df: DataFrame) -> DataFrame:
                      F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("file_modified"))
 
 
-def with_row_position(df: DataFrame, header: bool = True) -> DataFrame:
-    """Add ``source_file`` and ``row_in_file`` to a delimited or text scan.
+def number_rows(scan: DataFrame, first: int, first_row: Column | None = None) -> DataFrame:
+    """``row_in_file`` for a text scan with ``__file`` and ``__block``.
 
-    A header line counts as position 1; blank lines, which the reader skips, do not count. Each file
-    split numbers its own rows, and the row counts of the splits before it are added, so a file of any
-    size is numbered in place: the rows are not shuffled and only one summary row per split moves.
+    Each file split numbers its own lines, and the line counts of the splits before it are added, so a file of any size
+    is numbered in place: lines are not shuffled and one summary row for each split moves. Lines must come straight
+    from a text scan, which drops none. ``first_row`` adds a column of that name, the place of the file's first line
+    for which it holds.
     """
-    rows = df.select("*", F.col("_metadata.file_path").alias("__file"),
-                     source_file().alias("source_file"),
-                     F.col("_metadata.file_block_start").alias("__block"))
-    return _numbered(rows, 2 if header else 1)
-
-
-def _numbered(scan: DataFrame, first: int) -> DataFrame:
-    """``row_in_file`` for a scan with ``__file`` and ``__block``."""
     rows = scan.withColumn("__id", F.monotonically_increasing_id())
-    earlier = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    file = Window.partitionBy("__file")
+    earlier = file.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    found = F.lit(None).cast("bigint") if first_row is None else F.min(F.when(first_row, F.col("__id")))
     splits = (rows.groupBy("__file", "__block")
-              .agg(F.min("__id").alias("__start"), F.count(F.lit(1)).alias("__rows"))
+              .agg(F.min("__id").alias("__start"), F.count(F.lit(1)).alias("__rows"), found.alias("__found"))
               .withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
               .drop("__rows"))
-    return (rows.join(splits, ["__file", "__block"])
-            .withColumn("row_in_file", F.col("__before") + F.col("__id") - F.col("__start") + F.lit(first))
-            .drop("__file", "__block", "__id", "__start", "__before"))
+    place = F.col("__before") - F.col("__start") + F.lit(first)
+    extra = []
+    if first_row is not None:
+        splits = splits.withColumn("first_row", F.min(place + F.col("__found")).over(file))
+        extra = ["first_row"]
+    return (rows.join(splits.drop("__found"), ["__file", "__block"])
+            .withColumn("row_in_file", place + F.col("__id"))
+            .select(*[c for c in scan.columns if c not in ("__file", "__block")], "row_in_file", *extra))
 
 
 def inventory(spark: SparkSession, path: str | Sequence[str], glob: str | None = None,
@@ -73,7 +73,7 @@ def content_keys(spark: SparkSession, path: str) -> DataFrame:
     scan = spark.read.option("recursiveFileLookup", True).text(path).select(
         "*", source_path().alias("path"), F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"))
-    lines = _numbered(scan, 1).select(
+    lines = number_rows(scan, 1).select(
         "path", *[F.xxhash64("row_in_file", "value", F.lit(seed)).cast("decimal(38,0)").alias(f"h{seed}") for seed in (1, 2)])
     sums = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
     return files.join(sums, "path", "left").select("path", F.md5(F.concat_ws(

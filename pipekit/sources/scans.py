@@ -11,10 +11,9 @@ from pyspark.sql import types as T
 from pipekit.functions.text import is_safe_name, split_fields
 from pipekit.sinks.files import list_files, path_exists
 from pipekit.sources.formats import ON_ERROR, FileFormat, Stage
+from pipekit.sources.numbered import BAD_RECORD, first_line, numbered_lines, parse_lines, read_numbered_csv
 from pipekit.sources.provenance import source_file
 
-BAD_RECORD = "_corrupt_record"
-
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], fmt: FileFormat = FileFormat(), *,
              schema: T.StructType | str | None = None, infer: bool = False,
@@ -144,15 +143,18 @@ class MarkerMissing(Exception):
 
 def read_when_marked(spark: SparkSession, folder: str, marker: str, glob: str = "*.txt",
                      fmt: FileFormat = FileFormat(sep="|"), schema: T.StructType | str | None = None,
-                     ) -> DataFrame | None:
+                     numbered: bool = False) -> DataFrame | None:
     """The inputs of a folder, once a marker file says they are complete.
 
-    No marker gives None (no work); a marker without inputs is an error.
+    No marker gives None (no work); a marker without inputs is an error. With ``numbered`` each row has its
+    ``source_file`` and ``row_in_file``.
     """
     if not path_exists(spark, f"{folder}/{marker}"):
         return None
     if not any(glob_match(f, glob) for f in list_files(spark, folder)):
         raise FileNotFoundError(f"marker {marker} without {glob} inputs in {folder}")
+    if numbered:
+        return read_numbered_csv(spark, folder, schema, fmt, glob=glob)
     return read_csv(spark, folder, fmt, schema=schema, glob=glob)
 
 
@@ -162,24 +164,24 @@ def glob_match(path: str, glob: str) -> bool:
 
 
 def merge_text_files(spark: SparkSession, folder: str, sep: str = "|", glob: str = "*.txt",
-                     ) -> DataFrame:
+                     check_header: bool = False) -> DataFrame:
     """All delimited text files of a folder as strings, with ``source_file``.
 
-    The first non-empty file in name order gives the header, every file's own first line is dropped,
-    empty files add nothing. Names are compared with each file's header, and a difference is an error.
+    The first non-blank line of the first file (in name order) that has one names the columns. In every file the first
+    non-blank line is its header and is dropped by its place, whatever it says; with ``check_header`` other words in it
+    end the job. Empty and blank files add nothing; blank lines are no rows.
     """
-    header = None
     files = sorted(f for f in list_files(spark, folder) if glob_match(f, glob))
-    for file in files:
-        first = spark.read.text(file).limit(1).collect()
-        if first and first[0]["value"].strip():
-            header = [c.strip() for c in first[0]["value"].split(sep)]
-            break
+    header = first_line(spark, files)
     if header is None:
         raise FileNotFoundError("no valid data in text files")
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    df = read_csv(spark, folder, FileFormat(sep=sep), schema=schema, check_header=True, glob=glob)
-    return df.select("*", source_file().alias("source_file"))
+    schema = T.StructType([T.StructField(name.strip(), T.StringType()) for name in header.split(sep)])
+    row = (F.trim("value") != "") & (F.col("row_in_file") > F.col("first_row"))
+    if check_header:
+        differs = (F.col("row_in_file") == F.col("first_row")) & (F.col("value") != F.lit(header))
+        row = F.when(differs, F.raise_error(F.concat(F.lit("another header: "), "value")).cast("boolean")).otherwise(row)
+    return parse_lines(numbered_lines(spark, folder, glob), schema, FileFormat(sep=sep), "report", ["source_file"],
+                       row).select(*schema.names, "source_file")
 
 
 def complete_batches(inventory: DataFrame, batch_of: str = r"batch_([0-9-]+)", marker: str = ".ctl",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pipekit.functions import flatten
-from pipekit.sources import events, provenance, scans
+from pipekit.sources import events, numbered, provenance, scans
 from pipekit.sources import rows as literal
 from pipekit.sources.formats import FileFormat, Stage
 from pipekit.sources.workbook import read_workbooks
@@ -110,7 +110,7 @@ def test_row_positions_over_many_splits(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
-        df = provenance.with_row_position(scans.read_csv(spark, str(tmp_path), schema="id int, name string"))
+        df = numbered.read_numbered_csv(spark, str(tmp_path), "id int, name string")
         assert df.rdd.getNumPartitions() > 5
         got = {(r["source_file"], r["id"]): r["row_in_file"] for r in df.collect()}
     finally:
@@ -119,6 +119,28 @@ def test_row_positions_over_many_splits(spark, tmp_path):
     assert got[("small.csv", 9001)] == 2 and got[("small.csv", 9002)] == 3
 
 
+@pytest.mark.parametrize("policy", ["continue", "report"])
+def test_row_positions_stay_right_beside_bad_rows(spark, tmp_path, policy):
+    lines = ["id,size"] + [f"{i},{'x' if i % 10 == 9 else i}" for i in range(2, 2000)]
+    lines[50] = ""
+    text_file(tmp_path / "a.csv", ["", " ", *lines])
+    text_file(tmp_path / "b.csv", ["id,size", "1,1", "2", "", "4,4,4", "5,5"])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        got = {(r["source_file"], r["row_in_file"]): (r["id"], r["size"]) for r in numbered.read_numbered_csv(
+            spark, str(tmp_path), "id int, size int", on_error=policy).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = {("a.csv", i + 2): (i, None if i % 10 == 9 else i) for i in range(2, 2000) if i != 51}
+    want |= {("b.csv", 2): (1, 1), ("b.csv", 3): (2, None), ("b.csv", 5): (4, 4), ("b.csv", 6): (5, 5)}
+    if policy == "continue":
+        want = {k: v for k, v in want.items() if v[1] is not None and k != ("b.csv", 5)}
+    assert got == want
+    with pytest.raises(Exception, match="MALFORMED"):
+        numbered.read_numbered_csv(spark, str(tmp_path), "id int, size int").collect()
+
+
 def test_inventory_and_content_keys(spark, tmp_path):
     text_file(tmp_path / "a.csv", ["1"])
     text_file(tmp_path / "b.csv", ["1"])
@@ -164,7 +186,7 @@ def test_text_merge(spark, tmp_path):
     assert per_file == [(f"staff_{i}.txt", 5) for i in range(5)]
     text_file(tmp_path / "staff_9.txt", ["id|label", "1|x"])
     with pytest.raises(Exception, match="(?i)header"):
-        scans.merge_text_files(spark, str(tmp_path)).collect()
+        scans.merge_text_files(spark, str(tmp_path), check_header=True).collect()
 
 
 def test_batch_complete(spark):
@@ -219,3 +241,13 @@ def test_event_layouts(spark):
     got = events.envelope_events(spark.createDataFrame([(envelope,), ("broken",)], "value string"))
     assert events.filter_events(got, {"detail_type": ["Object Created"], "bucket": ["b"]}).count() == 1
     assert got.where(F.col("source").isNull()).count() == 1
+
+
+def test_text_files_merge_whatever_their_headers_say(spark, tmp_path):
+    text_file(tmp_path / "0.txt", [])
+    text_file(tmp_path / "1.txt", ["", "  "])
+    text_file(tmp_path / "2.txt", ["", "id|name", "1|a", "", "2|b|more"])
+    text_file(tmp_path / "3.txt", [" ", "other|words|here", "3"])
+    text_file(tmp_path / "4.txt", ["id|name"])
+    assert rows(scans.merge_text_files(spark, str(tmp_path)).fillna("-")) == [
+        ("1", "a", "2.txt"), ("2", "b", "2.txt"), ("3", "-", "3.txt")]
