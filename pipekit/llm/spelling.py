@@ -23,22 +23,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pipekit.llm.common import ship, text_slices
+from pipekit.llm.common import filled, ship, split_words, text_slices
 from pipekit.session import durable
 
 MIN_CHARS = 5
 MIN_COUNT = 3
 RATIO = 2
 DELETE_EVERY = 97
-SAMPLE = 1 << 15  # words that shape the cells
-CELL = 2048  # words, and askers, of a block
-CELL_CHARS = 1 << 21
+SAMPLE = 1 << 16  # words that shape the cells
+CELL = 1 << 14  # words, and askers, of a block
+CELL_CHARS = 1 << 22
 LEAF = 24
-FLUSH = 1 << 18
+MOVED_BYTES = 64  # words of more bytes are hashed one by one
 # Letters: a-z, then U+00C0 to U+00FF; the last dimension is the length.
 FIRST, LAST, HIGH = 0x61, 0xC0, 0xFF
 DIMS = 26 + HIGH - LAST + 2
@@ -46,30 +46,61 @@ DIMS = 26 + HIGH - LAST + 2
 
 # ---------------------------------------------------------------- words
 
+def _zero_bytes() -> np.ndarray:
+    """What one more byte does to a CRC-32 by its lowest byte."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+def joined_crc(heads: np.ndarray, which: np.ndarray, tails: list[bytes], tail_of: np.ndarray) -> np.ndarray:
+    """CRC-32 of pairs of a head (its CRC given) and a tail. CRCs are linear: the head's, moved on by as many zero
+    bytes as the tail has, and the tail's own add up."""
+    own = np.array([zlib.crc32(t) for t in tails], dtype=np.uint32)
+    size = np.array([len(t) for t in tails], dtype=np.int64)
+    out = np.zeros(len(which), dtype=np.uint32)
+    table, moved = _zero_bytes(), heads.copy()
+    steps = size[tail_of]
+    order = np.argsort(steps, kind="stable")
+    edges = np.searchsorted(steps[order], np.arange(MOVED_BYTES + 2))
+    for n in range(MOVED_BYTES + 1):
+        pairs = order[edges[n]:edges[n + 1]]
+        out[pairs] = moved[which[pairs]] ^ own[tail_of[pairs]]
+        moved = table[moved & 0xFF] ^ (moved >> 8)
+    for k in order[edges[-1]:].tolist():  # few words are that long
+        out[k] = zlib.crc32(tails[tail_of[k]], int(heads[which[k]]))
+    return out
+
+
 def _counted(batches: Iterator[pa.RecordBatch], delete_every: int | None, min_chars: int) -> Iterator[pa.RecordBatch]:
-    run = regex.compile("[a-zÀ-ÿ]+")
-    total: Counter[str] = Counter()
     for batch in text_slices(batches):
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            found = Counter(run.findall((text or "").encode().lower().decode()))
-            head = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-            for word, n in found.items():
-                if delete_every:
-                    h = zlib.crc32(word.encode(), head)
-                    if h % delete_every == 0:
-                        k = h % len(word)
-                        word = word[:k] + word[k + 1:]
-                if len(word) >= min_chars:
-                    total[word] += n
-        if len(total) >= FLUSH:
-            yield _count_rows(total)
-            total = Counter()
-    yield _count_rows(total)
-
-
-def _count_rows(total: Counter[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.string()), pa.array(list(total.values()), pa.int64())],
-                                      names=["word", "n"])
+        plain = pc.replace_substring_regex(pc.ascii_lower(filled(batch.column("text"))), "[^a-zÀ-ÿ]+", " ")
+        words, codes, counts = split_words(plain, lower=False)
+        some = np.flatnonzero(pc.utf8_length(words).to_numpy(zero_copy_only=False) >= min_chars)
+        place = np.full(len(words), -1)
+        place[some] = np.arange(len(some))
+        words, codes = words.take(pa.array(some)), place[codes]
+        doc = np.repeat(np.arange(batch.num_rows), counts)[codes >= 0]
+        pair, n = np.unique(doc * (len(words) + 1) + codes[codes >= 0], return_counts=True)
+        doc, code = pair // (len(words) + 1), pair % (len(words) + 1)
+        shorter: Counter[str] = Counter()
+        if delete_every:
+            heads = np.array([zlib.crc32(f"{'' if i is None else i}:".encode()) for i in batch.column("doc_id").to_pylist()],
+                             dtype=np.uint32)
+            h = joined_crc(heads, doc, words.cast(pa.binary()).to_pylist(), code)
+            hit = h % np.uint32(delete_every) == 0
+            for c, one, times in zip(code[hit].tolist(), h[hit].tolist(), n[hit].tolist(), strict=True):
+                word = words[c].as_py()
+                k = one % len(word)
+                if len(word) > min_chars:
+                    shorter[word[:k] + word[k + 1:]] += times
+            n = np.where(hit, 0, n)
+        total = np.bincount(code, weights=n, minlength=len(words)).astype(np.int64)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([words.take(pa.array(held)), pa.array(list(shorter.keys()), pa.string())]),
+             pa.array(np.concatenate([total[held], np.array(list(shorter.values()), dtype=np.int64)]))], names=["word", "n"])
 
 
 def word_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars: int = MIN_CHARS,
@@ -97,54 +128,71 @@ def letter_counts(words: list[str]) -> np.ndarray:
 
 # ---------------------------------------------------------------- trees
 
+def unary(points: np.ndarray) -> np.ndarray:
+    """Counts as bits: one for each letter and each count it reaches, so that letters more and less are bits set in one
+    word and not in the other."""
+    most = points.max(axis=0, initial=0)
+    letter = np.repeat(np.arange(points.shape[1]), most)
+    reach = np.concatenate([np.arange(1, m + 1) for m in most] or [np.zeros(0, dtype=np.int64)])
+    width = max(1, -(-len(letter) // 64))
+    out = np.zeros((len(points), width * 8), dtype=np.uint8)
+    for a in range(0, len(points), step := max(1, (1 << 24) // max(1, len(letter)))):
+        packed = np.packbits(points[a:a + step, letter] >= reach, axis=1)
+        out[a:a + step, :packed.shape[1]] = packed
+    return out.view(np.uint64)
+
+
+def _bits(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
+
+
 class Tree:
-    """A k-d tree over letter counts: each node halves its points at the dimension they differ most in and keeps the
-    box around them; points that are all alike are one leaf."""
+    """A k-d tree over letter counts: each node halves its points at one of the dimensions they differ most in and
+    keeps the box around them, as the bits that all of them and that any of them have; points that are all alike are
+    one leaf."""
 
-    def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points, self.leaf = points, leaf
+    def __init__(self, points: np.ndarray, bits: np.ndarray, leaf: int = LEAF):
+        self.bits, self.leaf = bits, leaf
         self.boxes: list[tuple[np.ndarray, np.ndarray]] = []
         self.inner: list[tuple[int, int] | None] = []
         self.held: list[np.ndarray | None] = []
         if len(points):
-            self._grow(np.arange(len(points)))
+            self._grow(points, np.arange(len(points)))
 
-    def _grow(self, ids: np.ndarray) -> int:
-        mine = self.points[ids]
-        lo, hi = mine.min(axis=0), mine.max(axis=0)
+    def _grow(self, points: np.ndarray, ids: np.ndarray) -> int:
         node = len(self.boxes)
-        self.boxes.append((lo, hi))
+        mine = self.bits[ids]
+        self.boxes.append((np.bitwise_and.reduce(mine, axis=0), np.bitwise_or.reduce(mine, axis=0)))
         self.inner.append(None)
         self.held.append(None)
-        side = halves(mine, lo, hi) if len(ids) > self.leaf else None
+        side = halves(points, points.min(axis=0), points.max(axis=0)) if len(ids) > self.leaf else None
         if side is None:
             self.held[node] = ids
         else:
-            low = mine[:, side[0]] <= side[1]
-            self.inner[node] = (self._grow(ids[low]), self._grow(ids[~low]))
+            low = points[:, side[0]] <= side[1]
+            self.inner[node] = (self._grow(points[low], ids[low]), self._grow(points[~low], ids[~low]))
         return node
 
-    def search(self, asked: np.ndarray, more: int, less: int) -> tuple[np.ndarray, np.ndarray]:
-        """(asker, point) pairs where the point has at most so many letters more and so many less."""
-        pairs = [(np.zeros(0, dtype=np.int64),) * 2]
+    def search(self, asked: np.ndarray, more: int, less: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(askers, points), in parts: pairs where the point has at most so many letters more and so many less."""
         todo = [(0, np.arange(len(asked)))] if self.boxes and len(asked) else []
         while todo:
             node, who = todo.pop()
-            lo, hi = self.boxes[node]
+            every, some = self.boxes[node]
             them = asked[who]
-            who = who[(np.clip(lo - them, 0, None).sum(axis=1) <= more) & (np.clip(them - hi, 0, None).sum(axis=1) <= less)]
+            who = who[(_bits(every & ~them) <= more) & (_bits(them & ~some) <= less)]
             if not len(who):
                 continue
             if self.inner[node]:
                 todo += [(child, who) for child in self.inner[node]]
                 continue
             ids = self.held[node]
-            for a in range(0, len(who), 512):
-                step = self.points[ids][None] - asked[who[a:a + 512]][:, None]
-                near = (np.clip(step, 0, None).sum(axis=2) <= more) & (np.clip(-step, 0, None).sum(axis=2) <= less)
-                q, p = np.nonzero(near)
-                pairs.append((who[a:a + 512][q], ids[p]))
-        return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+            points = self.bits[ids]
+            for a in range(0, len(who), step := max(1, (1 << 19) // points.size)):
+                them = asked[who[a:a + step]][:, None]
+                q, p = np.nonzero((_bits(points & ~them) <= more) & (_bits(them & ~points) <= less))
+                if len(q):
+                    yield who[a:a + step][q], ids[p]
 
 
 def halves(points: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int] | None:
@@ -234,14 +282,23 @@ class Cells:
         return np.concatenate(who_out), np.concatenate(cell_out)
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether b is a with one code point replaced, or, if longer by one, inserted."""
-    k = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        k += 1
-    return k < len(b) and (a[k + 1:] == b[k + 1:] if len(a) == len(b) else a[k:] == b[k + 1:])
+def spelled(words: list[str], width: int) -> np.ndarray:
+    """Letters of words of no more than ``width``, one row each."""
+    out = np.zeros((len(words), width), dtype=np.uint8)
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
+    out[np.arange(width) < sizes[:, None]] = codes
+    return out
+
+
+def one_edit(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """Whether each row of ``long`` is its row of ``short`` with one letter replaced, or inserted if it is wider by one."""
+    n, m = short.shape[1], long.shape[1]
+    if n == m:
+        return (short != long).sum(axis=1) == 1
+    head = np.logical_and.accumulate(short == long[:, :n], axis=1).sum(axis=1)
+    tail = np.logical_and.accumulate((short == long[:, 1:])[:, ::-1], axis=1).sum(axis=1)
+    return head + tail >= n
 
 
 # ---------------------------------------------------------------- pairs
@@ -266,22 +323,29 @@ def _routed(batches: Iterator[pa.RecordBatch], cells: Cells) -> Iterator[pa.Reco
 
 def _matched(table: pa.Table) -> pa.Table:
     words, asks = table.column("word").to_pylist(), table.column("asks").to_numpy()
-    n = table.column("n").to_numpy()
     points = letter_counts(words)
+    size = points[:, -1]
+    bits = unary(points[:, :-1])
     points = points[:, points.any(axis=0)]  # letters that nobody has tell nothing apart
-    size = np.array([len(w) for w in words])
-    found: list[tuple[str, str, int]] = []
+    pairs: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, dtype=np.int64),) * 2]
     for length in np.unique(size[~asks]):
         held = np.flatnonzero(~asks & (size == length))
-        tree = Tree(points[held])
+        tree = Tree(points[held], bits[held])
+        long = spelled([words[k] for k in held], int(length))
         for shorter in (0, 1):
             who = np.flatnonzero(asks & (size == length - shorter))
-            for i, j in zip(*(x.tolist() for x in tree.search(points[who], 1 if not shorter else 2, 1 - shorter)), strict=True):
-                i, j = who[i], held[j]
-                if (shorter or words[i] < words[j]) and one_edit(words[i], words[j]):
-                    found += [(words[i], words[j], int(n[j])), (words[j], words[i], int(n[i]))]
-    return pa.table({"word": pa.array([f[0] for f in found], pa.string()), "near": pa.array([f[1] for f in found], pa.string()),
-                     "near_n": pa.array([f[2] for f in found], pa.int64())})
+            short = spelled([words[k] for k in who], int(length) - shorter)
+            for i, j in tree.search(bits[who], 1, 1 - shorter):
+                for a in range(0, len(i), step := max(1, (1 << 22) // int(length))):
+                    p, q = i[a:a + step], j[a:a + step]
+                    right = one_edit(short[p], long[q])
+                    pairs.append((who[p[right]], held[q[right]]))
+    # Two words of one length meet both ways round; two of different lengths only as asked.
+    i, j = (np.concatenate([x[k] for x in pairs]) for k in (0, 1))
+    grown = size[i] < size[j]
+    one, two = pa.array(np.concatenate([i, j[grown]])), pa.array(np.concatenate([j, i[grown]]))
+    return pa.table({"word": table.column("word").take(one), "near": table.column("word").take(two),
+                     "near_n": table.column("n").take(two)})
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
