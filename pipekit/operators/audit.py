@@ -156,10 +156,8 @@ def run_history(runs: DataFrame, zone: str, suffix: str = "", upcoming: int = 5,
         local_clock("start_time", zone, suffix).alias("start_clock"),
         local_clock("completed_time", zone, suffix).alias("completed_clock"),
         second_diff("start_time", "completed_time").alias("execution_seconds"), "error_message")
-    points = (runs.groupBy("task_name").agg(F.max("scheduled_time").alias("last_time"))
-              .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(upcoming))))
-              .withColumn("scheduled_time",
-                          add_time("last_time", minutes=F.col("step") * F.lit(every_minutes))))
+    last = runs.groupBy("task_name").agg(F.max("scheduled_time").alias("last_time"))
+    points = schedule_points(last, "last_time", upcoming, every_minutes, at="scheduled_time")
     future = points.select(
         "task_name", F.lit("UPCOMING").alias("execution_status"), "scheduled_time",
         local_date("scheduled_time", zone).alias("execution_date"),
@@ -173,6 +171,12 @@ def upcoming_points(start: Column, n: int, every_minutes: int, spark: SparkSessi
         F.col("id").alias("step"), add_time(start, minutes=(F.col("id") * every_minutes).cast("int")).alias("at"))
 
 
+def schedule_points(schedules: DataFrame, last: str, n: int, every_minutes: int = 1, at: str = "at") -> DataFrame:
+    """Each of many schedules with its ``n`` next points after the time ``last``: ``step`` from 1 and the time ``at``."""
+    steps = schedules.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    return steps.withColumn(at, add_time(last, minutes=F.col("step") * F.lit(every_minutes)))
+
+
 def final_status(runs: DataFrame, audit: DataFrame, on: str = "run_id") -> DataFrame:
     """Status of each run from its own state and its audit row; no audit row is a FAILURE."""
     joined = runs.join(audit.select(on, F.col("status").alias("audit_status")), on, "left")

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pipekit.functions.text import row_digest
 from pipekit.operators.joins import HEAVY_SHARE, SMALL_ROWS, lookup_join
@@ -50,13 +51,18 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
                     ) -> DataFrame:
-    """One row per key: the first by ``order_by``, else any."""
-    if not order_by:
-        return df.dropDuplicates(list(keys))
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("__row"))
-    return best.select(*keys, "__row.*").select(*df.columns)
+    """One row per key: the first by ``order_by``, else any. Keys with text in them meet by a digest, so no text is
+    sorted or hashed again and again as a group key."""
+    kinds = {c: df.schema[c].dataType for c in keys}
+    # Zero has one sign here, as in any grouping.
+    parts = [F.col(c) + F.lit(0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(c)
+             for c, kind in kinds.items()]
+    texts = any(isinstance(kind, (T.StringType, T.BinaryType)) for kind in kinds.values())
+    group = [row_digest(parts).alias("__set")] if texts else list(keys)
+    order = None if not order_by else F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
+    row = F.struct(*df.columns)
+    best = df.groupBy(*group).agg((F.first(row) if order is None else F.min_by(row, order)).alias("__row"))
+    return best.select("__row.*")
 
 
 def max_length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:

@@ -13,6 +13,7 @@ from pipekit.operators.audit import AuditLog, RunResult, require_rows
 from pipekit.operators.dims import DimensionSpec
 from pipekit.operators.quality import drop_duplicates
 from pipekit.plans import jobs
+from pipekit.plans.consumed import ConsumedLoad
 from pipekit.plans.catalog.history import (_DELTA, _HISTORY, FIRST, SECOND, _after, _base, _delta, _shown)
 from pipekit.plans.catalog.modelling import _sales
 from pipekit.plans.catalog.registry import dbl, money, query, table
@@ -20,9 +21,10 @@ from pipekit.session import scratch
 from pipekit.sinks import writers as wr
 from pipekit.sinks.files import write_text
 from pipekit.sources.formats import FileFormat, Stage
-from pipekit.sources.provenance import inventory
+from pipekit.sources.provenance import ContentIndex, inventory
 from pipekit.streaming.feed import ChangeLog, apply_to_folder
 from pipekit.streaming.loads import FileLoad, ingest_status
+from pipekit.streaming.scheduled import at_rate, run_ticks
 
 AS_OF = dt.datetime(2024, 6, 1)
 _ORDER_TYPE = T.StructType().add("order_id", T.LongType()).add("customer_id", T.LongType()).add(
@@ -121,6 +123,70 @@ def purge_after_load(spark, sf):
     return union_blocks(rows, left).agg(F.max("row_count").alias("row_count"), F.max("files_left").alias("files_left"))
 
 
+@query("purge_delete", "SC38", "SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS files_left FROM orders")
+def purge_delete(spark, sf):
+    """Loaded files are deleted by tasks once their history is saved; a file of another kind stays."""
+    load = _load(spark, "purge-delete", purge="delete")
+    _arrive(_orders(spark, sf), load.stage.path, "first")
+    write_text(spark, f"{load.stage.path}/notes.log", "stays")
+    load.run("load-1", AS_OF)
+    left = inventory(spark, load.stage.path).where(~F.col("file_name").startswith("_")).agg(F.count(F.lit(1)).alias("files_left"))
+    rows = load.loaded().agg(F.count(F.lit(1)).alias("row_count"))
+    return union_blocks(rows, left).agg(F.max("row_count").alias("row_count"), F.max("files_left").alias("files_left"))
+
+
+@query("content_index", "IN1 IN4 SC22", """
+    SELECT 'first' AS run, CAST(2 AS BIGINT) AS scanned, count(*) AS row_count FROM orders WHERE o_orderstatus = 'F' UNION ALL
+    SELECT 'second', 0, count(*) FROM orders WHERE o_orderstatus = 'F' UNION ALL
+    SELECT 'resent', 1, count(*) + count(*) FILTER (o_orderstatus = 'F' AND o_orderkey % 2 = 0) FROM orders WHERE o_orderstatus IN ('F', 'O')
+      AND (o_orderstatus = 'F' OR o_orderkey % 2 = 0)""")
+def content_index(spark, sf):
+    """Content keys kept from run to run: a file is scanned for its key once, and again only when it has changed."""
+    load = _load(spark, "content-index", key="content", content_index=scratch(spark, "content-keys"))
+    index = ContentIndex(spark, load.stage.path, load.content_index)
+    orders, out = _orders(spark, sf).drop("o_orderdate"), []
+
+    def send(rows, part):
+        wr.export_named(rows.where(f"order_id % 2 = {part}"), load.stage.path, f"orders_{part}.csv")
+
+    for number, run in enumerate(("first", "second", "resent"), 1):
+        if run == "first":
+            send(orders.where("status = 'F'"), 0)
+            send(orders.where("status = 'F'"), 1)
+        if run == "resent":
+            send(orders.where("status in ('F', 'O')"), 0)
+        scanned = index.refresh()
+        load.run(f"load-{number}", AS_OF)
+        # Counted now: in one plan the same folder at three times would be one scan.
+        out.append((run, scanned, load.loaded().count()))
+    return spark.createDataFrame(out, "run string, scanned bigint, row_count bigint")
+
+
+@query("fixed_rate_counts", "ST3 ST4 G4", """
+    SELECT tick, status, n AS row_count, true AS empty_tick_did_nothing FROM (
+      SELECT CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 1 ELSE 2 END AS tick, o_orderstatus AS status, count(*) AS n
+      FROM orders GROUP BY 1, 2)""")
+def fixed_rate_counts(spark, sf):
+    """A count by status each second over what has come in since: two ticks find rows, the ticks between and after do no
+    work."""
+    root = scratch(spark, "fixed-rate")
+    orders, ran = _orders(spark, sf), []
+
+    def body(rows, number):
+        counts = rows.groupBy("status").agg(F.count(F.lit(1)).alias("row_count"))
+        counts.withColumn("tick", F.lit(number + 1)).write.mode("overwrite").parquet(f"{root}/counts/run={number}")
+        ran.append(number)
+
+    for part, cond in (("first", "<"), ("second", ">=")):
+        _arrive(orders.where(f"o_orderdate {cond} timestamp_ntz'1998-01-01'"), f"{root}/stage", part)
+        rows = spark.readStream.schema(_ORDER_TYPE).options(**FileFormat().reader_options()).option(
+            "recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(f"{root}/stage")
+        # The second call goes on from the checkpoint of the first; both stay for two more ticks without files.
+        run_ticks(at_rate(rows, body, f"{root}/checkpoint", "1 second"), 1, idle=2.2)
+    return spark.read.parquet(f"{root}/counts").select("tick", "status", "row_count").withColumn(
+        "empty_tick_did_nothing", F.lit(ran == [0, 1]))
+
+
 def _stream_twice(spark, sf, name):
     load = _load(spark, name)
     orders = _orders(spark, sf)
@@ -409,6 +475,24 @@ def flagged_load(spark, sf):
     return spark.read.parquet(f"{root}/audit").select("load_id", "target_table", "source_count", "target_count", "status")
 
 
+@query("flagged_consumed", "SP7 IN5 SK22 AU6 AU9 PL9", """
+    SELECT load_id, target_table, n AS source_count, n AS target_count, 'SUCCESS' AS status FROM (
+      SELECT strftime(o_orderdate, '%Y-%m') AS load_id, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1),
+      (VALUES ('buyer'), ('sale')) t(target_table)""")
+def flagged_consumed(spark, sf):
+    """The same load, remembering the files it has read in place of moving them."""
+    staging, root = scratch(spark, "consumed"), scratch(spark, "consumed-targets")
+    rows = table(spark, sf, "orders").where("o_orderstatus <> 'F'").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("load_id"), F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("amount"))
+    load = ConsumedLoad(spark, staging, _TARGETS, root, f"{root}/log")
+    for number, part in enumerate(("load_id < '1997'", "load_id >= '1997'"), 1):
+        rows.where(part).write.mode("append").parquet(staging)
+        load.run(number)
+    assert load.run(3) is None
+    return load.audit().select("load_id", "target_table", "source_count", "target_count", "status")
+
+
 @query("flag_after_load", "IN5 UP2 G4", "SELECT 'Y' AS processed_flag, count(*) AS row_count FROM orders")
 def flag_after_load(spark, sf):
     staging, root = _staging(spark, sf, "flags"), scratch(spark, "flags-targets")

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from pipekit.operators import dims, keys, quality
 from pipekit.operators.joins import missing_from
 from pipekit.plans import jobs
+from pipekit.operators.zones import ZoneMap
 from pipekit.plans.catalog.registry import dbl, money, query, table
+from pipekit.session import scratch
+from pipekit.sinks.writers import write_counted
+from pipekit.sources.provenance import inventory
 
 
 @query("coded_keys", "KY3 W1 G9 F4", """
@@ -155,6 +159,30 @@ def fact_idempotent(spark, sf):
     return jobs.load_star(second, _DIMS, ["order_id"], _MEASURES, first)["fact"]
 
 
+@query("fact_idempotent_pruned", "FT2 J8 DM2 SP4 PL8", """
+    SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS amount,
+           true AS some_files_unread, CAST(0 AS BIGINT) AS added_again FROM orders""")
+def fact_idempotent_pruned(spark, sf):
+    """Orders arrive by key range, the second batch overlaps the end of the first; only files that can hold a staged key
+    are read to leave out what is there."""
+    sales = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("amount"))
+    cut = sales.agg(F.percentile_approx("order_id", [0.8, 0.9])).first()[0]
+    root = scratch(spark, "zones")
+    held = ZoneMap(spark, f"{root}/fact", f"{root}/zones", "order_id")
+    touched, added = [], []
+    for batch in (f"order_id <= {cut[1]}", f"order_id > {cut[0]}", f"order_id > {cut[0]}"):
+        staged = sales.where(batch)
+        held.refresh()
+        touched.append(len(held.files_for(staged)) if added else 0)
+        fresh = held.missing(staged, ["order_id"]).repartitionByRange(8, "order_id")
+        added.append(write_counted(fresh, held.folder, "append"))
+    held.refresh()
+    files = inventory(spark, held.folder, "*.parquet").count()
+    return spark.read.parquet(held.folder).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("order_id").alias("orders"), dbl(F.sum(money("amount"))).alias("amount"),
+    ).withColumn("some_files_unread", F.lit(0 < touched[1] < files)).withColumn("added_again", F.lit(added[2]).cast("bigint"))
+
+
 @query("star_dimension_keys", "DM2 KY1 PL8", f"""
     WITH {_STAR_SQL} SELECT customer_key, customer_name, nation FROM c2""")
 def star_dimension_keys(spark, sf):

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pipekit.functions import add_time
 from pipekit.operators import aggregates as ag
 from pipekit.operators import joins, keys
-from pipekit.operators.audit import load_target_audit
+from pipekit.operators.audit import load_target_audit, schedule_points, upcoming_points
 from pipekit.plans.catalog.registry import day, dbl, money, query, table
 from pipekit.sources import rows as lit_rows
 
@@ -140,14 +139,22 @@ def cross_targets(spark, sf):
     return load_target_audit(staged, "load_month", {"customer": None, "product": None, "fact": None})
 
 
+@query("upcoming_points", "W2 SC29 G6", """
+    SELECT row_number() OVER (ORDER BY range) AS step, strftime((SELECT max(ts) FROM events) + range * INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS due
+    FROM range(1, 9)""")
+def upcoming_points_query(spark, sf):
+    """The next eight quarters of an hour after the last event."""
+    last = table(spark, sf, "events").agg(F.max("ts")).first()[0]
+    return upcoming_points(F.lit(last).cast("timestamp_ntz"), 8, 15, spark).select(
+        "step", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("due"))
+
+
 @query("next_points", "J11 W2 W3 SC29", """
     SELECT user_id, step, strftime(last_ts + step * INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS due
     FROM (SELECT user_id, max(ts) AS last_ts FROM events GROUP BY 1), (SELECT CAST(range AS INTEGER) AS step FROM range(1, 6))""")
 def next_points(spark, sf):
     last = table(spark, sf, "events").groupBy("user_id").agg(F.max("ts").alias("last_ts"))
-    steps = last.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(5))))
-    return steps.select("user_id", "step", F.date_format(
-        add_time("last_ts", minutes=F.col("step")), "yyyy-MM-dd HH:mm:ss").alias("due"))
+    return schedule_points(last, "last_ts", 5).select("user_id", "step", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("due"))
 
 
 @query("generated_months", "SC29 J6", """

@@ -267,7 +267,7 @@ def _placed(spark, sf, name):
     """Orders written in key order with their own place in the file as text; every sixth place is no number."""
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").repartitionByRange(5, "o_orderkey").sortWithinPartitions(
         "o_orderkey")
-    place = F.monotonically_increasing_id() % (1 << 33) + 2
+    rows, place = rows.withColumn("place", F.monotonically_increasing_id() % (1 << 33) + 2), F.col("place")
     line = F.concat_ws(",", F.when(place % 6 == 0, F.concat(F.lit("n/a-"), "o_orderkey")).otherwise(
         F.col("o_orderkey").cast("string")), "o_orderstatus", place.cast("string"))
     path = scratch(spark, name)
@@ -381,6 +381,24 @@ def merge_text(spark, sf):
         "has_file", F.col("source_file").endswith(".csv")).drop("source_file")
 
 
+@query("file_gate", "P20 SC13", """
+    SELECT 'SUCCESS' AS status, count(*) AS row_count, true AS only_text, true AS others_listed, 'SUCCESS: NOTHING TO DO' AS empty_status
+    FROM customer""")
+def file_gate(spark, sf):
+    """Text files of any case are read; others are listed and never opened; a folder without text files is a success too."""
+    path = scratch(spark, "gate")
+    _staff(spark, sf).select(F.concat_ws("|", "employee_id", "name").alias("value")).repartition(3).write.text(f"{path}/a")
+    some = list_files(spark, f"{path}/a")
+    rename(spark, some[0], f"{path}/a/UPPER.TXT")
+    write_text(spark, f"{path}/b/notes.log", "not a row")
+    write_text(spark, f"{path}/b/data.txt.bak", "not a row")
+    got, empty = sc.gate_files(spark, path), sc.gate_files(spark, f"{path}/b")
+    skipped = got.skipped.agg((F.count_if(F.col("file_name").isin("notes.log", "data.txt.bak")) == 2).alias("others_listed"))
+    rows = got.lines.agg(F.count(F.lit(1)).alias("row_count"), F.bool_and(F.lower("source_file").endswith(".txt")).alias("only_text"))
+    both = union_blocks(rows, skipped).agg(*[F.max(c).alias(c) for c in ("row_count", "only_text", "others_listed")])
+    return both.withColumn("status", F.lit(got.status)).withColumn("empty_status", F.lit(empty.status))
+
+
 @query("merge_text_any_header", "SC34 G12", """
     SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS label, c_mktsegment AS part FROM customer""")
 def merge_text_any_header(spark, sf):

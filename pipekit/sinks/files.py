@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _fs(spark: SparkSession, path: str):
@@ -67,3 +70,24 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         where.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     context.rename(_fs(spark, part)[1], where, options)  # one step: there is no moment without the file
+
+
+def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+    for batch in batches:
+        gone = 0
+        for path in batch.column("path").to_pylist():
+            store, where = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1)) if "://" in path else (
+                fs.LocalFileSystem(), path.removeprefix("file:"))
+            if store.get_file_info(where).type != fs.FileType.NotFound:
+                store.delete_file(where)
+                gone += 1
+        yield pa.RecordBatch.from_arrays([pa.array([gone], pa.int64())], names=["gone"])
+
+
+def remove_files(paths: DataFrame) -> int:
+    """Delete the files of a column ``path`` in tasks; gives how many were there. Files already gone are no error, so a
+    task may run again."""
+    from pyspark.sql import functions as F
+    done = paths.select("path").distinct().mapInArrow(_remove, "gone bigint")
+    return done.agg(F.coalesce(F.sum("gone"), F.lit(0))).first()[0]

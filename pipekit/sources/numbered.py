@@ -46,8 +46,10 @@ def parse_lines(lines: DataFrame, schema: T.StructType | str, fmt: FileFormat =
     options = {k: v for k, v in fmt.reader_options().items() if k != "header"}
     wanted = T.StructType([f for f in schema.fields if f.name != BAD_RECORD])
     full = T.StructType([*wanted.fields, T.StructField(BAD_RECORD, T.StringType())])
-    parsed = lines.withColumn("__row", F.from_csv("value", full.toDDL(), {
-        **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}))
+    # The generator has each line parsed once and whole; taken straight from from_csv, a column would have only its own
+    # field parsed, and a line whose other fields do not fit would pass.
+    parsed = lines.withColumn("__row", F.explode(F.array(F.from_csv("value", full.toDDL(), {
+        **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}))))
     bad, only = F.col(f"__row.{BAD_RECORD}"), F.lit(True) if only is None else only
     if on_error == "abort":
         # One expression: as filters of their own, the failing one could be moved before the other.

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pipekit.functions.text import plain_path
+from pipekit.sinks.files import path_exists
 
 
 def source_file() -> Column:
@@ -63,14 +65,14 @@ def inventory(spark: SparkSession, path: str | Sequence[str], glob: str | None =
                         F.col("modificationTime").cast("timestamp_ntz").alias("modified"))
 
 
-def content_keys(spark: SparkSession, path: str) -> DataFrame:
+def content_keys(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """A key per file that changes with its content, the same way for files of every size.
 
     Each line is hashed with its position, and the splits of a file add their hashes up, so no task holds
     a whole file and the order of lines counts. Empty files are not listed, as in any Spark scan.
     """
     files = inventory(spark, path).select("path", "length")
-    scan = spark.read.option("recursiveFileLookup", True).text(path).select(
+    scan = spark.read.option("recursiveFileLookup", True).text(path if isinstance(path, str) else list(path)).select(
         "*", source_path().alias("path"), F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"))
     lines = number_rows(scan, 1).select(
@@ -84,3 +86,38 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     """Record count per input file."""
     return (df.select(source_file().alias("source_file"))
             .groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count")))
+
+
+@dataclass(frozen=True)
+class ContentIndex:
+    """Content keys that outlast a run, kept at ``path`` by file path, length and change time.
+
+    A run scans only files it has not seen as they are now. Keys are added, never changed, so a run that is cut short
+    and begun again adds the same rows; the last ones found are as good as the first.
+    """
+
+    spark: SparkSession
+    folder: str
+    path: str
+
+    def _known(self) -> DataFrame:
+        if path_exists(self.spark, self.path):
+            return self.spark.read.parquet(self.path)
+        return self.spark.createDataFrame([], "path string, length bigint, modified timestamp_ntz, content_key string")
+
+    def refresh(self) -> int:
+        """Scan files without a key and save theirs; gives their number."""
+        files = inventory(self.spark, self.folder).select("path", "length", "modified")
+        fresh = files.join(self._known(), ["path", "length", "modified"], "left_anti")
+        paths = [r["path"] for r in fresh.select("path").collect()]  # a file list, as every Spark read makes on the driver
+        if paths:
+            keys = content_keys(self.spark, paths)
+            fresh.join(keys, "path").select("path", "length", "modified", "content_key").write.mode("append").parquet(self.path)
+        return len(paths)
+
+    def keys(self) -> DataFrame:
+        """(path, content_key) of the files that are there now."""
+        self.refresh()
+        files = inventory(self.spark, self.folder).select("path", "length", "modified")
+        known = self._known().groupBy("path", "length", "modified").agg(F.min("content_key").alias("content_key"))
+        return files.join(known, ["path", "length", "modified"]).select("path", "content_key")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pipekit.functions.text import is_safe_name, split_fields
 from pipekit.sinks.files import list_files, path_exists
 from pipekit.sources.formats import ON_ERROR, FileFormat, Stage
 from pipekit.sources.numbered import BAD_RECORD, first_line, numbered_lines, parse_lines, read_numbered_csv
-from pipekit.sources.provenance import source_file
+from pipekit.sources.provenance import inventory, source_file
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], fmt: FileFormat = FileFormat(), *,
@@ -184,6 +185,32 @@ def merge_text_files(spark: SparkSession, folder: str, sep: str = "|", glob: str
                        row).select(*schema.names, "source_file")
 
 
+@dataclass(frozen=True)
+class Gated:
+    """What a file gate let through: a success status either way, the rows if there were files, and what was passed by."""
+
+    status: str
+    accepted: DataFrame
+    skipped: DataFrame
+    lines: DataFrame | None
+
+
+def gate_files(spark: SparkSession, folder: str, extension: str = ".txt") -> Gated:
+    """Read only files with an extension, of any case; other files are no error, they are passed by and listed.
+
+    ``status`` is ``SUCCESS`` with files read and ``SUCCESS: NOTHING TO DO`` without. Files are told by their names, so
+    what is passed by is never opened.
+    """
+    files = inventory(spark, folder).select("path", "file_name", "length")
+    fits = F.lower(F.col("file_name")).endswith(extension.lower())
+    accepted, skipped = files.where(fits), files.where(~fits)
+    if accepted.isEmpty():
+        return Gated("SUCCESS: NOTHING TO DO", accepted, skipped, None)
+    glob = "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(folder)
+    return Gated("SUCCESS", accepted, skipped, lines.select("value", source_file().alias("source_file")))
+
+
 def complete_batches(inventory: DataFrame, batch_of: str = r"batch_([0-9-]+)", marker: str = ".ctl",
                      ) -> DataFrame:
     """Data files of those batches whose marker file has arrived."""

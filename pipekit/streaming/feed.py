@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from pipekit.operators.changes import apply_changes, diff_snapshots
-from pipekit.sinks.files import list_dirs, path_exists, write_text
+from pipekit.sinks.files import path_exists, write_text
 from pipekit.session import working_tables
 from pipekit.sinks.writers import recover, replace, rewrite_partitions
 from pipekit.streaming.loads import skip_empty
@@ -29,18 +29,20 @@ class ChangeLog:
 
     def capture(self, before: DataFrame, after: DataFrame, keys: Sequence[str]) -> int:
         """Append the difference of two snapshots as the next version."""
-        version = self.last_version() + 1
-        diff_snapshots(before, after, keys).write.mode("overwrite").parquet(self._folder(version))
-        return version
+        last = self.last_version()
+        diff_snapshots(before, after, keys).write.mode("overwrite").parquet(self._folder(last + 1))
+        write_text(self.spark, f"{self.path}/_state/checked", str(last))
+        return last + 1
 
     def last_version(self) -> int:
-        """The last version before the first one whose write has not been committed."""
-        found = sorted(int(d.rsplit("version=", 1)[-1]) for d in list_dirs(self.spark, self.path))
-        last = 0
-        for version in found:
-            if version != last + 1 or not path_exists(self.spark, f"{self._folder(version)}/_SUCCESS"):
-                break
-            last = version
+        """The last version before the first one whose write has not been committed.
+
+        Versions up to the checked one, which each capture moves on, are known to be, so only the few after it are
+        looked for, however long the log is."""
+        checked = f"{self.path}/_state/checked"
+        last = int(self.spark.read.text(checked).first()["value"]) if path_exists(self.spark, checked) else 0
+        while path_exists(self.spark, f"{self._folder(last + 1)}/_SUCCESS"):
+            last += 1
         return last
 
     def _folder(self, version: int) -> str:
@@ -52,23 +54,27 @@ class ChangeLog:
             return 0
         return int(self.spark.read.text(where).first()["value"])
 
-    def pending(self, consumer: str) -> DataFrame:
+    def pending(self, consumer: str, upto: int | None = None) -> DataFrame:
         """Committed changes after the offset, with their ``version``; consumes nothing."""
-        after, upto = self.offset(consumer), self.last_version()
+        after, upto = self.offset(consumer), self.last_version() if upto is None else upto
         folders = [self._folder(v) for v in range(after + 1, upto + 1)]
         nothing = not folders
         rows = self.spark.read.option("basePath", self.path).parquet(*(folders or [self._folder(upto)]))
         return rows.where(F.lit(False)) if nothing else rows
 
     def has_data(self, consumer: str) -> bool:
-        return self.last_version() > 0 and not self.pending(consumer).isEmpty()
+        upto = self.last_version()
+        return upto > self.offset(consumer) and not self.pending(consumer, upto).isEmpty()
 
     def consume(self, consumer: str, action: Callable[[DataFrame], None]) -> bool:
         """Run the action on the pending changes, then move the offset. False when there are none."""
         upto = self.last_version()
-        if not self.has_data(consumer):
+        if upto <= self.offset(consumer):
+            return False
+        rows = self.pending(consumer, upto)
+        if rows.isEmpty():
             return False
-        action(self.pending(consumer).where(F.col("version") <= upto))
+        action(rows)
         write_text(self.spark, f"{self.path}/_offsets/{consumer}", str(upto))
         return True
 

@@ -18,9 +18,10 @@ from pipekit.functions.text import relative_path
 from pipekit.functions.times import as_of_column
 from pipekit.operators.audit import utc_now
 from pipekit.operators.joins import missing_from
-from pipekit.sinks.files import make_dirs, path_exists, rename
+from pipekit.sinks.files import make_dirs, path_exists, remove_files, rename
+from pipekit.sinks.writers import write_counted
 from pipekit.sources.formats import ON_ERROR, Stage
-from pipekit.sources.provenance import content_keys, inventory, source_path
+from pipekit.sources.provenance import ContentIndex, content_keys, inventory, source_path
 from pipekit.sources.scans import BAD_RECORD, with_bad_record
 
 HISTORY_SCHEMA = (
@@ -47,6 +48,10 @@ class FileLoad:
     key: str = "name"
     on_error: str = "abort"
     purge_to: str | None = None
+    #: ``delete`` removes loaded files from the stage once their history is saved.
+    purge: str | None = None
+    #: Where content keys are kept from run to run; without it every run scans the whole stage for them.
+    content_index: str | None = None
     #: Days after which a loaded file is forgotten and may be loaded again; None: never.
     remember_days: int | None = None
 
@@ -55,6 +60,20 @@ class FileLoad:
         """Where a stream writes one row for each micro-batch."""
         return f"{self.history.rstrip('/')}-status"
 
+    @property
+    def _purges(self) -> str:
+        return f"{self.history.rstrip('/')}-purge"
+
+    def purge_loaded(self) -> int:
+        """Remove files of complete loads that still lie in the stage as they were loaded; gives their number. A file
+        sent again since has another time or length and stays. Tasks remove them, so many files take no driver time."""
+        if not path_exists(self.spark, self._purges):
+            return 0
+        done = self.load_history().select("load_id").distinct()
+        loaded = self.spark.read.parquet(self._purges).join(done, "load_id", "left_semi")
+        here = inventory(self.spark, self.stage.path, self.glob).select("path", "length", "modified")
+        return remove_files(here.join(loaded, ["path", "length", "modified"], "left_semi").select("path"))
+
     def load_history(self) -> DataFrame:
         """One row per loaded file."""
         if not path_exists(self.spark, self.history):
@@ -66,7 +85,9 @@ class FileLoad:
         files = inventory(self.spark, self.stage.path, self.glob).withColumn(
             "file_name", relative_path("path", self.stage.path))
         if self.key == "content":
-            files = files.join(content_keys(self.spark, self.stage.path), "path")
+            keys = (ContentIndex(self.spark, self.stage.path, self.content_index).keys() if self.content_index
+                    else content_keys(self.spark, self.stage.path))
+            files = files.join(keys, "path")
         else:
             files = files.withColumn("content_key", F.lit(None).cast("string"))
         if force or not path_exists(self.spark, self.history):
@@ -86,6 +107,8 @@ class FileLoad:
         passes the driver, as every file listing of a Spark read does.
         """
         as_of = as_of or utc_now()
+        if self.purge == "delete":
+            self.purge_loaded()  # what a run left that ended between its history and its removals
         files = self.pending(as_of, force)
         paths = [r["path"] for r in files.select("path").collect()]
         if not paths:
@@ -95,7 +118,11 @@ class FileLoad:
         rows = (self.spark.read.schema(self._read_schema()).options(**self.stage.format.reader_options())
                 .option("mode", self._mode()).csv([re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]))
         keys = files.select("file_name", "content_key")
+        if self.purge == "delete":
+            files.select("path", "length", "modified").write.mode("overwrite").parquet(f"{self._purges}/load_id={load_id}")
         self._save(self._stamped(rows), load_id, as_of, keys)
+        if self.purge == "delete":
+            self.purge_loaded()
         if self.purge_to:
             self._archive(paths, load_id)
         return self.load_history().where(F.col("load_id") == load_id)
@@ -138,12 +165,12 @@ class FileLoad:
             started, clock = utc_now(), time.monotonic()
             run = json.loads(self.spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
             load_id = f"{name}-{run[:13]}-{number:09d}"
-            self._save(batch, load_id, utc_now(), None)
-            fresh = self.loaded().where(F.col("load_id") == load_id)
-            if after is not None and not fresh.isEmpty():
-                after(fresh, load_id)
-            saved = self.spark.read.schema(self._saved_schema()).parquet(f"{self.target}/load_id={load_id}")
-            status = [(load_id, number, started.isoformat(timespec="milliseconds"), saved.count(),
+            count = self._save(batch, load_id, utc_now(), None)
+            if after is not None:
+                fresh = self.loaded().where(F.col("load_id") == load_id)
+                if not fresh.isEmpty():
+                    after(fresh, load_id)
+            status = [(load_id, number, started.isoformat(timespec="milliseconds"), count,
                        int(1000 * (time.monotonic() - clock)))]
             (self.spark.createDataFrame(status, STATUS_SCHEMA).coalesce(1)
              .write.mode("overwrite").parquet(f"{self.status}/load_id={load_id}"))
@@ -166,10 +193,12 @@ class FileLoad:
         return rows.select(*self.schema.names, bad.alias(BAD_RECORD),
                            relative_path(source_path(), self.stage.path).alias("source_file"))
 
-    def _save(self, rows: DataFrame, load_id: str, as_of: dt.datetime, keys: DataFrame | None) -> None:
+    def _save(self, rows: DataFrame, load_id: str, as_of: dt.datetime, keys: DataFrame | None) -> int:
+        """Rows, then the history of their files, whose counts take one more pass over two narrow columns. Gives the
+        number of rows, counted while they are written."""
         folder = f"{self.target}/load_id={load_id}"
         state = F.when(F.col(BAD_RECORD).isNull(), F.lit("ok")).otherwise(F.lit("bad"))
-        rows.withColumn("row_state", state).write.mode("overwrite").partitionBy("row_state").parquet(folder)
+        count = write_counted(rows.withColumn("row_state", state), folder, partition_by=["row_state"])
         saved = self.spark.read.schema(self._saved_schema()).parquet(folder)
         bad = F.col(BAD_RECORD)
         result = saved.groupBy("source_file").agg(
@@ -186,6 +215,7 @@ class FileLoad:
                        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_parsed", "rows_loaded", "errors_seen")],
                        "first_error", as_of_column(as_of).alias("loaded_at"))
          .write.mode("overwrite").parquet(f"{self.history}/load_id={load_id}"))
+        return count
 
     def _archive(self, paths: list[str], load_id: str) -> None:
         """Move loaded files away; those of one load share a folder."""

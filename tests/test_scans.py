@@ -139,6 +139,11 @@ def test_row_positions_stay_right_beside_bad_rows(spark, tmp_path, policy):
     assert got == want
     with pytest.raises(Exception, match="MALFORMED"):
         numbered.read_numbered_csv(spark, str(tmp_path), "id int, size int").collect()
+    # A query of one column drops or finds the lines that are bad in another.
+    one = numbered.read_numbered_csv(spark, str(tmp_path), "id int, size int", on_error=policy).select("id")
+    assert one.count() == len(want) and sorted(r[0] for r in one.collect()) == sorted(v[0] for v in want.values())
+    with pytest.raises(Exception, match="MALFORMED"):
+        numbered.read_numbered_csv(spark, str(tmp_path), "id int, size int").select("id").collect()
 
 
 def test_inventory_and_content_keys(spark, tmp_path):
