@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from pipekit.operators import changes as ch
 from pipekit.operators.aggregates import group_summary, table_counts, union_blocks
-from pipekit.operators.audit import AuditLog, RunResult, require_rows
+from pipekit.operators.audit import CALL, AuditLog, RunResult, require_rows
 from pipekit.operators.dims import DimensionSpec
 from pipekit.operators.quality import drop_duplicates
 from pipekit.plans import jobs
@@ -24,7 +24,8 @@ from pipekit.sources.formats import FileFormat, Stage
 from pipekit.sources.provenance import ContentIndex, inventory
 from pipekit.streaming.feed import ChangeLog, apply_to_folder
 from pipekit.streaming.loads import FileLoad, ingest_status
-from pipekit.streaming.scheduled import at_rate, run_ticks
+from pipekit.streaming.quiet import start_checks
+from pipekit.streaming.scheduled import at_rate, run_ticks, run_until
 
 AS_OF = dt.datetime(2024, 6, 1)
 _ORDER_TYPE = T.StructType().add("order_id", T.LongType()).add("customer_id", T.LongType()).add(
@@ -513,6 +514,35 @@ def debounced_load(spark, sf):
     return spark.read.parquet(f"{root}/checks").select("check_id", "record_count", "consecutive_no_data_count", "action")
 
 
+@query("quiet_live", "AU8 SP8 PL9 ST3", """
+    SELECT status AS series, check_id, n AS record_count, check_id AS quiet_checks,
+           CASE WHEN check_id = 3 THEN 'CALL SP' ELSE 'WAIT' END AS action, CASE WHEN check_id = 3 THEN n ELSE 0 END AS loaded
+    FROM (SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1),
+         (SELECT CAST(range AS BIGINT) AS check_id FROM range(1, 4))""")
+def quiet_live(spark, sf):
+    """Orders arrive as files of a stream; timers check each status until it was quiet three times, then it is loaded."""
+    root, called = scratch(spark, "quiet-live"), []
+    rows = _orders(spark, sf)
+    _arrive(rows, f"{root}/stage", "first")
+
+    def on_check(checks, number):
+        checks.write.mode("overwrite").parquet(f"{root}/checks/run={number}")
+        ready = [r["series"] for r in checks.where(F.col("action") == CALL).select("series").collect()]
+        if ready:
+            staged = spark.read.schema(_ORDER_TYPE).options(**FileFormat().reader_options()).csv(f"{root}/stage/*")
+            staged.where(F.col("status").isin(ready)).write.mode("overwrite").parquet(f"{root}/rows/run={number}")
+        called.extend(ready)
+
+    arrivals = spark.readStream.schema(_ORDER_TYPE).options(**FileFormat().reader_options()).option(
+        "recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(f"{root}/stage")
+    series = {r[0] for r in rows.select("status").distinct().collect()}
+    run_until(start_checks(spark, arrivals, "status", f"{root}/checkpoint", 600, on_check), lambda: set(called) >= series, 300)
+    loaded = spark.read.parquet(f"{root}/rows").groupBy(F.col("status").alias("series")).agg(F.count(F.lit(1)).alias("n"))
+    checks = spark.read.parquet(f"{root}/checks").join(loaded, "series")
+    return checks.select("series", "check_id", "record_count", "quiet_checks", "action",
+                         F.when(F.col("action") == CALL, F.col("n")).otherwise(0).alias("loaded"))
+
+
 @query("marked_duplicate_report", "PL12 SC33 AU10 SC22", """
     SELECT count(*) AS clean_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, CAST(sum(CAST(k AS DOUBLE)) AS DOUBLE) AS measure_total
     FROM (SELECT event_type, user_id, k, count(*) AS n FROM (

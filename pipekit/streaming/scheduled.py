@@ -35,3 +35,17 @@ def run_ticks(query: StreamingQuery, ticks: int, timeout: float = 120, idle: flo
     finally:
         query.stop()
     return [seen[k] for k in sorted(seen)]
+
+
+def run_until(query: StreamingQuery, done: Callable[[], bool], timeout: float = 120) -> None:
+    """Let a query run until ``done``, then stop it. A query that fails raises its error; one too slow raises
+    TimeoutError."""
+    end = time.monotonic() + timeout
+    try:
+        while not done():
+            if time.monotonic() > end:
+                raise TimeoutError(f"not done after {timeout} s")
+            if query.awaitTermination(0.1):
+                break
+    finally:
+        query.stop()

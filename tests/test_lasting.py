@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pipekit.operators import quality
+from pipekit.operators import audit, quality
 from pipekit.operators.zones import ZoneMap
 from pipekit.plans.consumed import ConsumedLoad
 from pipekit.sinks.files import remove_files
@@ -18,7 +18,8 @@ from pipekit.sources.provenance import ContentIndex, content_keys
 from pipekit.streaming import loads
 from pipekit.streaming.feed import ChangeLog
 from pipekit.streaming.loads import FileLoad
-from pipekit.streaming.scheduled import at_rate, run_ticks
+from pipekit.streaming.quiet import start_checks
+from pipekit.streaming.scheduled import at_rate, run_ticks, run_until
 
 AS_OF = dt.datetime(2024, 1, 1)
 
@@ -206,3 +207,30 @@ def test_duplicates_meet_by_digest(spark):
     assert quality.drop_duplicates(df, ["n"]).count() == 8
     plan = quality.drop_duplicates(df, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(k#" not in plan and "SortAggregate(key=[k#" not in plan
+
+
+def test_live_checks_decide_as_next_check(spark, tmp_path):
+    """Arrivals between checks begin the quiet anew; after a call the series sleeps until more arrive."""
+    stage, got = tmp_path / "in", []
+    stage.mkdir()
+    (stage / "0.csv").write_text("k\n" + "a\n" * 5 + "b\n")
+
+    def on_check(rows, number):
+        got.extend(tuple(r) for r in rows.collect())
+        names = [r[0] for r in got]
+        if names.count("a") >= 2 and not (stage / "1.csv").exists():
+            (stage / "1.csv").write_text("k\na\na\n")
+        if any(r[0] == "b" and r[-1] == "CALL SP" for r in got) and not (stage / "2.csv").exists():
+            (stage / "2.csv").write_text("k\nb\nb\nb\n")
+
+    stream = spark.readStream.schema("k string").option("header", True).csv(str(stage))
+    query = start_checks(spark, stream, "k", f"{tmp_path}/cp", 800, on_check)
+    run_until(query, lambda: [r[-1] for r in got].count("CALL SP") >= 3, 200)
+    for name in "ab":
+        previous = None
+        for _, number, count, found, quiet, action in sorted(r for r in got if r[0] == name):
+            assert (found, quiet, action) == audit.next_check(previous, count)
+            previous = None if action == "CALL SP" else (count, quiet)
+    a, b = (sorted(r for r in got if r[0] == name) for name in "ab")
+    assert a[-1][2] == 7 and [r[1] for r in a] == list(range(1, len(a) + 1)) and len(a) >= 5
+    assert [r[2] for r in b if r[-1] == "CALL SP"] == [1, 3]
