@@ -471,8 +471,8 @@ _TARGETS = {"buyer": ["customer_id"], "sale": ["order_id", "customer_id", "amoun
       (VALUES ('buyer'), ('sale')) t(target_table)""")
 def flagged_load(spark, sf):
     staging, root = _staging(spark, sf, "flagged"), scratch(spark, "flagged-targets")
-    assert jobs.load_flagged(spark, staging, _TARGETS, root, f"{root}/audit", 1) == "DATA LOADED SUCCESSFULLY"
-    assert jobs.load_flagged(spark, staging, _TARGETS, root, f"{root}/audit", 2) == "NO NEW RECORDS TO LOAD"
+    assert jobs.load_flagged(spark, staging, _TARGETS, root, f"{root}/audit", 1) == "loaded"
+    assert jobs.load_flagged(spark, staging, _TARGETS, root, f"{root}/audit", 2) == "nothing waits"
     return spark.read.parquet(f"{root}/audit").select("load_id", "target_table", "source_count", "target_count", "status")
 
 
@@ -502,7 +502,7 @@ def flag_after_load(spark, sf):
 
 
 @query("debounced_load", "PL9 SP8 AU8", """
-    SELECT check_id, CASE WHEN check_id = 4 THEN CAST(0 AS BIGINT) ELSE n END AS record_count, quiet AS consecutive_no_data_count, action
+    SELECT check_id, CASE WHEN check_id = 4 THEN CAST(0 AS BIGINT) ELSE n END AS waiting_rows, quiet AS quiet_checks, action
     FROM (SELECT count(*) AS n FROM orders WHERE o_orderstatus <> 'F'),
          (VALUES (1, 1::BIGINT, 'WAIT'), (2, 2, 'WAIT'), (3, 3, 'CALL SP'), (4, 0, 'IDLE')) c(check_id, quiet, action)""")
 def debounced_load(spark, sf):
@@ -511,7 +511,7 @@ def debounced_load(spark, sf):
     for minute in range(4):
         jobs.check_and_load(spark, staging, f"{root}/checks", _TARGETS, root, f"{root}/audit",
                             AS_OF + dt.timedelta(minutes=minute))
-    return spark.read.parquet(f"{root}/checks").select("check_id", "record_count", "consecutive_no_data_count", "action")
+    return spark.read.parquet(f"{root}/checks").select("check_id", "waiting_rows", "quiet_checks", "action")
 
 
 @query("quiet_live", "AU8 SP8 PL9 ST3", """

@@ -26,15 +26,15 @@ from pipekit.sources.workbook import parse_workbooks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_STAFF = "SELECT c_custkey AS employee_id, c_name AS name, c_mktsegment AS department, c_nationkey AS salary FROM customer"
-_NAMES = ["employee_id", "name", "department", "salary"]
-_SCHEMA = "employee_id bigint, name string, department string, salary int"
+_STAFF = "SELECT c_custkey AS badge_no, c_name AS name, c_mktsegment AS unit, c_nationkey AS points FROM customer"
+_NAMES = ["badge_no", "name", "unit", "points"]
+_SCHEMA = "badge_no bigint, name string, unit string, points int"
 
 
 def _staff(spark, sf):
     return table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("employee_id"), F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("department"), F.col("c_nationkey").alias("salary"))
+        F.col("c_custkey").alias("badge_no"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("unit"), F.col("c_nationkey").alias("points"))
 
 
 def _land(df, name, kind="csv", fmt=FileFormat()):
@@ -49,7 +49,7 @@ def _land_lines(df, name, sep):
 
 
 def _typed(df):
-    return df.withColumn("employee_id", F.col("employee_id").cast("bigint"))
+    return df.withColumn("badge_no", F.col("badge_no").cast("bigint"))
 
 
 @query("csv_inferred", "SC1 SK7", _STAFF)
@@ -91,8 +91,8 @@ def csv_no_header(spark, sf):
 
 
 @query("csv_all_text", "SC7", """
-    SELECT CAST(c_custkey AS VARCHAR) AS employee_id, c_name AS name, c_mktsegment AS department,
-           CAST(c_nationkey AS VARCHAR) AS salary FROM customer""")
+    SELECT CAST(c_custkey AS VARCHAR) AS badge_no, c_name AS name, c_mktsegment AS unit,
+           CAST(c_nationkey AS VARCHAR) AS points FROM customer""")
 def csv_all_text(spark, sf):
     return sc.read_csv(spark, _land(_staff(spark, sf), "text"))
 
@@ -115,7 +115,7 @@ def csv_gzip(spark, sf):
 @query("json_lines", "SC10", _STAFF)
 def json_lines(spark, sf):
     return sc.read_json(spark, _land(_staff(spark, sf), "json", "json")).select(
-        "employee_id", "name", "department", F.col("salary").cast("int").alias("salary"))
+        "badge_no", "name", "unit", F.col("points").cast("int").alias("points"))
 
 
 def _chunks(df, key, size, options=None):
@@ -127,22 +127,22 @@ def _chunks(df, key, size, options=None):
 
 @query("json_array", "SC11", _STAFF)
 def json_array(spark, sf):
-    path = _land(_chunks(_staff(spark, sf), "employee_id", 500), "array", "text")
+    path = _land(_chunks(_staff(spark, sf), "badge_no", 500), "array", "text")
     return sc.read_json(spark, path, schema=_SCHEMA)
 
 
 @query("json_nested", "SC12 P4 F26", """
-    SELECT c_custkey AS employee_id, n_name AS city, r_name AS country, c_mktsegment AS first_skill
+    SELECT c_custkey AS badge_no, n_name AS city, r_name AS country, c_mktsegment AS first_skill
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def json_nested(spark, sf):
     nation = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("employee_id"), F.array("c_mktsegment", "c_name").alias("skills"),
+        F.col("c_custkey").alias("badge_no"), F.array("c_mktsegment", "c_name").alias("skills"),
         F.struct(F.col("n_name").alias("city"), F.col("r_name").alias("country")).alias("address"))
     path = scratch(spark, "nested")
-    _chunks(rows, "employee_id", 500, {"pretty": "true"}).write.option("maxRecordsPerFile", 1).text(path)
+    _chunks(rows, "badge_no", 500, {"pretty": "true"}).write.option("maxRecordsPerFile", 1).text(path)
     return sc.read_json(spark, path, multi_line=True).select(
-        "employee_id", "address.city", "address.country", F.col("skills")[0].alias("first_skill"))
+        "badge_no", "address.city", "address.country", F.col("skills")[0].alias("first_skill"))
 
 
 @query("text_lines", "SC13", """
@@ -157,31 +157,31 @@ def text_lines(spark, sf):
 def split_parse(spark, sf):
     lines = sc.read_lines(spark, _land_lines(_staff(spark, sf), "parse", " | "))
     return sc.read_delimited(lines, r"\|", [
-        ("employee_id", "bigint"), ("name", "string"), ("department", "string"), ("salary", "int")])
+        ("badge_no", "bigint"), ("name", "string"), ("unit", "string"), ("points", "int")])
 
 
 @query("txt_with_csv_reader", "SC15", f"""
-    SELECT 'comma' AS kind, count(*) AS row_count, CAST(sum(employee_id) AS BIGINT) AS ids FROM ({_STAFF})
-    UNION ALL SELECT 'pipe', count(*), CAST(sum(employee_id) AS BIGINT) FROM ({_STAFF})
-    UNION ALL SELECT 'tab', count(*), CAST(sum(employee_id) AS BIGINT) FROM ({_STAFF})""")
+    SELECT 'comma' AS kind, count(*) AS row_count, CAST(sum(badge_no) AS BIGINT) AS ids FROM ({_STAFF})
+    UNION ALL SELECT 'pipe', count(*), CAST(sum(badge_no) AS BIGINT) FROM ({_STAFF})
+    UNION ALL SELECT 'tab', count(*), CAST(sum(badge_no) AS BIGINT) FROM ({_STAFF})""")
 def txt_with_csv_reader(spark, sf):
     parts = []
     for kind, sep in (("comma", ","), ("pipe", "|"), ("tab", "\t")):
         path = _land_lines(_staff(spark, sf), f"txt-{kind}", sep)
         rows = sc.read_csv(spark, path, FileFormat(sep=sep, header=False), schema=_SCHEMA, glob="*.txt")
-        parts.append(rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("employee_id").alias("ids"))
+        parts.append(rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("badge_no").alias("ids"))
                      .withColumn("kind", F.lit(kind)))
     return union_blocks(*parts)
 
 
 @query("fixed_width_parse", "SC16 F8", _STAFF)
 def fixed_width_parse(spark, sf):
-    line = F.concat(F.lpad(F.col("employee_id").cast("string"), 18, " "), F.rpad("name", 30, " "),
-                    F.rpad("department", 14, " "), F.lpad(F.col("salary").cast("string"), 6, " "))
+    line = F.concat(F.lpad(F.col("badge_no").cast("string"), 18, " "), F.rpad("name", 30, " "),
+                    F.rpad("unit", 14, " "), F.lpad(F.col("points").cast("string"), 6, " "))
     path = _land(_staff(spark, sf).select(line.alias("value")), "fixed", "text")
     return sc.read_fixed_width(sc.read_lines(spark, path), [
-        ("employee_id", 1, 18, "bigint"), ("name", 19, 30, "string"), ("department", 49, 14, "string"),
-        ("salary", 63, 6, "int")])
+        ("badge_no", 1, 18, "bigint"), ("name", 19, 30, "string"), ("unit", 49, 14, "string"),
+        ("points", 63, 6, "int")])
 
 
 @query("parquet_scan", "SC17 P1 P12", """
@@ -211,13 +211,13 @@ def _pack(chunk: pd.DataFrame) -> pd.DataFrame:
 @query("xlsx_scan", "SC18", _STAFF)
 def xlsx_scan(spark, sf):
     """Workbooks of at most 500 consecutive ids each, as a binary-file scan would give them."""
-    books = (_staff(spark, sf).withColumn("chunk", F.floor(F.col("employee_id") / 500))
+    books = (_staff(spark, sf).withColumn("chunk", F.floor(F.col("badge_no") / 500))
              .groupBy("chunk").applyInPandas(_pack, "path string, content binary"))
     return parse_workbooks(books, _SCHEMA).select(*_NAMES)
 
 
 @query("mixed_scan", "SC19 SC15", f"""
-    SELECT kind, count(*) AS row_count, CAST(sum(employee_id) AS BIGINT) AS ids FROM ({_STAFF}),
+    SELECT kind, count(*) AS row_count, CAST(sum(badge_no) AS BIGINT) AS ids FROM ({_STAFF}),
            (VALUES ('csv'), ('json'), ('parquet'), ('txt')) k(kind) GROUP BY 1""")
 def mixed_scan(spark, sf):
     """One folder with several formats, an upper-case extension and an unknown one."""
@@ -231,13 +231,13 @@ def mixed_scan(spark, sf):
             rename(spark, file, f"{folder}/staff-{ext}-{i}.{ext}")
     found = sc.read_directory(spark, folder, {"csv": _SCHEMA, "txt": _SCHEMA, "json": _SCHEMA})
     return union_blocks(*[
-        df.agg(F.count(F.lit(1)).alias("row_count"), F.sum("employee_id").alias("ids")).withColumn("kind", F.lit(kind))
+        df.agg(F.count(F.lit(1)).alias("row_count"), F.sum("badge_no").alias("ids")).withColumn("kind", F.lit(kind))
         for kind, df in found.items()])
 
 
 @query("multi_file_load", "SC20", _STAFF)
 def multi_file_load(spark, sf):
-    return sc.read_csv(spark, _land(_staff(spark, sf).repartition(5, "employee_id"), "many"), schema=_SCHEMA)
+    return sc.read_csv(spark, _land(_staff(spark, sf).repartition(5, "badge_no"), "many"), schema=_SCHEMA)
 
 
 @query("tables_load", "SC21 AU13", """
@@ -341,14 +341,14 @@ def provenance_stored(spark, sf):
 
 @query("rows_per_file", "G12 SC34", "SELECT count(*) AS row_count, true AS every_file_has_rows FROM customer")
 def rows_per_file(spark, sf):
-    counts = pv.rows_per_file(sc.read_csv(spark, _land(_staff(spark, sf).repartition(4, "employee_id"), "counted"), schema=_SCHEMA))
+    counts = pv.rows_per_file(sc.read_csv(spark, _land(_staff(spark, sf).repartition(4, "badge_no"), "counted"), schema=_SCHEMA))
     return counts.agg(F.sum("row_count").alias("row_count"), (F.min("row_count") > 0).alias("every_file_has_rows"))
 
 
-@query("stage_query", "SC23 P11", f"SELECT employee_id, name FROM ({_STAFF}) WHERE department = 'BUILDING'")
+@query("stage_query", "SC23 P11", f"SELECT badge_no, name FROM ({_STAFF}) WHERE unit = 'BUILDING'")
 def stage_query(spark, sf):
     stage = Stage(_land(_staff(spark, sf), "stage"))
-    return sc.read_csv(spark, stage.path, stage.format, schema=_SCHEMA).where("department = 'BUILDING'").select("employee_id", "name")
+    return sc.read_csv(spark, stage.path, stage.format, schema=_SCHEMA).where("unit = 'BUILDING'").select("badge_no", "name")
 
 
 @query("stage_inventory", "SC24", """
@@ -372,10 +372,10 @@ def marker_gated(spark, sf):
 
 
 @query("merge_text", "SC34 G12", """
-    SELECT CAST(c_custkey AS VARCHAR) AS employee_id, c_name AS name, c_mktsegment AS department,
-           CAST(c_nationkey AS VARCHAR) AS salary, true AS has_file FROM customer""")
+    SELECT CAST(c_custkey AS VARCHAR) AS badge_no, c_name AS name, c_mktsegment AS unit,
+           CAST(c_nationkey AS VARCHAR) AS points, true AS has_file FROM customer""")
 def merge_text(spark, sf):
-    path = _land(_staff(spark, sf).repartition(5, "employee_id"), "merge", fmt=FileFormat(sep="|"))
+    path = _land(_staff(spark, sf).repartition(5, "badge_no"), "merge", fmt=FileFormat(sep="|"))
     write_text(spark, f"{path}/a-empty.csv", "")
     return sc.merge_text_files(spark, path, "|", "*.csv").withColumn(
         "has_file", F.col("source_file").endswith(".csv")).drop("source_file")
@@ -387,7 +387,7 @@ def merge_text(spark, sf):
 def file_gate(spark, sf):
     """Text files of any case are read; others are listed and never opened; a folder without text files is a success too."""
     path = scratch(spark, "gate")
-    _staff(spark, sf).select(F.concat_ws("|", "employee_id", "name").alias("value")).repartition(3).write.text(f"{path}/a")
+    _staff(spark, sf).select(F.concat_ws("|", "badge_no", "name").alias("value")).repartition(3).write.text(f"{path}/a")
     some = list_files(spark, f"{path}/a")
     rename(spark, some[0], f"{path}/a/UPPER.TXT")
     write_text(spark, f"{path}/b/notes.log", "not a row")
@@ -404,8 +404,8 @@ def file_gate(spark, sf):
 def merge_text_any_header(spark, sf):
     """Headers that differ from the first file's, blank first lines and blank files do not stop the merge."""
     path = scratch(spark, "merge-any")
-    rows = _staff(spark, sf).repartition(5, "employee_id").select(
-        F.concat_ws("|", "employee_id", "name", "department").alias("value"), (F.monotonically_increasing_id() % (1 << 33)).alias("n"),
+    rows = _staff(spark, sf).repartition(5, "badge_no").select(
+        F.concat_ws("|", "badge_no", "name", "unit").alias("value"), (F.monotonically_increasing_id() % (1 << 33)).alias("n"),
         F.spark_partition_id().alias("p"))
     head = F.when(F.col("p") == 0, F.lit("id|label|part\n")).otherwise(F.concat(F.lit(" \n\nnumber "), F.col("p"), F.lit("|what|where\n")))
     rows.select(F.when(F.col("n") == 0, F.concat(head, "value")).otherwise(F.col("value")).alias("value")).write.text(path)
@@ -457,11 +457,11 @@ def header_check(spark, sf):
     path = _land(_staff(spark, sf), "header")
     mismatch = False
     try:
-        sc.read_csv(spark, path, schema="id bigint, name string, department string, salary int", check_header=True).agg(
+        sc.read_csv(spark, path, schema="id bigint, name string, unit string, points int", check_header=True).agg(
             F.max("id")).collect()
     except Exception as error:  # noqa: BLE001 - Spark wraps the header error of a task
         mismatch = "header" in str(error).lower()
-    good = sc.read_csv(spark, path, schema=_SCHEMA, check_header=True).agg(F.max("employee_id"), F.count("name").alias("row_count"))
+    good = sc.read_csv(spark, path, schema=_SCHEMA, check_header=True).agg(F.max("badge_no"), F.count("name").alias("row_count"))
     return good.select("row_count").withColumn("mismatch_found", F.lit(mismatch))
 
 

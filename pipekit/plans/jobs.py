@@ -225,7 +225,7 @@ def load_flagged(spark: SparkSession, staging: str, targets: Mapping[str, Sequen
     _settle(spark, staging, targets, root, log_path, flag)
     waiting = waiting_rows(spark, staging, flag)
     if waiting is None or waiting.isEmpty():
-        return "NO NEW RECORDS TO LOAD"
+        return "nothing waits"
     names = [f.rsplit("/", 1)[-1] for f in waiting.inputFiles()]
     write_text(spark, f"{staging}/_pending/note", "\n".join([str(run_id), *names]))
     places = {name: (f"{root}/{name}/run_id={run_id}", list(dict.fromkeys([load_id, *columns])))
@@ -235,11 +235,11 @@ def load_flagged(spark: SparkSession, staging: str, targets: Mapping[str, Sequen
     (load_target_audit(waiting, load_id, measured).withColumn("status", F.lit("SUCCESS"))
      .write.mode("overwrite").parquet(f"{log_path}/run_id={run_id}"))
     _settle(spark, staging, targets, root, log_path, flag)
-    return "DATA LOADED SUCCESSFULLY"
+    return "loaded"
 
 
-CHECK_SCHEMA = ("check_id int, check_time timestamp_ntz, record_count bigint, new_record_found string, "
-                "consecutive_no_data_count bigint, action string, comments string")
+CHECK_SCHEMA = ("check_id int, checked_at timestamp_ntz, waiting_rows bigint, found string, "
+                "quiet_checks bigint, action string, note string")
 
 
 def check_and_load(spark: SparkSession, staging: str, checks: str, targets: Mapping[str, Sequence[str]],
@@ -250,7 +250,7 @@ def check_and_load(spark: SparkSession, staging: str, checks: str, targets: Mapp
     log = _read_or_none(spark, checks)
     last = None if log is None else log.orderBy(F.col("check_id").desc()).limit(1).first()
     check_id = 1 if last is None else last["check_id"] + 1
-    previous = None if last is None else (last["record_count"], last["consecutive_no_data_count"])
+    previous = None if last is None else (last["waiting_rows"], last["quiet_checks"])
     found, quiet, action = next_check(previous, count, threshold)
     row = (check_id, as_of, count, found, quiet, action, "task check")
     spark.createDataFrame([row], CHECK_SCHEMA).coalesce(1).write.mode("append").parquet(checks)

@@ -14,7 +14,7 @@ from pipekit.sources.formats import FileFormat, Stage
 from pipekit.sources.workbook import read_workbooks
 
 STAFF = [(1, "Ann", "Sales", 500), (2, "Bob", "IT", 700), (3, "Cy", "IT", 650), (4, "Di", "HR", 480)]
-SCHEMA = "employee_id int, name string, department string, salary int"
+SCHEMA = "badge_no int, name string, unit string, points int"
 
 
 def text_file(path, lines):
@@ -23,7 +23,7 @@ def text_file(path, lines):
 
 
 def staff_lines(sep, header=True):
-    head = [sep.join(["employee_id", "name", "department", "salary"])] if header else []
+    head = [sep.join(["badge_no", "name", "unit", "points"])] if header else []
     return head + [sep.join(map(str, r)) for r in STAFF]
 
 
@@ -41,7 +41,7 @@ def test_csv_quotes(spark, tmp_path):
 
 def test_csv_without_header_and_all_text(spark, tmp_path):
     bare = text_file(tmp_path / "b.csv", staff_lines(",", header=False))
-    df = scans.read_csv(spark, bare, FileFormat(header=False), infer=True, names=["employee_id", "name", "department", "salary"])
+    df = scans.read_csv(spark, bare, FileFormat(header=False), infer=True, names=["badge_no", "name", "unit", "points"])
     assert rows(df) == STAFF
     text = scans.read_csv(spark, text_file(tmp_path / "t.csv", staff_lines(",")))
     assert {f.dataType for f in text.schema} == {T.StringType()}
@@ -56,35 +56,35 @@ def test_typed_load_and_gzip(spark, tmp_path):
 
 
 def test_json_forms(spark, tmp_path):
-    (tmp_path / "l.json").write_text('{"employee_id":1,"name":"Ann"}\n{"employee_id":2,"name":"Bob"}\n')
-    (tmp_path / "a.json").write_text('[{"employee_id":1,"name":"Ann"},{"employee_id":2,"name":"Bob"}]')
-    (tmp_path / "n.json").write_text('[\n {"employee_id": 1,\n  "skills": ["sql", "py"],\n  "address": {"city": "Pune", "country": "IN"}}\n]')
+    (tmp_path / "l.json").write_text('{"badge_no":1,"name":"Ann"}\n{"badge_no":2,"name":"Bob"}\n')
+    (tmp_path / "a.json").write_text('[{"badge_no":1,"name":"Ann"},{"badge_no":2,"name":"Bob"}]')
+    (tmp_path / "n.json").write_text('[\n {"badge_no": 1,\n  "skills": ["sql", "py"],\n  "address": {"city": "Pune", "country": "IN"}}\n]')
     assert rows(scans.read_json(spark, str(tmp_path / "l.json"))) == [(1, "Ann"), (2, "Bob")]
     assert rows(scans.read_json(spark, str(tmp_path / "a.json"))) == [(1, "Ann"), (2, "Bob")]
     nested = scans.read_json(spark, str(tmp_path / "n.json"), multi_line=True)
     flat = flatten(nested)
-    assert flat.select("city", "country", "employee_id").first() == ("Pune", "IN", 1)
+    assert flat.select("city", "country", "badge_no").first() == ("Pune", "IN", 1)
 
 
 def test_lines_split_and_fixed_width(spark, tmp_path):
     parsed = scans.read_delimited(
         scans.read_lines(spark, text_file(tmp_path / "p.txt", staff_lines(" | ", header=False))), r"\|",
-        [("employee_id", "int"), ("name", "string"), ("department", "string"), ("salary", "int")])
+        [("badge_no", "int"), ("name", "string"), ("unit", "string"), ("points", "int")])
     assert rows(parsed) == STAFF
     lines = [f"{a:03d} {b:<7} {c:<8} {d:>5}" for a, b, c, d in STAFF]
-    layout = [("employee_id", 1, 3, "int"), ("name", 5, 7, "string"), ("department", 13, 8, "string"), ("salary", 22, 5, "int")]
+    layout = [("badge_no", 1, 3, "int"), ("name", 5, 7, "string"), ("unit", 13, 8, "string"), ("points", 22, 5, "int")]
     fixed = scans.read_fixed_width(scans.read_lines(spark, text_file(tmp_path / "f.txt", lines)), layout)
     assert rows(fixed) == STAFF
 
 
 def test_bad_values_abort_or_become_null(spark, tmp_path):
     path = text_file(tmp_path / "bad.txt", ["1|Ann|Sales|500", "x|Bob|IT"])
-    fields = [("employee_id", "int"), ("name", "string"), ("department", "string"), ("salary", "int")]
+    fields = [("badge_no", "int"), ("name", "string"), ("unit", "string"), ("points", "int")]
     lines = scans.read_lines(spark, path)
     assert (None, "Bob", "IT", None) in {tuple(r) for r in scans.read_delimited(lines, r"\|", fields, tolerant=True).collect()}
     with pytest.raises(Exception):
         scans.read_delimited(lines, r"\|", fields).collect()
-    fixed = [("employee_id", 1, 1, "int")]
+    fixed = [("badge_no", 1, 1, "int")]
     assert sorted(r[0] or 0 for r in scans.read_fixed_width(lines, fixed, tolerant=True).collect()) == [0, 1]
 
 
@@ -218,15 +218,15 @@ def test_mixed_directory_skips_unknown(spark, tmp_path):
 def test_workbooks(spark, tmp_path):
     from pipekit.plans.catalog.scans import _workbook
     import pandas as pd
-    frame = pd.DataFrame(STAFF, columns=["employee_id", "name", "department", "salary"])
+    frame = pd.DataFrame(STAFF, columns=["badge_no", "name", "unit", "points"])
     for i in range(3):
         (tmp_path / f"book_{i}.xlsx").write_bytes(_workbook(frame))
     typed = read_workbooks(spark, str(tmp_path), SCHEMA)
-    assert typed.count() == 12 and rows(typed.select("employee_id", "name", "department", "salary").distinct()) == STAFF
+    assert typed.count() == 12 and rows(typed.select("badge_no", "name", "unit", "points").distinct()) == STAFF
     text = read_workbooks(spark, str(tmp_path))
-    assert text.columns == ["source_path", "employee_id", "name", "department", "salary"]
+    assert text.columns == ["source_path", "badge_no", "name", "unit", "points"]
     with pytest.raises(Exception, match="no column"):
-        read_workbooks(spark, str(tmp_path), "employee_id int, missing string").collect()
+        read_workbooks(spark, str(tmp_path), "badge_no int, missing string").collect()
 
 
 def test_literal_rows(spark):
