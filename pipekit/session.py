@@ -93,6 +93,24 @@ def working_tables(spark: SparkSession) -> Iterator[None]:
         _drop(spark, made)
 
 
+@contextmanager
+def held_tables() -> Iterator[list[str]]:
+    """Collect the :func:`durable` tables made inside the block without deleting them, for :func:`drop_tables` once
+    what is built on them has been saved."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield made
+    finally:
+        _SCOPE.reset(token)
+
+
+def drop_tables(spark: SparkSession, tables: list[str]) -> None:
+    """Delete tables of :func:`held_tables` and empty the list."""
+    _drop(spark, tables)
+    tables.clear()
+
+
 def clear_working_tables(spark: SparkSession) -> None:
     """Delete all :func:`durable` tables of this driver made outside a block. DataFrames built on them stop working."""
     _drop(spark, _MADE)
