@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pipekit.llm import stages
-from pipekit.session import durable
+from pipekit.session import scratch
 
 STAGES = [
     ("language_id", stages.identify),
@@ -26,5 +26,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path, out = scratch(spark, f"pipeline-{name}"), stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
