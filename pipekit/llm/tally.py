@@ -1,7 +1,7 @@
 """Counting keys over all data and handing each asker the totals of its own keys.
 
 A chunk asks with sorted distinct 64-bit keys, cut into buckets by their high bits. A bucket sums what all chunks say
-of a key and answers each chunk with the totals in the order of its keys, so answers carry no keys. A key that fills
+of a key and answers each chunk with the totals (64 bits) in the order of its keys, so answers carry no keys. A key that fills
 a third of the data costs a bucket one entry for each chunk. Buckets are of bounded size: their number grows with the
 keys asked.
 """
@@ -42,6 +42,16 @@ def unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64)[:, 0], dtype=np.uint64)
 
 
+def packed_totals(values: np.ndarray) -> bytes:
+    """64-bit totals byte by byte, so that the high bytes, mostly 0, take no room."""
+    return packed(np.ascontiguousarray(values, dtype=np.int64).view(np.uint8).reshape(-1, 8).T)
+
+
+def unpacked_totals(data: bytes, columns: int) -> np.ndarray:
+    planes = unpacked(data, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.int64)[:, 0].reshape(-1, columns)
+
+
 def requests(chunk: int, kind: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     """Rows of :data:`REQUEST` for sorted distinct ``keys`` (uint64) and their ``counts`` (rows of uint32 columns)."""
     bounds = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
@@ -62,10 +72,10 @@ def _answer(table: pa.Table) -> pa.Table:
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.stack([np.bincount(place, weights=counts[:, j], minlength=len(distinct)) for j in range(counts.shape[1])],
                     axis=1).astype(np.int64)
-    answers = np.minimum(sums, 0xFFFFFFFF).astype(np.uint32)[place]
+    answers = sums[place]
     cuts = np.cumsum(sizes)[:-1]
     return pa.table({"chunk": table.column("chunk"), "kind": table.column("kind"), "bucket": table.column("bucket"),
-                     "totals": pa.array([packed(a) for a in np.split(answers, cuts)], pa.binary()),
+                     "totals": pa.array([packed_totals(a) for a in np.split(answers, cuts)], pa.binary()),
                      "distinct": pa.array([int((sums[:, 0] > 0).sum())] * table.num_rows, pa.int64())})
 
 
@@ -80,5 +90,5 @@ def totals_of(replies: pa.Table, kind: int, columns: int) -> np.ndarray:
     rows = sorted((b, t) for k, b, t in zip(replies.column("kind").to_pylist(), replies.column("bucket").to_pylist(),
                                             replies.column("totals").to_pylist(), strict=True) if k == kind)
     if not rows:
-        return np.zeros((0, columns), dtype=np.uint32)
-    return np.concatenate([unpacked(t, np.uint32).reshape(-1, columns) for _, t in rows])
+        return np.zeros((0, columns), dtype=np.int64)
+    return np.concatenate([unpacked_totals(t, columns) for _, t in rows])
