@@ -18,7 +18,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pipekit.llm.common import U64, components, filled, free_shuffles, hash_words, mix, spans, split_words, text_slices
@@ -211,7 +211,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
         _shingle_sets(width), "node binary, shingles array<long>"), "near-sets")
 
     def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """a, b, dist (Jaccard distance) and linked of each pair whose sizes do not rule a link out."""
+        """a, b and linked of each pair whose sizes do not rule a link out."""
         left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
         both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         sizes = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}")) for c in "ab"]
@@ -219,42 +219,49 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
             F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
         both = both.select("a", "b", "na", "nb").join(left, "a").join(right, "b").withColumn(
             "common", F.size(F.array_intersect("sa", "sb"))).withColumn("union", F.col("na") + F.col("nb") - F.col("common"))
-        return durable(both.select("a", "b", (1 - F.col("common") / F.col("union")).alias("dist"), (
-            F.col("common") * 100 >= F.col("union") * percent).alias("linked")), "near-measured")
+        return durable(both.select("a", "b", (F.col("common") * 100 >= F.col("union") * percent).alias("linked")), "near-measured")
 
-    met = measured(members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")), sets)
-    free_shuffles(docs.sparkSession)
+    # Each node meets one pivot, the least of its bands: most groups are whole after that. Then it meets the pivots of its
+    # other bands, where the two are still apart.
+    apart = members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    met = measured(apart.groupBy("a").agg(F.min("b").alias("b")), sets)
     links = met.where("linked").select("a", "b")
     comps = durable(components(links, "near-comps"), "near-comp")
-    # The pivot has met every member of its bucket. What is left are the others, across components.
+    free_shuffles(docs.sparkSession)
+    sides = [comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab"]
+    open_pairs = apart.join(sides[0], "a", "left").join(sides[1], "b", "left").where(
+        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = measured(open_pairs.distinct().join(met, ["a", "b"], "left_anti"), sets)
+    links = links.union(more.where("linked").select("a", "b"))
+    comps = durable(components(links, "near-comps"), "near-comp")
+    # The pivot has met every member of its bucket, or is linked with it. What is left are the others, across components.
     labelled = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     split = labelled.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    known = met.select("a", "b", "dist")
-    rest = labelled.where("node != pivot").join(split.select("band"), "band", "left_semi").join(
-        known, (F.least("node", "pivot") == F.col("a")) & (F.greatest("node", "pivot") == F.col("b")), "left")
-    rest = durable(rest.select("band", "node", "dist", "comp"), "near-rest")
-    open_sets = durable(sets.join(rest.select("node").distinct(), "node", "left_semi"), "near-open-sets")
-    # A shingle that no other open set holds is in no intersection: few pairs can still reach the similarity.
-    held = open_sets.select(F.xxhash64("node").alias("id"), F.explode("shingles").alias("s"))
-    own = held.groupBy("s").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(
-        F.count("*").alias("own"))
-    sized = rest.join(nodes.select("node", "n"), "node").join(own, F.xxhash64("node") == F.col("id"), "left").withColumn(
-        "most", F.col("n") - F.coalesce("own", F.lit(0))).where(F.col("most") * 100 >= F.col("n") * percent)
+    rest = labelled.where("node != pivot").join(split.select("band"), "band", "left_semi")
+    rest = durable(rest.select("node", "comp").distinct().join(nodes.select("node", "n"), "node"), "near-rest")
+    open_sets = durable(sets.join(rest.select("node"), "node", "left_semi"), "near-open-sets")
+    # Two sets that link share a shingle among the rarest of each: all but as many as the overlap takes, and one more.
+    held = open_sets.select("node", F.explode("shingles").alias("s"))
+    often = held.groupBy("s").agg(F.count("*").alias("often"))
+    need = F.ceil(F.col("n") * percent / 100)
+    ranked = held.join(often, "s").join(rest.select("node", "n"), "node").withColumn(
+        "r", F.row_number().over(Window.partitionBy("node").orderBy("often", "s")))
+    rare = ranked.where((F.col("r") <= F.col("n") - need + 1) & (F.col("often") > 1)).select("node", "s")
+    # A shingle that no other open set holds is in no intersection.
+    own = ranked.where("often = 1").groupBy("node").agg(F.count("*").alias("own"))
+    sized = rest.join(own, "node", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).where(F.col("most") >= need)
     maps = open_sets.mapInArrow(_bit_maps, "node binary, more long, " + ", ".join(f"m{k} long" for k in range(MAP_WORDS)))
     bits = [f"m{k}" for k in range(MAP_WORDS)]
-    held = ["node", "dist", "comp", "n", "most", "more", *bits]
-    sized = durable(sized.join(maps, "node").select("band", *held), "near-sized")
-    x, y = (sized.select("band", *[F.col(c).alias(c + k) for c in held]) for k in "xy")
-    # Jaccard distance is a metric: rows whose distances to the pivot differ by more than a link cannot link.
-    reach = 1 - percent / 100 + 1e-9
+    held = ["node", "comp", "n", "most", "more", *bits]
+    sized = durable(rare.join(sized, "node").join(maps, "node").select("s", *held), "near-sized")
+    x, y = (sized.select("s", *[F.col(c).alias(c + k) for c in held]) for k in "xy")
     common = F.least("mostx", "mosty")
     # Places of a bit map that both fill, and what either has beyond one for each place, bound the intersection too.
     places = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{c}x").bitwiseAND(F.col(f"{c}y"))) for c in bits])
     tight = places + F.least("morex", "morey")
-    near = (F.col("distx").isNull() | F.col("disty").isNull() | (F.abs(F.col("distx") - F.col("disty")) <= reach)) & (
-        common * 100 >= (F.col("nx") + F.col("ny") - common) * percent) & (
+    near = (common * 100 >= (F.col("nx") + F.col("ny") - common) * percent) & (
         tight * 100 >= (F.col("nx") + F.col("ny") - tight) * percent)
-    met = measured(x.join(y, "band").where((F.col("compx") < F.col("compy")) & near).select(
+    met = measured(x.join(y, "s").where((F.col("compx") < F.col("compy")) & near).select(
         F.col("nodex").alias("a"), F.col("nodey").alias("b")), open_sets)
     links = links.union(met.where("linked").select("a", "b"))
     comps = durable(components(links, "near-comps"), "near-comp")

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from conftest import rows
 
-from pipekit.llm import (language_id, near_dedup, ngram_lm, packing, queries, range_coder, source_mixing, suffix_dedup,
+from pipekit.llm import (language_id, near_dedup, ngram_lm, packing, queries, range_coder, source_mixing, suffix_dedup, tally,
                          token_files, tokens, toxicity, vector_dedup, vp_search)
 
 PATH = queries.tokenizer_path()
@@ -237,6 +237,43 @@ def test_one_row_of_each_group_is_kept(spark):
         [(5, a), (6, b), (7, c), (None, d)])
 
 
+def test_totals_go_beyond_32_bits(spark):
+    keys = np.array([3, 5, 1 << 63], dtype=np.uint64)
+    parts = [tally.requests(chunk, 0, keys, np.array([[3_000_000_000, 1], [7, 0], [1, 4_294_967_295]], dtype=np.uint32), 4)
+             for chunk in (1, 2)]
+    asked = spark.createDataFrame(pa.Table.from_batches(parts).to_pandas(), tally.REQUEST)
+    got = tally.tally(asked).toArrow()
+    for chunk in (1, 2):
+        mine = got.filter(pa.compute.equal(got.column("chunk"), chunk))
+        assert tally.totals_of(mine, 0, 2).tolist() == [[6_000_000_000, 2], [14, 0], [2, 8_589_934_590]]
+
+
+def test_near_copies_just_under_and_over_the_threshold(spark):
+    """Families whose copies share a template: which pairs link depends on a few words each; some links are met only
+    outside the least pivot's bucket."""
+    rng = random.Random(21)
+    texts = []
+    for family in range(4):
+        base = prose(rng, 90).split()
+        for _ in range(22):
+            words = list(base)
+            for k in rng.sample(range(len(words) - 12), rng.choice([0, 1, 2, 3, 4])):
+                words[k] = f"w{rng.randrange(6)}f{family}"
+            texts.append(" ".join(words + [f"t{rng.randrange(5)}"] * rng.choice([0, 1, 9])))
+    data = list(enumerate(texts))
+    got = dict(near_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).select(
+        "doc_id", "component_id").collect())
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (lowered(t) for t in texts)]
+    comp = list(range(len(sets)))
+    for _ in range(12):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 75 * len(a | b):
+                    comp[i] = comp[j] = min(comp[i], comp[j])
+    assert [got[i] for i in range(len(sets))] == comp
+    assert 4 < len(set(comp)) < 80
+
+
 def test_sketches_fill_and_estimate():
     rng = np.random.default_rng(1)
     a = rng.integers(1, 1 << 62, 300).astype(np.uint64)
