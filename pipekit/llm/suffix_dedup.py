@@ -320,7 +320,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         ask_open, tally.REQUEST)), "sx-open")
 
     def plan(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        """Starts of windows known to be repeated, and of those to be counted."""
+        """Starts of windows known to be repeated, of those to be counted, and of anchors found elsewhere too."""
         out = []
         for row in left.to_pylist():
             a = Anchors(row)
@@ -329,12 +329,13 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             yes = starts[a.settled(starts, np.array(row["settled"] or [], dtype=np.int64))]
             open_ = a.spread(tally.totals_of(right, OPEN, 1)[:, 0]) > 0 if len(a.grams) else repeated
             count, _ = a.windows(repeated & open_)
-            out.append((row["chunk"], rolled(yes), rolled(count)))
-        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "yes": pa.array([x[1] for x in out], pa.binary()),
-                         "counted": pa.array([x[2] for x in out], pa.binary())})
+            shared = a.at[repeated & (a.gram > 0)]
+            out.append((row["chunk"], rolled(yes), rolled(count), tally.packed(shared.astype(np.int32))))
+        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), **{c: pa.array([x[k] for x in out], pa.binary())
+                         for k, c in enumerate(("yes", "counted", "shared"), start=1)}})
 
     plans = durable(facts.groupBy("chunk").cogroup(grams.union(opened).groupBy("chunk")).applyInArrow(
-        plan, "chunk long, yes binary, counted binary"), "sx-plans")
+        plan, "chunk long, yes binary, counted binary, shared binary"), "sx-plans")
     many = tally.bucket_bits(size // 4)
     asked = chunks.select("chunk", "data").join(plans, "chunk").mapInArrow(_ask_windows(many), tally.REQUEST)
     counts = durable(tally.tally(asked), "sx-counts")
@@ -375,8 +376,12 @@ def _no_request() -> pa.Table:
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs``: its columns (struct rest), n_bytes, n_removed, n_spans, kept_sha256 and the kept text,
-    without the parts of characters that a cut leaves behind.
+    """Every row of ``docs``: its columns (struct rest), n_bytes, n_removed, n_spans, kept_sha256, n_shared and the kept
+    text, without the parts of characters that a cut leaves behind.
+
+    n_shared counts the anchors (strings of GRAM bytes chosen by content) of the text that start elsewhere too. It shows
+    passages in common that are shorter than LENGTH, which are left alone: a text with n_removed has some as a rule, one
+    with neither shares no long passage.
 
     Matches lie within one text; two places of one text count as two. Null and empty texts, and texts shorter than a
     window, lose nothing. Rows that share a doc_id are texts of their own. An empty table gives an empty result.
@@ -387,7 +392,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for number, row in enumerate(left.select(["lengths", "data", "yes", "counted"]).to_pylist()):
+        for number, row in enumerate(left.select(["lengths", "data", "yes", "counted", "shared"]).to_pylist()):
             data, lengths = tally.unpacked(row["data"], np.uint8), np.array(row["lengths"], dtype=np.int64)
             at = spans(lengths)
             edge = np.zeros(len(data) + 1, dtype=np.int64)
@@ -400,24 +405,25 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
             inner = at[:-1][lengths > 0]
             first[inner] = gone[inner]  # runs end with their text
             removed, runs = (np.concatenate([[0], np.cumsum(x)])[at] for x in (gone, first))
+            shared = np.searchsorted(tally.unpacked(row["shared"], np.int32).astype(np.int64), at)
             kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
             rest = left.column("rest").slice(number, 1).combine_chunks().flatten()
             out.append(pa.Table.from_arrays(
                 [rest, pa.array(lengths), pa.array(np.diff(removed)), pa.array(np.diff(runs)),
                  pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-                 pa.array([k.decode(errors="ignore") for k in kept], pa.string())], names=names))
+                 pa.array(np.diff(shared)), pa.array([k.decode(errors="ignore") for k in kept], pa.string())], names=names))
         return pa.concat_tables(out)
 
-    names = ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
-    schema = StructType([given.schema["rest"], *[StructField(n, LongType()) for n in names[1:4]],
-                         *[StructField(n, StringType()) for n in names[4:]]])
+    names = ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "text"]
+    schema = StructType([given.schema["rest"], *[StructField(n, StringType() if n in ("kept_sha256", "text") else LongType())
+                                                 for n in names[1:]]])
     return chunks.join(plans, "chunk").groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(cut, schema)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of ``docs``; see :func:`cut_repeats`."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and n_shared of every row of ``docs``; see :func:`cut_repeats`."""
     return cut_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
-        "rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        "rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -12,24 +12,29 @@ Labels belong to documents. Words that occur in toxic documents and hardly in ot
 clean documents are negatives. A document's score is a logistic function of its strongest word, of the sum of its
 positive margins and of its length, fitted on the half of the sample that the word machine has not seen.
 
-The sample is bounded: ``SAMPLE`` toxic and twice as many clean documents with the smallest hashes of doc_id.
+The sample is bounded: ``SAMPLE`` toxic and twice as many clean rows with the smallest hashes of id and text; the word
+machine takes the ``TOXIC_WORDS`` most frequent words of the first, the ``CLEAN_WORDS`` most frequent of the second and
+``RARE_WORDS`` of those that occur once.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pipekit.llm.common import filled, hash_words, mix, spans, text_slices
+from pipekit.llm.common import filled, hash_words, mix, ship, spans, text_slices
+from pipekit.session import durable
 
+# Bounds of what the models are fitted on; every document is scored whole, whatever they are.
 SAMPLE = 3000
+TOXIC_WORDS, CLEAN_WORDS, RARE_WORDS = 1500, 12_000, 18_000
+RATE = 20  # a toxic word is this many times as frequent in toxic documents as in clean ones
 LETTERS = 48
 SPAN = 7
 DECAY = 0.6
@@ -204,17 +209,25 @@ def fit_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float =
     return w
 
 
-def fit_words(rows: list[tuple[bool, list[str]]]) -> tuple[np.ndarray, float]:
-    """The word machine from (toxic?, distinct words) of documents: subsequence weights and bias."""
-    toxic, clean = Counter(), Counter()
-    for bad, words in rows:
-        (toxic if bad else clean).update(words)
-    n_toxic, n_clean = sum(bad for bad, _ in rows) + 1, sum(not bad for bad, _ in rows) + 1
-    rate = {w: (c + 0.1) / n_toxic / ((clean[w] + 0.1) / n_clean) for w, c in toxic.items() if c >= 3}
-    ranked = sorted((w for w in rate if rate[w] >= 20 and len(w) >= 3), key=lambda w: (-toxic[w], w))[:1500]
-    common = sorted((w for w, c in clean.items() if c >= 2 and rate.get(w, 0) < 2), key=lambda w: (-clean[w], w))[:12_000]
-    rare = sorted((w for w, c in clean.items() if c == 1 and w not in toxic), key=lambda w: hash_words(pa.array([w]))[0])
-    negative = common + rare[:18_000]
+def word_lists(learned: DataFrame) -> tuple[list[tuple[str, int]], list[str], int]:
+    """(toxic words with their documents, clean words, toxic documents) from rows (toxic, words). Words are counted in
+    tasks; no more than TOXIC_WORDS, CLEAN_WORDS and RARE_WORDS reach the driver."""
+    n = learned.agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")).first()
+    n_toxic, n_clean = n["t"] + 1, n["c"] + 1
+    counts = learned.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
+        F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c"))
+    rate = F.when(F.col("t") >= 3, (F.col("t") + 0.1) / n_toxic / ((F.col("c") + 0.1) / n_clean))
+    counts = durable(counts.withColumn("rate", rate), "toxicity-words")
+    ranked = counts.where((F.col("rate") >= RATE) & (F.length("word") >= 3)).orderBy(F.desc("t"), "word").limit(TOXIC_WORDS)
+    common = counts.where((F.col("c") >= 2) & (F.coalesce("rate", F.lit(0)) < 2)).orderBy(F.desc("c"), "word").limit(CLEAN_WORDS)
+    rare = counts.where("c = 1 and t = 0").orderBy(F.xxhash64("word"), "word").limit(RARE_WORDS)
+    return ([(r["word"], r["t"]) for r in ranked.collect()],
+            [r["word"] for r in common.collect()] + [r["word"] for r in rare.collect()], n_toxic)
+
+
+def fit_words(counted: list[tuple[str, int]], negative: list[str], n_toxic: int) -> tuple[np.ndarray, float]:
+    """The word machine from :func:`word_lists`: subsequence weights and bias."""
+    toxic, ranked = dict(counted), [w for w, _ in counted]
     # The common ones also with a letter put in, at a place and with a letter that their hash deals.
     often = [w for w in ranked if toxic[w] >= COMMON * n_toxic]
     gapped = []
@@ -263,6 +276,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+SAMPLED = "toxic int, h long, key long, words array<string>, text string"
+
+
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of each text, and the least hash of its four-word strings, which near copies mostly share."""
     for batch in text_slices(batches):
@@ -277,36 +293,47 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(int(h.min() >> np.uint64(1)))
             lists.append(sorted({w for w in words if w}))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array(keys, pa.int64()), pa.array(lists, pa.list_(pa.string())), batch.column("text")],
-            names=["toxic", "key", "words", "text"])
+            [batch.column("toxic"), batch.column("h"), pa.array(keys, pa.int64()), pa.array(lists, pa.list_(pa.string())),
+             batch.column("text")], names=["toxic", "h", "key", "words", "text"])
+
+
+def sample_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(toxic, h, text): ``sample`` toxic rows and twice as many clean ones at most, with the least hash of id and text.
+    Rows are picked by their own number, so an id on many rows brings no more of them."""
+    marked = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("n", F.monotonically_increasing_id())
+    keyed = rows.select("doc_id", "n", F.xxhash64("doc_id", "text", F.lit(41)).alias("h")).join(marked, "doc_id")
+    picked = keyed.where("toxic = 1").orderBy("h", "n").limit(sample).union(
+        keyed.where("toxic = 0").orderBy("h", "n").limit(2 * sample)).select("n", "h", "toxic")
+    return rows.join(F.broadcast(durable(picked, "toxicity-picked")), "n").select("toxic", "h", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
     """Fit on the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic 0 or 1) marks. Rows without a label
-    are not used; without toxic rows or without clean ones every document scores 0."""
-    marked = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = docs.select("doc_id").join(marked, "doc_id").distinct()
-    order = F.xxhash64("doc_id", F.lit(41))
-    picked = ids.where("toxic = 1").orderBy(order, "doc_id").limit(sample).union(
-        ids.where("toxic = 0").orderBy(order, "doc_id").limit(2 * sample))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
-    table = rows.select("toxic", "text").mapInArrow(
-        _sampled, "toxic int, key long, words array<string>, text string").toArrow()
-    first = {}
-    for k, key in enumerate(zip(table.column("key").to_pylist(), table.column("toxic").to_pylist(), strict=True)):
-        first.setdefault(key, k)
-    chosen = sorted((key[0], key[1], k) for key, k in first.items())  # in an order of their own, whatever came first
-    order_ = [k for _, _, k in chosen]
-    toxic = np.array([t for _, t, _ in chosen], dtype=np.int64)
-    if not toxic.sum() or toxic.sum() == len(toxic):
+    are not used; without toxic rows or without clean ones every document scores 0. Texts stay in the tasks: the driver
+    gets word lists of bounded length and three numbers for each row of the logistic fit."""
+    ship(docs.sparkSession)
+    rows = sample_rows(docs, labels, sample).mapInArrow(_sampled, SAMPLED)
+    # Of near copies one is enough; of the rest, two thirds fit the word machine and a third the logistic function.
+    one = Window.partitionBy("key", "toxic").orderBy("h", "text")
+    rows = durable(rows.withColumn("r", F.row_number().over(one)).where("r = 1").withColumn("learn", F.col("key") % 3 != 0),
+                   "toxicity-sample")
+    if rows.select("toxic").distinct().count() < 2:
         return ToxicityModel(np.zeros(LETTERS ** 3, dtype=np.float32), -1.0, np.array([0, 0, 0, -30.0]))
-    words, texts = table.column("words"), table.column("text").combine_chunks()
-    learn = np.arange(len(order_)) % 3 != 0
-    weights, bias = fit_words([(bool(toxic[n]), words[k].as_py()) for n, k in enumerate(order_) if learn[n]])
+    weights, bias = fit_words(*word_lists(rows.where("learn").select("toxic", "words")))
     model = ToxicityModel(weights, bias, np.zeros(4))
-    rest = [k for n, k in enumerate(order_) if not learn[n]]
-    x = np.concatenate([document_features(model, texts.take(pa.array(rest[k:k + 200]))) for k in range(0, len(rest), 200)])
-    model.logistic = fit_logistic(x, toxic[~learn])
+    held = docs.sparkSession.sparkContext.broadcast(model)  # one weight for each subsequence of LETTERS letters
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            x = document_features(held.value, batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("h"), *[pa.array(c, pa.float64()) for c in x.T]],
+                                             names=["toxic", "h", "a", "b", "c"])
+
+    rest = rows.where("not learn").select("toxic", "h", "text").mapInArrow(
+        features, "toxic int, h long, a double, b double, c double").toArrow().sort_by([("h", "ascending"), ("a", "ascending")])
+    if rest.num_rows:
+        model.logistic = fit_logistic(np.stack([rest.column(c).to_numpy() for c in "abc"], axis=1), rest.column("toxic").to_numpy())
     return model
 
 

@@ -283,24 +283,60 @@ def test_sketches_fill_and_estimate():
     assert abs((table[0] == table[1]).mean() - 240 / 360) < 0.17
 
 
-def test_remove_repeats(spark, docs, empty):
-    got = Counter(tuple(r) for r in suffix_dedup.remove_repeats(docs).collect())
-    data = [(r[0], (r[1] or "").encode()) for r in corpus()]
-    seen = Counter(t[i:i + 400] for _, t in data for i in range(len(t) - 399))
-    want = Counter()
+def cut_by_hand(data):
+    """(id, bytes, removed, runs, digest) of each text, by counting every window."""
+    seen = Counter(hash(t[i:i + 400]) for _, t in data for i in range(len(t) - 399))
+    out = Counter()
     for doc_id, t in data:
-        gone = np.zeros(len(t), dtype=bool)
+        edge = np.zeros(len(t) + 1, dtype=int)
         for i in range(len(t) - 399):
-            if seen[t[i:i + 400]] > 1:
-                gone[i:i + 400] = True
+            if seen[hash(t[i:i + 400])] > 1:
+                edge[i] += 1
+                edge[i + 400] -= 1
+        gone = np.cumsum(edge[:-1]) > 0
         kept = np.frombuffer(t, dtype=np.uint8)[~gone].tobytes()
         runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
-        want[(doc_id, len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())] += 1
-    assert got == want
+        out[(doc_id, len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())] += 1
+    return out
+
+
+def test_remove_repeats(spark, docs, empty):
+    found = suffix_dedup.remove_repeats(docs).collect()
+    got = Counter(tuple(r)[:5] for r in found)
+    assert got == cut_by_hand([(r[0], (r[1] or "").encode()) for r in corpus()])
+    assert all(r.n_shared > 0 for r in found if r.n_removed > 800) and all(r.n_shared == 0 for r in found if r.n_bytes < 400)
     assert suffix_dedup.without_repeats(docs).columns == docs.columns
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_repeats_across_segments(spark):
+    """A text of more than a segment, with passages over and beside the border that start elsewhere too."""
+    rng = random.Random(31)
+    long = "".join(rng.choices("abcdefgh ", k=suffix_dedup.SEGMENT + 60_000))
+    border = suffix_dedup.SEGMENT
+    parts = [long[border - 700:border + 500], long[border - 399:border + 1], long[border - 400:border], long[border:border + 400],
+             long[border + 3000:border + 3399], long[20:420]]
+    data = [(1, long), *[(2 + k, "x" * k + p + "y" * (7 * k + 1)) for k, p in enumerate(parts)], (9, long[border - 2000:border + 2000])]
+    got = Counter(tuple(r)[:5] for r in suffix_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect())
+    assert got == cut_by_hand([(i, t.encode()) for i, t in data])
+
+
+def test_small_segments_see_the_same_windows(monkeypatch):
+    rng = np.random.default_rng(7)
+    data = rng.integers(97, 101, 30_000).astype(np.uint8)
+    ends = np.array([5000, 5100, 17_000, 30_000])
+    places = np.sort(rng.choice(29_000, 500, replace=False))
+
+    def seen():
+        return [*suffix_dedup.anchor_windows(data, ends), suffix_dedup.range_hashes(data, places, np.full(500, 400))]
+    want = seen()
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 4096)
+    got = seen()
+    assert (got[3] == want[3]).all() and got[2].sum() == want[2].sum()
+    for g, w in zip(got[:3], want[:3], strict=True):
+        assert len(g) == len(w) and (g == w).all()
+
+
 def test_language_model(spark, docs, empty):
     got = {r["doc_id"]: r for r in ngram_lm.score(docs).collect() if r["doc_id"] not in (None, 3)}
     texts = [(r[0], [*lowered(r[1]), None]) for r in corpus()]
@@ -386,6 +422,33 @@ def test_toxicity(spark, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_samples_rows_not_ids(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(400)] + [(2, "other")], "doc_id long, text string").repartition(4)
+    marks = spark.createDataFrame([(1, 1), (2, 0), (1, 1)], "doc_id long, toxic int")
+    assert toxicity.sample_rows(docs, marks, 10).groupBy("toxic").count().orderBy("toxic").collect() == [(0, 1), (1, 10)]
+
+
+@pytest.mark.parametrize("word", ["cat", "gatta", "insult", "abcabcab"])
+def test_subsequence_weights_against_direct_count(word):
+    """Three-letter subsequences of a word with their decayed spans, counted one by one."""
+    from itertools import combinations
+    direct = Counter()
+    n = toxicity.LETTERS
+    codes = toxicity.letters([word]).flat.tolist()
+    for places in combinations(range(len(codes)), 3):
+        if places[2] - places[0] + 1 <= toxicity.SPAN:
+            a, b, c = (codes[k] for k in places)
+            direct[(a * n + b) * n + c] += toxicity.DECAY ** (places[2] - places[0] + 1)
+    have = toxicity.explicit(toxicity.letters([word]))[:, 0]
+    want = np.zeros(n ** 3)
+    for k, v in direct.items():
+        want[k] += v
+    assert np.allclose(have, want / toxicity.NORMS[len(codes)], atol=1e-5) and (have > 0).sum() == len(direct)
+    # The same product through the table of the scorer.
+    table = np.random.default_rng(1).random(n ** 3).astype(np.float32)
+    assert toxicity.weigh(toxicity.letters([word]), table)[0] == pytest.approx(float(have @ table), rel=1e-4)
+
+
 # Packing and mixing
 
 
