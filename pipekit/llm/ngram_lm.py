@@ -124,7 +124,7 @@ def _estimates(c: Chunk, replies: pa.Table, total: int, without_deleted: bool) -
     count = word[c.codes[c.token]]
     two = np.where(context > 0, bi[c.pair] / np.maximum(context, 1), 0.0)
     one = count / max(total, 1)
-    bucket = np.minimum(np.frexp(context.astype(np.float64))[1], BUCKETS - 1)
+    bucket = np.minimum(np.frexp(context.astype(np.float64))[1].astype(np.int64), BUCKETS - 1)  # shifted by 40 bits below
     return two, one, bucket, count
 
 

@@ -353,6 +353,45 @@ def test_language_model(spark, docs, empty):
     assert ngram_lm.score(empty).count() == 0
 
 
+def test_interpolated_score_against_single_tokens(spark, docs):
+    """The whole model by hand, token by token; the operator sums held-out tokens in cells, so weights differ a little."""
+    texts = [(r[0], ["<s>", *lowered(r[1]), None]) for r in corpus()]
+
+    def fold_of(i):
+        return zlib.crc32(b"" if i is None else str(i).encode()) % 5
+
+    def counted(folds):
+        some = [t for i, t in texts if fold_of(i) in folds]
+        return Counter(w for t in some for w in t), Counter(p for t in some for p in zip(t, t[1:]))
+
+    def estimates(t, uni, bi, total):
+        return [(min(uni[a].bit_length(), 31), bi[a, b] / uni[a] if uni[a] else 0.0, uni[b] / total) for a, b in zip(t, t[1:])]
+
+    uni, bi = counted({0, 2, 3, 4})
+    total, uniform = sum(uni.values()) - uni["<s>"], 1 / len(uni)
+    less, less_bi = counted({0, 3, 4})
+    held = [e for i, t in texts if fold_of(i) == 2 for e in estimates(t, less, less_bi, sum(less.values()) - less["<s>"])]
+    assert held
+    weights = {}
+    for bucket in {e[0] for e in held}:
+        mine, w = [e[1:] for e in held if e[0] == bucket], (1 / 3,) * 3
+        for _ in range(60):
+            sums = [1.0] * 3
+            for two, one in mine:
+                share = [w[0] * two, w[1] * one, w[2] * uniform]
+                sums = [a + b / sum(share) for a, b in zip(sums, share)]
+            w = [x / (len(mine) + 3) for x in sums]
+        weights[bucket] = w
+    got = {r["doc_id"]: r["score"] for r in ngram_lm.score(docs).collect() if r["doc_id"] not in (None, 3)}
+    for i, t in texts:
+        if i in got:
+            want = 0.0
+            for bucket, two, one in estimates(t, uni, bi, total):
+                w = weights[min(weights, key=lambda k: (abs(k - bucket), k))]
+                want += math.log10(w[0] * two + w[1] * one + w[2] * uniform)
+            assert got[i] == pytest.approx(want, rel=0.02), i
+
+
 def test_mixture_weights_are_expected():
     cells = pa.table({"bucket": [4, 4], "n": [90, 10], "two": [45.0, 0.0], "one": [0.9, 0.1]})
     weights = ngram_lm.learn_weights(cells, 1e-4)
