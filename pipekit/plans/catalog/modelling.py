@@ -154,9 +154,9 @@ _STAR_SQL = """
 def fact_idempotent(spark, sf):
     """Two overlapping batches of orders into a star; the second adds only what is new."""
     sales = _sales(spark, sf)
-    first = jobs.load_star(sales.where("o_orderdate < timestamp_ntz'1998-07-01'"), _DIMS, ["order_id"], _MEASURES)
+    first = jobs.load_star(sales.where("o_orderdate < timestamp_ntz'1998-07-01'"), _DIMS, ["order_id"], _MEASURES, cut=True)
     second = sales.where("o_orderdate >= timestamp_ntz'1998-01-01'")
-    return jobs.load_star(second, _DIMS, ["order_id"], _MEASURES, first)["fact"]
+    return jobs.load_star(second, _DIMS, ["order_id"], _MEASURES, first, cut=True)["fact"]
 
 
 @query("fact_idempotent_pruned", "FT2 J8 DM2 SP4 PL8", """
@@ -187,9 +187,9 @@ def fact_idempotent_pruned(spark, sf):
     WITH {_STAR_SQL} SELECT customer_key, customer_name, nation FROM c2""")
 def star_dimension_keys(spark, sf):
     sales = _sales(spark, sf)
-    first = jobs.load_star(sales.where("o_orderdate < timestamp_ntz'1998-07-01'"), _DIMS, ["order_id"], _MEASURES)
+    first = jobs.load_star(sales.where("o_orderdate < timestamp_ntz'1998-07-01'"), _DIMS, ["order_id"], _MEASURES, cut=True)
     second = sales.where("o_orderdate >= timestamp_ntz'1998-01-01'")
-    return jobs.load_star(second, _DIMS, ["order_id"], _MEASURES, first)["customers"]
+    return jobs.load_star(second, _DIMS, ["order_id"], _MEASURES, first, cut=True)["customers"]
 
 
 @query("star_load", "PL7 SP1 DM1 FT1", """
@@ -201,7 +201,7 @@ def star_dimension_keys(spark, sf):
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     JOIN c ON c.customer_name = c_name AND c.nation = n_name JOIN p ON priority = o_orderpriority""")
 def star_load(spark, sf):
-    return jobs.load_star(_sales(spark, sf), _DIMS, ["order_id"], _MEASURES)["fact"]
+    return jobs.load_star(_sales(spark, sf), _DIMS, ["order_id"], _MEASURES, cut=True)["fact"]
 
 
 @query("fact_null_member", "FT2 DM2 J2 SP4 PL8", """

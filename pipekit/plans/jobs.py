@@ -67,11 +67,13 @@ def _fact_columns(dims: Mapping[str, tuple[str, Sequence[str]]], fact_id: Sequen
 
 def load_star(staged: DataFrame, dims: Mapping[str, tuple[str, Sequence[str]]], fact_id: Sequence[str],
               measures: Mapping[str, str], existing: Mapping[str, DataFrame] | None = None,
-              fact: str = "fact", skewed: bool = False, null_safe: bool = True) -> dict[str, DataFrame]:
+              fact: str = "fact", skewed: bool = False, null_safe: bool = True, cut: bool = False) -> dict[str, DataFrame]:
     """Star tables after adding the staged rows to what exists: dimensions get their new members, the
     fact its new ids. Pure: nothing is saved. Running it again on its own result adds nothing. Dimensions
-    load NULL-safely, so the fact looks up NULL-safely too unless told otherwise."""
+    load NULL-safely, so the fact looks up NULL-safely too unless told otherwise. ``cut`` keeps staged rows that are
+    costly to compute as a working table, for the dimensions and the fact all read them."""
     existing = existing or {}
+    staged = durable(staged, "staged") if cut else staged
     added = side_by_side({name: partial(load_dimension, staged, columns, key, existing.get(name))
                           for name, (key, columns) in dims.items()})
     out = {name: rows if name not in existing else existing[name].unionByName(rows)
