@@ -28,7 +28,7 @@ from pipekit.session import durable
 SHINGLE = 5
 BINS = 128
 BAND_ROWS = 4
-MAP_WORDS = 16
+MAP_WORDS = 64
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -252,7 +252,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
     maps = open_sets.mapInArrow(_bit_maps, "node binary, more long, " + ", ".join(f"m{k} long" for k in range(MAP_WORDS)))
     bits = [f"m{k}" for k in range(MAP_WORDS)]
     held = ["node", "dist", "comp", "n", "most", "more", *bits]
-    sized = durable(sized.join(maps, "node").select("band", *held), "near-sized")
+    # All open bands of a node, 2 * BINS / BAND_ROWS at most: a pair is taken up in the first band it shares.
+    every = sized.groupBy("node").agg(F.collect_set("band").alias("bands"))
+    held = [*held, "bands"]
+    sized = durable(sized.join(maps, "node").join(every, "node").select("band", *held), "near-sized")
     x, y = (sized.select("band", *[F.col(c).alias(c + k) for c in held]) for k in "xy")
     # Jaccard distance is a metric: rows whose distances to the pivot differ by more than a link cannot link.
     reach = 1 - percent / 100 + 1e-9
@@ -263,7 +266,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
     near = (F.col("distx").isNull() | F.col("disty").isNull() | (F.abs(F.col("distx") - F.col("disty")) <= reach)) & (
         common * 100 >= (F.col("nx") + F.col("ny") - common) * percent) & (
         tight * 100 >= (F.col("nx") + F.col("ny") - tight) * percent)
-    met = measured(x.join(y, "band").where((F.col("compx") < F.col("compy")) & near).select(
+    first = F.array_min(F.array_intersect("bandsx", "bandsy")) == F.col("band")
+    met = measured(x.join(y, "band").where((F.col("compx") < F.col("compy")) & near & first).select(
         F.col("nodex").alias("a"), F.col("nodey").alias("b")), open_sets)
     links = links.union(met.where("linked").select("a", "b"))
     comps = durable(components(links, "near-comps"), "near-comp")
