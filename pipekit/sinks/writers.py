@@ -202,6 +202,18 @@ def export(df: DataFrame, path: str, fmt: FileFormat = FileFormat(header=False),
     out = df if where is None else df.where(where)
     out = out if columns is None else out.select(*columns)
     write(out, path, "overwrite" if clear else "errorifexists", "csv", fmt)
+    _drop_empty_first(df.sparkSession, path, fmt)
+
+
+def _drop_empty_first(spark: SparkSession, path: str, fmt: FileFormat) -> None:
+    """Spark's first task writes a file even without rows, others do not; beside files with rows it is no empty export.
+
+    Lines are counted, not parsed rows, so whatever a scan would skip stays.
+    """
+    files = list_files(spark, path)
+    for first in [f for f in files if "/part-00000-" in f and len(files) > 1]:
+        if spark.read.text(first).limit(2).count() <= int(fmt.header):
+            delete_path(spark, first)
 
 
 def export_many(exports: Mapping[str, Export], fmt: FileFormat = FileFormat(), clear: bool = False,

@@ -116,6 +116,20 @@ def test_export_check_flags_empty_files(spark, tmp_path):
     assert got == {"OK": 5, "EMPTY": 0}
 
 
+@pytest.mark.parametrize("header", [True, False])
+def test_export_leaves_no_empty_file_beside_others(spark, tmp_path, header):
+    fmt, path = FileFormat(header=header), str(tmp_path / "c")
+    late = spark.range(0, 8, 1, 4)
+    wr.export(late.where("id > 4"), path, fmt)
+    assert rows(wr.export_check(spark, path, fmt).select("status", "row_count")) == [("OK", 1), ("OK", 2)]
+
+
+def test_export_of_nothing_is_still_flagged(spark, tmp_path):
+    path = str(tmp_path / "c")
+    wr.export(spark.range(0, 8, 1, 4).where("id > 9"), path, FileFormat())
+    assert rows(wr.export_check(spark, path).select("status", "row_count")) == [("EMPTY", 0)]
+
+
 def test_append_refuses_schema_drift(spark, tmp_path):
     path = str(tmp_path / "a")
     wr.append_rows(batch(spark, 0), path)
