@@ -9,7 +9,7 @@ from pipekit.operators.joins import missing_from
 from pipekit.plans import jobs
 from pipekit.operators.zones import ZoneMap
 from pipekit.plans.catalog.registry import dbl, money, query, table
-from pipekit.session import scratch
+from pipekit.session import durable, scratch
 from pipekit.sinks.writers import write_counted
 from pipekit.sources.provenance import inventory
 
@@ -125,13 +125,14 @@ _DIMS = {"customers": ("customer_key", ["customer_name", "nation"]), "priorities
 _MEASURES = {"amount": "amount"}
 
 
-def _sales(spark, sf):
-    nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
-    customer = table(spark, sf, "customer").join(nation, "c_nationkey").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("customer_name"), "nation")
+def _sales(spark, sf, nation="nation", priority="o_orderpriority"):
+    """Flat sales; ``nation`` and ``priority`` are expressions over customers with nations, and orders."""
+    countries = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
+    customer = table(spark, sf, "customer").join(countries, "c_nationkey").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("customer_name"), F.expr(nation).alias("nation"))
     return table(spark, sf, "orders").join(customer, "o_custkey").select(
-        F.col("o_orderkey").alias("order_id"), "customer_name", "nation",
-        F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("amount"), "o_orderdate")
+        F.col("o_orderkey").alias("order_id"), "customer_name", "nation", F.expr(priority).alias("priority"),
+        F.col("o_totalprice").alias("amount"), "o_orderdate")
 
 
 _STAR_SQL = """
@@ -218,11 +219,8 @@ def star_load(spark, sf):
     JOIN c ON s.customer_name = c.customer_name AND s.nation = c.nation JOIN p ON s.priority = p.priority""")
 def fact_null_member(spark, sf):
     """Orders with NULL dimension values: looked up NULL-safely, all arrive; by plain equality, these find no member."""
-    hidden = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("order_id"), (F.col("c_nationkey") % 4 > 0).alias("has_nation"),
-        (F.col("o_custkey") % 3 > 0).alias("has_priority"))
-    sales = _sales(spark, sf).join(hidden, "order_id").withColumn("nation", F.expr("if(has_nation, nation, NULL)")).withColumn(
-        "priority", F.expr("if(has_priority, priority, NULL)"))
+    sales = durable(_sales(spark, sf, "if(c_nationkey % 4 > 0, nation, NULL)", "if(o_custkey % 3 > 0, o_orderpriority, NULL)"),
+                    "staged")
     facts = [jobs.load_star(sales, _DIMS, ["order_id"], _MEASURES, null_safe=safe)["fact"].withColumn("mode", F.lit(mode))
              for mode, safe in (("safe", True), ("plain", False))]
     return facts[0].unionByName(facts[1]).select("mode", "order_id", "customer_key", "priority_key", "amount")

@@ -187,3 +187,10 @@ def test_null_keys_do_not_meet_in_one_task(spark):
     import datetime as dt
     opened = history.scd2_initial(target.where("v < 9"), dt.datetime(2024, 1, 1))
     assert history.scd2_changes(opened, target.where("v < 6"), ["k"], dt.datetime(2024, 2, 1)).count() == 9 + 2
+
+
+def test_fact_of_null_members_joins_staged_rows_once(spark):
+    """Computing the staged rows again under each lookup sorts them again inside the same tasks."""
+    from pipekit.plans.catalog import QUERIES
+    text = joined_plan(spark, lambda: QUERIES["fact_null_member"](spark, "/root/testdata/sf0.001"))
+    assert text.count("SortMergeJoin") == 4 and "orders.parquet" not in text
