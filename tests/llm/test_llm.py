@@ -559,3 +559,20 @@ def test_exponent_meets_an_entropy(spark):
     p /= p.sum()
     assert -(p * np.log(p)).sum() == pytest.approx(1.0, abs=1e-6)
     assert source_mixing.find_exponent(sources, target_entropy=2.0) == 0.0
+
+
+def test_ids_are_laid_out_without_an_index_of_each():
+    """Ids of texts, also of a slice of them, equal the tokenizer's; laying them out takes few bytes an id beside them."""
+    import tracemalloc
+    path, (tokenizer, _) = PATH, tokens.load(PATH)
+    plain = ["xqzvkj wwpqxz " * 3, None, "", " a,b  C! "]
+    ids, counts = tokens.encode(pa.array(["zz", *plain]).slice(1), path, end=1)
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in plain]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+    long = pa.array(["xqzvkjwwpqxzjjqvxkzq " * 20000])
+    tokens.encode(long, path, end=1)
+    tracemalloc.start()
+    ids, _ = tokens.encode(long, path, end=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) > 5 * 20000 and peak < 8 * len(ids)
