@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
+import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +70,25 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield batch.slice(a, b - a)
 
 
+def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch as dicts, one at a time: a row that holds a slice of texts is megabytes."""
+    for k in range(batch.num_rows):
+        yield from batch.slice(k, 1).to_pylist()
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow``, whose worker gives free memory back at its end: idle workers live on beside the steps
+    that follow."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+                trim(0)
+    return task
+
+
 def filled(column: pa.Array) -> pa.Array:
     return pc.fill_null(column, "")
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pipekit.llm.common import U64, components, filled, free_shuffles, hash_words, mix, spans, split_words, text_slices
+from pipekit.llm.common import U64, components, filled, free_shuffles, hash_words, lean, mix, one_by_one, spans, split_words, text_slices
 from pipekit.llm.tally import REQUEST, bucket_bits, packed, requests, tally, totals_of, unpacked
 from pipekit.session import durable
 
@@ -127,7 +127,7 @@ def _band_keys(row: dict) -> np.ndarray:
 def _ask_bands(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in one_by_one(batch):
                 keys, counts = np.unique(_band_keys(row), return_counts=True)
                 if len(keys):
                     yield requests(row["chunk"], 0, keys, counts.astype(np.uint32)[:, None], bits)
@@ -155,7 +155,7 @@ def _shingle_sets(width: int):
     """Sets of the documents at ``places`` of each chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in one_by_one(batch):
                 at, data = spans(np.array(row["lengths"])), unpacked(row["texts"], np.uint8).tobytes()
                 texts = pa.array([data[at[k]:at[k + 1]] for k in row["places"]], pa.binary()).cast(pa.string())
                 values, sizes = _sets(texts, width)
@@ -187,14 +187,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
     rows that share a doc_id are rows of their own. An empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = durable(texts.mapInArrow(_signatures(width), SIGNED), "near-chunks")
+    chunks = durable(texts.mapInArrow(lean(_signatures(width)), SIGNED), "near-chunks")
     rows = F.arrays_zip(F.col("doc_ids").alias("doc_id"), F.col("sizes").alias("n"), F.col("nodes").alias("node"))
     signed = chunks.select(F.explode(rows).alias("d")).select("d.doc_id", F.col("d.n").alias("n_shingles"), "d.node")
     nodes = durable(signed.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n")), "near-nodes")
     # Which bands occur twice at all: keys alone move for that.
     count = chunks.select(F.sum(F.size("sizes"))).first()[0] or 0
-    asked = chunks.select("chunk", "sizes", "bands").mapInArrow(_ask_bands(bucket_bits(count * BINS // BAND_ROWS)), REQUEST)
+    asked = chunks.select("chunk", "sizes", "bands").mapInArrow(
+        lean(_ask_bands(bucket_bits(count * BINS // BAND_ROWS))), REQUEST)
     shared = durable(chunks.select("chunk", "sizes", "nodes", "bands").groupBy("chunk").cogroup(
         tally(asked).groupBy("chunk")).applyInArrow(_shared_bands, "chunk long, place long, node binary, band long"),
         "near-shared")
@@ -208,7 +209,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
         members.select("node").distinct(), "node", "left_semi")
     places = chosen.groupBy("at.chunk").agg(F.collect_set("at.place").alias("places"))  # as many as a chunk has documents
     sets = durable(chunks.select("chunk", "nodes", "lengths", "texts").join(places, "chunk").mapInArrow(
-        _shingle_sets(width), "node binary, shingles array<long>"), "near-sets")
+        lean(_shingle_sets(width)), "node binary, shingles array<long>"), "near-sets")
 
     def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """a, b, dist (Jaccard distance) and linked of each pair whose sizes do not rule a link out."""

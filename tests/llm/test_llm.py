@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from conftest import rows
 
-from pipekit.llm import (language_id, near_dedup, ngram_lm, packing, queries, range_coder, source_mixing, suffix_dedup, tally,
+from pipekit.llm import (common, language_id, near_dedup, ngram_lm, packing, queries, range_coder, source_mixing, suffix_dedup, tally,
                          token_files, tokens, toxicity, vector_dedup, vp_search)
 
 PATH = queries.tokenizer_path()
@@ -576,3 +576,12 @@ def test_ids_are_laid_out_without_an_index_of_each():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(ids) > 5 * 20000 and peak < 8 * len(ids)
+
+
+def test_chunks_are_read_one_at_a_time_and_memory_is_given_back(monkeypatch):
+    batch = pa.RecordBatch.from_pylist([{"chunk": k, "texts": b"x" * k} for k in range(5)]).slice(1)
+    given_back = []
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda _: type("C", (), {"malloc_trim": given_back.append}))
+    whole = batch.to_pylist()
+    assert list(common.one_by_one(batch)) == whole
+    assert list(common.lean(lambda batches: (b for b in batches))(iter([batch]))) == [batch] and given_back == [0]
