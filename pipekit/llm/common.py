@@ -40,6 +40,14 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def free_heaps(spark: SparkSession) -> None:
+    """Executors give unused heap back: one task for each core asks its JVM to collect. A heap that grew in one step
+    else stays as large beside the Python workers of the next."""
+    cores = spark.sparkContext.defaultParallelism
+    collect = F.java_method(F.lit("java.lang.System"), F.lit("gc"))
+    spark.range(0, cores, 1, cores).select(collect.alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def fold(doc_id, folds: int) -> F.Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

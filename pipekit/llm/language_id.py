@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pipekit.llm.common import filled, ship, spans, text_slices
+from pipekit.llm.common import filled, lean, ship, spans, text_slices
 from pipekit.operators.joins import broadcast_if_small
 from pipekit.session import durable
 
@@ -208,7 +208,7 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, per_family: int
     ``und``. Machines are fitted in tasks from sparse rows; the driver gets one mean profile for each language and one
     row of weights for each pair."""
     ship(labelled.sparkSession)
-    got = sample_rows(labelled, per_language).mapInArrow(_featurise, FEATURES)
+    got = sample_rows(labelled, per_language).mapInArrow(lean(_featurise), FEATURES)
     ranked = Window.partitionBy("lang").orderBy("h", F.xxhash64("codes", "weights"))
     features = durable(got.withColumn("r", F.row_number().over(ranked)), "language-features")
     cells = features.select("lang", F.explode(F.arrays_zip("codes", "weights")).alias("c"))
@@ -270,7 +270,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 [*batch.columns, pa.array([n if ok else UNDETERMINED for n, ok in zip(names, yes, strict=True)]),
                  pa.array(np.where(yes, np.concatenate(scores), 0.0))], names=schema.names)
 
-    return docs.select(others).mapInArrow(run, schema)
+    return docs.select(others).mapInArrow(lean(run), schema)
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.0) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pipekit.llm.common import U64, components, filled, free_shuffles, hash_words, lean, mix, one_by_one, spans, split_words, text_slices
+from pipekit.llm.common import U64, components, filled, free_heaps, free_shuffles, hash_words, lean, mix, one_by_one, spans, split_words, text_slices
 from pipekit.llm.tally import REQUEST, bucket_bits, packed, requests, tally, totals_of, unpacked
 from pipekit.session import durable
 
@@ -230,6 +230,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = SHINGLE) ->
     links = met.where("linked").select("a", "b")
     comps = durable(components(links, "near-comps"), "near-comp")
     free_shuffles(docs.sparkSession)
+    free_heaps(docs.sparkSession)
     sides = [comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab"]
     open_pairs = apart.join(sides[0], "a", "left").join(sides[1], "b", "left").where(
         F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

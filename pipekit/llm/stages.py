@@ -1,7 +1,8 @@
 """The pipeline's stages: (spark, docs, sf_dir) to the documents that go on.
 
 A stage's result is written and read again as the next one's ``docs``. So a stage first deletes the working tables and
-shuffle files of the stage before it in the same thread; a result that is not saved yet by then can't be read any more.
+shuffle files of the stage before it in the same thread, and executors give unused heap back; a result that is not saved
+yet by then can't be read any more.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pipekit.llm import language_id, near_dedup, packing, source_mixing, suffix_dedup
-from pipekit.llm.common import fold, free_shuffles, read_table, ship
+from pipekit.llm.common import fold, free_heaps, free_shuffles, read_table, ship
 from pipekit.session import drop_tables, held_tables
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,6 +28,7 @@ def stage(run: Stage) -> Stage:
     def kept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         drop_tables(spark, _BEFORE.get() or [])
         free_shuffles(spark)
+        free_heaps(spark)
         ship(spark)
         with held_tables() as made:
             _BEFORE.set(made)

@@ -13,8 +13,8 @@ import pyarrow as pa
 import pytest
 from conftest import rows
 
-from pipekit.llm import (common, language_id, near_dedup, ngram_lm, packing, queries, range_coder, source_mixing, suffix_dedup, tally,
-                         token_files, tokens, toxicity, vector_dedup, vp_search)
+from pipekit.llm import (common, language_id, near_dedup, ngram_lm, packing, queries, range_coder, source_mixing, stages, suffix_dedup,
+                         tally, token_files, tokens, toxicity, vector_dedup, vp_search)
 
 PATH = queries.tokenizer_path()
 DOCS = "doc_id long, text string, source string, lang string, score string, row string, chunk string, node string"
@@ -321,6 +321,14 @@ def test_repeats_across_segments(spark):
     assert got == cut_by_hand([(i, t.encode()) for i, t in data])
 
 
+def test_stages_give_heap_back(spark, docs, monkeypatch):
+    common.free_heaps(spark)
+    calls = []
+    monkeypatch.setattr(stages, "free_heaps", lambda s: calls.append(s))
+    stages.stage(lambda s, d, sf: d)(spark, docs, "")
+    assert calls == [spark]
+
+
 def test_small_segments_see_the_same_windows(monkeypatch):
     rng = np.random.default_rng(7)
     data = rng.integers(97, 101, 30_000).astype(np.uint8)
