@@ -5,8 +5,9 @@ nowhere else, so no comparison runs past a chunk. Positions with i mod 3 of 1 or
 sorted and named; where names repeat, the string of names is solved by recursion; the remaining suffixes are sorted by
 their first name and the rank of what follows, and merged by counting how many of the others come before.
 
-``cover`` is what a name stands for in the text. Comparison beyond ``enough`` of it is of no interest, so recursion
-ends when every repeated name covers that much; suffixes that are equal so far may then share a rank.
+``cover`` is what a name stands for in the text. Comparison beyond ``enough`` of it is of no interest, so a name is final
+if it occurs once or covers that much: no comparison runs past it, and suffixes that are equal so far may share a rank.
+Recursion takes only names that are not final, and the one that ends each run of them.
 """
 
 from __future__ import annotations
@@ -88,12 +89,18 @@ def _level(strings: DataFrame, enough: int) -> DataFrame:
         ranked = named.select("chunk", "i", "r")
     else:
         half = Window.partitionBy("chunk").orderBy(F.col("i") % 3, "i")
-        numbered = durable(named.select("chunk", "i", "r", "covers", (F.row_number().over(half) - 1).cast("long").alias("j")),
-                           "sa-numbered")
+        goes_on = (F.col("own_r") > 1) & (F.col("covers") < enough)
+        kept = named.withColumn("goes_on", goes_on).withColumn("ends", F.lag("goes_on", 1, False).over(half)).where("goes_on or ends")
+        numbered = durable(kept.select("chunk", "i", "r", "covers", "goes_on",
+                                       (F.row_number().over(half) - 1).cast("long").alias("j")), "sa-numbered")
         deeper = suffix_ranks(numbered.select("chunk", F.col("j").alias("i"), (F.col("r") + 1).alias("name"),
                                               F.col("covers").alias("cover")), enough)
-        ranked = numbered.select("chunk", "i", "j").join(deeper.withColumnRenamed("i", "j"), ["chunk", "j"]).select(
-            "chunk", "i", F.col("rank").alias("r"))
+        inner = durable(numbered.where("goes_on").select("chunk", "i", "r", "j").join(
+            deeper.withColumnRenamed("i", "j"), ["chunk", "j"]).select("chunk", "i", "r", "rank"), "sa-inner")
+        # Ranks among equal names, on top of the number of smaller names.
+        least = inner.groupBy("r").agg(F.min("rank").alias("least"))
+        ranked = named.where(~goes_on).select("chunk", "i", "r").union(
+            inner.join(least, "r").select("chunk", "i", (F.col("r") + F.col("rank") - F.col("least")).alias("r")))
     joined = rows.select("chunk", "i", "name", "n1").join(ranked, ["chunk", "i"], "left")
     full = durable(joined.select("chunk", "i", "name", "n1", "r", F.coalesce(F.lead("r", 1).over(order), F.lit(-1)).alias("r1"),
                                  F.coalesce(F.lead("r", 2).over(order), F.lit(-1)).alias("r2")), "sa-full")

@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from pipekit.llm import tally
-from pipekit.llm.common import U64, filled, free_shuffles, mix, spans, text_slices
+from pipekit.llm.common import U64, filled, free_heaps, free_shuffles, lean, mix, one_by_one, spans, text_slices
 from pipekit.llm.suffix_array import suffix_ranks
 from pipekit.session import durable, scratch, working_tables
 
 LENGTH = 400
 GRAM = 128
-SEGMENT = (1 << 20) - 4096
+SEGMENT = (1 << 17) - 4096  # hashes of a segment fit a core's cache; no result depends on it
 MARGIN = 2048
 FACTOR = 0x9E3779B97F4A7C15 | 1
 ANCHOR, OPEN, WINDOW = 0, 1, 2
@@ -58,7 +58,8 @@ class Rolling:
 
     def __init__(self, piece: np.ndarray):
         with np.errstate(over="ignore"):
-            self.sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(BYTES[piece] * POWERS[:len(piece)], dtype=U64)])
+            self.sums = np.zeros(len(piece) + 1, dtype=U64)
+            np.cumsum(BYTES.take(piece) * POWERS[:len(piece)], dtype=U64, out=self.sums[1:])
 
     def of(self, start, length) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -75,58 +76,70 @@ def pieces(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield start, data[start:start + SEGMENT + MARGIN]
 
 
-def window_anchors(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, Rolling, int]]:
-    """For each segment: starts of the windows inside one text, the anchor of each, and the segment's hashes."""
-    width = LENGTH - GRAM + 1
+def anchor_runs(data: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+    """For each segment, rows of: anchors, first window of each inside one text, number of its windows, which follow each
+    other, and (bits of) the hash of the anchor string."""
+    width, place = LENGTH - GRAM + 1, U64(0xFFFFF)
     for start, piece in pieces(data):
         if len(piece) < LENGTH:
             continue
-        rolling = Rolling(piece)
-        grams = rolling.all_of(GRAM)
-        key = (grams & ~U64(0xFFFFF)) | np.arange(len(grams), dtype=U64)  # the leftmost of equal ones
+        grams = Rolling(piece).all_of(GRAM)
+        key = grams & ~place
+        key |= np.arange(len(grams), dtype=U64)  # the leftmost of equal ones
         span = 1
         while 2 * span <= width:
             key = np.minimum(key[:-span], key[span:])
             span *= 2
         if span < width:
             key = np.minimum(key[:len(key) - (width - span)], key[width - span:])
-        at = np.arange(min(len(key), SEGMENT))
-        fits = ends[np.searchsorted(ends, at + start, "right")] - (at + start) >= LENGTH
-        at = at[fits]
-        yield at + start, (key[at] & U64(0xFFFFF)).astype(np.int64) + start, rolling, start
+        anchor = key[:SEGMENT] & place
+        for end in (ends[slice(*np.searchsorted(ends, [start + 1, start + len(anchor) + LENGTH]))] - start).tolist():
+            anchor[max(0, end - LENGTH + 1):end] = place  # these windows run past the end of a text
+        cut = np.append(0, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1)
+        many = np.diff(np.append(cut, len(anchor)))
+        inside = anchor[cut] != place
+        cut, many = cut[inside], many[inside]
+        at = anchor[cut].astype(np.int64)
+        yield np.stack([at + start, cut + start, many, grams[at].view(np.int64)])
+
+
+def anchors_with_grams(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchors, first window of each, number of its windows, which follow each other, hash of the anchor string)."""
+    anchor, start, many, gram = np.concatenate([np.zeros((4, 0), dtype=np.int64), *anchor_runs(data, ends)], axis=1)
+    # An anchor at the edge of a segment has windows in both.
+    inner, first, of = np.unique(anchor, return_index=True, return_inverse=True)
+    return (inner, start[first], np.bincount(of, weights=many, minlength=len(inner)).astype(np.int64),
+            np.ascontiguousarray(gram[first]).view(U64))
 
 
 def anchor_windows(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchors, first window of each, number of its windows, which follow each other)."""
-    found = [np.zeros((3, 0), dtype=np.int64)]
-    for start, anchor, _, _ in window_anchors(data, ends):
-        if len(anchor):
-            cut = np.append(0, np.flatnonzero(np.diff(anchor)) + 1)
-            found.append(np.stack([anchor[cut], start[cut], np.diff(np.append(cut, len(anchor)))]))
-    anchor, start, many = np.concatenate(found, axis=1)
-    # An anchor at the edge of a segment has windows in both.
-    inner, first, of = np.unique(anchor, return_index=True, return_inverse=True)
-    return inner, start[first], np.bincount(of, weights=many, minlength=len(inner)).astype(np.int64)
+    return anchors_with_grams(data, ends)[:3]
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(starts), dtype=U64)
+def range_hashes(data: np.ndarray, starts: np.ndarray, *lengths: np.ndarray) -> np.ndarray:
+    """Hashes of the strings that begin at ascending ``starts``: a row for each array of lengths, one row by itself."""
+    out = np.zeros((len(lengths), len(starts)), dtype=U64)
     for start, piece in pieces(data):
         a, b = np.searchsorted(starts, [start, start + SEGMENT])
         if a < b:
-            out[a:b] = Rolling(piece).of(starts[a:b] - start, lengths[a:b])
-    return out
+            rolling = Rolling(piece)
+            for row, length in zip(out, lengths, strict=True):
+                row[a:b] = rolling.of(starts[a:b] - start, length[a:b])
+    return out if len(lengths) > 1 else out[0]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk = TaskContext.get().partitionId() << 20
     for batch in text_slices(batches, most=CHUNK_BYTES):
-        texts = [x.encode() for x in filled(batch.column("text")).to_pylist()]
+        texts = filled(batch.column("text")).cast(pa.large_binary())
+        at = np.frombuffer(texts.buffers()[1], dtype=np.int64, count=len(texts) + 1, offset=8 * texts.offset)
+        raw = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk], pa.int64()),
              pa.ListArray.from_arrays(np.array([0, batch.num_rows], dtype=np.int32), batch.column("rest")),
-             pa.array([[len(x) for x in texts]], pa.list_(pa.int64())),
-             pa.array([tally.packed(np.frombuffer(b"".join(texts), dtype=np.uint8))], pa.binary())], names=CHUNK_NAMES)
+             pa.array([np.diff(at)], pa.list_(pa.int64())),
+             pa.array([tally.packed(raw[at[0]:at[-1]])], pa.binary())], names=CHUNK_NAMES)
         chunk += 1
 
 
@@ -140,23 +153,22 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors of each chunk in order: place, place of the next one (or the text's end), hashes of the anchor string,
     of its phrase, and of the phrase with the LENGTH - 1 bytes after it. A text's start stands as an anchor too."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in one_by_one(batch):
             data, ends = tally.unpacked(row["data"], np.uint8), np.cumsum(row["lengths"], dtype=np.int64)
-            inner, first, many = anchor_windows(data, ends)
+            inner, first, many, string = anchors_with_grams(data, ends)
             begins = (ends - row["lengths"])[np.array(row["lengths"]) >= LENGTH]
             at = np.union1d(inner, begins)
             end = ends[np.searchsorted(ends, at, "right")] if len(at) else at
             following = np.append(at[1:], at[-1:] + MARGIN)
             last = following >= end
             following = np.where(last, end, following)
-            gram = range_hashes(data, at, np.full(len(at), GRAM))
             # A start that is no anchor by content has no string and no windows of its own.
             by_content = np.isin(at, inner)
-            gram[~by_content] = 0
+            gram = np.zeros(len(at), dtype=U64)
+            gram[by_content] = string
             low, high = np.zeros(len(at), dtype=np.int64), np.full(len(at), -1, dtype=np.int64)
             low[by_content], high[by_content] = first, first + many - 1
-            phrase = range_hashes(data, at, following - at)
-            after = range_hashes(data, at, np.minimum(following + LENGTH - 1, end) - at)
+            phrase, after = range_hashes(data, at, following - at, np.minimum(following + LENGTH - 1, end) - at)
             with np.errstate(over="ignore"):
                 phrase = np.where(last, mix(phrase + U64(97)), phrase)
             yield pa.RecordBatch.from_arrays(
@@ -172,17 +184,25 @@ def unrolled(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.repeat(low - spans(n)[:-1], n) + np.arange(int(n.sum()))
 
 
-def rolled(numbers: np.ndarray) -> bytes:
-    """Ascending numbers as packed ranges."""
+def ranges_of(numbers: np.ndarray) -> np.ndarray:
+    """Rows of the first and of the last of each range of ascending numbers."""
     if not len(numbers):
-        return tally.packed(np.zeros((2, 0), dtype=np.int32))
+        return np.zeros((2, 0), dtype=np.int64)
     cut = np.flatnonzero(np.diff(numbers) != 1)
-    return tally.packed(np.stack([numbers[np.append(0, cut + 1)], numbers[np.append(cut, len(numbers) - 1)]]).astype(np.int32))
+    return np.stack([numbers[np.append(0, cut + 1)], numbers[np.append(cut, len(numbers) - 1)]])
+
 
+def rolled(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as packed ranges."""
+    return tally.packed(ranges_of(numbers).astype(np.int32))
+
+
+def ranges_in(packed: bytes) -> np.ndarray:
+    return tally.unpacked(packed, np.int32).astype(np.int64).reshape(2, -1)
 
-def numbers_of(ranges: bytes) -> np.ndarray:
-    low, high = tally.unpacked(ranges, np.int32).astype(np.int64).reshape(2, -1)
-    return unrolled(low, high)
+
+def numbers_of(packed: bytes) -> np.ndarray:
+    return unrolled(*ranges_in(packed))
 
 
 class Anchors:
@@ -222,7 +242,7 @@ class Anchors:
 def _ask_grams(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in one_by_one(batch):
                 a = Anchors(row)
                 _, counts = np.unique(a.gram[a.gram > 0], return_counts=True)
                 if len(counts):
@@ -294,15 +314,16 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     counted, answers to the counted ones)."""
     schema = StructType([StructField("chunk", LongType()), StructField("rest", ArrayType(docs.schema["rest"].dataType)),
                          StructField("lengths", ArrayType(LongType())), StructField("data", BinaryType())])
-    chunks = durable(docs.select("text", "rest").mapInArrow(_chunks, schema), "sx-chunks")
+    chunks = durable(docs.select("text", "rest").mapInArrow(lean(_chunks), schema), "sx-chunks")
     size = chunks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, v: s + v))).first()[0] or 0
-    anchors = durable(chunks.select("chunk", "lengths", "data").mapInArrow(_anchors, ANCHORS), "sx-anchors")
+    anchors = durable(chunks.select("chunk", "lengths", "data").mapInArrow(lean(_anchors), ANCHORS), "sx-anchors")
     bits = tally.bucket_bits(size // 64)
-    grams = durable(tally.tally(anchors.mapInArrow(_ask_grams(bits), tally.REQUEST)), "sx-grams")
+    grams = durable(tally.tally(anchors.mapInArrow(lean(_ask_grams(bits)), tally.REQUEST)), "sx-grams")
     strings = durable(anchors.groupBy("chunk").cogroup(grams.groupBy("chunk")).applyInArrow(_strings, STRINGS), "sx-strings")
     free_shuffles(docs.sparkSession)
     facts = durable(anchors.select("chunk", *PLACES, "gram").join(_settled(strings), "chunk", "left"), "sx-facts")
     free_shuffles(docs.sparkSession)
+    free_heaps(docs.sparkSession)
 
     def ask_open(_, left: pa.Table, right: pa.Table) -> pa.Table:
         """Anchor strings with a window that is not settled, here or elsewhere."""
@@ -337,7 +358,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     plans = durable(facts.groupBy("chunk").cogroup(grams.union(opened).groupBy("chunk")).applyInArrow(
         plan, "chunk long, yes binary, counted binary, shared binary"), "sx-plans")
     many = tally.bucket_bits(size // 4)
-    asked = chunks.select("chunk", "data").join(plans, "chunk").mapInArrow(_ask_windows(many), tally.REQUEST)
+    asked = chunks.select("chunk", "data").join(plans, "chunk").mapInArrow(lean(_ask_windows(many)), tally.REQUEST)
     counts = durable(tally.tally(asked), "sx-counts")
     del asked
     free_shuffles(docs.sparkSession)
@@ -353,7 +374,7 @@ def _window_hashes(row: dict, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _ask_windows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in one_by_one(batch):
                 _, hashes = _window_hashes(row, tally.unpacked(row["data"], np.uint8))
                 keys, counts = np.unique(hashes, return_counts=True)
                 if len(keys):
@@ -361,13 +382,18 @@ def _ask_windows(bits: int):
     return run
 
 
-def _starts(row: dict, data: np.ndarray, counts: pa.Table) -> np.ndarray:
-    """Starts of all repeated windows of a chunk."""
+def _removed(row: dict, data: np.ndarray, ends: np.ndarray, counts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end, number of the text) of each maximal run of bytes of a chunk that repeated windows cover."""
     places, hashes = _window_hashes(row, data)
     keys = np.unique(hashes)
     twice = tally.totals_of(counts, WINDOW, 1)[:, 0] > 1
     more = places[twice[np.searchsorted(keys, hashes)]] if len(keys) else places
-    return np.union1d(numbers_of(row["yes"]), more)
+    first, last = np.concatenate([ranges_in(row["yes"]), ranges_of(more)], axis=1)
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], np.maximum.accumulate(last[order] + LENGTH)
+    text = np.searchsorted(ends, first, "right")  # no window runs past its text, and a run ends with it
+    opens = np.flatnonzero(np.append(True, (first[1:] > end[:-1]) | (text[1:] != text[:-1]))[:len(first)])
+    return first[opens], end[np.append(opens[1:], len(first))[:len(opens)] - 1], text[opens]
 
 
 def _no_request() -> pa.Table:
@@ -375,9 +401,17 @@ def _no_request() -> pa.Table:
                      "keys": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
 
 
-def cut_repeats(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs``: its columns (struct rest), n_bytes, n_removed, n_spans, kept_sha256, n_shared and the kept
-    text, without the parts of characters that a cut leaves behind.
+def _without(data: memoryview, start: int, end: int, gaps: list[tuple[int, int]]) -> memoryview | bytes:
+    """Bytes ``start`` to ``end`` without the gaps (first byte, end) among them."""
+    if not gaps:
+        return data[start:end]
+    edges = [start, *(e for gap in gaps for e in gap), end]
+    return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def cut_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
+    """Every row of ``docs``: its columns (struct rest), n_bytes, n_removed, n_spans, kept_sha256, n_shared and, unless
+    ``with_text`` is false, the kept text, without the parts of characters that a cut leaves behind.
 
     n_shared counts the anchors (strings of GRAM bytes chosen by content) of the text that start elsewhere too. It shows
     passages in common that are shorter than LENGTH, which are left alone: a text with n_removed has some as a rule, one
@@ -392,29 +426,27 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for number, row in enumerate(left.select(["lengths", "data", "yes", "counted", "shared"]).to_pylist()):
+        for number in range(left.num_rows):
+            row = left.select(["lengths", "data", "yes", "counted", "shared"]).slice(number, 1).to_pylist()[0]
             data, lengths = tally.unpacked(row["data"], np.uint8), np.array(row["lengths"], dtype=np.int64)
             at = spans(lengths)
-            edge = np.zeros(len(data) + 1, dtype=np.int64)
-            begins = _starts(row, data, right)
-            edge[begins] += 1
-            edge[begins + LENGTH] -= 1
-            gone = np.cumsum(edge[:-1]) > 0
-            first = gone.copy()
-            first[1:] &= ~gone[:-1]
-            inner = at[:-1][lengths > 0]
-            first[inner] = gone[inner]  # runs end with their text
-            removed, runs = (np.concatenate([[0], np.cumsum(x)])[at] for x in (gone, first))
+            first, end, of = _removed(row, data, at[1:], right)
+            bounds = np.searchsorted(of, np.arange(len(lengths) + 1)).tolist()
+            gaps = list(zip(first.tolist(), end.tolist(), strict=True))
+            whole, edges = memoryview(data), at.tolist()
+            kept = [_without(whole, a, b, gaps[j:k]) for a, b, j, k in zip(
+                edges[:-1], edges[1:], bounds[:-1], bounds[1:], strict=True)]
+            removed = np.bincount(of, weights=end - first, minlength=len(lengths)).astype(np.int64)
             shared = np.searchsorted(tally.unpacked(row["shared"], np.int32).astype(np.int64), at)
-            kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
             rest = left.column("rest").slice(number, 1).combine_chunks().flatten()
+            texts = [pa.array([bytes(k).decode(errors="ignore") for k in kept], pa.string())] if with_text else []
             out.append(pa.Table.from_arrays(
-                [rest, pa.array(lengths), pa.array(np.diff(removed)), pa.array(np.diff(runs)),
-                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-                 pa.array(np.diff(shared)), pa.array([k.decode(errors="ignore") for k in kept], pa.string())], names=names))
+                [rest, pa.array(lengths), pa.array(removed), pa.array(np.diff(bounds)),
+                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(np.diff(shared)), *texts],
+                names=names))
         return pa.concat_tables(out)
 
-    names = ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "text"]
+    names = ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", *(["text"] if with_text else [])]
     schema = StructType([given.schema["rest"], *[StructField(n, StringType() if n in ("kept_sha256", "text") else LongType())
                                                  for n in names[1:]]])
     return chunks.join(plans, "chunk").groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(cut, schema)
@@ -422,7 +454,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and n_shared of every row of ``docs``; see :func:`cut_repeats`."""
-    return cut_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
+    return cut_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), with_text=False).select(
         "rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared")
 
 

@@ -13,8 +13,8 @@ import pyarrow as pa
 import pytest
 from conftest import rows
 
-from pipekit.llm import (common, language_id, near_dedup, ngram_lm, packing, queries, range_coder, source_mixing, stages, suffix_dedup,
-                         tally, token_files, tokens, toxicity, vector_dedup, vp_search)
+from pipekit.llm import (common, language_id, near_dedup, ngram_lm, packing, queries, range_coder, source_mixing, stages, suffix_array,
+                         suffix_dedup, tally, token_files, tokens, toxicity, vector_dedup, vp_search)
 
 PATH = queries.tokenizer_path()
 DOCS = "doc_id long, text string, source string, lang string, score string, row string, chunk string, node string"
@@ -321,6 +321,25 @@ def test_repeats_across_segments(spark):
     assert got == cut_by_hand([(i, t.encode()) for i, t in data])
 
 
+def test_recursion_takes_names_that_go_on(spark, monkeypatch):
+    """Two copies of a short run among names that occur once; suffixes are in order, and few go into the recursion."""
+    names = [*range(100, 130), 7, 7, 8, 9, 7, 8, *range(200, 230), 7, 7, 8, 9, 7, 8, *range(300, 330), 1]
+    deeper, whole = [], suffix_array.suffix_ranks
+
+    def seen(strings, enough):
+        deeper.append(strings.count())
+        return whole(strings, enough)
+    monkeypatch.setattr(suffix_array, "suffix_ranks", seen)
+    data = [(0, i, n, 1) for i, n in enumerate(names)]
+    got = whole(spark.createDataFrame(data, "chunk long, i long, name long, cover long"), 400).orderBy("rank").collect()
+    assert [r.i for r in got] == sorted(range(len(names)), key=lambda i: names[i:])
+    assert deeper and max(deeper) <= 20  # of 103, two thirds before
+
+
+def test_texts_are_made_only_where_asked(docs):
+    assert "text" not in suffix_dedup.cut_repeats(docs, with_text=False).columns
+
+
 def test_stages_give_heap_back(spark, docs, monkeypatch):
     common.free_heaps(spark)
     calls = []
