@@ -19,6 +19,9 @@ from pipekit.llm import language_id, near_dedup, packing, source_mixing, suffix_
 from pipekit.llm.common import fold, free_heaps, free_shuffles, read_table, ship
 from pipekit.session import drop_tables, held_tables
 
+#: Bytes of a repeated passage that is cut: fifty words of three letters and a blank. Passages of over fifty words have as
+#: many unless their words are shorter still.
+PASSAGE = 200
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _BEFORE: ContextVar[list[str] | None] = ContextVar("pipeline_stage_tables", default=None)
 
@@ -52,8 +55,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 400 bytes or more that also start elsewhere in the corpus."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without the passages of PASSAGE bytes or more that also start elsewhere in the corpus."""
+    return suffix_dedup.without_repeats(docs, length=PASSAGE)
 
 
 @stage

@@ -1,13 +1,14 @@
 """Removing passages that repeat anywhere in the corpus, found over a suffix array.
 
-A byte goes if it lies in a string of ``LENGTH`` bytes that also starts elsewhere. A suffix array over every byte of
-the corpus is not needed for that. Anchors are chosen by content: of the ``GRAM``-byte strings in each window of
-``LENGTH`` bytes, the one with the smallest hash. Equal windows have equal anchors in equal places, so
+A byte goes if it lies in a string of ``length`` bytes (``LENGTH`` unless the caller says so) that also starts
+elsewhere. A suffix array over every byte of the corpus is not needed for that. Anchors are chosen by content: of the
+:func:`gram_of`-byte strings in each window of ``length`` bytes, the one with the smallest hash. Equal windows have equal
+anchors in equal places, so
 
 1. anchors whose string occurs once cannot lie in a repeated window and cut the text into runs (:mod:`tally`);
 2. each run is a string of phrases, from one anchor to the next, named by hash; :mod:`suffix_array` sorts all their
    suffixes by the difference-cover algorithm;
-3. adjacent suffixes are compared: where both have the same phrase and the same LENGTH - 1 bytes after it, every
+3. adjacent suffixes are compared: where both have the same phrase and the same length - 1 bytes after it, every
    window that starts in the phrase is repeated;
 4. what is left are windows at the ends of repeats, whose phrases differ to the left or right. Those of them whose
    anchor is shared with any other unsettled window are settled one by one, by counting equal windows.
@@ -42,6 +43,13 @@ STRIDE_BITS = 26
 CHUNK_BYTES = 3 << 20
 
 
+def gram_of(length: int) -> int:
+    """Bytes of an anchor string for windows of ``length`` bytes; no result but n_shared depends on it."""
+    if not 8 <= length <= MARGIN // 2:
+        raise ValueError(f"windows have 8 to {MARGIN // 2} bytes, not {length}")
+    return length * GRAM // LENGTH
+
+
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = SEGMENT + MARGIN + 1
     inverse = pow(FACTOR, -1, 1 << 64)
@@ -76,14 +84,15 @@ def pieces(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield start, data[start:start + SEGMENT + MARGIN]
 
 
-def anchor_runs(data: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+def anchor_runs(data: np.ndarray, ends: np.ndarray, length: int) -> Iterator[np.ndarray]:
     """For each segment, rows of: anchors, first window of each inside one text, number of its windows, which follow each
     other, and (bits of) the hash of the anchor string."""
-    width, place = LENGTH - GRAM + 1, U64(0xFFFFF)
+    gram = gram_of(length)
+    width, place = length - gram + 1, U64(0xFFFFF)
     for start, piece in pieces(data):
-        if len(piece) < LENGTH:
+        if len(piece) < length:
             continue
-        grams = Rolling(piece).all_of(GRAM)
+        grams = Rolling(piece).all_of(gram)
         key = grams & ~place
         key |= np.arange(len(grams), dtype=U64)  # the leftmost of equal ones
         span = 1
@@ -93,8 +102,8 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
         if span < width:
             key = np.minimum(key[:len(key) - (width - span)], key[width - span:])
         anchor = key[:SEGMENT] & place
-        for end in (ends[slice(*np.searchsorted(ends, [start + 1, start + len(anchor) + LENGTH]))] - start).tolist():
-            anchor[max(0, end - LENGTH + 1):end] = place  # these windows run past the end of a text
+        for end in (ends[slice(*np.searchsorted(ends, [start + 1, start + len(anchor) + length]))] - start).tolist():
+            anchor[max(0, end - length + 1):end] = place  # these windows run past the end of a text
         cut = np.append(0, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1)
         many = np.diff(np.append(cut, len(anchor)))
         inside = anchor[cut] != place
@@ -103,9 +112,10 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
         yield np.stack([at + start, cut + start, many, grams[at].view(np.int64)])
 
 
-def anchors_with_grams(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors_with_grams(data: np.ndarray, ends: np.ndarray,
+                       length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchors, first window of each, number of its windows, which follow each other, hash of the anchor string)."""
-    anchor, start, many, gram = np.concatenate([np.zeros((4, 0), dtype=np.int64), *anchor_runs(data, ends)], axis=1)
+    anchor, start, many, gram = np.concatenate([np.zeros((4, 0), dtype=np.int64), *anchor_runs(data, ends, length)], axis=1)
     # An anchor at the edge of a segment has windows in both.
     inner, first, of = np.unique(anchor, return_index=True, return_inverse=True)
     return (inner, start[first], np.bincount(of, weights=many, minlength=len(inner)).astype(np.int64),
@@ -149,33 +159,35 @@ PLACES = ("at", "next", "low", "high")
 HASHES = ("gram", "name", "after")
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchors(length: int):
     """Anchors of each chunk in order: place, place of the next one (or the text's end), hashes of the anchor string,
-    of its phrase, and of the phrase with the LENGTH - 1 bytes after it. A text's start stands as an anchor too."""
-    for batch in batches:
-        for row in one_by_one(batch):
-            data, ends = tally.unpacked(row["data"], np.uint8), np.cumsum(row["lengths"], dtype=np.int64)
-            inner, first, many, string = anchors_with_grams(data, ends)
-            begins = (ends - row["lengths"])[np.array(row["lengths"]) >= LENGTH]
-            at = np.union1d(inner, begins)
-            end = ends[np.searchsorted(ends, at, "right")] if len(at) else at
-            following = np.append(at[1:], at[-1:] + MARGIN)
-            last = following >= end
-            following = np.where(last, end, following)
-            # A start that is no anchor by content has no string and no windows of its own.
-            by_content = np.isin(at, inner)
-            gram = np.zeros(len(at), dtype=U64)
-            gram[by_content] = string
-            low, high = np.zeros(len(at), dtype=np.int64), np.full(len(at), -1, dtype=np.int64)
-            low[by_content], high[by_content] = first, first + many - 1
-            phrase, after = range_hashes(data, at, following - at, np.minimum(following + LENGTH - 1, end) - at)
-            with np.errstate(over="ignore"):
-                phrase = np.where(last, mix(phrase + U64(97)), phrase)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["chunk"]], pa.int64()),
-                 *[pa.array([tally.packed(x.astype(np.int32))], pa.binary()) for x in (at, following, low, high)],
-                 *[pa.array([tally.packed(x)], pa.binary()) for x in (gram, phrase, after)]],
-                names=["chunk", *PLACES, *HASHES])
+    of its phrase, and of the phrase with the length - 1 bytes after it. A text's start stands as an anchor too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in one_by_one(batch):
+                data, ends = tally.unpacked(row["data"], np.uint8), np.cumsum(row["lengths"], dtype=np.int64)
+                inner, first, many, string = anchors_with_grams(data, ends, length)
+                begins = (ends - row["lengths"])[np.array(row["lengths"]) >= length]
+                at = np.union1d(inner, begins)
+                end = ends[np.searchsorted(ends, at, "right")] if len(at) else at
+                following = np.append(at[1:], at[-1:] + MARGIN)
+                last = following >= end
+                following = np.where(last, end, following)
+                # A start that is no anchor by content has no string and no windows of its own.
+                by_content = np.isin(at, inner)
+                gram = np.zeros(len(at), dtype=U64)
+                gram[by_content] = string
+                low, high = np.zeros(len(at), dtype=np.int64), np.full(len(at), -1, dtype=np.int64)
+                low[by_content], high[by_content] = first, first + many - 1
+                phrase, after = range_hashes(data, at, following - at, np.minimum(following + length - 1, end) - at)
+                with np.errstate(over="ignore"):
+                    phrase = np.where(last, mix(phrase + U64(97)), phrase)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["chunk"]], pa.int64()),
+                     *[pa.array([tally.packed(x.astype(np.int32))], pa.binary()) for x in (at, following, low, high)],
+                     *[pa.array([tally.packed(x)], pa.binary()) for x in (gram, phrase, after)]],
+                    names=["chunk", *PLACES, *HASHES])
+    return run
 
 
 def unrolled(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -294,10 +306,10 @@ def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
 
 
-def _settled(strings: DataFrame) -> DataFrame:
+def _settled(strings: DataFrame, length: int) -> DataFrame:
     """Numbers of the anchors of each chunk whose phrases are settled by a neighbour in suffix order."""
     with working_tables(strings.sparkSession):  # the recursion's tables go with it
-        ranks = suffix_ranks(strings.select("chunk", "i", "name", "cover"), LENGTH)
+        ranks = suffix_ranks(strings.select("chunk", "i", "name", "cover"), length)
         path = scratch(strings.sparkSession, "sx-ordered")
         strings.where("anchor >= 0").join(ranks, ["chunk", "i"]).select(
             "rank", "chunk", "i", "anchor", "name", "after").write.parquet(path)
@@ -309,19 +321,19 @@ def _settled(strings: DataFrame) -> DataFrame:
     return durable(pairs.groupBy("chunk").agg(F.collect_set("anchor").alias("settled")), "sx-settled")
 
 
-def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def repeats(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(chunks of ``docs`` (text, and the struct rest that goes along), windows of each chunk that are settled or
     counted, answers to the counted ones)."""
     schema = StructType([StructField("chunk", LongType()), StructField("rest", ArrayType(docs.schema["rest"].dataType)),
                          StructField("lengths", ArrayType(LongType())), StructField("data", BinaryType())])
     chunks = durable(docs.select("text", "rest").mapInArrow(lean(_chunks), schema), "sx-chunks")
     size = chunks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, v: s + v))).first()[0] or 0
-    anchors = durable(chunks.select("chunk", "lengths", "data").mapInArrow(lean(_anchors), ANCHORS), "sx-anchors")
-    bits = tally.bucket_bits(size // 64)
+    anchors = durable(chunks.select("chunk", "lengths", "data").mapInArrow(lean(_anchors(length)), ANCHORS), "sx-anchors")
+    bits = tally.bucket_bits(size // (gram_of(length) // 2))
     grams = durable(tally.tally(anchors.mapInArrow(lean(_ask_grams(bits)), tally.REQUEST)), "sx-grams")
     strings = durable(anchors.groupBy("chunk").cogroup(grams.groupBy("chunk")).applyInArrow(_strings, STRINGS), "sx-strings")
     free_shuffles(docs.sparkSession)
-    facts = durable(anchors.select("chunk", *PLACES, "gram").join(_settled(strings), "chunk", "left"), "sx-facts")
+    facts = durable(anchors.select("chunk", *PLACES, "gram").join(_settled(strings, length), "chunk", "left"), "sx-facts")
     free_shuffles(docs.sparkSession)
     free_heaps(docs.sparkSession)
 
@@ -358,39 +370,40 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     plans = durable(facts.groupBy("chunk").cogroup(grams.union(opened).groupBy("chunk")).applyInArrow(
         plan, "chunk long, yes binary, counted binary, shared binary"), "sx-plans")
     many = tally.bucket_bits(size // 4)
-    asked = chunks.select("chunk", "data").join(plans, "chunk").mapInArrow(lean(_ask_windows(many)), tally.REQUEST)
+    asked = chunks.select("chunk", "data").join(plans, "chunk").mapInArrow(lean(_ask_windows(many, length)), tally.REQUEST)
     counts = durable(tally.tally(asked), "sx-counts")
     del asked
     free_shuffles(docs.sparkSession)
     return chunks, plans, counts
 
 
-def _window_hashes(row: dict, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _window_hashes(row: dict, data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the windows to be counted."""
     starts = numbers_of(row["counted"])
-    return starts, range_hashes(data, starts, np.full(len(starts), LENGTH))
+    return starts, range_hashes(data, starts, np.full(len(starts), length))
 
 
-def _ask_windows(bits: int):
+def _ask_windows(bits: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in one_by_one(batch):
-                _, hashes = _window_hashes(row, tally.unpacked(row["data"], np.uint8))
+                _, hashes = _window_hashes(row, tally.unpacked(row["data"], np.uint8), length)
                 keys, counts = np.unique(hashes, return_counts=True)
                 if len(keys):
                     yield tally.requests(row["chunk"], WINDOW, keys, counts.astype(np.uint32)[:, None], bits)
     return run
 
 
-def _removed(row: dict, data: np.ndarray, ends: np.ndarray, counts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _removed(row: dict, data: np.ndarray, ends: np.ndarray, counts: pa.Table,
+             length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first byte, end, number of the text) of each maximal run of bytes of a chunk that repeated windows cover."""
-    places, hashes = _window_hashes(row, data)
+    places, hashes = _window_hashes(row, data, length)
     keys = np.unique(hashes)
     twice = tally.totals_of(counts, WINDOW, 1)[:, 0] > 1
     more = places[twice[np.searchsorted(keys, hashes)]] if len(keys) else places
     first, last = np.concatenate([ranges_in(row["yes"]), ranges_of(more)], axis=1)
     order = np.argsort(first, kind="stable")
-    first, end = first[order], np.maximum.accumulate(last[order] + LENGTH)
+    first, end = first[order], np.maximum.accumulate(last[order] + length)
     text = np.searchsorted(ends, first, "right")  # no window runs past its text, and a run ends with it
     opens = np.flatnonzero(np.append(True, (first[1:] > end[:-1]) | (text[1:] != text[:-1]))[:len(first)])
     return first[opens], end[np.append(opens[1:], len(first))[:len(opens)] - 1], text[opens]
@@ -409,12 +422,14 @@ def _without(data: memoryview, start: int, end: int, gaps: list[tuple[int, int]]
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def cut_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
+def cut_repeats(docs: DataFrame, with_text: bool = True, length: int = LENGTH) -> DataFrame:
     """Every row of ``docs``: its columns (struct rest), n_bytes, n_removed, n_spans, kept_sha256, n_shared and, unless
     ``with_text`` is false, the kept text, without the parts of characters that a cut leaves behind.
 
-    n_shared counts the anchors (strings of GRAM bytes chosen by content) of the text that start elsewhere too. It shows
-    passages in common that are shorter than LENGTH, which are left alone: a text with n_removed has some as a rule, one
+    ``length`` is the bytes of the strings that are cut where they start elsewhere too.
+
+    n_shared counts the anchors (strings of ``gram_of(length)`` bytes chosen by content) of the text that start elsewhere
+    too. It shows passages in common that are shorter than ``length``, which are left alone: a text with n_removed has some as a rule, one
     with neither shares no long passage.
 
     Matches lie within one text; two places of one text count as two. Null and empty texts, and texts shorter than a
@@ -422,7 +437,7 @@ def cut_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """
     given = docs.select(F.col("text").cast("string").alias("text"), F.struct(*[docs[c] for c in docs.columns
                                                                                if c != "text"]).alias("rest"))
-    chunks, plans, counts = repeats(given)
+    chunks, plans, counts = repeats(given, length)
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -430,7 +445,7 @@ def cut_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
             row = left.select(["lengths", "data", "yes", "counted", "shared"]).slice(number, 1).to_pylist()[0]
             data, lengths = tally.unpacked(row["data"], np.uint8), np.array(row["lengths"], dtype=np.int64)
             at = spans(lengths)
-            first, end, of = _removed(row, data, at[1:], right)
+            first, end, of = _removed(row, data, at[1:], right, length)
             bounds = np.searchsorted(of, np.arange(len(lengths) + 1)).tolist()
             gaps = list(zip(first.tolist(), end.tolist(), strict=True))
             whole, edges = memoryview(data), at.tolist()
@@ -458,9 +473,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeats cut out of their texts; n_chars, if there is one, follows. A null text becomes empty."""
-    cut = cut_repeats(docs)
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with the repeats of ``length`` bytes cut out of their texts; n_chars, if there is one, follows. A null text
+    becomes empty."""
+    cut = cut_repeats(docs, length=length)
     columns = [F.col("text") if c == "text" else F.length("text").cast(docs.schema[c].dataType).alias(c)
                if c == "n_chars" else F.col(f"rest.`{c}`") for c in docs.columns]
     return cut.select(*columns)

@@ -309,6 +309,26 @@ def test_remove_repeats(spark, docs, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_passages_of_over_fifty_words_are_cut(spark):
+    """The pipeline's stage cuts passages that are longer than 50 words and shorter than the 400 bytes of the query."""
+    rng = random.Random(51)
+    passages = [prose(rng, 51) for _ in range(4)]
+    assert all(len(p.encode()) < 400 for p in passages)
+    clean = [(k, prose(rng, 120)) for k in range(8)]
+    data = clean + [(10 + 4 * copy + k, f"{prose(rng, 60)} {p} {prose(rng, 60)}") for k, p in enumerate(passages) for copy in range(2)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    left = dict(stages.cut_repeats(spark, docs, "").collect())
+    assert all(left[k] == t for k, t in clean)
+    for k, text in data[len(clean):]:
+        assert 0 < len(text) - len(left[k]) < 420 and not any(p in left[k] for p in passages)
+    # Every byte, counted by hand.
+    texts = [t.encode() for _, t in data]
+    seen = Counter(t[i:i + 200] for t in texts for i in range(len(t) - 199))
+    for k, t in zip([k for k, _ in data], texts, strict=True):
+        gone = {j for i in range(len(t) - 199) if seen[t[i:i + 200]] > 1 for j in range(i, i + 200)}
+        assert left[k] == bytes(b for j, b in enumerate(t) if j not in gone).decode()
+
+
 def test_repeats_across_segments(spark):
     """A text of more than a segment, with passages over and beside the border that start elsewhere too."""
     rng = random.Random(31)
